@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from vitrine import vocab as V
-from vitrine.functions.text import as_column, color_key, drop_color_noise, trim_any
+from vitrine.functions.text import as_column, color_key, drop_color_noise, let, trim_any
 
 
 def literal_map(pairs: dict) -> Column:
@@ -101,14 +101,15 @@ def cluster_score(r, g, b, share, dark_product) -> Column:
 
 def is_similar(a, b, table=V.SIMILAR_COLORS) -> Column:
     """Equal, one inside the other, or listed as neighbours either way."""
-    a, b = F.lower(trim_any(a)), F.lower(trim_any(b))
     near = F.create_map(*[x for k, vs in table.items()
                           for x in (F.lit(k), F.array(*[F.lit(v) for v in vs]))])
 
     def listed(x, y):
         return F.coalesce(F.array_contains(F.try_element_at(near, x), y), F.lit(False))
 
-    return a.contains(b) | b.contains(a) | listed(a, b) | listed(b, a)
+    return let(F.struct(F.lower(trim_any(a)).alias("a"), F.lower(trim_any(b)).alias("b")), lambda v: (
+        v["a"].contains(v["b"]) | v["b"].contains(v["a"])
+        | listed(v["a"], v["b"]) | listed(v["b"], v["a"])))
 
 
 def spelling_map(spellings=V.COLOR_SPELLINGS) -> dict:
@@ -123,25 +124,28 @@ def standard_color(c, spellings=V.COLOR_SPELLINGS, standards=V.STANDARD_COLORS)
     first word alone, and finally the cleaned text itself.
     """
     table = literal_map(spelling_map(spellings))
-    ordered = F.array(*[F.lit(s) for s in standards])
-    clean = drop_color_noise(c)
-    low = F.lower(clean)
-    stripped = F.regexp_replace(F.regexp_replace(low, "ی+$", ""), "ه+$", "")
-    arabic_yeh = F.replace(low, F.lit("ی"), F.lit("ي"))
-    first = F.lower(F.split_part(F.regexp_replace(clean, r"(?U)\s+", " "), F.lit(" "), F.lit(1)))
-    compound = clean.contains(" ")
+    ordered = F.array(*[F.struct(F.lit(x).alias("name"), F.lit(x.lower()).alias("low"))
+                        for x in standards])
 
     def first_standard(test):
-        return F.get(F.filter(ordered, test), F.lit(0))
-
-    return F.when(as_column(c) != "", F.coalesce(
-        F.try_element_at(table, low), F.try_element_at(table, stripped),
-        F.try_element_at(table, arabic_yeh),
-        first_standard(lambda s: low == F.lower(s)),
-        first_standard(lambda s: low.contains(F.lower(s))),
-        F.when(compound, F.try_element_at(table, first)),
-        F.when(compound, first_standard(lambda s: F.lower(s).contains(first))),
-        clean))
+        return F.get(F.filter(ordered, lambda s: test(s["low"])), F.lit(0))["name"]
+
+    def of_words(v):
+        stripped = F.regexp_replace(F.regexp_replace(v["low"], "ی+$", ""), "ه+$", "")
+        arabic_yeh = F.replace(v["low"], F.lit("ی"), F.lit("ي"))
+        first = F.split_part(F.regexp_replace(v["low"], r"(?U)\s+", " "), F.lit(" "), F.lit(1))
+        compound = v["clean"].contains(" ")
+        by_first_word = let(first, lambda w: F.coalesce(
+            F.try_element_at(table, w), first_standard(lambda s: s.contains(w))))
+        return F.coalesce(
+            F.try_element_at(table, v["low"]), F.try_element_at(table, stripped),
+            F.try_element_at(table, arabic_yeh),
+            first_standard(lambda s: v["low"] == s), first_standard(lambda s: v["low"].contains(s)),
+            F.when(compound, by_first_word), v["clean"])
+
+    cleaned = let(drop_color_noise(c), lambda x: let(
+        F.struct(x.alias("clean"), F.lower(x).alias("low")), of_words))
+    return F.when(as_column(c) != "", cleaned)
 
 
 def distinct_ignoring_case(values) -> Column:
@@ -152,7 +156,7 @@ def distinct_ignoring_case(values) -> Column:
 
 
 def standard_colors(values) -> Column:
-    return distinct_ignoring_case(F.filter(F.transform(as_column(values), standard_color),
+    return distinct_ignoring_case(F.filter(F.transform(as_column(values), lambda c: standard_color(c)),
                                            lambda x: x.isNotNull()))
 
 
@@ -163,18 +167,23 @@ def longest_phrase(c, standards: dict, longest_key: int) -> Column:
     the leftmost.  A phrase cannot match once it has more words than the
     longest key has letters, which bounds the n-grams of a runaway cell.
     """
-    words = F.filter(F.split(trim_any(c), r"(?U)\s+"), lambda w: w != "")
-    n = F.size(words)
-    silent = F.size(F.filter(words, lambda w: color_key(w) == ""))
-    top = F.least(n, F.lit(longest_key) + silent)
-    grams = F.flatten(F.transform(
-        F.sequence(top, F.lit(1), F.lit(-1)),
-        lambda size: F.transform(F.sequence(F.lit(1), n - size + 1), lambda at: color_key(
-            F.array_join(F.slice(words, at, size), " ")))))
     known = literal_map(standards)
-    hits = F.filter(F.transform(grams, lambda g: F.try_element_at(known, g)),
-                    lambda x: x.isNotNull())
-    return F.when(n > 0, F.get(hits, F.lit(0)))
+
+    def matched(words):
+        n = F.size(words)
+        silent = F.size(F.filter(words, lambda w: color_key(w) == ""))
+        sizes = F.sequence(F.least(n, F.lit(longest_key) + silent), F.lit(1), F.lit(-1))
+        grams = F.flatten(F.transform(sizes, lambda size: F.transform(
+            F.sequence(F.lit(1), n - size + 1),
+            lambda at: color_key(F.array_join(F.slice(words, at, size), " ")))))
+        hits = F.filter(F.transform(grams, lambda g: F.try_element_at(known, g)),
+                        lambda x: x.isNotNull())
+        return F.when(n > 0, F.get(hits, F.lit(0)))
+
+    # Most cells match as a whole and never reach the n-grams.
+    whole = F.try_element_at(known, color_key(c))
+    words = F.filter(F.split(trim_any(c), r"(?U)\s+"), lambda w: w != "")
+    return F.coalesce(whole, let(words, matched))
 
 
 def standards_by_key(standards=V.STANDARD_COLORS) -> dict:

@@ -30,6 +30,15 @@ def found(c, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(as_column(c), pattern, group), F.lit(""))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once.
+
+    Inside a lambda nothing is shared between repeated expressions, so what a
+    rule uses several times per element is bound to a variable first.
+    """
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
 # ---- white space, blanks ----------------------------------------------------
 
 def trim_any(c) -> Column:

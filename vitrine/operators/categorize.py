@@ -12,8 +12,15 @@ from vitrine.functions.text import nullify_blank, render_text
 from vitrine.operators.scale import LITERAL_ROWS, rows_if_small, small_side
 
 
+# A longer CASE makes methods the JVM no longer compiles.
+_CASE_RULES = 6
+
+
 def first_keyword(text: Column, rules) -> Column:
     """Value of the first (keyword, value) rule whose keyword is in ``text``."""
+    if len(rules) > _CASE_RULES:
+        table = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in rules])
+        return F.get(F.filter(table, lambda r: text.contains(r["k"])), F.lit(0))["v"]
     out = None
     for keyword, value in rules:
         hit = text.contains(keyword)

@@ -119,10 +119,11 @@ def _is_latin(token) -> Column:
 def translate_cell(c, words: Column) -> Column:
     """Known Latin tokens replaced in place, blanks and separators kept."""
     def swap(token):
-        known = F.try_element_at(words, F.lower(T.trim_any(token)))
-        return F.when(_is_latin(token) & known.isNotNull(), F.concat(
-            F.regexp_extract(token, r"(?U)^(\s*)", 1), known,
-            F.regexp_extract(token, r"(?U)(\s*)$", 1))).otherwise(token)
+        return T.let(T.trim_any(token), lambda bare: T.let(
+            F.when(bare.rlike(_LATIN), F.try_element_at(words, F.lower(bare))),
+            lambda known: F.when(known.isNull(), token).otherwise(F.concat(
+                F.regexp_extract(token, r"(?U)^(\s*)", 1), known,
+                F.regexp_extract(token, r"(?U)(\s*)$", 1)))))
     c = T.as_column(c)
     # Most cells hold no Latin letter at all and skip the array work.
     return F.when(c.rlike("[a-zA-Z0-9_]"),
@@ -130,8 +131,9 @@ def translate_cell(c, words: Column) -> Column:
 
 
 def known_tokens(c, words: Column) -> Column:
-    return F.filter(cell_tokens(c), lambda t: _is_latin(t) & F.try_element_at(
-        words, F.lower(T.trim_any(t))).isNotNull())
+    """Tokens of a cell the dictionary would replace."""
+    return F.filter(F.transform(cell_tokens(c), T.trim_any), lambda t: (
+        t.rlike(_LATIN) & F.try_element_at(words, F.lower(t)).isNotNull()))
 
 
 def translate_columns(df: DataFrame, columns, entries: DataFrame, key: str = "ord") -> DataFrame:

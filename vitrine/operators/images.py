@@ -87,26 +87,28 @@ def match_colors(pictures: Column, colors: Column) -> Column:
     hit_type = "struct<color:string,norm:string,index:int,kind:string>"
     start = F.array().cast(f"array<{hit_type}>")
 
-    def attempt(hits, color):
-        norm = T.dash_slug(color)
-        words = F.filter(F.split(norm, "[-_ ]+"), lambda w: w != "")
-
-        def rank(pic, i):
+    def rank(hits, c):
+        def of_picture(pic, i):
             tail = pic["tail"]
             used = F.exists(hits, lambda h: h["index"] == i)
-            step = (F.when(tail.contains(norm) | norm.contains(tail), 1)
-                    .when(F.exists(words, lambda w: tail.contains(w)), 2)
-                    .when(is_similar(norm, tail), 3))
-            return F.when((i > 0) & ~used & step.isNotNull(), F.struct(
-                step.alias("step"), i.alias("index"), (tail == "").alias("blank")))
-
-        best = F.array_min(F.filter(F.transform(pictures, rank), lambda x: x.isNotNull()))
+            step = (F.when(tail.contains(c["norm"]) | c["norm"].contains(tail), 1)
+                    .when(F.exists(c["words"], lambda w: tail.contains(w)), 2)
+                    .when(is_similar(c["norm"], tail), 3))
+            return F.when((i > 0) & ~used, T.let(step, lambda s: F.when(s.isNotNull(), F.struct(
+                s.alias("step"), i.alias("index"), (tail == "").alias("blank")))))
+        return F.array_min(F.filter(F.transform(pictures, of_picture), lambda x: x.isNotNull()))
+
+    def taken(hits, color, c, best):
         kind = (F.when(best["blank"] & (best["step"] == 1), "blank").when(best["step"] == 1, "exact")
                 .when(best["step"] == 2, "word").otherwise("similar"))
-        hit = F.struct(color.alias("color"), norm.alias("norm"),
+        hit = F.struct(color.alias("color"), c["norm"].alias("norm"),
                        best["index"].cast("int").alias("index"), kind.alias("kind"))
-        return F.when((norm != "") & best.isNotNull(),
-                      F.concat(hits, F.array(hit))).otherwise(hits)
+        return F.when(best.isNotNull(), F.concat(hits, F.array(hit))).otherwise(hits)
+
+    def attempt(hits, color):
+        return T.let(T.dash_slug(color), lambda norm: F.when(norm == "", hits).otherwise(T.let(
+            F.struct(norm.alias("norm"), F.filter(F.split(norm, "[-_ ]+"), lambda w: w != "").alias("words")),
+            lambda c: T.let(rank(hits, c), lambda best: taken(hits, color, c, best)))))
 
     return F.aggregate(colors, start, attempt)
 
@@ -197,21 +199,23 @@ def variant_images(colors: Column, color_images: Column, general: Column, main:
     picture.
     """
     def own(color):
-        norm = T.dash_slug(color)
-
         def first(test):
             return F.get(F.filter(color_images, test), F.lit(0))["file"]
 
-        return F.coalesce(first(lambda p: p["norm"] == norm), first(lambda p: p["norm"] == color),
-                          first(lambda p: p["norm"].contains(norm) | norm.contains(p["norm"])))
+        return T.let(T.dash_slug(color), lambda norm: F.coalesce(
+            first(lambda p: p["norm"] == norm), first(lambda p: p["norm"] == color),
+            first(lambda p: p["norm"].contains(norm) | norm.contains(p["norm"]))))
 
     owned = F.transform(colors, own)
     if not use_general:
         return F.transform(owned, lambda f: F.coalesce(f, main))
-    left_over = F.filter(F.transform(owned, lambda f, i: F.when(f.isNull(), i)),
-                         lambda i: i.isNotNull())
-    return F.transform(owned, lambda f, i: F.coalesce(
-        f, F.get(general, F.array_position(left_over, i).cast("int") - 1), main))
+
+    def placed(mine):
+        left_over = F.filter(F.transform(mine, lambda f, i: F.when(f.isNull(), i)),
+                             lambda i: i.isNotNull())
+        return T.let(left_over, lambda rest: F.transform(mine, lambda f, i: F.coalesce(
+            f, F.get(general, F.array_position(rest, i).cast("int") - 1), main)))
+    return T.let(owned, placed)
 
 
 # ---- source files, folders, sizes ---------------------------------------------

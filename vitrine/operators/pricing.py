@@ -16,10 +16,21 @@ def rules_frame(spark: SparkSession, rules) -> DataFrame:
     return spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(rules)], RULE_SCHEMA)
 
 
+# A longer CASE makes methods the JVM no longer compiles.
+_CASE_RULES = 12
+
+
 def bracket_by_case(price: Column, rows) -> Column:
-    """Small rule table as one CASE: first match wins, stays in codegen."""
+    """Small rule table inside the expression; the first match wins."""
+    rows = sorted(rows, key=lambda r: r.rule_ord)
+    if len(rows) > _CASE_RULES:
+        names = ("rule_ord", "from_price", "to_price", "increase_percent", "discount_percent")
+        table = F.array(*[F.struct(*[F.lit(r[n]).alias(n) for n in names]) for r in rows])
+        hit = F.get(F.filter(table, lambda r: price.between(r["from_price"], r["to_price"])), F.lit(0))
+        return F.when(hit.isNotNull(), F.struct(*[hit[n].alias(n) for n in (
+            "rule_ord", "increase_percent", "discount_percent")]))
     out = None
-    for r in sorted(rows, key=lambda r: r.rule_ord):
+    for r in rows:
         hit = price.between(F.lit(r.from_price), F.lit(r.to_price))
         rule = F.struct(F.lit(r.rule_ord).alias("rule_ord"),
                         F.lit(r.increase_percent).alias("increase_percent"),

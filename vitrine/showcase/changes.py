@@ -241,11 +241,12 @@ QUERIES |= {
     "track_status": (track_status, f"""{_TRACK}
 SELECT ord, url, price, prev_price, status,
        CASE WHEN status = 'price_changed' THEN price - prev_price END AS delta,
-       CASE WHEN status = 'price_changed' THEN round((price - prev_price) / CAST(prev_price AS DOUBLE) * 100, 2) END AS percent,
+       CASE WHEN status <> 'price_changed' THEN NULL WHEN prev_price > 0
+            THEN round((price - prev_price) / CAST(prev_price AS DOUBLE) * 100, 2) ELSE 0 END AS percent,
        status = 'unchanged' AS listed_unchanged
 FROM tracked"""),
     "track_removed": (track_removed, f"""{_TRACK}
-SELECT name, code, url, price AS last_price, '1380/09/10' AS removed_date FROM gone"""),
+SELECT name, code, url, nullif(price, 0) AS last_price, '1380/09/10' AS removed_date FROM gone"""),
     "track_counts": (track_counts, f"""{_TRACK}
 SELECT count(*) AS total, count(*) FILTER (status = 'new') AS new,
        count(*) FILTER (status = 'price_changed') AS changed, count(*) FILTER (status = 'unchanged') AS unchanged,
