@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from vitrine import vocab as V
-from vitrine.functions.text import as_column, color_key, drop_color_noise, let, trim_any
+from vitrine.functions.text import (as_column, bare_key, color_key, drop_color_noise, let,
+                                    trim_any)
 
 
 def literal_map(pairs: dict) -> Column:
@@ -171,11 +172,11 @@ def longest_phrase(c, standards: dict, longest_key: int) -> Column:
 
     def matched(words):
         n = F.size(words)
-        silent = F.size(F.filter(words, lambda w: color_key(w) == ""))
+        silent = F.size(F.filter(words, lambda w: bare_key(w) == ""))
         sizes = F.sequence(F.least(n, F.lit(longest_key) + silent), F.lit(1), F.lit(-1))
         grams = F.flatten(F.transform(sizes, lambda size: F.transform(
             F.sequence(F.lit(1), n - size + 1),
-            lambda at: color_key(F.array_join(F.slice(words, at, size), " ")))))
+            lambda at: bare_key(F.array_join(F.slice(words, at, size), "")))))
         hits = F.filter(F.transform(grams, lambda g: F.try_element_at(known, g)),
                         lambda x: x.isNotNull())
         return F.when(n > 0, F.get(hits, F.lit(0)))

@@ -1,7 +1,8 @@
 """Text rules as Column expressions.
 
-Java's ``\\s``, ``\\d`` and ``trim`` only know ASCII, so every rule about white
-space uses ``(?U)`` and digits are folded to ASCII before they are matched.
+Java's ``\\s``, ``\\d`` and ``trim`` only know ASCII, so rules about white space
+spell the Unicode blanks out and digits are folded to ASCII before they are
+matched.
 """
 
 from __future__ import annotations
@@ -10,6 +11,13 @@ from pyspark.sql import Column, functions as F
 
 from vitrine import vocab as V
 
+# Unicode white space.
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(
+    map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+# One predicate under (?U); a class listing the blanks is many times slower.
+WS = r"\s"
+IN_WS = r"\s"
+
 _ALL_DIGITS = V.PERSIAN_DIGITS + V.ARABIC_DIGITS
 _ANY_DIGIT = f"[0-9{_ALL_DIGITS}]"
 # Whole-word borders; a bare \b treats the zero-width non-joiner as a letter.
@@ -21,13 +29,17 @@ def as_column(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def unicode_blanks(pattern: str) -> str:
+    return "(?U)" + pattern if r"\s" in pattern.lower() else pattern
+
+
 def replace_pattern(c, pattern: str, by: str = "") -> Column:
-    return F.regexp_replace(as_column(c), F.lit(pattern), F.lit(by))
+    return F.regexp_replace(as_column(c), F.lit(unicode_blanks(pattern)), F.lit(by))
 
 
 def found(c, pattern: str, group: int = 1) -> Column:
     """First match of ``pattern``, NULL (not '') when there is none."""
-    return F.nullif(F.regexp_extract(as_column(c), pattern, group), F.lit(""))
+    return F.nullif(F.regexp_extract(as_column(c), unicode_blanks(pattern), group), F.lit(""))
 
 
 def let(value: Column, body) -> Column:
@@ -42,11 +54,11 @@ def let(value: Column, body) -> Column:
 # ---- white space, blanks ----------------------------------------------------
 
 def trim_any(c) -> Column:
-    return replace_pattern(c, r"(?U)^\s+|\s+$")
+    return F.btrim(as_column(c), F.lit(WHITE))
 
 
 def squeeze(c) -> Column:
-    return replace_pattern(trim_any(c), r"(?U)\s+", " ")
+    return replace_pattern(trim_any(c), WS + "+", " ")
 
 
 def is_blank(c) -> Column:
@@ -72,7 +84,9 @@ def render_text(c) -> Column:
 # ---- digits, letters, invisible characters ----------------------------------
 
 def ascii_digits(c) -> Column:
-    return F.translate(as_column(c), _ALL_DIGITS, V.ASCII_DIGITS * 2)
+    c = as_column(c)
+    # One range test spares most texts the letter-by-letter translation.
+    return F.when(c.rlike("[٠-۹]"), F.translate(c, _ALL_DIGITS, V.ASCII_DIGITS * 2)).otherwise(c)
 
 
 def persian_digits(c) -> Column:
@@ -86,7 +100,10 @@ def strip_invisible(c) -> Column:
 
 def fold_letters(c) -> Column:
     """Arabic kaf and yeh spelled the Persian way."""
-    return F.translate(as_column(c), "كيى", "کیی")
+    out = as_column(c)
+    for arabic, persian in zip("كيى", "کیی"):
+        out = F.replace(out, F.lit(arabic), F.lit(persian))
+    return out
 
 
 def plain_text(c) -> Column:
@@ -94,7 +111,7 @@ def plain_text(c) -> Column:
 
 
 def color_text(c) -> Column:
-    return squeeze(F.translate(fold_letters(c), V.ZWNJ, " "))
+    return squeeze(F.replace(fold_letters(c), F.lit(V.ZWNJ), F.lit(" ")))
 
 
 def has_persian(c) -> Column:
@@ -108,11 +125,19 @@ def truncate(c, n: int) -> Column:
 # ---- keys and slugs ---------------------------------------------------------
 
 def color_key(c) -> Column:
-    return F.lower(replace_pattern(c, rf"(?U)[\s{V.ZWNJ}_\-]+"))
+    return bare_key(replace_pattern(c, WS + "+"))
+
+
+def bare_key(c) -> Column:
+    """The same for a text whose only blanks are plain ones."""
+    out = as_column(c)
+    for mark in (" ", V.ZWNJ, "_", "-"):
+        out = F.replace(out, F.lit(mark), F.lit(""))
+    return F.lower(out)
 
 
 def slug(c) -> Column:
-    kept = replace_pattern(c, r"(?U)[^\p{L}\p{N}_\s-]")
+    kept = replace_pattern(c, rf"[^\p{{L}}\p{{N}}_{IN_WS}-]")
     return F.lower(F.replace(trim_any(kept), F.lit(" "), F.lit("-")))
 
 
@@ -134,7 +159,7 @@ def split_values(c, separators: str = "-|,") -> Column:
 
 def unify_separators(c) -> Column:
     piped = replace_pattern(c, r"[,\-/;\\،؛]", "|")
-    tight = replace_pattern(replace_pattern(piped, r"(?U)\s*\|\s*", "|"), r"\|+", "|")
+    tight = replace_pattern(replace_pattern(piped, rf"{WS}*\|{WS}*", "|"), r"\|+", "|")
     return replace_pattern(tight, r"^\|+|\|+$")
 
 
@@ -147,33 +172,39 @@ def tidy_multi(c) -> Column:
 # ---- words ------------------------------------------------------------------
 
 def drop_word(c, word: str) -> Column:
-    return trim_any(replace_pattern(c, _WORD_START + word + _WORD_END))
+    c = as_column(c)
+    dropped = replace_pattern(c, _WORD_START + word + _WORD_END)
+    return trim_any(F.when(c.contains(word), dropped).otherwise(c))
 
 
 def drop_color_noise(c, patterns=V.COLOR_NOISE) -> Column:
-    out = ascii_digits(trim_any(c))
-    for pattern in patterns:
-        out = trim_any(replace_pattern(out, "(?iU)" + pattern))
-    return out
+    """Design and brand words out of a colour name, one after the other."""
+    def cleaned(text):
+        out = text
+        for pattern in patterns:
+            out = trim_any(replace_pattern(out, "(?iU)" + pattern))
+        # Most names hold none of the words and skip the chain.
+        return F.when(text.rlike("(?iU)" + "|".join(patterns)), out).otherwise(text)
+    return let(ascii_digits(trim_any(c)), cleaned)
 
 
 # ---- codes and names --------------------------------------------------------
 
 def code_after_word(c) -> Column:
-    return F.coalesce(found(ascii_digits(c), rf"(?U){V.CODE_WORD}\s*([0-9]+)"), F.lit(""))
+    return F.coalesce(found(ascii_digits(c), rf"{V.CODE_WORD}{WS}*([0-9]+)"), F.lit(""))
 
 
 def code_or_first_number(c) -> Column:
     digits = ascii_digits(c)
-    return F.coalesce(found(digits, rf"(?U){V.CODE_WORD}\s*([0-9]+)"),
+    return F.coalesce(found(digits, rf"{V.CODE_WORD}{WS}*([0-9]+)"),
                       found(digits, "([0-9]+)"))
 
 
 def trailing_code(c) -> Column:
     """Code or model number at the very end of a title."""
-    number = rf"([A-Za-z]?{_ANY_DIGIT}{{3,}})\s*$"
-    named = rf"(?U)(?:{V.CODE_WORD}|{V.MODEL_WORD})\s*{number}"
-    return F.coalesce(found(c, named), found(c, "(?U)" + number))
+    number = rf"([A-Za-z]?{_ANY_DIGIT}{{3,}}){WS}*$"
+    named = rf"(?:{V.CODE_WORD}|{V.MODEL_WORD}){WS}*{number}"
+    return F.coalesce(found(c, named), found(c, number))
 
 
 def numeric_code(c, shortest: int = 3, longest: int = 6) -> Column:
@@ -181,25 +212,25 @@ def numeric_code(c, shortest: int = 3, longest: int = 6) -> Column:
 
 
 def strip_price_suffix(c) -> Column:
-    priced = rf"(?U)[0-9,{V.ARABIC_THOUSANDS}\s]+(?:{V.TOMAN}|{V.RIAL})"
+    priced = rf"[0-9,{V.ARABIC_THOUSANDS}{IN_WS}]+(?:{V.TOMAN}|{V.RIAL})"
     return F.coalesce(squeeze(replace_pattern(ascii_digits(c), priced)), F.lit(""))
 
 
 def name_through_code(c) -> Column:
     text = trim_any(ascii_digits(c))
-    cut = F.coalesce(found(text, rf"(?sU)^(.*?{V.CODE_WORD}\s*[0-9]+)"), text)
-    cut = replace_pattern(cut, r"(?U)\s+[0-9]{5,}.*$")
+    cut = F.coalesce(found(text, rf"(?s)^(.*?{V.CODE_WORD}{WS}*[0-9]+)"), text)
+    cut = replace_pattern(cut, WS + r"+[0-9]{5,}.*$")
     cut = replace_pattern(cut, rf"[{V.ARABIC_COMMA},{V.ARABIC_THOUSANDS}]+")
     return F.coalesce(squeeze(cut), F.lit(""))
 
 
 def strip_code(c) -> Column:
-    return trim_any(replace_pattern(c, rf"(?U)\s*{V.CODE_WORD}\s*{_ANY_DIGIT}+\s*"))
+    return trim_any(replace_pattern(c, rf"{WS}*{V.CODE_WORD}{WS}*{_ANY_DIGIT}+{WS}*"))
 
 
 def strip_code_keep_gap(c) -> Column:
     """Dictionary form: the blank after the code stays."""
-    return trim_any(replace_pattern(c, rf"(?U)\s*{V.CODE_WORD}\s*{_ANY_DIGIT}+"))
+    return trim_any(replace_pattern(c, rf"{WS}*{V.CODE_WORD}{WS}*{_ANY_DIGIT}+"))
 
 
 def transliterate(c) -> Column:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vitrine import vocab as V
-from vitrine.functions.text import is_blank, nullify_blank, render_text, trim_any
+from vitrine.functions.text import is_blank, nullify_blank, render_text
 
 
 class MissingColumns(ValueError):
@@ -49,8 +50,11 @@ def nullify_blanks(df: DataFrame, *names: str) -> DataFrame:
 
 
 def has_bad_cell(df: DataFrame, bad=V.BAD_CELLS) -> Column:
-    tests = [F.coalesce(trim_any(F.col(f.name).cast("string")).isin(*bad), F.lit(False))
-             for f in df.schema.fields if f.dataType.typeName() in ("string",)]
+    """Whether any text cell is one of the disqualifying words."""
+    words = "|".join(re.escape(b) for b in bad)
+    pattern = rf"(?U)^\s*(?:{words})\s*$"
+    tests = [F.coalesce(F.col(f"`{f.name}`").rlike(pattern), F.lit(False))
+             for f in df.schema.fields if f.dataType.typeName() == "string"]
     return reduce(or_, tests, F.lit(False))
 
 
