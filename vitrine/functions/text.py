@@ -160,7 +160,8 @@ def split_values(c, separators: str = "-|,") -> Column:
 def unify_separators(c) -> Column:
     piped = replace_pattern(c, r"[,\-/;\\،؛]", "|")
     tight = replace_pattern(replace_pattern(piped, rf"{WS}*\|{WS}*", "|"), r"\|+", "|")
-    return replace_pattern(tight, r"^\|+|\|+$")
+    edged = replace_pattern(tight, r"^\|+|\|+$")
+    return F.when(as_column(c).rlike(r"[,\-/;\\،؛|]"), edged).otherwise(as_column(c))
 
 
 def tidy_multi(c) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -94,12 +95,22 @@ def translate_name(df, term, entries, out="name_en", found=None) -> DataFrame:
 
 # ---- cells with several terms -----------------------------------------------
 
-def translation_map(entries: DataFrame) -> Column | None:
-    """Lower-cased word map as a literal, or None when it is too large."""
+@dataclass(frozen=True)
+class WordMap:
+    """A small dictionary as a literal, and a quick test for its words."""
+    words: Column
+    hint: str
+
+
+def translation_map(entries: DataFrame) -> WordMap | None:
+    """Lower-cased words of a dictionary, or None when it is too large."""
     rows = rows_if_small(usable_entries(entries).orderBy("ord"))
     if rows is None:
         return None
-    return literal_map({r.term.lower(): r.translation for r in rows})
+    words = {r.term.lower(): r.translation for r in rows}
+    few = len(words) <= 64
+    hint = "(?i)" + "|".join(map(re.escape, words)) if few and words else "[a-zA-Z0-9_]"
+    return WordMap(literal_map(words), hint)
 
 
 _SEPARATORS = r"|،,;؛"
@@ -116,8 +127,10 @@ def _is_latin(token) -> Column:
     return T.trim_any(token).rlike(_LATIN)
 
 
-def translate_cell(c, words: Column) -> Column:
+def translate_cell(c, known_words: WordMap) -> Column:
     """Known Latin tokens replaced in place, blanks and separators kept."""
+    words = known_words.words
+
     def swap(token):
         return T.let(T.trim_any(token), lambda bare: T.let(
             F.when(bare.rlike(_LATIN), F.try_element_at(words, F.lower(bare))),
@@ -125,15 +138,16 @@ def translate_cell(c, words: Column) -> Column:
                 F.regexp_extract(token, r"(?U)^(\s*)", 1), known,
                 F.regexp_extract(token, r"(?U)(\s*)$", 1)))))
     c = T.as_column(c)
-    # Most cells hold no Latin letter at all and skip the array work.
-    return F.when(c.rlike("[a-zA-Z0-9_]"),
+    # Most cells hold no word of the dictionary and skip the array work.
+    return F.when(c.rlike(known_words.hint),
                   F.array_join(F.transform(cell_tokens(c), swap), "")).otherwise(c)
 
 
-def known_tokens(c, words: Column) -> Column:
+def known_tokens(c, known_words: WordMap) -> Column:
     """Tokens of a cell the dictionary would replace."""
-    return F.filter(F.transform(cell_tokens(c), T.trim_any), lambda t: (
-        t.rlike(_LATIN) & F.try_element_at(words, F.lower(t)).isNotNull()))
+    tokens = F.filter(F.transform(cell_tokens(c), T.trim_any), lambda t: (
+        t.rlike(_LATIN) & F.try_element_at(known_words.words, F.lower(t)).isNotNull()))
+    return F.when(T.as_column(c).rlike(known_words.hint), tokens)
 
 
 def translate_columns(df: DataFrame, columns, entries: DataFrame, key: str = "ord") -> DataFrame:

@@ -98,9 +98,9 @@ def attribute_columns(df: DataFrame, slugs=None) -> DataFrame:
 def seo_texts(name: Column, model: Column, colors: Column, short: Column, name_en: Column,
               site: Site) -> dict[str, Column]:
     keyword = F.concat_ws(" ", name, F.lit(V.CODE_WORD), model)
-    some = F.array_join(F.slice(colors, 1, 3), " و ")
-    made = F.concat(F.lit("خرید "), keyword, F.lit(" به رنگ "), some, F.lit(
-        f" با کیفیت عالی و قیمت مناسب از فروشگاه {site.shop_name}"))
+    buy, in_color, with_quality = V.SEO_TEXT
+    some = F.array_join(F.slice(colors, 1, 3), V.AND_WORD)
+    made = F.concat(F.lit(buy), keyword, F.lit(in_color), some, F.lit(with_quality + site.shop_name))
     description = T.truncate(F.when(short != "", short).otherwise(made), 155)
     return {
         "meta:_yoast_wpseo_title": T.truncate(keyword, 60),
@@ -115,7 +115,7 @@ def social_texts(name: Column, model: Column, description: Column) -> dict[str,
     keyword = F.concat_ws(" ", name, F.lit(V.CODE_WORD), model)
     return {
         "meta:_yoast_wpseo_opengraph-title": T.truncate(
-            F.concat(keyword, F.lit(" | خرید آنلاین")), 95),
+            F.concat(keyword, F.lit(V.SOCIAL_TAIL)), 95),
         "meta:_yoast_wpseo_opengraph-description": T.truncate(description, 200),
         "meta:_yoast_wpseo_twitter-title": T.truncate(keyword, 70),
         "meta:_yoast_wpseo_twitter-description": T.truncate(description, 200),
@@ -128,16 +128,13 @@ def described(df: DataFrame, name="name", model="model", colors="colors",
     n, m, c, x, u = (T.render_text(col) if col in df.columns else F.lit("")
                      for col in (name, model, colors, material, usage))
 
-    def said(*parts):
-        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    def woven(words, cells):
+        """Words and cells in turn; a leading word comes before the first cell."""
+        return F.concat(*[F.lit(x) if isinstance(x, str) else x for pair in zip(words, cells) for x in pair],
+                        *[F.lit(w) for w in words[len(cells):]])
 
-    short = said(n, " مدل ", m, " با جنس ", x, " برای استفاده ", u,
-                 ". این محصول در رنگ\u200cهای ", c, " موجود است.")
-    full = said("\n", n, " مدل ", m, " یک انتخاب عالی برای استفاده ", u,
-                " است. این محصول با جنس باکیفیت ", x, " ساخته شده و در رنگ\u200cهای متنوع ", c,
-                " در دسترس می\u200cباشد.\n\nبا توجه به طراحی زیبا و کاربردی، این ", n,
-                " می\u200cتواند همراه ایده\u200cآل شما در فعالیت\u200cهای روزمره باشد. \n\n"
-                "برای خرید و کسب اطلاعات بیشتر با ما تماس بگیرید.\n")
+    short = F.concat(n, woven(V.SHORT_TEXT, (m, x, u, c)))
+    full = woven(V.FULL_TEXT, (n, m, u, x, c, n))
 
     def where_blank(column, made):
         if column not in df.columns:
@@ -152,9 +149,9 @@ def packaged_texts(name: Column, model: Column, colors: Column, short: Column,
                    full: Column) -> dict[str, Column]:
     """Title, descriptions and keyword cut to the lengths a shop accepts."""
     first = T.trim_any(F.split_part(colors, F.lit(","), F.lit(1)))
-    meta = F.concat(F.lit("خرید "), name, F.lit(" "), model, F.lit(" با بهترین قیمت. رنگ "), first,
-                    F.lit(" و سایر رنگ\u200cها موجود. ارسال سریع به سراسر کشور."))
-    return {"title": T.truncate(F.concat(name, F.lit(" "), model, F.lit(" | فروشگاه آنلاین")), 60),
+    buy, best_price, other_colors = V.META_TEXT
+    meta = F.concat(F.lit(buy), name, F.lit(" "), model, F.lit(best_price), first, F.lit(other_colors))
+    return {"title": T.truncate(F.concat(name, F.lit(" "), model, F.lit(V.TITLE_TAIL)), 60),
             "short_description": T.truncate(short, 300), "description": full,
             "meta_description": T.truncate(meta, 155),
             "focus_keyword": F.concat_ws(" ", name, F.lit(V.CODE_WORD), model)}

@@ -122,72 +122,79 @@ def assign_images(products: DataFrame, files: DataFrame, extension: str = ".webp
     pictures gets names made from its colours and an empty mapping.
     """
     pics = pictures_by_product(files, pattern)
-    df = (products.join(pics, F.col("sku") == F.col("image_key"), "left").drop("image_key")
-          .withColumn("pictures", F.coalesce("pictures", F.array().cast(
-              "array<struct<letter:string,path:string,tail:string>>")))
-          .withColumn("hits", match_colors(F.col("pictures"), F.col("colors"))))
-    base = F.concat_ws("-", "name_en", T.model_slug("model"))
-    title = F.concat_ws(" ", "name_fa", F.lit(V.CODE_WORD), "model")
-    have = F.size("pictures") > 0
+    no_pictures = F.array().cast("array<struct<letter:string,path:string,tail:string>>")
+    seen = F.coalesce("pictures", no_pictures)
+    spelled = F.transform("colors", lambda c: F.struct(T.dash_slug(c).alias("norm"), c.alias("color")))
+    known = F.struct(
+        seen.alias("pictures"), match_colors(seen, F.col("colors")).alias("hits"), spelled.alias("spelled"),
+        F.col("sku"), F.concat_ws("-", "name_en", T.model_slug("model")).alias("base"),
+        F.concat_ws(" ", "name_fa", F.lit(V.CODE_WORD), "model").alias("title"))
+    # One expression per product: the match is made once and every name
+    # below reads it from the bound struct.
+    named = T.let(known, lambda v: _names_of(v, extension))
+    return (products.join(pics, F.col("sku") == F.col("image_key"), "left")
+            .withColumn("__n", named).drop("image_key", "pictures").select(*products.columns, "__n.*"))
+
+
+def _names_of(v: Column, extension: str) -> Column:
+    """Picture names of one product from its pictures, colours and matches."""
+    have = F.size(v["pictures"]) > 0
+    title = v["title"]
 
     def file(tail):
-        return F.concat(base, F.lit("-"), tail, F.lit(extension))
-
-    norms = F.filter(F.transform("colors", T.dash_slug), lambda n: n != "")
-    named = F.when(have, F.transform("hits", lambda h: h["norm"])).otherwise(norms)
-    color_files = F.transform(F.array_distinct(named), lambda n: F.struct(
-        n.alias("norm"), file(n).alias("file")))
-    rest = F.filter(F.transform("pictures", lambda p, i: i.cast("int")), lambda i: (i > 0) & ~F.exists(
-        F.col("hits"), lambda h: h["index"] == i))
-    numbered = F.transform(rest, lambda i, k: F.struct(
-        i.alias("index"), file(F.lpad((k + 1).cast("string"), 2, "0")).alias("file")))
-    df = (df.withColumn("main_image", file(F.lit("main")))
-          .withColumn("color_images", color_files).withColumn("__rest", numbered))
+        return F.concat(v["base"], F.lit("-"), tail, F.lit(extension))
 
+    def source(i):
+        return F.concat(v["sku"], F.get(v["pictures"], i)["letter"])
+
+    spelled_norms = F.transform(v["spelled"], lambda s: s["norm"])
+    wanted = F.when(have, F.transform(v["hits"], lambda h: h["norm"])).otherwise(
+        F.filter(spelled_norms, lambda n: n != ""))
+    used = F.transform(v["hits"], lambda h: h["index"])
+    rest = F.filter(F.sequence(F.lit(0), F.size(v["pictures"])), lambda i: (
+        (i > 0) & (i < F.size(v["pictures"])) & ~F.array_contains(used, i)))
     # The first colour whose name ends the file name gives the alt text; a
     # colour written twice is shown in its last spelling.
-    spelled = F.transform("colors", lambda c: F.struct(T.dash_slug(c).alias("norm"), c.alias("color")))
-    shown = F.transform(F.array_distinct(F.transform(spelled, lambda s: s["norm"])), lambda n: F.element_at(
-        F.filter(spelled, lambda s: s["norm"] == n), -1))
-
-    def alt(name):
-        color = F.get(F.filter(F.col("__shown"), lambda s: name.endswith(
-            F.concat(F.lit("-"), s["norm"], F.lit(extension)))), F.lit(0))["color"]
-        number = T.found(name, r"-([0-9]+)" + extension.replace(".", r"\.") + "$")
-        return (F.when(name.contains("-main"), title)
-                .when(color.isNotNull(), F.concat(title, F.lit(" رنگ "), color))
-                .when(number.isNotNull(), F.concat(title, F.lit(" - نمای "), number))
-                .otherwise(title))
-
-    def with_alt(names):
-        return F.transform(names, lambda n: F.struct(n.alias("file"), alt(n).alias("alt")))
-
-    made_up = F.concat(
-        F.array(F.struct(F.col("main_image").alias("file"), title.alias("alt"))),
-        F.transform(F.filter(spelled, lambda s: s["norm"] != ""), lambda s: F.struct(
-            file(s["norm"]).alias("file"),
-            F.concat(title, F.lit(" رنگ "), s["color"]).alias("alt"))))
-    all_names = F.concat(F.array("main_image"), F.transform("color_images", lambda c: c["file"]),
-                         F.col("general_images"))
-
-    def source(i):
-        return F.concat("sku", F.get("pictures", i)["letter"])
-
-    mapping = F.concat(
-        F.array(F.struct(source(F.lit(0)).alias("source"), F.col("main_image").alias("target"))),
-        F.transform("hits", lambda h: F.struct(source(h["index"]).alias("source"),
-                                               file(h["norm"]).alias("target"))),
-        F.transform("__rest", lambda g: F.struct(source(g["index"]).alias("source"),
-                                                 g["file"].alias("target"))))
-    empty = F.array().cast("array<struct<source:string,target:string>>")
-    return (df.withColumn("general_images", F.transform("__rest", lambda g: g["file"]))
-            .withColumn("__shown", shown)
-            .withColumn("gallery", F.when(have, with_alt(all_names)).otherwise(made_up))
-            .withColumn("mapping", F.when(have, mapping).otherwise(empty))
-            .withColumn("matches", F.transform("hits", lambda h: F.struct(
-                h["color"].alias("color"), source(h["index"]).alias("source"),
-                h["kind"].alias("kind"))))
-            .drop("__rest", "__shown", "hits", "pictures"))
+    shown = F.transform(F.array_distinct(spelled_norms), lambda n: F.struct(
+        F.concat(F.lit("-"), n, F.lit(extension)).alias("ending"),
+        F.element_at(F.filter(v["spelled"], lambda s: s["norm"] == n), -1)["color"].alias("color")))
+    number_pattern = r"-([0-9]+)" + extension.replace(".", r"\.") + "$"
+
+    def alt(name, colors):
+        color = F.get(F.filter(colors, lambda s: name.endswith(s["ending"])), F.lit(0))["color"]
+        plain = T.let(T.found(name, number_pattern), lambda no: F.when(
+            no.isNotNull(), F.concat(title, F.lit(V.ALT_VIEW), no)).otherwise(title))
+        return F.when(name.contains("-main"), title).otherwise(T.let(color, lambda c: F.when(
+            c.isNotNull(), F.concat(title, F.lit(V.ALT_COLOR), c)).otherwise(plain)))
+
+    def names(n):
+        color_files = F.transform(n["norms"], lambda x: F.struct(x.alias("norm"), file(x).alias("file")))
+        general = F.transform(n["rest"], lambda i, k: file(F.lpad((k + 1).cast("string"), 2, "0")))
+        main = file(F.lit("main"))
+        everything = F.concat(F.array(main), F.transform(n["norms"], file), general)
+        gallery = T.let(n["shown"], lambda colors: F.transform(everything, lambda x: F.struct(
+            x.alias("file"), alt(x, colors).alias("alt"))))
+        made_up = F.concat(
+            F.array(F.struct(main.alias("file"), title.alias("alt"))),
+            F.transform(F.filter(v["spelled"], lambda s: s["norm"] != ""), lambda s: F.struct(
+                file(s["norm"]).alias("file"), F.concat(title, F.lit(V.ALT_COLOR), s["color"]).alias("alt"))))
+        mapping = F.concat(
+            F.array(F.struct(source(F.lit(0)).alias("source"), main.alias("target"))),
+            F.transform(v["hits"], lambda h: F.struct(source(h["index"]).alias("source"),
+                                                      file(h["norm"]).alias("target"))),
+            F.transform(n["rest"], lambda i, k: F.struct(
+                source(i).alias("source"), file(F.lpad((k + 1).cast("string"), 2, "0")).alias("target"))))
+        nothing = F.array().cast("array<struct<source:string,target:string>>")
+        return F.struct(
+            main.alias("main_image"), color_files.alias("color_images"), general.alias("general_images"),
+            F.when(have, gallery).otherwise(made_up).alias("gallery"),
+            F.when(have, mapping).otherwise(nothing).alias("mapping"),
+            F.transform(v["hits"], lambda h: F.struct(
+                h["color"].alias("color"), source(h["index"]).alias("source"), h["kind"].alias("kind")))
+            .alias("matches"))
+
+    return T.let(F.struct(F.array_distinct(wanted).alias("norms"), rest.alias("rest"),
+                          shown.alias("shown")), names)
 
 
 def variant_images(colors: Column, color_images: Column, general: Column, main: Column,
