@@ -166,8 +166,9 @@ def unify_separators(c) -> Column:
 
 def tidy_multi(c) -> Column:
     """Comma or pipe separated cell to distinct values in first-seen order."""
-    values = F.array_distinct(split_values(c, ",|"))
-    return F.when(F.size(values) > 0, F.array_join(values, " | ")).otherwise(as_column(c))
+    return let(as_column(c), lambda cell: let(
+        F.array_distinct(split_values(cell, ",|")), lambda values: F.when(
+            F.size(values) > 0, F.array_join(values, " | ")).otherwise(cell)))
 
 
 # ---- words ------------------------------------------------------------------
@@ -308,19 +309,22 @@ def split_dimensions(c) -> Column:
     bare = F.replace(F.replace(as_column(c), F.lit("سانتیمتر"), F.lit("")), F.lit("cm"), F.lit(""))
     parts = F.filter(F.transform(F.split(bare, "[×x]"), trim_any), lambda x: x != "")
 
-    def part(i):
-        return F.concat(F.get(parts, F.lit(i)), F.lit("cm"))
+    def fields(p):
+        n = F.size(p)
 
-    n = F.size(parts)
-    return F.struct(F.when(n >= 2, part(0)).alias("length"),
-                    F.when(n >= 3, part(2)).when(n == 2, part(1)).alias("width"),
-                    F.when(n >= 3, part(1)).alias("depth"))
+        def part(i):
+            return F.concat(F.get(p, F.lit(i)), F.lit("cm"))
+        return F.struct(F.when(n >= 2, part(0)).alias("length"),
+                        F.when(n >= 3, part(2)).when(n == 2, part(1)).alias("width"),
+                        F.when(n >= 3, part(1)).alias("depth"))
+    return let(parts, fields)
 
 
 def with_centimetres(c) -> Column:
-    c = as_column(c)
-    bare = F.replace(c, F.lit("."), F.lit("")).rlike(f"^{_ANY_DIGIT}+$")
-    return F.when(bare, F.concat(c, F.lit("cm"))).otherwise(c)
+    def measured(x):
+        bare = F.replace(x, F.lit("."), F.lit("")).rlike(f"^{_ANY_DIGIT}+$")
+        return F.when(bare, F.concat(x, F.lit("cm"))).otherwise(x)
+    return let(as_column(c), measured)
 
 
 def human_size(n) -> Column:
