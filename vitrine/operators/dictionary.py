@@ -10,14 +10,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from vitrine import vocab as V
 from vitrine.functions import text as T
 from vitrine.functions.colors import literal_map
-from vitrine.operators.scale import (first_by_key, last_by_key, rows_if_small, small_side,
-                                     top_n_by_key)
+from vitrine.operators.scale import (BROADCAST_ROWS, first_by_key, fits, last_by_key, local_frame,
+                                     rows_if_small, small_side, top_n_by_key)
 
 
 def pairs_frame(spark: SparkSession, pairs: dict, source: str = "term",
                 target: str = "translation") -> DataFrame:
-    rows = [(i, k, v) for i, (k, v) in enumerate(pairs.items())]
-    return spark.createDataFrame(rows, f"ord int, {source} string, {target} string")
+    return local_frame(spark, {"ord": list(range(len(pairs))), source: list(pairs),
+                               target: list(pairs.values())},
+                       f"ord int, {source} string, {target} string")
 
 
 def usable_entries(entries: DataFrame) -> DataFrame:
@@ -54,10 +55,12 @@ def look_up(df: DataFrame, term: str, entries: DataFrame, lookups, fallback: Col
             out: str, found: str | None = None) -> DataFrame:
     """Left-join ``term`` against every lookup in turn, then the fallback."""
     entries = usable_entries(entries)
+    # A lookup table has at most one row per entry, so one check covers all.
+    small = fits(entries, BROADCAST_ROWS)
     hits = []
     for n, lookup in enumerate(lookups):
-        side = small_side(lookup.table(entries, n))
-        df = df.join(side, lookup.key(term) == F.col(f"__k{n}"), "left")
+        side = lookup.table(entries, n)
+        df = df.join(F.broadcast(side) if small else side, lookup.key(term) == F.col(f"__k{n}"), "left")
         hits.append(F.col(f"__v{n}"))
     hit = F.coalesce(*hits)
     df = df.withColumn(out, F.when(T.is_blank(term), "").otherwise(F.coalesce(hit, fallback)))

@@ -6,14 +6,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vitrine.functions.prices import parse_price, round_to_thousand
 from vitrine.functions.text import nullify_blank
-from vitrine.operators.scale import rows_if_small
+from vitrine.operators.scale import local_frame, rows_if_small
 
 RULE_SCHEMA = ("rule_ord int, from_price double, to_price double, "
                "increase_percent double, discount_percent double")
 
 
 def rules_frame(spark: SparkSession, rules) -> DataFrame:
-    return spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(rules)], RULE_SCHEMA)
+    names = ("from_price", "to_price", "increase_percent", "discount_percent")
+    columns = {n: [float(r[i]) for r in rules] for i, n in enumerate(names)}
+    return local_frame(spark, {"rule_ord": list(range(len(rules))), **columns}, RULE_SCHEMA)
 
 
 # A longer CASE makes methods the JVM no longer compiles.

@@ -48,6 +48,15 @@ def fits(df: DataFrame, rows: int) -> bool:
     return df.select(F.lit(1)).limit(rows + 1).count() <= rows
 
 
+def local_frame(spark, columns: dict, schema: str) -> DataFrame:
+    """A few driver-side rows as a local relation, whose size Spark knows."""
+    import pyarrow as pa
+    from pyspark.sql.types import _parse_datatype_string
+    from pyspark.sql.pandas.types import to_arrow_schema
+    shape = to_arrow_schema(_parse_datatype_string(schema))
+    return spark.createDataFrame(pa.table(columns, schema=shape))
+
+
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it provably fits, else as it is."""
     return F.broadcast(df) if fits(df, rows) else df

@@ -90,7 +90,7 @@ def standardize(raw: DataFrame, rules: Rules) -> Standardized:
     texts = [f.name for f in table.schema.fields
              if f.dataType.typeName() == "string" and f.name not in ("sku", "model")]
     translated, counts = table, F.lit(0)
-    unknown_words = raw.sparkSession.createDataFrame([], "token string")
+    unknown_words = table.select(F.lit("").alias("token")).filter(F.lit(False))
     if rules.words is not None:
         unknown_words = D.unknown_tokens(table, texts, rules.words)
         words = D.translation_map(rules.words)

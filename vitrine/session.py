@@ -12,6 +12,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Call sites on every Column make building large plans several times slower.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.parquet.filterPushdown": "true",
 }
 
