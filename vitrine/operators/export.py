@@ -11,7 +11,7 @@ from vitrine.functions import text as T
 from vitrine.operators.columns import require_columns
 from vitrine.operators.dictionary import translate_color, translate_name
 from vitrine.operators.images import assign_images, variant_images
-from vitrine.operators.scale import first_by_key, small_side
+from vitrine.operators.scale import first_by_key, small_side, spread
 
 
 @dataclass(frozen=True)
@@ -161,7 +161,7 @@ def products_for_export(df: DataFrame, colors_dict: DataFrame, names_dict: DataF
                         excluded: DataFrame | None = None) -> DataFrame:
     """One row per product: first-row values, distinct colours, kept variants."""
     require_columns(df, "sku", "name", "model", "colors", "ord")
-    df = df.withColumn("sku", T.nullify_blank("sku")).filter("sku is not null")
+    df = spread(df).withColumn("sku", T.nullify_blank("sku")).filter("sku is not null")
     variants = variant_rows(df, colors_dict)
     every = F.struct(*[c for c in ("ord", "color_pos", "color", "color_en", "variant_sku",
                                    "regular_price", "sale_price", "stock") if c in variants.columns])

@@ -8,7 +8,7 @@ from vitrine import vocab as V
 from vitrine.functions import text as T
 from vitrine.functions.colors import cluster_score, color_name, is_background, is_similar
 from vitrine.operators.scale import (number_within, quantile_slices, rows_if_small, small_side,
-                                     top_n_by_key)
+                                     spread, top_n_by_key)
 
 # What separates a product key from its picture letter in a file stem.
 KEY_AND_LETTER = r"^([A-Za-z]?[0-9]+)([a-z])"
@@ -28,7 +28,7 @@ def rename_plan(files: DataFrame, scope: DataFrame | None = None, color: str | N
     letter.  Positions are counted per (product, slice of ``ord``), so one
     product with very many pictures is spread over many tasks.
     """
-    keyed = with_key(files)
+    keyed = with_key(spread(files))
     if scope is not None:
         wanted = scope.select(T.leading_number("sku").alias("product_no")).distinct()
         keyed = keyed.join(small_side(wanted), "product_no", "left_semi")

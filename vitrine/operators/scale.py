@@ -48,6 +48,20 @@ def fits(df: DataFrame, rows: int) -> bool:
     return df.select(F.lit(1)).limit(rows + 1).count() <= rows
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a few large splits to all cores before heavy row work.
+
+    Only a plain scan with fewer splits than cores is dealt out (one file with
+    one row group is one task otherwise); a table that already has enough
+    splits, or comes out of a shuffle, is left as it is.
+    """
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.nodeName().startswith("AdaptiveSparkPlan"):
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if plan.execute().getNumPartitions() < cores else df
+
+
 def local_frame(spark, columns: dict, schema: str) -> DataFrame:
     """A few driver-side rows as a local relation, whose size Spark knows."""
     import pyarrow as pa
@@ -76,10 +90,11 @@ def quantile_slices(df: DataFrame, column: str, slices: int = 64) -> Column:
     """
     cuts = df.select(F.percentile_approx(
         F.col(column).cast("double"), [i / slices for i in range(1, slices)], 1000)).first()[0]
-    edges = sorted(set(cuts or []))
-    return F.size(F.filter(F.array(*[F.lit(float(e)) for e in edges]) if edges
-                           else F.array().cast("array<double>"),
-                           lambda e: e < F.col(column).cast("double")))
+    value = F.col(column).cast("double")
+    slice_no = F.lit(0)
+    for edge in sorted(set(cuts or [])):
+        slice_no = slice_no + F.when(value > F.lit(float(edge)), 1).otherwise(0)
+    return slice_no
 
 
 def number_within(df: DataFrame, keys: Sequence[str], order, slice_by: Column,

@@ -13,7 +13,7 @@ from vitrine.operators import dictionary as D
 from vitrine.operators.categorize import Taxonomy, categorize
 from vitrine.operators.columns import copy_where_present, drop_unusable
 from vitrine.operators.pricing import apply_brackets
-from vitrine.operators.scale import rows_if_small
+from vitrine.operators.scale import rows_if_small, spread
 
 
 @dataclass(frozen=True)
@@ -78,6 +78,7 @@ def standard_color_names(entries: DataFrame) -> tuple:
 
 
 def standardize(raw: DataFrame, rules: Rules) -> Standardized:
+    raw = spread(raw)
     kept = drop_unusable(raw, "name", "regular_price")
     table = standardize_colors(kept.withColumn("stock", F.lit(rules.stock_quantity)),
                                rules.standard_colors)
