@@ -8,7 +8,7 @@ from vitrine import vocab as V
 from vitrine.functions import text as T
 from vitrine.functions.colors import cluster_score, color_name, is_background, is_similar
 from vitrine.operators.scale import (number_within, quantile_slices, rows_if_small, small_side,
-                                     spread, top_n_by_key)
+                                     top_n_by_key)
 
 # What separates a product key from its picture letter in a file stem.
 KEY_AND_LETTER = r"^([A-Za-z]?[0-9]+)([a-z])"
@@ -28,13 +28,14 @@ def rename_plan(files: DataFrame, scope: DataFrame | None = None, color: str | N
     letter.  Positions are counted per (product, slice of ``ord``), so one
     product with very many pictures is spread over many tasks.
     """
-    keyed = with_key(spread(files))
+    keyed = with_key(files)
     if scope is not None:
         wanted = scope.select(T.leading_number("sku").alias("product_no")).distinct()
         keyed = keyed.join(small_side(wanted), "product_no", "left_semi")
     square = F.coalesce(F.col("width") == F.col("height"), F.lit(False))
     keyed = keyed.withColumn("not_square", (~square).cast("int"))
-    slices = quantile_slices(keyed, "ord") if slice_by is None else slice_by
+    # The cuts only have to be even roughly; the bare order column is enough.
+    slices = quantile_slices(files, "ord") if slice_by is None else slice_by
     numbered = number_within(keyed, ["product_no"], ["not_square", "ord"],
                              F.struct("not_square", slices.alias("s")), "position")
     letter = T.letter_for_index(F.col("position") - 1)

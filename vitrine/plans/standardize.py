@@ -51,7 +51,7 @@ def standardize_colors(df: DataFrame, standards=V.STANDARD_COLORS, colors: str =
     longest = max(map(len, keys), default=0)
     matched = F.transform(raw_colors(T.nullify_blank(colors)), lambda c: F.struct(
         c.alias("raw"), longest_phrase(c, keys, longest).alias("std")))
-    pairs = df.withColumn("__pairs", matched)
+    pairs = spread(df).withColumn("__pairs", matched)
     return (pairs
             .withColumn("colors_std", F.array_distinct(F.transform(
                 "__pairs", lambda p: F.coalesce(p["std"], p["raw"]))))

@@ -14,6 +14,7 @@ from vitrine.operators import dictionary as D
 from vitrine.operators import pricing as B
 from vitrine.operators.categorize import categorize, with_first_keyword
 from vitrine.operators.quality import state_with_defaults
+from vitrine.operators.scale import spread
 from vitrine.plans import standardize as Z
 from vitrine.showcase import shop as S
 
@@ -24,7 +25,7 @@ _SQUEEZED = f"trim(regexp_replace(text, '{_WS}+', ' ', 'g'))"
 
 
 def _documents(spark, d):
-    return S.table(spark, d, "documents").select("doc_id", "text")
+    return spread(S.table(spark, d, "documents").select("doc_id", "text"))
 
 
 def text_digits(spark, d):
