@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,8 @@ LOWER[65:91] += 32
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    # Python workers import this package from where the driver did, unless told otherwise.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

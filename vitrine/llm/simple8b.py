@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from vitrine.llm import common as C
@@ -27,72 +28,95 @@ FITS = 60 // WIDTHS
 RUN = 14
 RUN_COUNT_BITS = 28
 U = np.uint64
-#: Bytes of text and documents in a block at most (a longer document is a block of its own).
-BLOCK_BYTES = 1 << 20
+#: Documents in a block; blocks also end after some megabytes of text.
 BLOCK_ROWS = 512
 
 
+_SHORT = np.searchsorted(WIDTHS, [int(i).bit_length() for i in range(1 << 16)]).astype(np.uint8)
+
+
 def _width_class(values: np.ndarray) -> np.ndarray:
-    bits = np.zeros(len(values), np.int64)
-    rest = values.copy()
-    for shift in (32, 16, 8, 4, 2, 1):
-        big = rest >= (U(1) << U(shift))
-        bits[big] += shift
-        rest[big] >>= U(shift)
-    return np.searchsorted(WIDTHS, bits + (values > 0))
+    """Selector of the narrowest width that holds each value."""
+    out = _SHORT[np.minimum(values, U(0xFFFF)).astype(np.int64)]
+    large = np.flatnonzero(values > U(0xFFFF))
+    if len(large):
+        out[large] = np.searchsorted((U(1) << WIDTHS[:-1].astype(U)) - U(1), values[large])
+    return out
 
 
-def encode(values: np.ndarray) -> np.ndarray:
-    """Simple-8b words of one list of ids; ids need fewer than 61 bits.
+def _all_of_next(fits: np.ndarray, k: int) -> np.ndarray:
+    """Whether all of the k entries from each place on are set (places near the end are not)."""
+    done, span = fits, 1
+    while span < k:
+        step = min(span, k - span)
+        done = done[:len(done) - step] & done[step:]
+        span += step
+    out = np.zeros(len(fits), bool)
+    out[:len(done)] = done
+    return out
 
-    Greedy: every word takes as many of the next ids as any width allows, so
-    a word that could be followed by less than a full one takes what is left
-    with the narrowest width, and is marked by the count kept beside it.
+
+def encode_lists(values: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Simple-8b words of lists of ids that lie end to end, and each list's number of words.
+
+    A word takes as many of the list's next ids as any selector allows.  A
+    list's last word may take fewer: the reader knows the list's length.
     """
     values = np.ascontiguousarray(values, U)
-    if len(values) == 0:
-        return np.zeros(0, U)
-    if int(values.max()) >> 60:
+    if len(values) and int(values.max()) >> 60:
         raise ValueError("an id of more than 60 bits does not fit in a word")
-    need = _width_class(values)
-    n = len(values)
-    # furthest[s][i]: end of the stretch from i on in which all ids fit width s.
-    at = np.arange(n)
-    best = np.full(n, len(WIDTHS) - 1)
-    take = np.ones(n, np.int64)
-    for s in range(len(WIDTHS) - 1, -1, -1):
-        fitting = need <= s
-        if s < len(WIDTHS) - 1 and fitting.sum() < min(FITS[s], 3) and not fitting[-1]:
-            continue
-        stop = np.where(fitting, n, at)
-        stop = np.minimum.accumulate(stop[::-1])[::-1]
-        here = np.minimum(stop - at, FITS[s])
-        full = (here == FITS[s]) | (stop == n)
-        better = full & (here > take)
-        best[better], take[better] = s, here[better]
-    equal = np.flatnonzero(np.diff(values) != 0) + 1
-    run = np.repeat(np.append(equal, n), np.diff(np.concatenate(([0], equal, [n])))) - at
-    runs = (run > np.maximum(take, 60)) & (values < (U(1) << U(32)))
-    take[runs] = np.minimum(run[runs], (1 << RUN_COUNT_BITS) - 1)
-    best[runs] = RUN
+    # Every list is followed by room for the widest count, where anything fits.
+    room = int(FITS[0])
+    start = np.concatenate(([0], np.cumsum(lengths + room)))
+    n = int(start[-1])
+    at = np.arange(len(values)) + np.repeat(np.arange(len(lengths)) * room, lengths)
+    need = np.zeros(n, np.uint8)
+    need[at] = _width_class(values)
+    padded = np.zeros(n, U)
+    padded[at] = values
+    best = np.full(n, len(WIDTHS) - 1, np.uint8)
+    for s in range(len(WIDTHS) - 2, -1, -1):
+        fits = need <= s
+        best[_all_of_next(fits, int(FITS[s]))] = s
+    take = FITS[np.minimum(best, len(WIDTHS) - 1)].astype(np.int64)
+    same = np.zeros(n, bool)
+    same[:-1] = padded[1:] == padded[:-1]
+    inside = np.zeros(n, bool)
+    inside[at] = True
+    same[:-1] &= inside[1:] & inside[:-1]
+    if _all_of_next(same, room).any():
+        stop = np.flatnonzero(~same)
+        run = stop[np.searchsorted(stop, np.arange(n))] - np.arange(n) + 1
+        runs = (run > np.maximum(take, room)) & (padded < (U(1) << U(32))) & inside
+        best[runs] = RUN
+        take[runs] = np.minimum(run[runs], (1 << RUN_COUNT_BITS) - 1)
     # A word starts where the one before ends.
-    jump = (at + take).tolist()
-    starts, i = [], 0
-    while i < n:
-        starts.append(i)
-        i = jump[i]
-    starts = np.array(starts)
+    jump, starts, words = (np.arange(n) + take).tolist(), [], []
+    for i, stop in zip(start[:-1].tolist(), (start[:-1] + lengths).tolist()):
+        before = len(starts)
+        while i < stop:
+            starts.append(i)
+            i = jump[i]
+        words.append(len(starts) - before)
+    starts = np.array(starts, np.int64)
     kind, count = best[starts], take[starts]
     out = kind.astype(U) << U(60)
-    for s in np.unique(kind):
+    for s in np.unique(kind).tolist():
         mine = np.flatnonzero(kind == s)
         if s == RUN:
-            out[mine] |= (values[starts[mine]] << U(RUN_COUNT_BITS)) | count[mine].astype(U)
+            out[mine] |= (padded[starts[mine]] << U(RUN_COUNT_BITS)) | count[mine].astype(U)
             continue
-        for k in range(FITS[s]):
-            has = mine[count[mine] > k]
-            out[has] |= values[starts[has] + k] << U(k * WIDTHS[s])
-    return out
+        first = starts[mine]
+        packed = out[mine]
+        for k in range(int(FITS[s])):
+            packed |= padded[np.minimum(first + k, n - 1)] << U(k * WIDTHS[s])
+        out[mine] = packed
+    return out, np.array(words, np.int64)
+
+
+def encode(values: np.ndarray) -> np.ndarray:
+    """Simple-8b words of one list of ids; ids need fewer than 61 bits."""
+    return encode_lists(np.asarray(values), np.array([len(values)], np.int64))[0]
 
 
 def decode(words: np.ndarray, lengths: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -129,7 +153,7 @@ def decode(words: np.ndarray, lengths: np.ndarray, first: np.ndarray) -> np.ndar
 
 
 # Texts in which the units below might be cut otherwise than the tokenizer does.
-_ODD = "[\x00\x1c-\x1f\x85\xa0 ᠎ -‏ -  ⁠　﻿]|<[|]"
+_ODD = "[\x00\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]|<[|]"
 
 
 class Encoder:
@@ -143,15 +167,18 @@ class Encoder:
     hash, up to ``most`` ids.
     """
 
-    def __init__(self, path: str, most: int = 4_000_000):
+    def __init__(self, path: str, most: int = 10_000_000):
+        import os
         import re
         from tokenizers import Tokenizer
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         self.tokenizer, self.most, self.odd = Tokenizer.from_file(path), most, re.compile(_ODD)
+        self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids[-1]
         self._clear()
 
     def _clear(self):
-        self.key = np.zeros(0, U)
-        self.begin, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self.key, self.begin, self.size = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool, self.used = [], 0
 
     def _units(self, data, offsets):
         start, end, first = C.word_spans(data, offsets)
@@ -176,53 +203,83 @@ class Encoder:
         order = np.argsort(a, kind="stable")
         return a[order], b[order]
 
-    def _learn(self, key, text):
-        got = [self.tokenizer.encode_batch_fast(text[i:i + 4096], add_special_tokens=False)
-               for i in range(0, len(text), 4096)]
-        lists = [e.ids for part in got for e in part]
-        if len(self.ids) > self.most:
+    def _tokens(self, units: list[str]) -> tuple[list, np.ndarray, np.ndarray]:
+        """Order in which units were taken, their ids end to end, and how many each has.
+
+        Units with other characters than white space are tokenized many at a
+        time, between line ends, which no such unit holds."""
+        solid = [i for i, u in enumerate(units) if not u.isspace()]
+        blank = [i for i, u in enumerate(units) if u.isspace()]
+        flat, size = [], []
+        for a in range(0, len(solid), 4096):
+            mine = solid[a:a + 4096]
+            joined = "\n" + "\n".join([units[i] for i in mine])
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(ids == self.line_end)
+            if len(ends) != len(mine):
+                raise ValueError("the tokenizer joins units over line ends")
+            size.append(np.diff(np.append(ends, len(ids))) - 1)
+            flat.append(ids[ids != self.line_end])
+        for i in blank:
+            flat.append(np.array(self.tokenizer.encode(units[i], add_special_tokens=False).ids, np.uint32))
+            size.append(np.array([len(flat[-1])]))
+        return solid + blank, np.concatenate(flat), np.concatenate(size)
+
+    def _learn(self, key, units):
+        order, flat, size = self._tokens(units)
+        if self.used > self.most:
             self._clear()
-        size = np.array([len(x) for x in lists], np.int64)
-        flat = np.fromiter((i for x in lists for i in x), np.uint32, int(size.sum()))
-        keys = np.concatenate((self.key, key))
-        sizes = np.concatenate((np.diff(self.begin), size))
-        froms = np.concatenate((self.begin[:-1], len(self.ids) + np.cumsum(size) - size))
-        pool = np.concatenate((self.ids, flat))
-        order = np.argsort(keys)
-        self.key, sizes, froms = keys[order], sizes[order], froms[order]
-        self.begin = np.concatenate(([0], np.cumsum(sizes)))
-        self.ids = pool[_ranges(froms, sizes)]
-
-    def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        """Ids of every text; null is the empty text."""
-        plain = [t is None or not self.odd.search(t) for t in texts.to_pylist()]
-        kept = pa.array([t if p else None for t, p in zip(texts.to_pylist(), plain)], pa.string())
-        data, offsets = C.text_bytes(kept)
+        begin = self.used + np.cumsum(size) - size
+        self.pool.append(flat)
+        self.used += len(flat)
+        key = key[order]
+        sort = np.argsort(key)
+        key, begin, size = key[sort], begin[sort], size[sort]
+        at = np.searchsorted(self.key, key)
+        self.key = np.insert(self.key, at, key)
+        self.begin = np.insert(self.begin, at, begin)
+        self.size = np.insert(self.size, at, size)
+        if len(self.pool) > 1:
+            self.pool = [np.concatenate(self.pool)]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and how many each has; null is the empty text."""
+        strings = texts.to_pylist()
+        odd = [i for i, t in enumerate(strings) if t and self.odd.search(t)]
+        if odd:
+            plain = np.ones(len(strings), bool)
+            plain[odd] = False
+            texts = pc.if_else(pa.array(plain), texts, pa.scalar(None, texts.type))
+        data, offsets = C.text_bytes(texts)
         a, b = self._units(data, offsets)
         h = C.span_hash(C.prefix_hash(data), a, b)
         distinct, one, back = np.unique(h, return_index=True, return_inverse=True)
-        at = np.searchsorted(self.key, distinct)
-        known = np.zeros(len(distinct), bool)
-        if len(self.key):
-            known = self.key[np.minimum(at, len(self.key) - 1)] == distinct
+        known = self._has(distinct)
         if not known.all():
-            new = one[~known]
             raw = data.tobytes()
-            text = [raw[x:y].decode() for x, y in zip(a[new].tolist(), b[new].tolist())]
-            before = len(self.ids) > self.most
-            self._learn(distinct[~known], text)
-            if before:  # the table was emptied: take in again what this batch needs
-                again = one[known]
-                self._learn(distinct[known], [raw[x:y].decode() for x, y in zip(a[again].tolist(), b[again].tolist())])
-            at = np.searchsorted(self.key, distinct)
-        size = np.diff(self.begin)[at][back] if len(a) else np.zeros(0, np.int64)
-        flat = self.ids[_ranges(self.begin[at][back], size)] if len(a) else np.zeros(0, np.uint32)
+
+            def learn(which):
+                self._learn(distinct[which], [raw[x:y].decode() for x, y in zip(a[one[which]].tolist(), b[one[which]].tolist())])
+
+            learn(~known)
+            again = ~self._has(distinct)
+            if again.any():  # the table had been emptied meanwhile
+                learn(again)
+        at = np.searchsorted(self.key, distinct)
+        size = self.size[at][back]
+        flat = self.pool[0][_ranges(self.begin[at][back], size)] if len(a) else np.zeros(0, np.uint32)
         cut = np.concatenate(([0], np.cumsum(size)))[np.searchsorted(a, offsets)]
-        out = [flat[x:y] for x, y in zip(cut[:-1], cut[1:])]
-        for i, (t, p) in enumerate(zip(texts.to_pylist(), plain)):
-            if not p:
-                out[i] = np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32)
-        return out
+        if not odd:
+            return flat, np.diff(cut)
+        lists = [flat[x:y] for x, y in zip(cut[:-1], cut[1:])]
+        for i in odd:
+            lists[i] = np.array(self.tokenizer.encode(strings[i], add_special_tokens=False).ids, np.uint32)
+        return np.concatenate(lists), np.array([len(x) for x in lists], np.int64)
+
+    def _has(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.key):
+            return np.zeros(len(keys), bool)
+        return self.key[np.minimum(np.searchsorted(self.key, keys), len(self.key) - 1)] == keys
 
 
 def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -258,18 +315,22 @@ def write_blocks(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
         from pyspark import TaskContext
         shard, number, known = TaskContext.get().partitionId(), 0, encoder(tokenizer_path)
         for batch in batches:
-            for part in C.pieces(batch, "text", BLOCK_BYTES):
+            for part in C.pieces(batch, "text"):
+                ids, size = known.encode(part.column("text"))
+                # Every document ends with the end id.
+                begin = np.cumsum(size) - size
+                ids = np.insert(ids.astype(U), begin + size, end_id)
+                size = size + 1
+                words, packed = encode_lists(ids, size)
+                names, edge = part.column("doc_id"), np.concatenate(([0], np.cumsum(packed)))
                 for a in range(0, part.num_rows, BLOCK_ROWS):
-                    step = part.slice(a, BLOCK_ROWS)
-                    lists = [np.append(x, np.uint32(end_id)) for x in known.encode(step.column("text"))]
-                    packed = [encode(x) for x in lists]
-                    size = np.array([len(x) for x in packed])
+                    b = min(a + BLOCK_ROWS, part.num_rows)
                     yield C.rows({
                         "shard": pa.array([shard], pa.int32()), "block": pa.array([number], pa.int32()),
-                        "doc_id": pa.array([step.column("doc_id").to_pylist()], pa.list_(pa.int64())),
-                        "n_tokens": pa.array([[len(x) for x in lists]], pa.list_(pa.int64())),
-                        "first_word": pa.array([(np.cumsum(size) - size).tolist()], pa.list_(pa.int64())),
-                        "words": pa.array([np.concatenate(packed).astype("<u8").tobytes()], pa.binary())})
+                        "doc_id": pa.array([names.slice(a, b - a).to_pylist()], pa.list_(pa.int64())),
+                        "n_tokens": pa.array([size[a:b].tolist()], pa.list_(pa.int64())),
+                        "first_word": pa.array([(edge[a:b] - edge[a]).tolist()], pa.list_(pa.int64())),
+                        "words": pa.array([words[edge[a]:edge[b]].astype("<u8").tobytes()], pa.binary())})
                     number += 1
 
     count = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
