@@ -6,11 +6,29 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.llm import chat, fingerprint, mixing, simple8b
+from vitrine.llm import chat, decontaminate, fingerprint, language, mixing, neardup, quality, simple8b
 from vitrine.llm import common as C
 from vitrine.session import shared_folder
 
 
+def op2_near_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_components(C.table(spark, folder, "documents"), width=3, percent=85)
+
+
+def quality_network(spark: SparkSession, docs: DataFrame, folder: str) -> quality.Network | None:
+    """Learned from the labels of ``folder``, but for the held-out fifth of ids."""
+    labels = C.table(spark, folder, "labels")
+    return quality.fit(docs, labels.filter(C.remainder("doc_id", 5) != 0))
+
+
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = C.table(spark, folder, "documents").select("doc_id", "text")
+    network = quality_network(spark, docs, folder)
+    return quality.score(docs, network).select(
+        "doc_id", (C.remainder("doc_id", 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op4_mix(spark: SparkSession, folder: str) -> DataFrame:
     docs = C.table(spark, folder, "documents")
     return mixing.mix(docs, C.words("text")).select(
@@ -29,6 +47,14 @@ def op5_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return token_file(C.table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = C.table(spark, folder, "documents")
+    held_out = C.remainder("doc_id", 4) == 2
+    models = language.learn(docs.filter(~held_out).select("text", "lang"))
+    return language.identify(docs.select("doc_id", "text"), models).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.render(C.table(spark, folder, "conversations"))
 
@@ -47,13 +73,23 @@ WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.place < r.n_turns AND r.place = w
 """
 
 
+def op9_contaminated(spark: SparkSession, folder: str) -> DataFrame:
+    docs = C.table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.contaminated(docs, C.table(spark, folder, "benchmark")).select(
+        "doc_id", "contaminated", "item_id", "overlap")
+
+
 def op10_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.fingerprints(C.table(spark, folder, "documents"))
 
 
 QUERIES = {
+    "op2_near_groups": (op2_near_groups, None),
+    "op3_quality": (op3_quality, None),
     "op4_mix": (op4_mix, None),
     "op5_token_ids": (op5_token_ids, None),
+    "op7_language": (op7_language, None),
     "op8_chat": (op8_chat, OP8_SQL),
+    "op9_contaminated": (op9_contaminated, None),
     "op10_fingerprint": (op10_fingerprint, None),
 }
