@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.llm import chat, decontaminate, fingerprint, language, mixing, neardup, quality, simple8b
+from vitrine.llm import chat, decontaminate, fingerprint, language, mixing, neardup, quality, simple8b, substrings
 from vitrine.llm import common as C
 from vitrine.session import shared_folder
 
@@ -47,6 +47,10 @@ def op5_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return token_file(C.table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op6_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.without_repeats(C.table(spark, folder, "documents"))
+
+
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = C.table(spark, folder, "documents")
     held_out = C.remainder("doc_id", 4) == 2
@@ -88,6 +92,7 @@ QUERIES = {
     "op3_quality": (op3_quality, None),
     "op4_mix": (op4_mix, None),
     "op5_token_ids": (op5_token_ids, None),
+    "op6_repeats": (op6_repeats, None),
     "op7_language": (op7_language, None),
     "op8_chat": (op8_chat, OP8_SQL),
     "op9_contaminated": (op9_contaminated, None),
