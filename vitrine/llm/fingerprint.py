@@ -108,16 +108,22 @@ def fingerprints(docs: DataFrame, k: int = K, width: int = WIDTH) -> DataFrame:
     Only the head of the next text and its sketch travel to a row, by one join
     on ids; nothing is sorted as a whole.
     """
+    def keys(of: str, prefix: str) -> list[Column]:
+        # Two plain columns instead of a null-safe comparison, so that joins and groups share a partitioning.
+        return [F.coalesce(F.col(of), F.lit(0)).alias(prefix + "id"), F.col(of).isNull().alias(prefix + "no")]
+
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     around = neighbours(docs)
-    wanted = around.select(F.col("next_id").alias("id"), F.col("doc_id").alias("to"),
-                           F.floor(F.col("n_chars") / 4).cast("int").alias("need"))
-    given = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("id"))).select(
-        "to", F.substring(F.col("text"), F.lit(1), F.col("need")).alias("head"), text_sketch(F.col("text"), k, width).alias("next_sketch"))
+    docs = docs.select("*", *keys("doc_id", "k"))
+    wanted = around.select(*keys("next_id", "k"), *keys("doc_id", "t"), F.floor(F.col("n_chars") / 4).cast("int").alias("need"))
+    given = docs.join(wanted, ["kid", "kno"]).select(
+        "tid", "tno", F.substring(F.col("text"), F.lit(1), F.col("need")).alias("head"),
+        text_sketch(F.col("text"), k, width).alias("next_sketch"))
     # Repeated ids: one head per row that asks.
-    given = given.groupBy("to").agg(F.min(F.struct("head", "next_sketch")).alias("next"))
-    joined = docs.join(given, F.col("doc_id").eqNullSafe(F.col("to")))
+    given = given.groupBy(F.col("tid").alias("kid"), F.col("tno").alias("kno")).agg(
+        F.min(F.struct("head", "next_sketch")).alias("next"))
+    joined = docs.join(given, ["kid", "kno"])
     n = F.char_length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - quarter),
