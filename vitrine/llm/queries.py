@@ -6,11 +6,17 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.llm import chat, decontaminate, fingerprint, language, mixing, neardup, quality, simple8b, substrings
+from vitrine.llm import (chat, decontaminate, fingerprint, language, maintext, mixing, neardup, quality, simple8b,
+                         substrings)
 from vitrine.llm import common as C
 from vitrine.session import shared_folder
 
 
+def op1_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = C.table(spark, folder, "pages")
+    return maintext.extract(pages, maintext.fit(pages))
+
+
 def op2_near_groups(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_components(C.table(spark, folder, "documents"), width=3, percent=85)
 
@@ -88,6 +94,7 @@ def op10_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_main_text": (op1_main_text, None),
     "op2_near_groups": (op2_near_groups, None),
     "op3_quality": (op3_quality, None),
     "op4_mix": (op4_mix, None),
