@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Bytes of text that one numpy step works on; bounds a task's memory.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15

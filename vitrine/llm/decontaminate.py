@@ -32,13 +32,15 @@ from vitrine.llm import common as C
 CHUNK_WORDS = 16
 #: Words of the benchmark in one block, and leading singular vectors.
 BLOCK_WORDS = 40_000
-RANK, EXTRA = 176, 16
+RANK, EXTRA = 128, 16
 #: A word in more than this share of the chunks carries no content.
-COMMON = 0.01
+COMMON = 0.002
 #: Rarest words of an item that always count as content.
 RAREST = 6
 #: Share of an item's own latent cosine that makes a candidate.
 NEAR = 0.5
+#: Content words that a window needs, unless some item has fewer.
+LEAST_WORDS = 3
 #: LCS share that proves a copy, and the one that does together with the answer.
 COPY, PARAPHRASE, ANSWER = 0.8, 0.6, 0.8
 ANSWER_WORDS = 5
@@ -125,6 +127,8 @@ class Block:
         self.latent = (latent / size[:, None]).astype(np.float32)
         self.enough = NEAR * np.maximum((self.latent ** 2).sum(1), 1e-3)
         self.masks = [w.tolist() for w in self.words]
+        known = [int((self.weight[np.unique(np.searchsorted(self.vocabulary, w))] > 0).sum()) for w in self.words]
+        self.fewest = min(LEAST_WORDS, *known)
 
 
 def _hits(block: Block, part: pa.RecordBatch):
@@ -250,23 +254,33 @@ def search(block: Block, part: pa.RecordBatch) -> list[tuple[str | None, float]]
     follows[:-1] = (here[1:] == here[:-1] + 1) & (text[1:] == text[:-1])
     nxt = np.minimum(np.arange(len(cut)) + 1, len(cut) - 1)
     size = np.sqrt(weight2 + np.where(follows, weight2[nxt], 0))
-    stop = np.append(cut[1:], len(which))
-    for a in range(0, len(cut), 20_000):
-        b = min(a + 20_000, len(cut))
-        top = min(b + 1, len(cut))
-        sums = np.add.reduceat(block.space[which[cut[a]:stop[top - 1]]], cut[a:top] - cut[a])
-        vector = sums[:b - a].copy()
-        both = np.flatnonzero(follows[a:b])
-        vector[both] += sums[both + 1]
-        near = (vector @ block.latent.T) / size[a:b, None] >= block.enough
+    # A window with fewer content words than any item could leave in it is no candidate.
+    count = np.diff(np.append(cut, len(which)))
+    rich = count + np.where(follows, count[nxt], 0) >= block.fewest
+    used = rich.copy()
+    used[1:] |= rich[:-1] & follows[:-1]
+    number = np.cumsum(used) - 1
+    mine = np.repeat(used, count)
+    words, begin = which[mine], np.cumsum(count[used]) - count[used]
+    windows = np.flatnonzero(rich)
+    ends = np.append(begin, len(words))
+    for a in range(0, len(windows), 20_000):
+        some = windows[a:a + 20_000]
+        low, high = number[some[0]], min(number[some[-1]] + 2, len(begin))
+        sums = np.add.reduceat(block.space[words[ends[low]:ends[high]]], begin[low:high] - begin[low])
+        vector = sums[number[some] - low]
+        both = np.flatnonzero(follows[some])
+        vector[both] += sums[number[some[both]] + 1 - low]
+        near = (vector @ block.latent.T) / size[some, None] >= block.enough
         window, passage = np.nonzero(near)
         for w, p in zip(window.tolist(), passage.tolist()):
             i = int(block.item[p])
-            r = int(text[a + w])
+            w = int(some[w])
+            r = int(text[w])
             if best[r][1] >= 1.0:
                 continue
             m = len(block.masks[i])
-            at = first[r] + int(here[a + w] - chunk_of[r]) * CHUNK_WORDS
+            at = first[r] + int(here[w] - chunk_of[r]) * CHUNK_WORDS
             lo, hi = max(first[r], at - m), min(first[r + 1], at + 2 * CHUNK_WORDS + m)
             share = _confirm(block, i, h[lo:hi].tolist())
             if share > best[r][1] or (share == best[r][1] > 0 and block.ids[i] < best[r][0]):
