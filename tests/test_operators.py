@@ -46,12 +46,36 @@ def test_top_n_is_cut_before_the_shuffle(skewed):
     assert top.groupBy("k").count().agg(F.max("count")).first()[0] == 3
 
 
-def test_broadcast_only_what_fits(spark):
-    small, large = spark.range(10), spark.range(200)
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
-    assert hinted(S.small_side(small, 50)) and not hinted(S.small_side(large, 50))
-    assert S.rows_if_small(large, 50) is None
+def test_rule_rows_are_read_only_if_few(spark):
+    assert len(S.rows_if_small(spark.range(10), 50)) == 10
+    assert S.rows_if_small(spark.range(200), 50) is None
+
+
+def test_pictures_of_any_number_are_kept(spark):
+    from vitrine.operators import images as I
+    names = [f"77{a}{b}" for a in ("", "a") for b in "abcdefghijklmnopqrstuvwxyz"] + ["77a_red", "77a_red"]
+    files = spark.createDataFrame([(f"img/{n}.webp",) for n in names], "path string")
+    got = I.pictures_by_product(files).first().pictures
+    assert [p.source for p in got][:3] == ["77a", "77a_red", "77b"] and len(got) == 53
+
+
+def test_files_of_keys_with_letters_and_zeros(spark):
+    from vitrine.operators import images as I
+    files = spark.createDataFrame([("A123a.webp",), ("A123.webp",), ("9x.webp",)], "path string")
+    keys = spark.createDataFrame([("A123",), ("9",)], "sku string")
+    assert sorted((r.sku, r.path) for r in I.existing_files(files, keys).collect()) == [
+        ("9", "9x.webp"), ("A123", "A123a.webp")]
+    pics = spark.createDataFrame([("007_x.jpg", 1, 1, 0), ("7_y.jpg", 1, 1, 1)], "path string, width int, height int, ord int")
+    assert sorted(r.new_name for r in I.rename_plan(pics, slice_by=F.lit(0)).collect()) == ["7a.webp", "7b.webp"]
+
+
+def test_repeated_order_numbers_do_not_mix_cells(spark):
+    from vitrine.operators import dictionary as D
+    words = spark.createDataFrame([(0, "daily", "D"), (1, "sport", "S")] + [(i, f"w{i}", "x") for i in range(2, 1502)],
+                                  "ord int, term string, translation string")
+    rows = spark.createDataFrame([(1, "daily"), (1, "sport"), (1, None)], "ord int, cell string")
+    got = D.translate_columns(rows, ["cell"], words, counted="n").collect()
+    assert sorted((r.cell or "", r.n) for r in got) == [("", 0), ("D", 1), ("S", 1)]
 
 
 def test_upsert_and_resume(spark):

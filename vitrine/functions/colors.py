@@ -113,10 +113,6 @@ def is_similar(a, b, table=V.SIMILAR_COLORS) -> Column:
         | listed(v["a"], v["b"]) | listed(v["b"], v["a"])))
 
 
-def spelling_map(spellings=V.COLOR_SPELLINGS) -> dict:
-    return {word.lower(): standard for standard, words in spellings.items() for word in words}
-
-
 def standard_color(c, spellings=V.COLOR_SPELLINGS, standards=V.STANDARD_COLORS) -> Column:
     """Site colour of a raw colour text.
 
@@ -124,7 +120,7 @@ def standard_color(c, spellings=V.COLOR_SPELLINGS, standards=V.STANDARD_COLORS)
     trailing yeh and heh, a standard colour equal to or inside the text, the
     first word alone, and finally the cleaned text itself.
     """
-    table = literal_map(spelling_map(spellings))
+    table = literal_map({word.lower(): standard for word, standard in spellings.items()})
     ordered = F.array(*[F.struct(F.lit(x).alias("name"), F.lit(x.lower()).alias("low"))
                         for x in standards])
 

@@ -190,6 +190,13 @@ def drop_color_noise(c, patterns=V.COLOR_NOISE) -> Column:
     return let(ascii_digits(trim_any(c)), cleaned)
 
 
+def filled(template: str, *cells) -> Column:
+    """A template with its ``{}`` slots filled; NULL if any cell is."""
+    first, *rest = template.split("{}")
+    return F.concat(F.lit(first), *[x for cell, text in zip(cells, rest, strict=True)
+                                    for x in (as_column(cell), F.lit(text))])
+
+
 # ---- codes and names --------------------------------------------------------
 
 def code_after_word(c) -> Column:
@@ -249,18 +256,24 @@ def transliterate(c) -> Column:
 # ---- image file names -------------------------------------------------------
 
 def letter_for_index(i) -> Column:
-    """0 -> a, 25 -> z, 26 -> aa, 702 -> aaa."""
-    i = as_column(i).cast("int")
+    """0 -> a, 25 -> z, 26 -> aa, 702 -> aaa, and so on without an end."""
+    i = as_column(i).cast("bigint")
 
     def letter(n):
         return F.char(n.cast("bigint") + F.lit(97))
 
+    # Base 26 without a zero, last letter first; a bigint has at most 14 letters.
+    start = F.struct(i.alias("left"), F.lit("").alias("letters"))
+
+    def step(v, _):
+        more = F.struct((F.floor(v["left"] / 26).cast("bigint") - 1).alias("left"),
+                        F.concat(letter(F.pmod(v["left"], F.lit(26))), v["letters"]).alias("letters"))
+        return F.when(v["left"] < 0, v).otherwise(more)
+
+    long = F.aggregate(F.sequence(F.lit(1), F.lit(14)), start, step)["letters"]
     two = i - 26
-    three = i - 702
     return (F.when(i < 26, letter(i))
-            .when(i < 702, F.concat(letter(F.floor(two / 26)), letter(two % 26)))
-            .otherwise(F.concat(letter(F.floor(three / 676) % 26),
-                                letter(F.floor(three / 26) % 26), letter(three % 26))))
+            .when(i < 702, F.concat(letter(F.floor(two / 26)), letter(two % 26))).otherwise(long))
 
 
 def file_stem(path) -> Column:
@@ -270,21 +283,26 @@ def file_stem(path) -> Column:
 
 def colors_in_filename(name) -> Column:
     stem = file_stem(name)
-    color = F.coalesce(found(stem, r"(?si)^[0-9]+[a-z]_(.*)"),
-                       found(stem, r"(?si)^[0-9]+[a-z]-(.*)"))
+    color = F.coalesce(found(stem, r"(?si)^[a-z]?[0-9]+[a-z]+_(.*)"),
+                       found(stem, r"(?si)^[a-z]?[0-9]+[a-z]+-(.*)"))
     color = F.nullif(F.lower(trim_any(color)), F.lit(""))
     return F.when(color.isNotNull(), F.array(color)).otherwise(F.array().cast("array<string>"))
 
 
 def filename_tail(stem) -> Column:
-    """What follows the key and letter in a processed image name."""
-    return replace_pattern(F.lower(as_column(stem)), r"^[0-9]+[a-z][_\-]?")
+    """What follows the key and letters in a processed image name."""
+    return replace_pattern(F.lower(as_column(stem)), r"^[a-z]?[0-9]+[a-z]+[_\-]?")
 
 
 def leading_number(stem) -> Column:
     return found(stem, r"^([0-9]+)")
 
 
+def number_key(stem) -> Column:
+    """The leading number as a number is written: ``007`` and ``7`` are one key."""
+    return replace_pattern(leading_number(stem), r"^0+(?=[0-9])")
+
+
 # ---- dimensions -------------------------------------------------------------
 
 def _dimension(value, label: str, loose: bool) -> Column:

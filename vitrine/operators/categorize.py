@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from vitrine import vocab as V
 from vitrine.functions.prices import has_discount
 from vitrine.functions.text import nullify_blank, render_text
-from vitrine.operators.scale import LITERAL_ROWS, rows_if_small, small_side
+from vitrine.operators.scale import LITERAL_ROWS, rows_if_small
 
 
 # A longer CASE makes methods the JVM no longer compiles.
@@ -33,21 +33,30 @@ def with_first_keyword(df: DataFrame, text: str, rules: DataFrame, out: str,
     """Substring join to (rule_ord, keyword, value) with the lowest rule first.
 
     A small rule table is compiled to one CASE.  A large one is met through
-    the k-letter pieces of the distinct texts, k being the shortest keyword:
-    a text that contains a keyword contains the keyword's first k letters.
+    pieces of the distinct texts.  A piece is a power of two long, the largest
+    that fits the keyword, so a keyword is met by a piece of more than half
+    its length.  Pieces carry an id and a place, never the text; only pieces
+    that begin some keyword are brought back to their text to be confirmed.
     """
-    rows = rows_if_small(rules.filter("keyword <> ''"), literal_rows)
+    rules = rules.filter("keyword <> ''")
+    rows = rows_if_small(rules, literal_rows)
     if rows is not None:
         ordered = [(r.keyword, r.value) for r in sorted(rows, key=lambda r: r.rule_ord)]
         return df.withColumn(out, first_keyword(F.col(text), ordered))
-    k = rules.filter("keyword <> ''").agg(F.min(F.length("keyword"))).first()[0]
-    keyed = rules.filter("keyword <> ''").withColumn("__piece", F.substring("keyword", 1, k))
-    pieces = (df.select(F.col(text).alias("__text")).filter(F.length("__text") >= k).distinct()
-              .withColumn("__piece", F.explode(F.array_distinct(F.transform(
-                  F.sequence(F.lit(1), F.length("__text") - (k - 1)),
-                  lambda i: F.substring(F.col("__text"), i, F.lit(k)))))))
-    best = (pieces.join(small_side(keyed), "__piece")
-            .filter(F.col("__text").contains(F.col("keyword")))
+    size = F.pow(F.lit(2.0), F.floor(F.log2(F.length("keyword")))).cast("int")
+    keyed = (rules.withColumn("__size", size).withColumn("__piece", F.substring("keyword", F.lit(1), F.col("__size"))))
+    # One number per power of two.
+    sizes = sorted(r[0] for r in keyed.select("__size").distinct().collect())
+    texts = df.select(F.col(text).alias("__text")).filter("__text is not null").distinct().withColumn("__id", F.md5("__text"))
+    begins = keyed.select("__size", "__piece").distinct()
+    pieces = texts.select("__id", "__text", F.explode(F.array(*[F.lit(n) for n in sizes])).alias("__size")) \
+        .filter(F.length("__text") >= F.col("__size")) \
+        .select("__id", "__size", F.explode(F.array_distinct(F.transform(
+            F.sequence(F.lit(1), F.length("__text") - F.col("__size") + 1),
+            lambda i: F.substring(F.col("__text"), i, F.col("__size"))))).alias("__piece"))
+    met = (pieces.join(begins, ["__size", "__piece"], "left_semi").join(keyed, ["__size", "__piece"])
+           .select("__id", "keyword", "value", "rule_ord"))
+    best = (met.join(texts, "__id").filter(F.col("__text").contains(F.col("keyword")))
             .groupBy("__text").agg(F.min_by("value", "rule_ord").alias(out)))
     return df.join(best, F.col(text) == F.col("__text"), "left").drop("__text")
 
@@ -63,12 +72,9 @@ class Taxonomy:
     def from_rules(cls, rules: DataFrame) -> "Taxonomy":
         """From a (ord, main, sub, expression, equivalent) table.
 
-        The tree becomes part of the plan, so it has to be a rule table and
-        not data; more than ten thousand rows are refused rather than cut.
+        The tree is a parameter and becomes part of the plan, whatever its size.
         """
-        rows = rows_if_small(rules.orderBy("ord"), 10_000)
-        if rows is None:
-            raise ValueError("a category tree of more than 10000 rows is not a rule table")
+        rows = rules.orderBy("ord").collect()
         tree: dict = {}
         aliases = {}
         for r in rows:

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from vitrine import vocab as V
 from vitrine.functions import text as T
 from vitrine.functions.colors import literal_map
-from vitrine.operators.scale import (BROADCAST_ROWS, first_by_key, fits, last_by_key, local_frame,
-                                     rows_if_small, small_side, top_n_by_key)
+from vitrine.operators.scale import (first_by_key, last_by_key, local_frame,
+                                     rows_if_small, top_n_by_key)
 
 
 def pairs_frame(spark: SparkSession, pairs: dict, source: str = "term",
@@ -55,12 +55,10 @@ def look_up(df: DataFrame, term: str, entries: DataFrame, lookups, fallback: Col
             out: str, found: str | None = None) -> DataFrame:
     """Left-join ``term`` against every lookup in turn, then the fallback."""
     entries = usable_entries(entries)
-    # A lookup table has at most one row per entry, so one check covers all.
-    small = fits(entries, BROADCAST_ROWS)
     hits = []
     for n, lookup in enumerate(lookups):
         side = lookup.table(entries, n)
-        df = df.join(F.broadcast(side) if small else side, lookup.key(term) == F.col(f"__k{n}"), "left")
+        df = df.join(side, lookup.key(term) == F.col(f"__k{n}"), "left")
         hits.append(F.col(f"__v{n}"))
     hit = F.coalesce(*hits)
     df = df.withColumn(out, F.when(T.is_blank(term), "").otherwise(F.coalesce(hit, fallback)))
@@ -153,33 +151,53 @@ def known_tokens(c, known_words: WordMap) -> Column:
     return F.when(T.as_column(c).rlike(known_words.hint), tokens)
 
 
-def translate_columns(df: DataFrame, columns, entries: DataFrame, key: str = "ord") -> DataFrame:
+def translated_cells(df: DataFrame, columns, entries: DataFrame) -> DataFrame:
+    """(cell, new, known): every distinct cell of ``columns`` that a dictionary changes.
+
+    The tokens of a cell meet the dictionary by a join, so it may have any
+    size; a cell is put together again by its own text, whatever rows it is in.
+    """
+    lookup = last_by_key(usable_entries(entries).select(
+        F.lower("term").alias("__t"), F.col("translation").alias("__v"), "ord"), "__t", "ord").drop("ord")
+    cells = (df.select(F.explode(F.array(*[F.col(c).cast("string") for c in columns])).alias("cell"))
+             .filter(F.col("cell").rlike("[a-zA-Z0-9_]")).distinct())
+    tokens = cells.select("cell", F.posexplode(cell_tokens("cell")).alias("__i", "__tok"))
+    tokens = tokens.withColumn("__t", F.when(_is_latin("__tok"), F.lower(T.trim_any("__tok"))))
+    swapped = F.when(F.col("__v").isNotNull(), F.concat(
+        F.regexp_extract("__tok", r"(?U)^(\s*)", 1), F.col("__v"),
+        F.regexp_extract("__tok", r"(?U)(\s*)$", 1))).otherwise(F.col("__tok"))
+    joined = tokens.join(lookup, "__t", "left")
+    return (joined.groupBy("cell").agg(
+        F.array_sort(F.collect_list(F.struct("__i", swapped.alias("tok")))).alias("__toks"),
+        F.count("__v").cast("int").alias("known")).filter("known > 0")
+        .select("cell", F.array_join(F.transform("__toks", lambda s: s["tok"]), "").alias("new"), "known"))
+
+
+def translate_columns(df: DataFrame, columns, entries: DataFrame, counted: str | None = None) -> DataFrame:
     """Translate the Latin tokens of ``columns`` by a dictionary of any size.
 
-    A small dictionary becomes a literal map and the table is not shuffled.  A
-    large one is joined to the distinct tokens, and the few changed cells are
-    put back together by ``key``.
+    With ``counted``, a column of that name has the number of tokens replaced
+    in the row.  A small dictionary becomes a literal map and the table is not
+    shuffled; a large one is joined to the distinct cells.  Both ways give the
+    same rows: of entries with one term the last counts.
     """
+    columns = list(columns)
     words = translation_map(entries)
     if words is not None:
+        if counted:
+            df = df.withColumn(counted, sum((F.coalesce(F.size(known_tokens(c, words)), F.lit(0))
+                                             for c in columns), F.lit(0)))
         return df.withColumns({c: translate_cell(c, words) for c in columns})
-    lookup = last_by_key(usable_entries(entries).select(
-        F.lower("term").alias("__t"), F.col("translation").alias("__v"), "ord"), "__t", "ord")
-    for c in columns:
-        tokens = (df.filter(F.col(c).rlike("[a-zA-Z0-9_]"))
-                  .select(key, F.posexplode(cell_tokens(c)).alias("__i", "__tok"))
-                  .withColumn("__t", F.lower(T.trim_any("__tok"))))
-        swapped = F.when(_is_latin("__tok") & F.col("__v").isNotNull(), F.concat(
-            F.regexp_extract("__tok", r"(?U)^(\s*)", 1), F.col("__v"),
-            F.regexp_extract("__tok", r"(?U)(\s*)$", 1))).otherwise(F.col("__tok"))
-        rebuilt = (tokens.join(lookup.drop("ord"), "__t", "left")
-                   .groupBy(key).agg(F.array_sort(F.collect_list(
-                       F.struct("__i", swapped.alias("tok")))).alias("__toks"))
-                   .select(key, F.array_join(F.transform("__toks", lambda s: s["tok"]), "")
-                           .alias("__new")))
-        df = (df.join(rebuilt, key, "left")
-              .withColumn(c, F.coalesce("__new", c)).drop("__new"))
-    return df
+    cells = translated_cells(df, columns, entries)
+    total = F.lit(0)
+    for i, c in enumerate(columns):
+        side = cells.select(F.col("cell").alias("__cell"), F.col("new").alias("__new"), F.col("known").alias(f"__n{i}"))
+        df = (df.join(side, F.col(c) == F.col("__cell"), "left")
+              .withColumn(c, F.coalesce("__new", c)).drop("__new", "__cell"))
+        total = total + F.coalesce(f"__n{i}", F.lit(0))
+    if counted:
+        df = df.withColumn(counted, total)
+    return df.drop(*[f"__n{i}" for i in range(len(columns))])
 
 
 def unknown_tokens(df: DataFrame, columns, entries: DataFrame) -> DataFrame:
@@ -189,7 +207,7 @@ def unknown_tokens(df: DataFrame, columns, entries: DataFrame) -> DataFrame:
     tokens = (df.select(F.explode(F.array_distinct(F.transform(
         F.filter(cells, _is_latin), T.trim_any))).alias("token")).filter("token <> ''").distinct())
     known = usable_entries(entries).select(F.lower("term").alias("__t")).distinct()
-    return tokens.join(small_side(known), F.lower("token") == F.col("__t"), "left_anti")
+    return tokens.join(known, F.lower("token") == F.col("__t"), "left_anti")
 
 
 def unknown_values(df: DataFrame, values: Column, entries: DataFrame, key=T.color_text,
@@ -198,7 +216,7 @@ def unknown_values(df: DataFrame, values: Column, entries: DataFrame, key=T.colo
     terms = df.select(F.explode(F.array_distinct(F.transform(values, key))).alias(out)).distinct()
     known = usable_entries(entries).select(key("term").alias("__t")).distinct()
     return (terms.filter(F.col(out) != "")
-            .join(small_side(known), F.col(out) == F.col("__t"), "left_anti"))
+            .join(known, F.col(out) == F.col("__t"), "left_anti"))
 
 
 def term_report(terms: DataFrame, term: str, sample: str, order: str = "ord",

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from vitrine.functions.prices import (effective_price, price_change, signed_amount,
                                       signed_percent, thousands)
 from vitrine.functions.text import nullify_blank, numeric_code, split_values, strip_invisible
-from vitrine.operators.scale import first_by_key, joined_values, last_by_key, small_side
+from vitrine.operators.scale import first_by_key, joined_values, last_by_key
 
 
 def color_set(cell) -> Column:
@@ -190,7 +190,7 @@ def with_link(df: DataFrame, links: DataFrame, *columns: str) -> DataFrame:
     """Attach listing columns through the code inside ``sku``."""
     wanted = links.select(F.col("code").alias("__code"), *columns)
     return (df.withColumn("__c", numeric_code("sku"))
-            .join(small_side(wanted), F.col("__c") == F.col("__code"), "left")
+            .join(wanted, F.col("__c") == F.col("__code"), "left")
             .drop("__c", "__code"))
 
 

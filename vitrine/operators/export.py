@@ -11,7 +11,7 @@ from vitrine.functions import text as T
 from vitrine.operators.columns import require_columns
 from vitrine.operators.dictionary import translate_color, translate_name
 from vitrine.operators.images import assign_images, variant_images
-from vitrine.operators.scale import first_by_key, small_side, spread
+from vitrine.operators.scale import first_by_key, spread
 
 
 @dataclass(frozen=True)
@@ -55,13 +55,13 @@ def variant_rows(df: DataFrame, colors_dict: DataFrame) -> DataFrame:
 def drop_excluded(variants: DataFrame, excluded: DataFrame) -> DataFrame:
     """Variants whose key is not on the exclusion list (sku)."""
     listed = excluded.select(F.col("sku").alias("__x")).distinct()
-    return variants.join(small_side(listed), F.col("variant_sku") == F.col("__x"), "left_anti")
+    return variants.join(listed, F.col("variant_sku") == F.col("__x"), "left_anti")
 
 
 def fully_excluded(variants: DataFrame, excluded: DataFrame) -> DataFrame:
     """Products that lose every variant."""
     listed = excluded.select(F.col("sku").alias("__x")).distinct()
-    return (variants.join(small_side(listed), F.col("variant_sku") == F.col("__x"), "left")
+    return (variants.join(listed, F.col("variant_sku") == F.col("__x"), "left")
             .groupBy("sku").agg(F.bool_and(F.col("__x").isNotNull()).alias("gone"))
             .filter("gone").select("sku"))
 
@@ -98,9 +98,8 @@ def attribute_columns(df: DataFrame, slugs=None) -> DataFrame:
 def seo_texts(name: Column, model: Column, colors: Column, short: Column, name_en: Column,
               site: Site) -> dict[str, Column]:
     keyword = F.concat_ws(" ", name, F.lit(V.CODE_WORD), model)
-    buy, in_color, with_quality = V.SEO_TEXT
     some = F.array_join(F.slice(colors, 1, 3), V.AND_WORD)
-    made = F.concat(F.lit(buy), keyword, F.lit(in_color), some, F.lit(with_quality + site.shop_name))
+    made = T.filled(V.SEO_TEXT, keyword, some, F.lit(site.shop_name))
     description = T.truncate(F.when(short != "", short).otherwise(made), 155)
     return {
         "meta:_yoast_wpseo_title": T.truncate(keyword, 60),
@@ -128,13 +127,8 @@ def described(df: DataFrame, name="name", model="model", colors="colors",
     n, m, c, x, u = (T.render_text(col) if col in df.columns else F.lit("")
                      for col in (name, model, colors, material, usage))
 
-    def woven(words, cells):
-        """Words and cells in turn; a leading word comes before the first cell."""
-        return F.concat(*[F.lit(x) if isinstance(x, str) else x for pair in zip(words, cells) for x in pair],
-                        *[F.lit(w) for w in words[len(cells):]])
-
-    short = F.concat(n, woven(V.SHORT_TEXT, (m, x, u, c)))
-    full = woven(V.FULL_TEXT, (n, m, u, x, c, n))
+    short = T.filled(V.SHORT_TEXT, n, m, x, u, c)
+    full = T.filled(V.FULL_TEXT, n, m, u, x, c, n)
 
     def where_blank(column, made):
         if column not in df.columns:
@@ -149,8 +143,7 @@ def packaged_texts(name: Column, model: Column, colors: Column, short: Column,
                    full: Column) -> dict[str, Column]:
     """Title, descriptions and keyword cut to the lengths a shop accepts."""
     first = T.trim_any(F.split_part(colors, F.lit(","), F.lit(1)))
-    buy, best_price, other_colors = V.META_TEXT
-    meta = F.concat(F.lit(buy), name, F.lit(" "), model, F.lit(best_price), first, F.lit(other_colors))
+    meta = T.filled(V.META_TEXT, name, model, first)
     return {"title": T.truncate(F.concat(name, F.lit(" "), model, F.lit(V.TITLE_TAIL)), 60),
             "short_description": T.truncate(short, 300), "description": full,
             "meta_description": T.truncate(meta, 155),
@@ -169,7 +162,7 @@ def products_for_export(df: DataFrame, colors_dict: DataFrame, names_dict: DataF
         tagged = variants.withColumn("kept", F.lit(True))
     else:
         listed = excluded.select(F.col("sku").alias("__x")).distinct()
-        tagged = (variants.join(small_side(listed), F.col("variant_sku") == F.col("__x"), "left")
+        tagged = (variants.join(listed, F.col("variant_sku") == F.col("__x"), "left")
                   .withColumn("kept", F.col("__x").isNull()).drop("__x"))
     grouped = tagged.groupBy("sku").agg(
         F.array_sort(F.collect_list(every)).alias("all_variants"),

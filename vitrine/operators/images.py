@@ -7,17 +7,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from vitrine import vocab as V
 from vitrine.functions import text as T
 from vitrine.functions.colors import cluster_score, color_name, is_background, is_similar
-from vitrine.operators.scale import (number_within, quantile_slices, rows_if_small, small_side,
-                                     top_n_by_key)
+from vitrine.operators.scale import number_within, quantile_slices, rows_if_small, top_n_by_key
 
-# What separates a product key from its picture letter in a file stem.
-KEY_AND_LETTER = r"^([A-Za-z]?[0-9]+)([a-z])"
+# What separates a product key from its picture letters in a file stem.
+KEY_AND_LETTER = r"^([A-Za-z]?[0-9]+)([a-z]+)"
 
 
 def with_key(files: DataFrame, path: str = "path", key: str = "product_no") -> DataFrame:
     """Files whose stem starts with a number, and that number."""
     return (files.withColumn("stem", T.file_stem(path))
-            .withColumn(key, T.leading_number("stem")).filter(F.col(key).isNotNull()))
+            .withColumn(key, T.number_key("stem")).filter(F.col(key).isNotNull()))
 
 
 def rename_plan(files: DataFrame, scope: DataFrame | None = None, color: str | None = None,
@@ -30,8 +29,8 @@ def rename_plan(files: DataFrame, scope: DataFrame | None = None, color: str | N
     """
     keyed = with_key(files)
     if scope is not None:
-        wanted = scope.select(T.leading_number("sku").alias("product_no")).distinct()
-        keyed = keyed.join(small_side(wanted), "product_no", "left_semi")
+        wanted = scope.select(T.number_key("sku").alias("product_no")).distinct()
+        keyed = keyed.join(wanted, "product_no", "left_semi")
     square = F.coalesce(F.col("width") == F.col("height"), F.lit(False))
     keyed = keyed.withColumn("not_square", (~square).cast("int"))
     # The cuts only have to be even roughly; the bare order column is enough.
@@ -63,19 +62,26 @@ def dominant_color(clusters: DataFrame, image: str = "image", min_share: float =
 # ---- assignment of pictures to colours ----------------------------------------
 
 def pictures_by_product(files: DataFrame, pattern: str = KEY_AND_LETTER) -> DataFrame:
-    """Up to 26 pictures of a product, one per letter, in letter order.
+    """All pictures of a product, by the length of their letters, letters and path.
 
-    The smallest path stands for a letter; it is chosen on the map side, so a
-    product never ships more than 26 rows per task.
+    The first file of a letter goes by key and letter, the others by their
+    stems.  A file listed twice is one file; it is folded on the map side.
     """
     stem = T.file_stem("path")
     keyed = (files.select("path", stem.alias("stem"),
                           F.regexp_extract(stem, pattern, 1).alias("image_key"),
                           F.regexp_extract(stem, pattern, 2).alias("letter"))
-             .filter("image_key <> ''"))
-    one = keyed.groupBy("image_key", "letter").agg(F.min("path").alias("path"))
-    picture = F.struct("letter", "path", T.filename_tail(T.file_stem("path")).alias("tail"))
-    return one.groupBy("image_key").agg(F.array_sort(F.collect_list(picture)).alias("pictures"))
+             .filter("image_key <> ''").distinct())
+    picture = F.struct(F.length("letter").alias("n"), "letter", "path", "stem")
+    ordered = F.array_sort(F.collect_list(picture))
+
+    def named(pics):
+        return F.transform(pics, lambda p, i: F.struct(
+            F.when((i > 0) & (F.get(pics, i - 1)["letter"] == p["letter"]), p["stem"])
+            .otherwise(F.concat("image_key", p["letter"])).alias("source"),
+            T.filename_tail(p["stem"]).alias("tail")))
+    return keyed.groupBy("image_key").agg(ordered.alias("listed")).select(
+        "image_key", named(F.col("listed")).alias("pictures"))
 
 
 def match_colors(pictures: Column, colors: Column) -> Column:
@@ -123,7 +129,7 @@ def assign_images(products: DataFrame, files: DataFrame, extension: str = ".webp
     pictures gets names made from its colours and an empty mapping.
     """
     pics = pictures_by_product(files, pattern)
-    no_pictures = F.array().cast("array<struct<letter:string,path:string,tail:string>>")
+    no_pictures = F.array().cast("array<struct<source:string,tail:string>>")
     seen = F.coalesce("pictures", no_pictures)
     spelled = F.transform("colors", lambda c: F.struct(T.dash_slug(c).alias("norm"), c.alias("color")))
     known = F.struct(
@@ -146,7 +152,7 @@ def _names_of(v: Column, extension: str) -> Column:
         return F.concat(v["base"], F.lit("-"), tail, F.lit(extension))
 
     def source(i):
-        return F.concat(v["sku"], F.get(v["pictures"], i)["letter"])
+        return F.get(v["pictures"], i)["source"]
 
     spelled_norms = F.transform(v["spelled"], lambda s: s["norm"])
     wanted = F.when(have, F.transform(v["hits"], lambda h: h["norm"])).otherwise(
@@ -260,10 +266,17 @@ def copy_statistics(found: DataFrame, examples: int = 20) -> DataFrame:
 
 
 def existing_files(files: DataFrame, keys: DataFrame) -> DataFrame:
-    """Files already stored for each key: key, a letter, anything."""
+    """Files already stored for each key: key, a letter, anything.
+
+    A file offers every beginning of its stem that ends before a letter, so
+    the test is an equi-join; it is listed for every key it belongs to.
+    """
     stem = T.file_stem("path")
-    keyed = files.select("path", F.regexp_extract(stem, r"^(.*?)\p{L}.*$", 1).alias("sku"))
-    return keyed.filter("sku <> ''").join(keys.select("sku").distinct(), "sku", "left_semi")
+    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.length("stem") - 1, F.lit(1))),
+                      lambda i: F.substring("stem", i + 1, F.lit(1)).rlike(r"\p{L}"))
+    offers = (files.select("path", stem.alias("stem"))
+              .select("path", F.explode(F.transform(starts, lambda i: F.substring("stem", F.lit(1), i))).alias("sku")))
+    return offers.join(keys.select("sku").distinct(), "sku", "left_semi")
 
 
 def folder_coverage(files: DataFrame, expected: DataFrame | None) -> DataFrame:
@@ -273,7 +286,7 @@ def folder_coverage(files: DataFrame, expected: DataFrame | None) -> DataFrame:
     if expected is not None:
         want = expected.select(T.leading_number("sku").alias("sku")).filter("sku is not null")
         pairs = pairs.withColumn("hit", F.lit(1)).join(
-            small_side(want.distinct().withColumn("wanted", F.lit(1))), "sku", "left")
+            want.distinct().withColumn("wanted", F.lit(1)), "sku", "left")
         covered = F.count_if(F.col("wanted").isNotNull())
     else:
         covered = F.count("*")
@@ -317,7 +330,7 @@ def size_pairs(before: DataFrame, after: DataFrame, prefix: int = 2) -> DataFram
     status = (F.when(F.col("length") < F.col("original.length"), "DOWN")
               .when(F.col("length") > F.col("original.length"), "UP")
               .when(F.col("original").isNotNull(), "SAME"))
-    return (out.join(small_side(pick), "lead", "left")
+    return (out.join(pick, "lead", "left")
             .select("path", "length", F.col("original.path").alias("original_path"),
                     F.col("original.length").alias("original_length"),
                     change.alias("reduction_percent"), status.alias("status")))

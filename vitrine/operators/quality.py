@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vitrine.functions.text import is_blank
-from vitrine.operators.scale import last_by_key, small_side
+from vitrine.operators.scale import last_by_key
 
 
 class GateFailed(RuntimeError):
@@ -68,7 +68,7 @@ def coverage_row(expected: DataFrame, available: DataFrame, key: str = "sku") ->
     """Expected keys that are available; no coverage at all fails."""
     have = available.select(F.col(key).alias("__k")).distinct()
     want = expected.select(key).filter(F.col(key).isNotNull()).distinct()
-    return (want.join(small_side(have), F.col(key) == F.col("__k"), "left")
+    return (want.join(have, F.col(key) == F.col("__k"), "left")
             .agg(F.count("*").alias("expected"), F.count("__k").alias("covered"))
             .withColumn("percent", F.when(F.col("expected") > 0,
                                           F.col("covered") / F.col("expected") * 100))

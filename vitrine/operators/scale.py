@@ -6,7 +6,7 @@
 * numbering and looking back *inside* a key are done per (key, slice), where
   the slice is a coarse monotone function of the ordering (a day, a range of
   ids); only one small row per slice is ever handled per key.
-* a side is broadcast only after its size was counted against a bound.
+* no join is hinted: adaptive execution broadcasts a side by its measured bytes.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BROADCAST_ROWS = 200_000
 LITERAL_ROWS = 1_000
 _RANK = "__rank"
 
@@ -43,11 +42,6 @@ def last_by_key(df: DataFrame, keys, order) -> DataFrame:
     return top_n_by_key(df, keys, _reversed(order), 1)
 
 
-def fits(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; looks at one more at most."""
-    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Deal the rows of a few large splits to all cores before heavy row work.
 
@@ -71,11 +65,6 @@ def local_frame(spark, columns: dict, schema: str) -> DataFrame:
     return spark.createDataFrame(pa.table(columns, schema=shape))
 
 
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it provably fits, else as it is."""
-    return F.broadcast(df) if fits(df, rows) else df
-
-
 def rows_if_small(df: DataFrame, rows: int = LITERAL_ROWS) -> list | None:
     """The rows of a small rule table, or None when it is not small."""
     got = df.limit(rows + 1).collect()

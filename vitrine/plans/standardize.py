@@ -13,7 +13,7 @@ from vitrine.operators import dictionary as D
 from vitrine.operators.categorize import Taxonomy, categorize
 from vitrine.operators.columns import copy_where_present, drop_unusable
 from vitrine.operators.pricing import apply_brackets
-from vitrine.operators.scale import rows_if_small, spread
+from vitrine.operators.scale import spread
 
 
 @dataclass(frozen=True)
@@ -70,11 +70,8 @@ def tidy_usages(df: DataFrame, columns=("usage", "suitable_for")) -> DataFrame:
 
 
 def standard_color_names(entries: DataFrame) -> tuple:
-    """Standard colours of a mapping table; a vocabulary, so size-checked."""
-    rows = rows_if_small(entries.orderBy("ord"), 10_000)
-    if rows is None:
-        raise ValueError("a colour vocabulary of more than 10000 entries is not one")
-    return tuple(r.term for r in rows)
+    """Standard colours of a mapping table; like every vocabulary they become part of the plan."""
+    return tuple(r.term for r in entries.orderBy("ord").collect())
 
 
 def standardize(raw: DataFrame, rules: Rules) -> Standardized:
@@ -90,24 +87,18 @@ def standardize(raw: DataFrame, rules: Rules) -> Standardized:
     table = categorize(table, rules.taxonomy)
     texts = [f.name for f in table.schema.fields
              if f.dataType.typeName() == "string" and f.name not in ("sku", "model")]
-    translated, counts = table, F.lit(0)
+    translated = table.withColumn("__words", F.lit(0))
     unknown_words = table.select(F.lit("").alias("token")).filter(F.lit(False))
     if rules.words is not None:
         unknown_words = D.unknown_tokens(table, texts, rules.words)
-        words = D.translation_map(rules.words)
-        if words is not None:
-            counts = sum((F.coalesce(F.size(D.known_tokens(c, words)), F.lit(0)) for c in texts),
-                         F.lit(0))
-            table = table.withColumn("__words", counts)
-        translated = D.translate_columns(table, texts, rules.words)
-    metrics = table.agg(
+        translated = D.translate_columns(table, texts, rules.words, counted="__words")
+    metrics = translated.agg(
         F.count("*").alias("rows_kept"), F.count_if(F.size("colors_std") > 0).alias("rows_with_colors"),
         F.count_if("price_updated").alias("prices_updated"),
         F.count_if("discounted").alias("discounts_applied"),
         F.count_if(F.col("category") != "").alias("rows_categorized"),
         F.count_if(F.col("sale_tag") != "").alias("rows_tagged"),
-        (F.coalesce(F.sum("__words"), F.lit(0)) if "__words" in table.columns else F.lit(None))
-        .alias("words_translated"))
+        F.coalesce(F.sum("__words"), F.lit(0)).alias("words_translated"))
     before = raw.agg(F.count("*").alias("rows_read"))
     metrics = before.join(metrics, F.lit(True)).withColumn(
         "rows_removed", F.col("rows_read") - F.col("rows_kept"))

@@ -16,6 +16,8 @@ from vitrine.operators.categorize import categorize, with_first_keyword
 from vitrine.operators.quality import state_with_defaults
 from vitrine.operators.scale import spread
 from vitrine.plans import standardize as Z
+from vitrine.operators.categorize import with_first_keyword
+from vitrine.operators.pricing import with_bracket
 from vitrine.showcase import shop as S
 
 # ---- free text ------------------------------------------------------------------
@@ -343,7 +345,43 @@ def _part_cells(spark, d):
 
 
 def translate_cells(spark, d):
-    return D.translate_columns(_part_cells(spark, d), ["cell"], D.pairs_frame(spark, _WORDBOOK), "p_partkey")
+    return D.translate_columns(_part_cells(spark, d), ["cell"], D.pairs_frame(spark, _WORDBOOK))
+
+
+def _wide_wordbook(spark, d):
+    """A dictionary too large for a literal: the small one and a code of every order."""
+    codes = S.table(spark, d, "orders").select((F.col("o_orderkey") + 1000).cast("int").alias("ord"), F.concat(
+        F.lit("Order "), "o_orderkey").alias("term"), F.concat(F.lit("سفارش "), "o_orderkey").alias("translation"))
+    return D.pairs_frame(spark, _WORDBOOK).unionByName(codes)
+
+
+def translate_cells_large(spark, d):
+    """Cells of parts and orders; rows share cells, and nothing tells them apart."""
+    cells = _part_cells(spark, d).select("cell").unionByName(S.table(spark, d, "orders").select(F.concat(
+        F.lit(" order "), "o_orderkey", F.lit(" ; note|ORDER "), F.col("o_orderkey") + 1).alias("cell")))
+    out = D.translate_columns(cells, ["cell"], _wide_wordbook(spark, d), counted="words")
+    return out.groupBy("cell").agg(F.count("*").alias("rows"), F.sum("words").cast("bigint").alias("words"))
+
+
+def bracket_pricing_large(spark, d):
+    """One closed range per order, some overlapping; the first one decides."""
+    rules = S.table(spark, d, "orders").select(
+        F.col("o_orderkey").cast("int").alias("rule_ord"), (F.col("o_orderkey") % 900 * 1000).cast("double").alias("from_price"),
+        (F.col("o_orderkey") % 900 * 1000 + F.col("o_orderkey") % 7 * 700).cast("double").alias("to_price"),
+        (F.col("o_orderkey") % 11).cast("double").alias("increase_percent"), F.lit(0.0).alias("discount_percent"))
+    prices = S.table(spark, d, "lineitem").select(F.floor("l_extendedprice").cast("double").alias("price"))
+    return (with_bracket(prices, "price", rules).groupBy("bracket.rule_ord", "bracket.increase_percent")
+            .agg(F.count("*").alias("rows")))
+
+
+def keyword_join_large(spark, d):
+    """A keyword per order; texts that hold some of them."""
+    rules = S.table(spark, d, "orders").select(
+        F.col("o_orderkey").cast("int").alias("rule_ord"), F.concat(F.lit("#"), "o_orderkey", F.lit(";")).alias("keyword"),
+        F.col("o_orderpriority").alias("value"))
+    texts = S.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.concat(
+        F.lit("x #"), F.col("l_orderkey") + 3, F.lit("; y#"), "l_orderkey", F.lit(";#"), "l_linenumber").alias("text"))
+    return (with_first_keyword(texts, "text", rules, "hit").groupBy("hit").agg(F.count("*").alias("rows")))
 
 
 def unknown_words(spark, d):
@@ -516,6 +554,25 @@ SELECT CASE WHEN contains(text, 'tion and') THEN 'pair' WHEN contains(text, 'tio
     "translate_cells": (translate_cells, """
 SELECT p_partkey, CASE WHEN p_name = 'small ring' THEN 'حلقه کوچک' ELSE p_name END || ' | '
    || CASE p_type WHEN 'ECONOMY' THEN 'اقتصادی' WHEN 'PROMO' THEN 'ویژه' ELSE lower(p_type) END || '، ' || p_brand AS cell FROM part"""),
+    "translate_cells_large": (translate_cells_large, """
+WITH p AS (SELECT p_name, p_type, p_brand FROM part),
+c AS (SELECT CASE WHEN p_name = 'small ring' THEN 'حلقه کوچک' ELSE p_name END || ' | '
+   || CASE p_type WHEN 'ECONOMY' THEN 'اقتصادی' WHEN 'PROMO' THEN 'ویژه' ELSE lower(p_type) END || '، ' || p_brand AS cell,
+   CASE WHEN p_name = 'small ring' THEN 1 ELSE 0 END + CASE WHEN p_type IN ('ECONOMY', 'PROMO') THEN 1 ELSE 0 END AS words FROM p
+ UNION ALL SELECT ' سفارش ' || o_orderkey || ' ; note|' || CASE WHEN o_orderkey + 1 IN (SELECT o_orderkey FROM orders)
+   THEN 'سفارش ' ELSE 'ORDER ' END || (o_orderkey + 1),
+   CASE WHEN o_orderkey + 1 IN (SELECT o_orderkey FROM orders) THEN 2 ELSE 1 END FROM orders)
+SELECT cell, count(*) AS rows, CAST(sum(words) AS BIGINT) AS words FROM c GROUP BY cell"""),
+    "bracket_pricing_large": (bracket_pricing_large, """
+WITH r AS (SELECT CAST(o_orderkey AS INTEGER) AS rule_ord, o_orderkey % 900 * 1000 AS lo, o_orderkey % 900 * 1000 + o_orderkey % 7 * 700 AS hi,
+   CAST(o_orderkey % 11 AS DOUBLE) AS increase_percent FROM orders),
+p AS (SELECT floor(l_extendedprice) AS price, count(*) AS n FROM lineitem GROUP BY 1),
+b AS (SELECT price, min(rule_ord) AS rule_ord FROM p JOIN r ON price BETWEEN lo AND hi GROUP BY price)
+SELECT b.rule_ord, r.increase_percent, CAST(sum(n) AS BIGINT) AS rows FROM p LEFT JOIN b USING (price) LEFT JOIN r ON r.rule_ord = b.rule_ord GROUP BY 1, 2"""),
+    "keyword_join_large": (keyword_join_large, """
+WITH t AS (SELECT CASE WHEN l_orderkey IN (SELECT o_orderkey FROM orders) THEN l_orderkey
+   WHEN l_orderkey + 3 IN (SELECT o_orderkey FROM orders) THEN l_orderkey + 3 END AS k FROM lineitem)
+SELECT o_orderpriority AS hit, count(*) AS rows FROM t LEFT JOIN orders ON o_orderkey = k GROUP BY 1"""),
     "unknown_words": (unknown_words, """
 SELECT DISTINCT p_name AS token FROM part WHERE p_name <> 'small ring'
 UNION SELECT DISTINCT lower(p_type) FROM part WHERE p_type NOT IN ('ECONOMY', 'PROMO')"""),

@@ -20,16 +20,18 @@ ENGLISH = ("black", "white", "blue", "navy-blue", "red", "dark-brown", "sky-blue
 
 
 def _products(spark, d):
-    """Scan rows as products of the part; several offers share one key."""
-    return (S.scan(spark, d).withColumn("supp", F.split_part("sku", F.lit("-"), F.lit(2)).cast("bigint"))
+    """All offers as products of the part; several offers share one key."""
+    return (S.offers(spark, d).withColumn("supp", F.split_part("sku", F.lit("-"), F.lit(2)).cast("bigint"))
             .withColumn("ord", F.col("ord") * 100000 + F.col("supp"))
             .withColumn("sku", F.col("model")).drop("supp"))
 
 
 def _files(spark, d):
-    """One picture file per order line, named by part, letter and colour."""
+    """One picture file per order line, named by part, letters (a to ax) and colour.
+
+    Most parts have more than 26 files, and several with one letter."""
     return S.table(spark, d, "lineitem").select(F.concat(
-        F.lit("img/"), F.col("l_partkey") + 1000, F.char(F.lit(97) + F.col("l_quantity").cast("bigint") % 26),
+        F.lit("img/"), F.col("l_partkey") + 1000, T.letter_for_index(F.col("l_quantity").cast("bigint") - 1),
         F.lit("_"), S.pick(ENGLISH, F.col("l_linenumber") % 8), F.lit(".webp")).alias("path"))
 
 
@@ -163,8 +165,12 @@ def image_sources(spark, d):
 
 
 def existing_files(spark, d):
-    keys = S.table(spark, d, "part").filter("p_size > 25").select((F.col("p_partkey") + 1000).cast("string").alias("sku"))
-    return I.existing_files(_files(spark, d), keys).groupBy("sku").agg(F.count("*").alias("files"))
+    """Files of plain keys and of keys that begin with a letter."""
+    keys = S.table(spark, d, "part").filter("p_size > 25").select(F.concat(
+        F.when(F.col("p_size") % 2 == 1, F.lit("A")).otherwise(""), F.col("p_partkey") + 1000).alias("sku"))
+    plain = _files(spark, d)
+    lettered = plain.select(F.replace("path", F.lit("img/"), F.lit("img/A")).alias("path"))
+    return I.existing_files(plain.unionByName(lettered), keys).groupBy("sku").agg(F.count("*").alias("files"))
 
 
 def _sizes(spark, d):
@@ -192,8 +198,8 @@ def dominant_colors(spark, d):
 
 
 def image_letters(spark, d):
-    return S.table(spark, d, "orders").select("o_orderkey", T.letter_for_index(F.col("o_orderkey") % 15000).alias("letter"),
-                                              T.colors_in_filename(F.concat("o_orderkey", F.lit("a_Sky-Blue.webp")))[0].alias("color"))
+    return S.table(spark, d, "orders").select("o_orderkey", T.letter_for_index(F.col("o_orderkey") * 7).alias("letter"),
+                                              T.colors_in_filename(F.concat("o_orderkey", F.lit("ab_"), F.lower("o_orderpriority"), F.lit(".webp")))[0].alias("color"))
 
 
 def rewritten_urls(spark, d):
@@ -248,7 +254,7 @@ def manifest_json(spark, d):
 
 
 _P = f"""{S.OFFERS_SQL},
-prod AS (SELECT * REPLACE (model AS sku, ord * 100000 + CAST(split_part(sku, '-', 2) AS BIGINT) AS ord) FROM offers WHERE NOT is_old),
+prod AS (SELECT * REPLACE (model AS sku, ord * 100000 + CAST(split_part(sku, '-', 2) AS BIGINT) AS ord) FROM offers),
 words AS (SELECT sku, ord, regular_price, sale_price, unnest(w) AS color, generate_subscripts(w, 1) AS pos
   FROM (SELECT *, regexp_split_to_array(colors, ' ?[|,] ?') AS w FROM prod)),
 vars AS (SELECT *, {map_sql(_ENGLISH)}[color] AS en, sku || '-' || {map_sql(_ENGLISH)}[color] AS vsku FROM (
@@ -263,10 +269,11 @@ style AS (SELECT * FROM (VALUES ('روزمره', 'rozmrh'), ('اداری', 'adar
 named AS (SELECT h.*, CASE bare WHEN 'کیف دستی' THEN 'handbag' ELSE e || '-' || es END AS name_en
    FROM heads h, latin, style WHERE bare = k || ' ' || s)"""
 _FA = "translate({}, '0123456789', '۰۱۲۳۴۵۶۷۸۹')"
-_FILES_SQL = f"""files AS (SELECT CAST(l_partkey + 1000 AS VARCHAR) AS sku, chr(CAST(97 + CAST(l_quantity AS BIGINT) % 26 AS INTEGER)) AS letter,
-   {S.pick_sql(ENGLISH, 'l_linenumber % 8')} AS color FROM lineitem),
-pics AS (SELECT *, row_number() OVER (PARTITION BY sku ORDER BY letter) - 1 AS i FROM (
-   SELECT sku, letter, min(color) AS tail FROM files GROUP BY sku, letter))"""
+_FILES_SQL = f"""files AS (SELECT *, sku || letter || '_' || tail AS stem FROM (SELECT DISTINCT CAST(l_partkey + 1000 AS VARCHAR) AS sku,
+   CASE WHEN l_quantity <= 26 THEN chr(CAST(96 + l_quantity AS INTEGER)) ELSE 'a' || chr(CAST(70 + l_quantity AS INTEGER)) END AS letter,
+   {S.pick_sql(ENGLISH, 'l_linenumber % 8')} AS tail FROM lineitem)),
+pics AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY sku, letter ORDER BY stem) = 1 THEN sku || letter ELSE stem END AS source,
+   row_number() OVER (PARTITION BY sku ORDER BY length(letter), letter, stem) - 1 AS i FROM files)"""
 _FOLD = f"""{_FILES_SQL},
 pal AS (SELECT unnest({list(ENGLISH)}) AS c),
 steps AS (SELECT a.c AS norm, b.c AS tail, CASE WHEN contains(a.c, b.c) OR contains(b.c, a.c) THEN 1
@@ -283,7 +290,7 @@ fold AS (SELECT sku, CAST(0 AS BIGINT) AS k, [CAST(0 AS BIGINT)] AS used, CAST(N
 _REC = f"WITH RECURSIVE {_P}, {_FOLD}"
 _BASE = "n.name_en || '-' || n.model"
 _MAPPED = f"""mapped AS (
-  SELECT n.sku, p.i, n.sku || p.letter AS source, {_BASE} || '-' || CASE WHEN p.i = 0 THEN 'main' WHEN f.norm IS NOT NULL THEN f.norm
+  SELECT n.sku, p.i, p.source, {_BASE} || '-' || CASE WHEN p.i = 0 THEN 'main' WHEN f.norm IS NOT NULL THEN f.norm
      ELSE lpad(CAST(sum(CASE WHEN p.i > 0 AND f.norm IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY n.sku ORDER BY p.i) AS VARCHAR), 2, '0') END || '.webp' AS target
   FROM named n JOIN pics p ON p.sku = n.sku LEFT JOIN fold f ON f.sku = p.sku AND f.i = p.i)"""
 _ONE = "SELECT *, row_number() OVER (PARTITION BY is_old, sku ORDER BY ord) AS rn FROM offers"
@@ -317,8 +324,9 @@ SELECT o.vsku AS sku, o.sku AS parent_sku, o.regular_price,
   bare || ' کد ' || {_FA.format('n.model')} || ' - ' || o.color AS image_alt, o.color
 FROM lft o JOIN named n ON n.sku = o.sku LEFT JOIN gen ON gen.sku = o.sku AND gen.g = o.g AND o.h IS NULL"""),
     "export_gallery": (export_gallery, f"""{_REC}, {_MAPPED},
-g AS (SELECT m.*, f.norm, CASE WHEN m.i = 0 THEN 0 WHEN f.norm IS NOT NULL THEN f.k ELSE 1000 + m.i END AS o
-  FROM mapped m LEFT JOIN fold f ON f.sku = m.sku AND f.i = m.i)
+h AS (SELECT m.*, f.norm, CASE WHEN m.i = 0 THEN 0 WHEN f.norm IS NOT NULL THEN f.k ELSE 1000 + m.i END AS o
+  FROM mapped m LEFT JOIN fold f ON f.sku = m.sku AND f.i = m.i),
+g AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sku, target ORDER BY o) AS once FROM h) WHERE once = 1)
 SELECT g.sku, CAST(row_number() OVER (PARTITION BY g.sku ORDER BY o) - 1 AS INTEGER) AS pos, target AS file,
   n.bare || ' کد ' || n.model || CASE WHEN g.i = 0 THEN '' WHEN g.norm IS NULL THEN ' - نمای ' || regexp_extract(target, '([0-9]+).webp$', 1)
     ELSE ' رنگ ' || (SELECT arg_min(c.norm, c.k) FROM cols c WHERE c.sku = g.sku AND (c.norm = g.norm OR suffix(g.norm, '-' || c.norm))) END AS alt
@@ -341,7 +349,7 @@ SELECT model, count(*) AS rows, max(substring(name || ' ' || model || ' | فرو
    || chr(10) || chr(10) || 'برای خرید و کسب اطلاعات بیشتر با ما تماس بگیرید.' || chr(10))) AS full_md5,
   max(name || ' کد ' || model) AS keyword FROM prod GROUP BY model"""),
     "assign_images": (assign_images, f"""{_REC}
-SELECT f.sku, f.norm AS color, f.sku || p.letter AS source, CASE f.step WHEN 1 THEN 'exact' WHEN 2 THEN 'word' ELSE 'similar' END AS kind
+SELECT f.sku, f.norm AS color, p.source, CASE f.step WHEN 1 THEN 'exact' WHEN 2 THEN 'word' ELSE 'similar' END AS kind
 FROM fold f JOIN pics p ON p.sku = f.sku AND p.i = f.i WHERE f.i IS NOT NULL"""),
     "image_mapping": (image_mapping, f"{_REC}, {_MAPPED} SELECT source, target FROM mapped"),
     "image_gate": (image_gate, f"""{_REC}, {_MAPPED}
@@ -361,10 +369,10 @@ SELECT *, row_number() OVER (ORDER BY marked DESC, coverage DESC, folder DESC) =
     "image_sources": (image_sources, f"""WITH {_FILES_SQL},
 w AS (SELECT CAST(p_partkey + 1000 AS VARCHAR) AS sku, unnest(['a', 'b', 'z']) AS letter FROM part)
 SELECT w.sku || w.letter AS source, 'img/' || w.sku || w.letter || '_' || tail || '.webp' AS path, tail IS NOT NULL AS found
-FROM w LEFT JOIN pics USING (sku, letter)"""),
+FROM w LEFT JOIN (SELECT sku, letter, min(tail) AS tail FROM files GROUP BY sku, letter) USING (sku, letter)"""),
     "existing_files": (existing_files, """
-SELECT CAST(l_partkey + 1000 AS VARCHAR) AS sku, count(*) AS files FROM lineitem
-WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size > 25) GROUP BY 1"""),
+SELECT CASE WHEN p_size % 2 = 1 THEN 'A' ELSE '' END || (l_partkey + 1000) AS sku, count(*) AS files
+FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_size > 25 GROUP BY 1"""),
     "size_reduction": (size_reduction, """
 SELECT n AS input_files, b AS input_bytes, n AS output_files, a AS output_bytes, b - a AS saved_bytes, round((b - a) / CAST(b AS DOUBLE) * 100, 6) AS reduction_percent
 FROM (SELECT count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS b, CAST(sum(doc_id * 3) AS BIGINT) AS a FROM documents)"""),
@@ -384,9 +392,9 @@ z AS (SELECT *, sat * 2.0::DOUBLE + share * 4.0::DOUBLE + CASE WHEN dark THEN CA
    ELSE CASE WHEN sat > 0.3 THEN 2.0::DOUBLE WHEN light > 200 THEN -3 ELSE 0 END END AS score FROM k)
 SELECT image, r, g, b FROM (SELECT *, row_number() OVER (PARTITION BY image ORDER BY score DESC, share DESC, r, g, b) AS rn FROM z) WHERE rn = 1"""),
     "image_letters": (image_letters, """
-SELECT o_orderkey, CASE WHEN i < 26 THEN chr(97 + i) WHEN i < 702 THEN chr(96 + i // 26) || chr(97 + i % 26)
-  ELSE chr(97 + (i - 702) // 676 % 26) || chr(97 + (i - 702) // 26 % 26) || chr(97 + (i - 702) % 26) END AS letter, 'sky-blue' AS color
-FROM (SELECT o_orderkey, CAST(o_orderkey % 15000 AS INTEGER) AS i FROM orders)"""),
+WITH RECURSIVE w AS (SELECT o_orderkey, o_orderpriority, CAST(o_orderkey * 7 AS BIGINT) AS i, '' AS letter FROM orders
+  UNION ALL SELECT o_orderkey, o_orderpriority, i // 26 - 1, chr(CAST(97 + i % 26 AS INTEGER)) || letter FROM w WHERE i >= 0)
+SELECT o_orderkey, letter, lower(o_orderpriority) AS color FROM w WHERE i < 0"""),
     "rewritten_urls": (rewritten_urls, """
 SELECT p_partkey, CASE WHEN p_size > 25 THEN 'https://cdn.example/a.webp|https://x.example/i/' || p_partkey || '.webp'
   WHEN p_size > 10 THEN 'https://cdn.example/a.webp' ELSE '' END AS images FROM part"""),
