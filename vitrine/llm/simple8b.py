@@ -164,7 +164,7 @@ class Encoder:
     two units, so a text's ids are those of its units in turn.  A text with
     other white space than ASCII's, or with a special token's spelling, is
     given to the tokenizer whole.  Known units are kept per process, sorted by
-    hash, up to ``most`` ids.
+    hash, and let go when they have more than ``most`` ids.
     """
 
     def __init__(self, path: str, most: int = 10_000_000):
@@ -227,8 +227,6 @@ class Encoder:
 
     def _learn(self, key, units):
         order, flat, size = self._tokens(units)
-        if self.used > self.most:
-            self._clear()
         begin = self.used + np.cumsum(size) - size
         self.pool.append(flat)
         self.used += len(flat)
@@ -254,17 +252,12 @@ class Encoder:
         a, b = self._units(data, offsets)
         h = C.span_hash(C.prefix_hash(data), a, b)
         distinct, one, back = np.unique(h, return_index=True, return_inverse=True)
-        known = self._has(distinct)
-        if not known.all():
-            raw = data.tobytes()
-
-            def learn(which):
-                self._learn(distinct[which], [raw[x:y].decode() for x, y in zip(a[one[which]].tolist(), b[one[which]].tolist())])
-
-            learn(~known)
-            again = ~self._has(distinct)
-            if again.any():  # the table had been emptied meanwhile
-                learn(again)
+        if self.used > self.most:
+            self._clear()
+        new = ~self._has(distinct)
+        if new.any():
+            raw, one = data.tobytes(), one[new]
+            self._learn(distinct[new], [raw[x:y].decode() for x, y in zip(a[one].tolist(), b[one].tolist())])
         at = np.searchsorted(self.key, distinct)
         size = self.size[at][back]
         flat = self.pool[0][_ranges(self.begin[at][back], size)] if len(a) else np.zeros(0, np.uint32)
