@@ -8,20 +8,19 @@ meets in some node.
 
 * In every node that holds several classes each is compared with the node's
   least one, and confirmed pairs are joined to components.
-* Nodes left with more than one component are compared exhaustively if small;
-  larger ones branch on.
-* Where a crowd does not part by the last depth, its classes outside the least
-  component are compared with the others inside tiles of bounded size, and
-  only what is similar leaves the task: nothing is dropped for being in a
-  crowd, and no pairs are written out for it.
+* Nodes left with more than one component are compared exhaustively if small:
+  the classes outside the least component with the others, inside tiles of
+  bounded size, and only what is similar leaves the task.  Larger nodes branch
+  on; one that does not part by the last depth is cut into several tiles, so
+  nothing is dropped for being in a crowd.
 
 Pairs pass a 64-bit sketch (one bit per coordinate) before their full sets are
 compared; the sketch's limit lies 6.5 standard deviations beyond the
 threshold.  A class is known by a 64-bit hash of its whole set.
 
-A pair that shares 85 in 100 misses all ``TREES`` * ``BRANCHES`` paths down to
-the last depth about once in 100,000 times, and far less often where nodes are
-small before.
+A pair that shares 85 in 100 is apart on all ``TREES`` * ``BRANCHES`` paths at
+the first depth looked at about once in a million times, one that shares 80
+about seven times in 100,000.
 """
 
 from __future__ import annotations
@@ -38,13 +37,13 @@ from vitrine.llm.components import components
 from vitrine.session import cut_lineage
 
 COORDINATES = 64
-TREES = 10
+TREES = 12
 #: Children of a root; every other node passes a class on to one child.
 BRANCHES = 2
 #: Depth from which on nodes are looked at, and the last.
-FIRST_DEPTH, MAX_DEPTH = 3, 5
-#: Classes of a node that are compared exhaustively, and of one block of a tile.
-SMALL_NODE, BLOCK = 16, 512
+FIRST_DEPTH, MAX_DEPTH = 5, 8
+#: Classes of a node whose pairs are written out, of one that goes to tiles, and of one block of a tile.
+SMALL_NODE, CROWD, BLOCK = 12, 2048, 512
 
 U = np.uint64
 _rng = np.random.default_rng(8_675)
@@ -102,7 +101,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _child(node: np.ndarray, branch: int, coords: np.ndarray) -> np.ndarray:
     """The branch-th child of every node: a coordinate chosen by the node, and its value there."""
-    at = (C.mix(node + U(branch + 1) * U(0x2545F4914F6CDD1D)) % U(COORDINATES)).astype(np.int64)
+    # Branches of one node read different coordinates.
+    at = ((C.mix(node + U(0x2545F4914F6CDD1D)) + U(branch * 29)) % U(COORDINATES)).astype(np.int64)
     value = coords[np.arange(len(node)), at].astype(U)
     return C.mix((node ^ (at.astype(U) << U(40))) * U(0xD6E8FEB86659FD93) + value)
 
@@ -163,7 +163,11 @@ def _setter(width: int):
                 new = [i for i, c in enumerate(cids) if not (c in seen or seen.add(c))]
                 mask = np.zeros(part.num_rows, bool)
                 mask[new] = True
-                yield C.rows({"cid": part.column("cid"), "shingles": C.binary_rows(flat, begin)}).filter(pa.array(mask))
+                low = [np.unique(flat[a:b].astype(np.uint32)) for a, b in zip(begin[:-1], begin[1:])]
+                short = C.binary_rows(np.concatenate(low) if low else np.zeros(0, np.uint32),
+                                      np.cumsum([0, *map(len, low)]))
+                yield C.rows({"cid": part.column("cid"), "shingles": C.binary_rows(flat, begin),
+                              "short": short}).filter(pa.array(mask))
     return to_sets
 
 
@@ -182,10 +186,10 @@ def _confirmer(percent: int):
 
 
 def full_sets(classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """(cid, shingles) of the given classes, from one text of each."""
+    """(cid, shingles, short) of the given classes, from one text of each; short has 32 bits a shingle."""
     chosen = classes.select("cid", F.col("rep.doc_id").alias("r"), F.col("rep.tk").alias("rt"))
     texts = _keyed(docs).join(chosen, F.col("doc_id").eqNullSafe(F.col("r")) & (F.col("tk") == F.col("rt")))
-    return texts.select("cid", "text").mapInArrow(_setter(width), "cid bigint, shingles binary")
+    return texts.select("cid", "text").mapInArrow(_setter(width), "cid bigint, shingles binary, short binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -230,7 +234,7 @@ def _tiles(large: DataFrame, sets: DataFrame) -> DataFrame:
     dealt = large.select("node", "cid", "comp", "least", mine.alias("mine"),
                          F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     tile = F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other"))
-    return dealt.select("cid", "comp", "least", tile.alias("tile")).join(sets, "cid")
+    return dealt.select("cid", "comp", "least", tile.alias("tile")).join(sets.select("cid", "short"), "cid")
 
 
 def _tiler(percent: int):
@@ -242,7 +246,7 @@ def _tiler(percent: int):
         cids = np.array([r[1] for r in rows])
         comps = np.array([r[2] for r in rows])
         rest = np.flatnonzero(comps != np.array([r[3] for r in rows]))
-        sets = [np.unique(np.frombuffer(r[4], U).astype(np.uint32)) for r in rows]
+        sets = [np.frombuffer(r[4], np.uint32) for r in rows]
         size = np.array([len(x) for x in sets])
         begin = np.cumsum(size) - size
         _, flat = np.unique(np.concatenate(sets), return_inverse=True)
@@ -262,7 +266,7 @@ def _tiler(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
         for batch in batches:
-            for row in zip(*[batch.column(c).to_pylist() for c in ("tile", "cid", "comp", "least", "shingles")]):
+            for row in zip(*[batch.column(c).to_pylist() for c in ("tile", "cid", "comp", "least", "short")]):
                 if held and row[0] != held[0][0]:
                     yield compare(held)
                     held = []
@@ -304,14 +308,14 @@ def near_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         mixed = cut_lineage(_mixed(nodes, comp))
         small = _within_small(mixed)
         pairs = small if pairs is None else pairs.union(small)
-        large = mixed.filter(F.col("n") > SMALL_NODE)
-        if large.isEmpty():
-            break
-        if depth == MAX_DEPTH:
-            parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            crowd = (_tiles(large, sets).repartition(parts, "tile").sortWithinPartitions("tile")
-                     .mapInArrow(_tiler(percent), "a bigint, b bigint"))
-            pairs = pairs.union(crowd)
+        crowd = mixed.filter(F.col("n") > SMALL_NODE)
+        large = crowd.filter(F.col("n") > CROWD)
+        last = depth == MAX_DEPTH or large.isEmpty()
+        parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        tiles = _tiles(crowd if last else crowd.filter(F.col("n") <= CROWD), sets)
+        pairs = pairs.union(tiles.repartition(parts, "tile").sortWithinPartitions("tile")
+                            .mapInArrow(_tiler(percent), "a bigint, b bigint"))
+        if last:
             break
         nodes = (large.select("node", "cid").join(classes.select("cid", "coords"), "cid")
                  .mapInArrow(_branch, "node bigint, cid bigint"))
