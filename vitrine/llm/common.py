@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -10,6 +11,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from vitrine.session import shared_folder
+
 #: Bytes of text that one numpy step works on; bounds a task's memory.
 STEP_BYTES = 1 << 20
 
@@ -31,6 +34,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as a table in the folder all executors share, and read back.
+
+    Like a checkpoint it cuts lineage and outlives lost executors; columnar
+    and compressed, it takes a fraction of one's space where rows are many.
+    """
+    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def words(text: Column | str) -> Column:
     """Number of runs of other bytes than ASCII white space; null counts 0."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")

@@ -16,6 +16,8 @@ without bringing it together:
   suffixes with a common prefix of l bytes give, by backward extension with
   every byte, those of l + 1, until l reaches ``length``.  Suffixes with no
   boundary between them then agree in ``length`` bytes.
+* Before that, a region is let go if its bytes next to the anchor, which every
+  string of one half of its starts contains, occur in no other region.
 * An anchor with more than ``MOST`` different regions is settled start by
   start, by a hash of its bytes that is counted over the cluster.
 """
@@ -63,7 +65,7 @@ def anchors(data: np.ndarray, prefix: np.ndarray, length: int, gram: int) -> tup
     return first, np.append(first[1:], n) - 1, place[first]
 
 
-REGION = "ah bigint, rh bigint, doc_id bigint, tk bigint, p int, n int"
+REGION = "ah bigint, rh bigint, doc_id bigint, tk bigint, p int, n int, d int"
 
 
 def _finder(length: int, gram: int):
@@ -80,15 +82,16 @@ def _finder(length: int, gram: int):
                         ah = C.span_hash(prefix, at, at + gram)
                         # The same bytes at the same distances from the anchor.
                         rh = C.mix(C.span_hash(prefix, p1, p2 + length) + (at - p1).astype(U) * U(0x2545F4914F6CDD1D))
-                        parts.append((ah, rh, p1 + (c - a), p2 - p1 + 1))
+                        parts.append((ah, rh, p1 + (c - a), p2 - p1 + 1, at - p1))
                         rows.append((i, len(ah)))
                 if not parts:
                     continue
-                ah, rh, p, n = (np.concatenate(x) for x in zip(*parts))
+                ah, rh, p, n, d = (np.concatenate(x) for x in zip(*parts))
                 which = pa.array(np.repeat([r for r, _ in rows], [k for _, k in rows]))
                 yield C.rows({"ah": pa.array(ah.view(np.int64)), "rh": pa.array(rh.view(np.int64)),
                               "doc_id": part.column("doc_id").take(which), "tk": part.column("tk").take(which),
-                              "p": pa.array(p.astype(np.int32)), "n": pa.array(n.astype(np.int32))})
+                              "p": pa.array(p.astype(np.int32)), "n": pa.array(n.astype(np.int32)),
+                              "d": pa.array(d.astype(np.int32))})
     return find
 
 
@@ -101,7 +104,7 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
         key |= padded[j:j + n].astype(U) << U(8 * (7 - j))
     span = 8
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         step = np.concatenate(([0], np.cumsum(key[order][1:] != key[order][:-1])))
         if span >= depth or step[-1] == n - 1:
             return order
@@ -190,21 +193,36 @@ def _expander(length: int):
     return expand
 
 
-def _cutter(length: int):
-    """The bytes of the regions that are asked for of every text."""
+def _cutter(length: int, gram: int):
+    """The bytes of the regions that are asked for of every text.
+
+    With them come hashes of their cores: starts up to ``half`` before the
+    anchor all contain ``length - half`` bytes from the anchor on, those
+    farther away contain as many from ``half`` before it.
+    """
+    half = (length - gram) // 2
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in C.pieces(batch, "text"):
-                out = []
+                out: dict = {n: [] for n in ("ah", "rh", "c", "bytes", "cores")}
                 for text, asked in zip(part.column("text"), part.column("asked").to_pylist()):
                     raw = text.as_buffer()
-                    out += [(a["ah"], a["rh"], a["c"], a["m"], raw[a["p"]:a["p"] + a["n"] + length - 1].to_pybytes())
-                            for a in asked]
-                if out:
-                    ah, rh, c, m, raw = zip(*out)
-                    yield C.rows({"ah": pa.array(ah, pa.int64()), "rh": pa.array(rh, pa.int64()),
-                                  "c": pa.array(c, pa.int64()), "m": pa.array(m, pa.int64()),
-                                  "bytes": pa.array(raw, pa.binary())})
+                    data = np.frombuffer(raw, np.uint8)
+                    prefix = C.prefix_hash(data)
+                    for a in asked:
+                        p, n, at = a["p"], a["n"], a["p"] + a["d"]
+                        spans = [(at, at + length - half)] if p + n - 1 >= at - half else []
+                        if p < at - half:
+                            spans.append((at - half, at + length - 2 * half))
+                        b, e = np.array(spans).T
+                        h = C.mix(C.span_hash(prefix, b, e) + (at - b).astype(U))
+                        for name, x in zip(out, (a["ah"], a["rh"], a["c"],
+                                                 raw[p:p + n + length - 1].to_pybytes(), h.view(np.int64).tolist())):
+                            out[name].append(x)
+                if out["ah"]:
+                    yield C.rows({n: pa.array(out[n], pa.int64()) for n in ("ah", "rh", "c")} | {
+                        "bytes": pa.array(out["bytes"], pa.binary()), "cores": pa.array(out["cores"], pa.list_(pa.int64()))})
     return cut
 
 
@@ -260,24 +278,33 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most
     share their spans.
     """
     keyed = _keyed(docs)
-    regions = cut_lineage(keyed.filter(F.octet_length("text") >= length).mapInArrow(_finder(length, gram), REGION))
+    regions = C.stored(keyed.filter(F.octet_length("text") >= length).mapInArrow(_finder(length, gram), REGION))
     by_anchor = (regions.groupBy("ah").agg(F.count("*").alias("total"), F.min("rh").alias("low"), F.max("rh").alias("high"))
                  .filter("total > 1").select(F.col("ah").alias("a"), (F.col("low") != F.col("high")).alias("mixed")))
-    met = cut_lineage(regions.join(by_anchor, F.col("ah") == F.col("a")).drop("a"))
+    met = C.stored(regions.join(by_anchor, F.col("ah") == F.col("a")).drop("a"))
     whole = F.array(F.struct(F.lit(0).alias("s"), F.col("n").alias("e")))
     settled = met.filter(~F.col("mixed")).select("doc_id", "tk", "p", whole.alias("runs"))
 
     mixed = met.filter("mixed").drop("mixed")
     kinds = cut_lineage(mixed.groupBy("ah", "rh").agg(
-        F.count("*").alias("c"), F.min(F.struct("doc_id", "tk", "p", "n")).alias("one")))
-    crowd = kinds.groupBy(F.col("ah").alias("a")).agg(F.count("*").alias("m"))
-    asked = (kinds.join(crowd, F.col("ah") == F.col("a"))
-             .groupBy(F.col("one.doc_id").alias("d"), F.col("one.tk").alias("t"))
-             .agg(F.collect_list(F.struct("ah", "rh", "c", "m", F.col("one.p").alias("p"), F.col("one.n").alias("n"))).alias("asked")))
+        F.count("*").alias("c"), F.min(F.struct("doc_id", "tk", "p", "n", "d")).alias("one")))
+    asked = (kinds.groupBy(F.col("one.doc_id").alias("d"), F.col("one.tk").alias("t"))
+             .agg(F.collect_list(F.struct("ah", "rh", "c", F.col("one.p").alias("p"), F.col("one.n").alias("n"),
+                                         F.col("one.d").alias("d"))).alias("asked")))
     texts = keyed.join(asked, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tk") == F.col("t")))
     # Equal rows give the same bytes; one of them is enough.
-    cut = cut_lineage(texts.select("text", "asked").mapInArrow(
-        _cutter(length), "ah bigint, rh bigint, c bigint, m bigint, bytes binary"))
+    cut = C.stored(texts.select("text", "asked").mapInArrow(
+        _cutter(length, gram), "ah bigint, rh bigint, c bigint, bytes binary, cores array<bigint>"))
+    cores = cut.select("ah", "rh", "c", F.explode("cores").alias("core"))
+    shared = (cores.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("core").alias("k")))
+    # A region that occurs more than once is settled by itself but meets the others.
+    alive = (cores.join(shared, F.col("core") == F.col("k")).select(F.col("ah").alias("a"), F.col("rh").alias("r")).distinct())
+    crowd = alive.groupBy(F.col("a").alias("b")).agg(F.count("*").alias("m"))
+    alive = alive.join(crowd, F.col("a") == F.col("b")).drop("b")
+    cut = C.stored(cut.drop("cores").join(alive, (F.col("ah") == F.col("a")) & (F.col("rh") == F.col("r"))).drop("a", "r"))
+    many = mixed.join(kinds.filter("c > 1").select(F.col("ah").alias("a"), F.col("rh").alias("r")),
+                      (F.col("ah") == F.col("a")) & (F.col("rh") == F.col("r")), "left_semi")
+    settled = settled.unionByName(many.select("doc_id", "tk", "p", whole.alias("runs")))
     few = cut.filter(F.col("m") <= most)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     expanded = (few.repartition(parts, "ah").sortWithinPartitions("ah", "rh")
