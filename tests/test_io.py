@@ -172,7 +172,7 @@ def _at(h):
     return datetime.datetime(2024, 1, 1, h)
 
 
-def test_upsert_stream_resumes_and_compacts(spark, tmp_path):
+def test_upsert_stream_resumes(spark, tmp_path):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     _feed(spark, src, 1, [("a", 1, _at(1)), ("b", 1, _at(1)), ("a", 2, _at(2))])
     schema = spark.read.parquet(src).schema
@@ -183,9 +183,21 @@ def test_upsert_stream_resumes_and_compacts(spark, tmp_path):
     assert run() == {"a": 2, "b": 1}
     _feed(spark, src, 2, [("a", 9, _at(0)), ("b", 5, _at(3))])
     assert run() == {"a": 2, "b": 5}
-    from vitrine.operators.scale import last_by_key
-    G.compact(spark, out, lambda df: last_by_key(df, "k", "at"))
-    assert G.read_rows(spark, out).count() == 2 and run() == {"a": 2, "b": 5}
+    assert {r.batch for r in spark.read.parquet(out + "/rows").select("batch").distinct().collect()} == {0, 1}
+
+
+def test_stream_of_one_file_and_of_a_table_of_files(spark, tmp_path):
+    rows = spark.createDataFrame([(i, i % 3) for i in range(20)], "at int, k int")
+    rows.repartition(4).write.parquet(str(tmp_path / "many.parquet"))
+    part = next((tmp_path / "many.parquet").glob("part-*.parquet"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "one"))
+    next((tmp_path / "one").glob("part-*.parquet")).rename(tmp_path / "one.parquet")
+    for name in ("many.parquet", "one.parquet"):
+        out = str(tmp_path / f"out-{name}")
+        stream = G.file_stream(spark, str(tmp_path / name), rows.schema)
+        G.upsert_stream(stream, out, "k", ["at"], out + "-cp").awaitTermination()
+        assert sorted(r.at for r in G.read_latest(spark, out, "k", ["at"]).collect()) == [17, 18, 19]
+    assert part.exists()
 
 
 def test_price_history_stream_spans_batches(spark, tmp_path):

@@ -191,7 +191,7 @@ def _fresh(spark, name):
 
 def stream_upsert(spark, d):
     schema = S.table(spark, d, "events").schema
-    stream = G.file_stream(spark, d, schema, glob="events.parquet")
+    stream = G.file_stream(spark, f"{d}/events.parquet", schema)
     out = _fresh(spark, "upsert")
     G.upsert_stream(stream, out, "user_id", ["ts", "event_id"], out + "/progress").awaitTermination()
     return G.read_latest(spark, out, "user_id", ["ts", "event_id"]).select("user_id", "event_id", "event_type")
@@ -199,7 +199,7 @@ def stream_upsert(spark, d):
 
 def stream_history(spark, d):
     schema = S.table(spark, d, "events").schema
-    stream = (G.file_stream(spark, d, schema, glob="events.parquet")
+    stream = (G.file_stream(spark, f"{d}/events.parquet", schema)
               .withColumn("cents", F.round(F.col("value") * 100).cast("bigint")))
     out = _fresh(spark, "history")
     G.price_history_stream(stream, out, "user_id", "cents", ["ts", "event_id"], F.to_date("ts"),
@@ -208,6 +208,15 @@ def stream_history(spark, d):
         "user_id", "event_id", "cents", F.col("prev_price").alias("prev_cents"), "delta")
 
 
+def stream_retry(spark, d):
+    """Events as they come: failed ones are kept for a retry or given up."""
+    events = S.table(spark, d, "events")
+    out = _fresh(spark, "retry")
+    G.retry_stream(G.file_stream(spark, f"{d}/events.parquet", events.schema), lambda df: df.withColumns({
+        "failed": F.col("event_type") == "error", "hard": F.col("value") > 100}), out + "/t", out + "/progress").awaitTermination()
+    return G.read_outcome(spark, out + "/t", "retry").select("event_id", "user_id")
+
+
 _KIND = "CASE event_type WHEN 'view' THEN 'increase' WHEN 'purchase' THEN 'decrease' WHEN 'signup' THEN 'new' WHEN 'error' THEN 'removed' ELSE 'increase' END"
 _CENTS = "CAST(round(value * 100) AS BIGINT)"
 _LATEST = """l AS (SELECT * FROM (SELECT user_id % 25 AS run_id, 'step' || (user_id % 4) AS step,
@@ -294,6 +303,8 @@ SELECT p_partkey, CASE WHEN p_size > 25 THEN '+' ELSE '' END || CAST(p_size - 25
   CASE WHEN p_partkey % 3 > 0 THEN 'Failed (' || (p_partkey % 3) || ' images)' ELSE 'OK' END AS retry FROM (SELECT *, p_partkey * 1000 + 1 AS b FROM part)"""),
     "stream_upsert": (stream_upsert, """
 SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1"""),
+    "stream_retry": (stream_retry, """
+SELECT event_id, user_id FROM events WHERE event_type = 'error' AND NOT value > 100"""),
     "stream_history": (stream_history, f"""
 WITH e AS (SELECT user_id, event_id, ts, {_CENTS} AS cents FROM events),
 p AS (SELECT *, lag(cents) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_cents FROM e),

@@ -69,6 +69,13 @@ def _finished(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
 
 
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no folder yet."""
+    folder = _path(spark, path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+
+
 def write_daily_snapshot(df: DataFrame, path: str, date: str) -> bool:
     """The first snapshot of a day is kept."""
     return write_partition(df, path, "snapshot_date", date, overwrite=False)
@@ -81,8 +88,7 @@ def drop_old_snapshots(spark: SparkSession, path: str, run_date: str,
     The dates come from folder names, one short string per day on disk.
     """
     fs = _path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in fs.listStatus(_path(spark, path))]
-    dates = [n.split("=", 1)[1] for n in names if n.startswith("snapshot_date=")]
+    dates = [n.split("=", 1)[1] for n in _folders(spark, path) if n.startswith("snapshot_date=")]
     if not dates:
         return []
     aged = (spark.createDataFrame([(d,) for d in dates], "d string")
@@ -94,10 +100,14 @@ def drop_old_snapshots(spark: SparkSession, path: str, run_date: str,
 
 def save_history(spark: SparkSession, path: str, new: DataFrame, version: int,
                  rows: int = V.HISTORY_ROWS_PER_KEY) -> str:
-    """Append and cap; each version is a new folder so readers never see half."""
-    from vitrine.sources.readers import exists
-    old = f"{path}/version={version - 1}"
-    history = spark.read.parquet(old) if exists(spark, old) else new.limit(0)
+    """Append and cap; each version is a new folder so readers never see half.
+
+    The newest finished version before ``version`` is taken up, whatever its
+    number; with none there yet the history begins.
+    """
+    earlier = [int(n.split("=", 1)[1]) for n in _folders(spark, path) if n.startswith("version=")]
+    done = [v for v in earlier if v < version and _finished(spark, f"{path}/version={v}")]
+    history = spark.read.parquet(f"{path}/version={max(done)}") if done else new.limit(0)
     target = f"{path}/version={version}"
     append_history(history, new, rows).write.mode("overwrite").parquet(target)
     return target

@@ -1,9 +1,9 @@
 """Incremental ingest with Structured Streaming.
 
-State is a folder of small upserts: every micro-batch writes its own delta
-(named by batch id, so a replayed batch overwrites itself) and readers take
-the latest row per key.  ``compact`` folds old deltas into a base.  Nothing
-is rewritten per batch, whatever the size of the state.
+A micro-batch becomes one Parquet partition, ``batch=<id>``, of the result
+table: a replayed batch overwrites its own partition and nothing else, and
+readers take the latest row per key.  Whatever the size of the table, a batch
+only writes its own rows.
 """
 
 from __future__ import annotations
@@ -19,55 +19,28 @@ from vitrine.operators.scale import last_by_key, previous_within
 from vitrine.operators.tracking import tracked_percent
 
 
-def _children(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return []
-    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    return sorted(int(s.getPath().getName()[len(prefix):]) for s in fs.listStatus(folder)
-                  if s.getPath().getName().startswith(prefix)
-                  and fs.exists(done(s.getPath(), "_SUCCESS")))
+def write_batch(df: DataFrame, path: str, batch_id: int, *by: str) -> None:
+    """The rows of one batch as its partition of the table at ``path``."""
+    (df.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch", *by).parquet(path))
 
 
-def _parts(spark: SparkSession, path: str, before: int | None = None) -> list[str]:
-    """Finished base and later deltas, only those of batches before ``before``."""
-    bases = [b for b in _children(spark, path + "/base", "upto=") if before is None or b < before]
-    base = bases[-1] if bases else -1
-    deltas = [d for d in _children(spark, path + "/delta", "batch=")
-              if d > base and (before is None or d < before)]
-    return ([f"{path}/base/upto={base}"] if bases else []) + [f"{path}/delta/batch={d}" for d in deltas]
-
-
-def read_rows(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    parts = _parts(spark, path, before)
-    return spark.read.parquet(*parts) if parts else None
-
-
-def read_latest(spark: SparkSession, path: str, keys, order, before: int | None = None) -> DataFrame | None:
-    rows = read_rows(spark, path, before)
-    return None if rows is None else last_by_key(rows, keys, order)
-
-
-def write_delta(df: DataFrame, path: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/delta/batch={batch_id}")
-
-
-def compact(spark: SparkSession, path: str, fold: Callable[[DataFrame], DataFrame]) -> None:
-    """Fold the finished deltas into a new base."""
-    deltas = _children(spark, path + "/delta", "batch=")
-    rows = read_rows(spark, path)
-    if rows is not None and deltas:
-        fold(rows).write.mode("overwrite").parquet(f"{path}/base/upto={deltas[-1]}")
+def read_latest(spark: SparkSession, path: str, keys, order) -> DataFrame:
+    return last_by_key(spark.read.parquet(f"{path}/rows").drop("batch"), keys, order)
 
 
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
-                files_per_batch: int = 1000, glob: str | None = None) -> DataFrame:
-    reader = (spark.readStream.schema(schema).format(fmt)
-              .option("maxFilesPerTrigger", files_per_batch))
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path)
+                files_per_batch: int = 1000) -> DataFrame:
+    """The files of a folder, or one file, as a stream.
+
+    A path without a wildcard is written as a pattern of itself: a stream
+    takes a single file only by a pattern, and a folder by either.
+    """
+    bare = path.rstrip("/")
+    if not any(c in bare for c in "*?[{"):
+        bare = f"{bare[:-1]}[{bare[-1]}]"
+    return (spark.readStream.schema(schema).format(fmt)
+            .option("maxFilesPerTrigger", files_per_batch).load(bare))
 
 
 def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None],
@@ -80,7 +53,7 @@ def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None],
 def upsert_stream(stream: DataFrame, path: str, keys, order, checkpoint: str) -> StreamingQuery:
     """Latest row per key; each batch is reduced to its own latest rows first."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_delta(last_by_key(batch, keys, order), path, batch_id)
+        write_batch(last_by_key(batch, keys, order), f"{path}/rows", batch_id)
     return run_available(stream, handle, checkpoint)
 
 
@@ -103,24 +76,30 @@ def price_history_stream(stream: DataFrame, path: str, key: str, price: str, ord
                          rows: int = V.HISTORY_ROWS_PER_KEY) -> StreamingQuery:
     """Append every price change, at most ``rows`` of a key per batch.
 
-    Batches must arrive in time order.  The state of earlier batches only is
-    read, so a replayed batch sees what it saw the first time.
+    Batches must arrive in time order.  A batch meets the latest earlier row
+    of its own keys only, and rows of earlier batches only, so a replayed
+    batch sees what it saw the first time.
     """
+    columns = list(dict.fromkeys([key, price, *order]))
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        state = read_latest(spark, f"{path}/state", key, order, before=batch_id)
+        latest = last_by_key(batch.select(*columns), key, order)
+        empty = latest.limit(0).withColumn("batch", F.lit(0))
+        # An empty table to begin with; where it is there, nothing is done.
+        empty.write.mode("ignore").partitionBy("batch").parquet(f"{path}/state")
+        before = spark.read.schema(empty.schema).parquet(f"{path}/state").filter(F.col("batch") < batch_id)
+        state = last_by_key(before.select(*columns).join(batch.select(key).distinct(), key, "left_semi"), key, order)
         steps = price_step_rows(batch, state, key, price, order, slice_by)
-        write_delta(cap_history(steps, rows, key, order[0], tuple(order[1:])),
-                    f"{path}/history", batch_id)
-        write_delta(last_by_key(batch.select(key, price, *order), key, order),
-                    f"{path}/state", batch_id)
+        write_batch(cap_history(steps, rows, key, order[0], tuple(order[1:])), f"{path}/history", batch_id)
+        write_batch(latest, f"{path}/state", batch_id)
     return run_available(stream, handle, checkpoint)
 
 
 def read_history(spark: SparkSession, path: str, key: str, order: list[str],
-                 rows: int = V.HISTORY_ROWS_PER_KEY) -> DataFrame | None:
-    seen = read_rows(spark, f"{path}/history")
-    return None if seen is None else cap_history(seen, rows, key, order[0], tuple(order[1:]))
+                 rows: int = V.HISTORY_ROWS_PER_KEY) -> DataFrame:
+    seen = spark.read.parquet(f"{path}/history").drop("batch")
+    return cap_history(seen, rows, key, order[0], tuple(order[1:]))
 
 
 def retry_stream(stream: DataFrame, process: Callable[[DataFrame], DataFrame], path: str,
@@ -133,10 +112,9 @@ def retry_stream(stream: DataFrame, process: Callable[[DataFrame], DataFrame], p
     from vitrine.operators.dedupe import split_retry
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        split = split_retry(process(batch))
-        split.write.mode("overwrite").partitionBy("outcome").parquet(f"{path}/batch={batch_id}")
+        write_batch(split_retry(process(batch)), path, batch_id, "outcome")
     return run_available(stream, handle, checkpoint)
 
 
 def read_outcome(spark: SparkSession, path: str, outcome: str) -> DataFrame:
-    return spark.read.parquet(path).filter(F.col("outcome") == outcome)
+    return spark.read.parquet(path).filter(F.col("outcome") == outcome).drop("batch")
