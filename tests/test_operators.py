@@ -318,3 +318,24 @@ def test_standardize_small(spark):
     assert {"sport", "x"} <= {r.token for r in out.unknown_words.collect()}
     metrics = out.metrics.first()
     assert (metrics.rows_read, metrics.rows_removed, metrics.words_translated) == (3, 1, 1)
+
+
+def test_nested_markup_is_taken_whole(spark):
+    from vitrine.operators import pages as G
+    rows = [('<div class="tabs description"><div>one</div><p>two</p><div><div>three</div></div></div><div>out</div>', "one two three"),
+            ('<div class="description">x</div>', "x"), ('<p>no</p>', None), ('<section class="a description b"><p>y', "y"), (None, None)]
+    df = spark.createDataFrame(rows, "html string, want string")
+    got = df.select("want", G.inner_text(G.of_class("html", "description")).alias("got")).collect()
+    assert all(r.want == r.got for r in got)
+
+
+def test_labels_of_many_spellings(spark):
+    from vitrine import vocab as V
+    from vitrine.operators import pages as G
+    a, b, c, e = (V.SPEC_LABELS[k][0] for k in ("closure", "lining", "usage", "strap_count"))
+    html = (f"<dl><dt>{a}</dt><dd>zip</dd></dl><ul><li>{b}: silk</li></ul><div><label>{c}</label><span>travel</span></div>"
+            f"<p>{e} 3</p><table><tr><td>{a}</td><td>wrong</td></tr></table>"
+            f"<table class=\"shop_attributes\"><tr><th>{V.SPEC_LABELS['long_strap'][0]}</th><td>yes</td></tr></table>")
+    df = spark.createDataFrame([(1, "http://x.example/p", html)], "page_id int, url string, html string")
+    got = G.page_fields(df).first()
+    assert (got.closure, got.lining, got.usage, got.strap_count, got.long_strap) == ("zip", "silk", "travel", "3", "yes")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from vitrine import vocab as V
 from vitrine.functions.dates import jalali_text
 from vitrine.functions.prices import largest_number, parse_price, tracked_percent
 from vitrine.functions.text import code_after_word, name_through_code
@@ -104,3 +105,9 @@ def price_steps(observations: DataFrame, key: str, order, slice_by: Column,
     return (seen.filter(F.col("prev_price").isNotNull() & (F.col("prev_price") != F.col(price)))
             .withColumn("delta", F.col(price) - F.col("prev_price"))
             .withColumn("percent", tracked_percent(F.col("prev_price"), F.col(price))))
+
+
+def significant_changes(df: DataFrame, percent: str = "percent",
+                        threshold: float = V.SIGNIFICANT_CHANGE_PERCENT) -> DataFrame:
+    """Rows whose change, up or down, reaches the threshold in percent."""
+    return df.filter(F.abs(percent) >= threshold)

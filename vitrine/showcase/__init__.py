@@ -3,9 +3,9 @@
 
 def all_queries() -> dict:
     """name -> (callable(spark, folder) -> DataFrame, DuckDB SQL or None)."""
-    from vitrine.showcase import changes, cleaning, publishing, runs, sites
+    from vitrine.showcase import changes, cleaning, files, publishing, runs, sites
     out: dict = {}
-    for module in (changes, cleaning, publishing, runs, sites):
+    for module in (changes, cleaning, files, publishing, runs, sites):
         clash = out.keys() & module.QUERIES.keys()
         if clash:
             raise ValueError(f"query names used twice: {sorted(clash)}")

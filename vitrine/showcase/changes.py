@@ -207,7 +207,7 @@ def significant_changes(spark, d):
     """Price changes of at least five percent, counted by direction."""
     steps = _diff(spark, d, colors=False).filter("price_changed").select(
         P.price_change("old_price", "new_price")["percent"].alias("percent"))
-    return (steps.filter(F.abs("percent") >= 5.0)
+    return (K.significant_changes(steps)
             .groupBy((F.col("percent") > 0).alias("is_increase")).agg(F.count("*").alias("changes")))
 
 

@@ -81,6 +81,12 @@ def write_daily_snapshot(df: DataFrame, path: str, date: str) -> bool:
     return write_partition(df, path, "snapshot_date", date, overwrite=False)
 
 
+def write_dated(df: DataFrame, path: str, date: str) -> None:
+    """The run's dated copy under ``archive``, and the same as ``latest``."""
+    write_partition(df, f"{path}/archive", "run_date", date)
+    df.write.mode("overwrite").parquet(f"{path}/latest")
+
+
 def drop_old_snapshots(spark: SparkSession, path: str, run_date: str,
                        days: int = V.SNAPSHOT_DAYS) -> list[str]:
     """Remove the partitions older than ``days``; returns their dates.
