@@ -186,7 +186,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[Block]:
     """The benchmark block by block, in the order of its ids."""
     ids, words, size = [], [], 0
     rows = (benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-            .distinct().orderBy("item_id", "text").toLocalIterator())
+            .distinct().coalesce(1).sortWithinPartitions("item_id", "text").toLocalIterator())
     for r in rows:
         h, _ = word_hashes(*C.text_bytes(pa.array([r.text], pa.string())))
         if not len(h):

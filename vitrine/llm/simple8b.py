@@ -302,7 +302,8 @@ def write_blocks(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
 
     A shard is one range of ids; its blocks follow each other.  Every
     document's ids end with ``end_id``; a null text is that id alone.  Null
-    ids come first.  Ties keep together and are ordered by text.
+    ids come first.  Ties are ordered by a hash of the text, so rows of one id
+    may lie in several shards.
     """
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -328,7 +329,8 @@ def write_blocks(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
 
     count = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     ordered = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-               .repartitionByRange(count, "doc_id").sortWithinPartitions("doc_id", "text"))
+               .withColumn("__tie", F.xxhash64("text"))
+               .repartitionByRange(count, "doc_id", "__tie").sortWithinPartitions("doc_id", "__tie", "text").drop("__tie"))
     ordered.mapInArrow(blocks, BLOCK).write.mode("overwrite").parquet(path)
 
 
