@@ -95,15 +95,16 @@ def latest_steps(events: DataFrame, tie: tuple = ()) -> DataFrame:
 
 
 def latest_info(events: DataFrame, tie: tuple = ()) -> DataFrame:
-    """Latest info a step recorded; a later status without info keeps it."""
+    """Per run and step, the newest event that carries info; events without any do not count."""
     return last_by_key(events.filter(F.col("info").isNotNull()), ["run_id", "step"], ["at", *tie])
 
 
 def run_status(events: DataFrame, tie: tuple = (), failed: Column | None = None) -> DataFrame:
-    """failed while any step's latest status is; complete once marked; else running.
+    """One row per run: its state, number of steps and newest event.
 
-    Steps are reduced to their latest row before runs are grouped, so a run
-    with very many events ships one row per step.
+    Only the newest event of a step matters, and one bad step outweighs the
+    mark of a finished run.  Events are cut to one per step before runs are
+    grouped, however many there are.
     """
     latest = latest_steps(events, tie)
     bad = F.col("status").isin("failed", "error") if failed is None else failed
@@ -115,10 +116,10 @@ def run_status(events: DataFrame, tie: tuple = (), failed: Column | None = None)
 
 
 def current_outputs(recorded: DataFrame, files: DataFrame, run_id: str) -> DataFrame:
-    """Recorded outputs (step, path, size, mtime, run_id) with ``is_current``.
+    """Adds ``is_current`` to recorded outputs (step, path, size, mtime, run_id).
 
-    An output is current when this run recorded it and the file on disk
-    (path, size, mtime) is not empty and still has that size and time.
+    True for rows of ``run_id`` whose path is among ``files`` (path, size,
+    mtime) with some content and, where they were recorded, equal size and time.
     """
     disk = files.select(F.col("path").alias("__p"), F.col("size").alias("__size"),
                         F.col("mtime").alias("__mtime"))
