@@ -18,8 +18,8 @@ without bringing it together:
   boundary between them then agree in ``length`` bytes.
 * Before that, a region is let go if its bytes next to the anchor, which every
   string of one half of its starts contains, occur in no other region.
-* An anchor with more than ``MOST`` different regions is settled start by
-  start, by a hash of its bytes that is counted over the cluster.
+* An anchor with more than ``MOST`` different regions is settled by hashes of
+  the bytes of sixteen starts, of four and of one, counted over the cluster.
 """
 
 from __future__ import annotations
@@ -205,7 +205,7 @@ def _cutter(length: int, gram: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in C.pieces(batch, "text"):
-                out: dict = {n: [] for n in ("ah", "rh", "c", "bytes", "cores")}
+                out: dict = {n: [] for n in ("ah", "rh", "c", "d", "bytes", "cores")}
                 for text, asked in zip(part.column("text"), part.column("asked").to_pylist()):
                     raw = text.as_buffer()
                     data = np.frombuffer(raw, np.uint8)
@@ -217,34 +217,69 @@ def _cutter(length: int, gram: int):
                             spans.append((at - half, at + length - 2 * half))
                         b, e = np.array(spans).T
                         h = C.mix(C.span_hash(prefix, b, e) + (at - b).astype(U))
-                        for name, x in zip(out, (a["ah"], a["rh"], a["c"],
+                        for name, x in zip(out, (a["ah"], a["rh"], a["c"], a["d"],
                                                  raw[p:p + n + length - 1].to_pybytes(), h.view(np.int64).tolist())):
                             out[name].append(x)
                 if out["ah"]:
-                    yield C.rows({n: pa.array(out[n], pa.int64()) for n in ("ah", "rh", "c")} | {
+                    yield C.rows({n: pa.array(out[n], pa.int64()) for n in ("ah", "rh", "c", "d")} | {
                         "bytes": pa.array(out["bytes"], pa.binary()), "cores": pa.array(out["cores"], pa.list_(pa.int64()))})
     return cut
 
 
-def _hasher(length: int):
-    """A hash of the bytes at every start of a region."""
+def _hasher(length: int, size: int):
+    """Hashes for ``size`` neighbouring starts at a time of the ``pending`` ones of a region.
+
+    ``span`` is of all bytes of these starts, ``core`` of the bytes that every
+    start at these distances from the anchor contains.
+    """
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in zip(*[batch.column(c).to_pylist() for c in ("ah", "rh", "c", "bytes")]):
-                data = np.frombuffer(row[3], np.uint8)
-                at = np.arange(len(data) - length + 1)
-                n = len(at)
-                yield C.rows({
-                    "ah": pa.array(np.full(n, row[0])), "rh": pa.array(np.full(n, row[1])),
-                    "c": pa.array(np.full(n, row[2])), "at": pa.array(at.astype(np.int32)),
-                    "wh": pa.array(C.span_hash(C.prefix_hash(data), at, at + length).view(np.int64))})
+            names = ("ah", "rh", "c", "lo", "n", "core", "span")
+            out: dict = {n: [] for n in names}
+            for ah, rh, c, d, raw, pending in zip(*[batch.column(x).to_pylist() for x in ("ah", "rh", "c", "d", "bytes", "pending")]):
+                data = np.frombuffer(raw, np.uint8)
+                prefix = C.prefix_hash(data)
+                at = np.concatenate([np.arange(x["lo"], x["lo"] + x["n"]) for x in pending])
+                block = (d - at) // size
+                cut = np.flatnonzero(np.diff(block, prepend=-1) | (np.diff(at, prepend=at[0] - 2) != 1))
+                first, last = at[cut], at[np.append(cut[1:], len(at)) - 1]
+                right = d - block[cut] * size
+                core = C.span_hash(prefix, right, right - (size - 1) + length)
+                span = C.span_hash(prefix, first, last + length)
+                key = np.array([ah], np.int64).view(U) * U(0x9E3779B97F4A7C15)
+                for name, x in zip(names, (np.full(len(cut), ah), np.full(len(cut), rh), np.full(len(cut), c), first, last - first + 1,
+                                           C.mix((core ^ key) + block[cut].astype(U)).view(np.int64),
+                                           C.mix((span ^ key) + (d - first).astype(U) * U(4099) + (d - last).astype(U)).view(np.int64))):
+                    out[name].append(x)
+            if out["ah"]:
+                yield C.rows({n: pa.array(np.concatenate(out[n]).astype(np.int32 if n in ("lo", "n") else np.int64)) for n in names})
     return hashes
 
 
-def _runs_of(hits: DataFrame) -> DataFrame:
-    """(ah, rh, runs) from single repeated starts (ah, rh, at); a region has few hundred starts."""
-    return hits.groupBy("ah", "rh").agg(F.transform(F.array_sort(F.collect_set("at")), lambda a: F.struct(
-        a.alias("s"), (a + 1).alias("e"))).alias("runs"))
+def _crowded(hot: DataFrame, length: int) -> DataFrame:
+    """(ah, rh, runs) for anchors with very many regions, by counting hashes over the cluster.
+
+    Sixteen starts are looked at together: repeated bytes settle all of them,
+    an unrepeated core rules all of them out, and only what is left is looked
+    at by fours and then one by one.
+    """
+    found = None
+    pending = hot.withColumn("pending", F.array(F.struct(
+        F.lit(0).alias("lo"), (F.octet_length("bytes") - (length - 1)).cast("int").alias("n"))))
+    for size in (16, 4, 1):
+        hashed = C.stored(pending.mapInArrow(
+            _hasher(length, size), "ah bigint, rh bigint, c bigint, lo int, n int, core bigint, span bigint"))
+        alive = hashed.groupBy(F.col("core").alias("k")).agg(F.sum("c").alias("t")).filter("t > 1").select("k")
+        whole = hashed.groupBy(F.col("span").alias("w")).agg(F.sum("c").alias("u")).filter("u > 1").select("w")
+        judged = hashed.join(alive, F.col("core") == F.col("k")).join(whole, F.col("span") == F.col("w"), "left")
+        hits = judged.filter("w is not null").select("ah", "rh", F.struct(F.col("lo").alias("s"), (F.col("lo") + F.col("n")).alias("e")).alias("run"))
+        found = hits if found is None else found.unionByName(hits)
+        # What is settled stays as a partner of what is not.
+        open_ = judged.filter("w is null").select(F.col("k").alias("o")).distinct()
+        left = judged.join(open_, F.col("k") == F.col("o"), "left_semi").groupBy(F.col("ah").alias("x"), F.col("rh").alias("y")).agg(
+            F.array_sort(F.collect_list(F.struct("lo", "n"))).alias("pending"))
+        pending = hot.join(left, (F.col("ah") == F.col("x")) & (F.col("rh") == F.col("y"))).drop("x", "y")
+    return found.groupBy("ah", "rh").agg(F.collect_set("run").alias("runs"))
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,7 +329,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most
     texts = keyed.join(asked, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tk") == F.col("t")))
     # Equal rows give the same bytes; one of them is enough.
     cut = C.stored(texts.select("text", "asked").mapInArrow(
-        _cutter(length, gram), "ah bigint, rh bigint, c bigint, bytes binary, cores array<bigint>"))
+        _cutter(length, gram), "ah bigint, rh bigint, c bigint, d bigint, bytes binary, cores array<bigint>"))
     cores = cut.select("ah", "rh", "c", F.explode("cores").alias("core"))
     shared = (cores.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("core").alias("k")))
     # A region that occurs more than once is settled by itself but meets the others.
@@ -309,9 +344,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     expanded = (few.repartition(parts, "ah").sortWithinPartitions("ah", "rh")
                 .mapInArrow(_expander(length), "ah bigint, rh bigint, runs array<struct<s:int,e:int>>"))
-    single = cut.filter(F.col("m") > most).mapInArrow(_hasher(length), "ah bigint, rh bigint, c bigint, at int, wh bigint")
-    common = single.groupBy(F.col("wh").alias("w")).agg(F.sum("c").alias("times")).filter("times > 1")
-    alone = _runs_of(single.join(common, F.col("wh") == F.col("w")).select("ah", "rh", "at"))
+    alone = _crowded(cut.filter(F.col("m") > most), length)
     verdicts = expanded.unionByName(alone).select(F.col("ah").alias("a"), F.col("rh").alias("r"), "runs")
     judged = (mixed.join(verdicts, (F.col("ah") == F.col("a")) & (F.col("rh") == F.col("r")))
               .filter(F.size("runs") > 0).select("doc_id", "tk", "p", "runs"))
