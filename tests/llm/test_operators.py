@@ -88,6 +88,24 @@ def test_near_groups(spark, monkeypatch, small):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_near_pairs_in_crowds(spark, monkeypatch):
+    """Pairs just above the threshold among texts that all share a template are not lost for the crowd."""
+    import random
+    rng = random.Random(12)
+    monkeypatch.setattr(neardup, "CROWD", 2)
+    template = [f"t{i}" for i in range(160)]
+    texts = []
+    for _ in range(220):
+        own = [f"n{rng.randrange(10 ** 9)}" for _ in range(40)]
+        texts.append(" ".join(template + own))
+        for i in range(4, 39, 5):
+            own[i] = f"m{rng.randrange(10 ** 9)}"
+        texts.append(" ".join(template + own))
+    rows = list(enumerate(texts))
+    got = neardup.near_components(spark.createDataFrame(rows, "doc_id bigint, text string"), 3, 80).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == groups(dict(rows), 3, 80)
+
+
 def test_near_groups_of_odd_rows(odd, empty):
     got = neardup.near_components(odd, 3, 85).collect()
     assert len(got) == len(ODD)

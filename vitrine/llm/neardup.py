@@ -11,8 +11,9 @@ meets in some node.
 * Nodes left with more than one component are compared exhaustively if small:
   the classes outside the least component with the others, inside tiles of
   bounded size, and only what is similar leaves the task.  Larger nodes branch
-  on; one that does not part by the last depth is cut into several tiles, so
-  nothing is dropped for being in a crowd.
+  on to the last depth along ``SPLITS`` paths each, so that a pair in a crowd
+  is hardly likelier to be parted than one elsewhere; there the star step is
+  done once more, and what is left is cut into tiles whatever its size.
 
 Pairs pass a 64-bit sketch (one bit per coordinate) before their full sets are
 compared; the sketch's limit lies 6.5 standard deviations beyond the
@@ -40,8 +41,8 @@ COORDINATES = 64
 TREES = 12
 #: Children of a root; every other node passes a class on to one child.
 BRANCHES = 2
-#: Depth from which on nodes are looked at, and the last.
-FIRST_DEPTH, MAX_DEPTH = 5, 8
+#: Depth at which nodes are looked at, the one crowds branch on to, and the paths of a crowd to there.
+FIRST_DEPTH, MAX_DEPTH, SPLITS = 5, 8, 8
 #: Classes of a node whose pairs are written out, of one that goes to tiles, and of one block of a tile.
 SMALL_NODE, CROWD, BLOCK = 12, 2048, 512
 
@@ -111,6 +112,17 @@ def _coords(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, COORDINATES)
 
 
+def _paths(root: np.ndarray, branches: int, depth: int, coords: np.ndarray) -> list[np.ndarray]:
+    """The nodes ``depth`` below each root, one per branch."""
+    found = []
+    for branch in range(branches):
+        node = _child(root, branch, coords)
+        for _ in range(depth - 1):
+            node = _child(node, 0, coords)
+        found.append(node)
+    return found
+
+
 def _plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The nodes of the first depth looked at that a class belongs to, over all trees."""
     for batch in batches:
@@ -120,21 +132,20 @@ def _plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
         for tree in range(TREES):
             root = np.full(len(coords), C.mix(np.array([tree + 1], U))[0])
-            for branch in range(BRANCHES):
-                node = _child(root, branch, coords)
-                for _ in range(FIRST_DEPTH - 1):
-                    node = _child(node, 0, coords)
-                found.append(node)
+            found += _paths(root, BRANCHES, FIRST_DEPTH, coords)
         n = len(found)
         yield C.rows({"node": pa.array(np.concatenate(found).view(np.int64)),
                       "cid": pa.concat_arrays([batch.column("cid")] * n)})
 
 
 def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The nodes of the last depth that members of crowded nodes go on to."""
     for batch in batches:
         if batch.num_rows:
-            node = _child(np.asarray(batch.column("node")).view(U), 0, _coords(batch.column("coords")))
-            yield C.rows({"node": pa.array(node.view(np.int64)), "cid": batch.column("cid")})
+            node = np.asarray(batch.column("node")).view(U)
+            found = _paths(node, SPLITS, MAX_DEPTH - FIRST_DEPTH, _coords(batch.column("coords")))
+            yield C.rows({"node": pa.array(np.concatenate(found).view(np.int64)),
+                          "cid": pa.concat_arrays([batch.column("cid")] * SPLITS)})
 
 
 def sketch_limit(threshold: float) -> int:
@@ -213,6 +224,17 @@ def _mixed(nodes: DataFrame, comp: DataFrame) -> DataFrame:
     return named.join(stat, "node")
 
 
+def _stars(nodes: DataFrame) -> DataFrame:
+    """Distinct pairs of every class and the least one of a node it is in; nodes have their hubs."""
+    return nodes.filter("hub <> cid").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
+
+
+def _with_hubs(planted: DataFrame) -> DataFrame:
+    """The nodes that hold several classes, with the least of them."""
+    heads = planted.groupBy("node").agg(F.count("*").alias("n"), F.min("cid").alias("hub")).filter("n > 1").drop("n")
+    return cut_lineage(planted.join(heads, "node"))
+
+
 def _within_small(mixed: DataFrame) -> DataFrame:
     """All pairs of different components within nodes of at most ``SMALL_NODE`` classes."""
     held = (mixed.filter(F.col("n") <= SMALL_NODE).groupBy("node")
@@ -294,31 +316,26 @@ def near_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
             F.min(rep).alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"),
             F.first("coords").alias("coords")))
     planted = classes.select("cid", "coords").mapInArrow(_plant, "node bigint, cid bigint")
-    heads = planted.groupBy("node").agg(F.count("*").alias("n"), F.min("cid").alias("hub")).filter("n > 1").drop("n")
-    nodes = cut_lineage(planted.join(heads, "node"))
+    nodes = _with_hubs(planted)
     met = nodes.select("cid").distinct()
     sets = cut_lineage(full_sets(classes.join(met, "cid", "left_semi"), docs, width))
-    stars = nodes.filter("hub <> cid").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
-    links = cut_lineage(confirmed(_sieve(stars, classes, percent), sets, percent))
+    links = cut_lineage(confirmed(_sieve(_stars(nodes), classes, percent), sets, percent))
     comp = cut_lineage(components(links)).withColumnRenamed("node", "node_c")
 
-    pairs = None
-    nodes = nodes.select("node", "cid")
-    for depth in range(FIRST_DEPTH, MAX_DEPTH + 1):
-        mixed = cut_lineage(_mixed(nodes, comp))
-        small = _within_small(mixed)
-        pairs = small if pairs is None else pairs.union(small)
-        crowd = mixed.filter(F.col("n") > SMALL_NODE)
-        large = crowd.filter(F.col("n") > CROWD)
-        last = depth == MAX_DEPTH or large.isEmpty()
-        parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        tiles = _tiles(crowd if last else crowd.filter(F.col("n") <= CROWD), sets)
-        pairs = pairs.union(tiles.repartition(parts, "tile").sortWithinPartitions("tile")
-                            .mapInArrow(_tiler(percent), "a bigint, b bigint"))
-        if last:
-            break
-        nodes = (large.select("node", "cid").join(classes.select("cid", "coords"), "cid")
+    mixed = cut_lineage(_mixed(nodes.select("node", "cid"), comp))
+    large = mixed.filter(F.col("n") > CROWD)
+    if not large.isEmpty():
+        split = (large.select("node", "cid").join(classes.select("cid", "coords"), "cid")
                  .mapInArrow(_branch, "node bigint, cid bigint"))
+        split = _with_hubs(split)
+        links = cut_lineage(links.union(confirmed(_sieve(_stars(split), classes, percent), sets, percent)))
+        comp = cut_lineage(components(links)).withColumnRenamed("node", "node_c")
+        kept = mixed.filter(F.col("n") <= CROWD).select("node", "cid").union(split.select("node", "cid"))
+        mixed = cut_lineage(_mixed(kept, comp))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tiles = _tiles(mixed.filter(F.col("n") > SMALL_NODE), sets)
+    pairs = _within_small(mixed).union(tiles.repartition(parts, "tile").sortWithinPartitions("tile")
+                                       .mapInArrow(_tiler(percent), "a bigint, b bigint"))
     more = cut_lineage(confirmed(_sieve(pairs.distinct(), classes, percent), sets, percent))
     comp = cut_lineage(components(links.union(more))).withColumnRenamed("node", "node_c")
 
