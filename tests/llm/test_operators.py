@@ -8,7 +8,7 @@ import zlib
 from fractions import Fraction
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from vitrine.llm import (chat, decontaminate, fingerprint, language, maintext, mixing, neardup, quality, simple8b,
                          stages, substrings)
@@ -119,6 +119,15 @@ def test_near_groups_of_odd_rows(odd, empty):
     assert neardup.near_components(empty).count() == 0 and neardup.keep_one(empty).count() == 0
 
 
+def test_keep_one_keeps_rows_not_ids(spark):
+    one, two, three, four = (" ".join(f"{c}{i}" for i in range(30)) for c in "wxyz")
+    rows = [(1, two), (5, one + " a"), (5, two), (None, three), (None, four), (None, three), (None, "l m n"), (7, "l m n"),
+            (None, ""), (None, None)]
+    kept = neardup.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string"), 3, 85).collect()
+    assert sorted(map(str, kept)) == sorted(str(Row(doc_id=d, text=t)) for d, t in [
+        (1, two), (5, one + " a"), (None, three), (None, four), (7, "l m n"), (None, ""), (None, None)])
+
+
 def test_mixing(spark, odd, empty):
     rows = [(i, f"s{i % 7}" if i % 11 else None, (i * 37) % 90) for i in range(900)]
     docs = spark.createDataFrame(rows, "doc_id bigint, source string, size bigint")

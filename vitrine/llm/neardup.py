@@ -298,17 +298,8 @@ def _tiler(percent: int):
     return run
 
 
-def near_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row per row of ``docs`` (doc_id, text).
-
-    Two documents are linked if ``percent`` of the union of their shingle sets
-    is shared; ``component_id`` is the least doc_id that links reach, ``kept``
-    marks the rows that bear it.  Texts without words (null, empty, blank) have
-    an empty set and stand alone.  Rows with one doc_id are rows like others; a
-    null doc_id is never a component's name unless there is no other, and such
-    a row is kept only then.  Other columns are ignored; an empty table gives
-    an empty table.
-    """
+def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(doc_id, tk, n_shingles, cid, comp) of every row; cid and comp are null for texts without words."""
     signed = cut_lineage(signatures(docs, width))
     rep = F.struct("doc_id", "tk")
     classes = cut_lineage(
@@ -339,7 +330,21 @@ def near_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     more = cut_lineage(confirmed(_sieve(pairs.distinct(), classes, percent), sets, percent))
     comp = cut_lineage(components(links.union(more))).withColumnRenamed("node", "node_c")
 
-    named = _named(signed.select("doc_id", "n_shingles", "cid"), comp)
+    return _named(signed.select("doc_id", "tk", "n_shingles", "cid"), comp)
+
+
+def near_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), one row per row of ``docs`` (doc_id, text).
+
+    Two documents are linked if ``percent`` of the union of their shingle sets
+    is shared; ``component_id`` is the least doc_id that links reach, ``kept``
+    marks the rows that bear it.  Texts without words (null, empty, blank) have
+    an empty set and stand alone.  Rows with one doc_id are rows like others; a
+    null doc_id is never a component's name unless there is no other, and such
+    a row is kept only then.  Other columns are ignored; an empty table gives
+    an empty table.
+    """
+    named = _grouped(docs, width, percent)
     least = named.filter("comp is not null").groupBy(F.col("comp").alias("in_comp")).agg(F.min("doc_id").alias("first_id"))
     out = named.join(least, F.col("comp") == F.col("in_comp"), "left")
     out = out.withColumn("component_id", F.coalesce("first_id", "doc_id"))
@@ -350,12 +355,19 @@ def near_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row per near-duplicate group: the one with the least doc_id.
 
-    Rows with one doc_id count as one document, of which the row with the
-    least text stays.  All columns are kept.
+    Groups are of rows, not of ids: rows with one doc_id, or none, stay apart
+    unless their texts are near copies.  A null id comes last; among equal ids
+    the least hash of the text is taken.  Texts without words all stay.  All
+    columns are kept.
     """
-    ids = near_components(docs, width, percent).filter("kept").select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__key")).distinct()
-    keyed = docs.withColumn("__key", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    one = F.row_number().over(Window.partitionBy("__key").orderBy("text"))
-    return (keyed.join(ids, "__key", "left_semi").withColumn("__row", one)
-            .filter("__row = 1").drop("__key", "__row"))
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tk")
+    chosen = (_grouped(docs, width, percent).filter("comp is not null").groupBy("comp").agg(F.min(rank).alias("rank"))
+              .select(F.col("rank.doc_id").alias("__id"), F.col("rank.tk").alias("__tk")))
+    worded = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    keyed = docs.filter(worded).withColumns({"__row_id": F.col("doc_id").cast("bigint"), "__row_tk": F.xxhash64("text")})
+    kept = keyed.join(chosen, F.col("__row_id").eqNullSafe(F.col("__id")) & (F.col("__row_tk") == F.col("__tk")), "left_semi")
+    # Rows equal in id and text are told apart by their other columns.
+    others = [c for c, kind in docs.dtypes if "map<" not in kind]
+    one = F.row_number().over(Window.partitionBy("__row_id", "__row_tk").orderBy(F.xxhash64(*others)))
+    return (kept.withColumn("__row", one).filter("__row = 1").select(*docs.columns)
+            .union(docs.filter(~worded)))
