@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 
 from vitrine.llm import common as C
-from vitrine.llm import decontaminate, dom, language, maintext, quality, simple8b, substrings
+from vitrine.llm import decontaminate, dom, language, maintext, neardup, quality, simple8b, substrings
 
 WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 
@@ -112,6 +112,19 @@ def test_common_subsequence():
         assert decontaminate.common_subsequence(a, b) == plain(a, b)
 
 
+def test_near_pairs_meet_as_often_as_stated():
+    rng = np.random.default_rng(9)
+    pairs, apart = 60_000, 0
+    for _ in range(6):
+        coords = rng.integers(0, 2**32, (pairs // 6, neardup.COORDINATES), dtype=np.uint32)
+        other = np.where(rng.random(coords.shape) < 0.8, coords, rng.integers(0, 2**32, coords.shape, dtype=np.uint32))
+        met = np.stack([a == b for a, b in zip(neardup.planted(coords), neardup.planted(other))]).any(0)
+        apart += int((~met).sum())
+    assert apart <= 14  # 4.2 are expected at seven in 100,000
+    assert neardup.miss_rate(0.85) < 1.3e-6 and neardup.miss_rate(0.85, crowds=True) < 1.4e-6
+    assert neardup.miss_rate(0.80) < 7.2e-5 and neardup.miss_rate(0.80, crowds=True) < 8e-5
+
+
 def test_gram_models_are_distributions():
     texts = {"x": ["abab abba cab"] * 3, "y": ["cdcd dccd acd"] * 2 + ["é"]}
     counts = {l: tuple(np.unique(language.grams(t)[0], return_counts=True)) for l, t in texts.items()}

@@ -15,13 +15,14 @@ meets in some node.
   is hardly likelier to be parted than one elsewhere; there the star step is
   done once more, and what is left is cut into tiles whatever its size.
 
-Pairs pass a 64-bit sketch (one bit per coordinate) before their full sets are
+Pairs pass a 64-bit sketch (one bit of each of the first 64 coordinates) before their full sets are
 compared; the sketch's limit lies 6.5 standard deviations beyond the
 threshold.  A class is known by a 64-bit hash of its whole set.
 
-A pair that shares 85 in 100 is apart on all ``TREES`` * ``BRANCHES`` paths at
-the first depth looked at about once in a million times, one that shares 80
-about seven times in 100,000.
+All paths draw from the same ``COORDINATES`` minwise values.  Counted with
+that, a pair that shares 85 in 100 is apart on all ``TREES`` * ``BRANCHES``
+paths at the depth looked at 1.2 times in a million (1.3 in crowds), one that
+shares 80 seven times (eight) in 100,000; see ``miss_rate``.
 """
 
 from __future__ import annotations
@@ -37,8 +38,8 @@ from vitrine.llm import common as C
 from vitrine.llm.components import components
 from vitrine.session import cut_lineage
 
-COORDINATES = 64
-TREES = 12
+COORDINATES, SKETCH_BITS = 256, 64
+TREES = 14
 #: Children of a root; every other node passes a class on to one child.
 BRANCHES = 2
 #: Depth at which nodes are looked at, the one crowds branch on to, and the paths of a crowd to there.
@@ -51,7 +52,7 @@ _rng = np.random.default_rng(8_675)
 _MUL = _rng.integers(1, 2**63, COORDINATES, dtype=np.uint64) * U(2) + U(1)
 _ADD = _rng.integers(1, 2**63, COORDINATES, dtype=np.uint64)
 
-SIGNED = "doc_id bigint, tk bigint, n_shingles bigint, cid bigint, sketch bigint, coords binary"
+SIGNED = "doc_id bigint, tk bigint, n_shingles bigint, cid bigint, sketch bigint, nodes binary"
 
 
 def _sets(text: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -69,29 +70,36 @@ def _class_ids(flat: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return C.mix((total[begin[1:]] - total[begin[:-1]]) ^ (size * U(0x9E3779B97F4A7C15)))
 
 
+def _minwise(flat: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """The minwise values of every row's set; zeros for an empty one."""
+    coords = np.zeros((len(begin) - 1, COORDINATES), np.uint32)
+    some = np.flatnonzero(np.diff(begin))
+    for i in range(COORDINATES if len(some) else 0):
+        least = np.minimum.reduceat((flat ^ _ADD[i]) * _MUL[i], begin[:-1][some])
+        coords[some, i] = C.mix(least).astype(np.uint32)
+    return coords
+
+
 def _signer(width: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in C.pieces(batch, "text"):
                 flat, begin = _sets(part.column("text"), width)
                 size = np.diff(begin)
-                some = np.flatnonzero(size)
-                coords = np.zeros((part.num_rows, COORDINATES), np.uint32)
-                for i in range(COORDINATES if len(some) else 0):
-                    least = np.minimum.reduceat((flat ^ _ADD[i]) * _MUL[i], begin[:-1][some])
-                    coords[some, i] = C.mix(least).astype(np.uint32)
-                bits = np.packbits((coords & 1).astype(np.uint8), axis=1).view(">i8")[:, 0].astype(np.int64)
+                coords = _minwise(flat, begin)
+                nodes = np.stack(planted(coords), 1)
+                bits = np.packbits((coords[:, :SKETCH_BITS] & 1).astype(np.uint8), axis=1).view(">i8")[:, 0].astype(np.int64)
                 empty = size == 0
                 yield C.rows({
                     "doc_id": part.column("doc_id"), "tk": part.column("tk"), "n_shingles": pa.array(size),
                     "cid": pa.array(_class_ids(flat, begin).view(np.int64), mask=empty),
-                    "sketch": pa.array(bits), "coords": C.binary_rows(
-                        coords.view(np.uint8).ravel(), np.arange(part.num_rows + 1) * 4 * COORDINATES)})
+                    "sketch": pa.array(bits), "nodes": C.binary_rows(
+                        nodes.ravel(), np.arange(part.num_rows + 1) * nodes.shape[1])})
     return sign
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """Per document: doc_id, a hash of its text, its set's size, class and minwise values."""
+    """Per document: doc_id, a hash of its text, its set's size, class, sketch and nodes in all trees."""
     return _keyed(docs).mapInArrow(_signer(width), SIGNED)
 
 
@@ -100,58 +108,78 @@ def _keyed(docs: DataFrame) -> DataFrame:
                        F.col("text").cast("string").alias("text"))
 
 
-def _child(node: np.ndarray, branch: int, coords: np.ndarray) -> np.ndarray:
-    """The branch-th child of every node: a coordinate chosen by the node, and its value there."""
+def _child(node: np.ndarray, branch: int, coords: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """The branch-th child of every node: a coordinate chosen by the node, and its value there in a row of ``coords``."""
     # Branches of one node read different coordinates.
     at = ((C.mix(node + U(0x2545F4914F6CDD1D)) + U(branch * 29)) % U(COORDINATES)).astype(np.int64)
-    value = coords[np.arange(len(node)), at].astype(U)
+    value = coords[row, at].astype(U)
     return C.mix((node ^ (at.astype(U) << U(40))) * U(0xD6E8FEB86659FD93) + value)
 
 
-def _coords(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, COORDINATES)
-
-
-def _paths(root: np.ndarray, branches: int, depth: int, coords: np.ndarray) -> list[np.ndarray]:
+def _paths(root: np.ndarray, branches: int, depth: int, coords: np.ndarray, row: np.ndarray) -> list[np.ndarray]:
     """The nodes ``depth`` below each root, one per branch."""
     found = []
     for branch in range(branches):
-        node = _child(root, branch, coords)
+        node = _child(root, branch, coords, row)
         for _ in range(depth - 1):
-            node = _child(node, 0, coords)
+            node = _child(node, 0, coords, row)
         found.append(node)
     return found
 
 
+def planted(coords: np.ndarray) -> list[np.ndarray]:
+    """The nodes of the first depth looked at that every row belongs to, over all trees."""
+    found, row = [], np.arange(len(coords))
+    for tree in range(TREES):
+        root = np.full(len(coords), C.mix(np.array([tree + 1], U))[0])
+        found += _paths(root, BRANCHES, FIRST_DEPTH, coords, row)
+    return found
+
+
+def miss_rate(likeness: float, crowds: bool = False) -> float:
+    """Probability that a pair of sets has no common node, with or without all its nodes being crowds.
+
+    The number of coordinates that agree is binomial; given it, paths are independent.
+    """
+    total = 0.0
+    for k in range(COORDINATES + 1):
+        f = k / COORDINATES
+        log = (math.lgamma(COORDINATES + 1) - math.lgamma(k + 1) - math.lgamma(COORDINATES - k + 1)
+               + k * math.log(likeness) + (COORDINATES - k) * math.log(1 - likeness))
+        meet = f ** FIRST_DEPTH * (1 - (1 - f ** (MAX_DEPTH - FIRST_DEPTH)) ** SPLITS if crowds else 1)
+        total += math.exp(log) * (1 - meet) ** (TREES * BRANCHES)
+    return total
+
+
 def _plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The nodes of the first depth looked at that a class belongs to, over all trees."""
+    """One row per class and node it belongs to."""
     for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        coords = _coords(batch.column("coords"))
-        found = []
-        for tree in range(TREES):
-            root = np.full(len(coords), C.mix(np.array([tree + 1], U))[0])
-            found += _paths(root, BRANCHES, FIRST_DEPTH, coords)
-        n = len(found)
-        yield C.rows({"node": pa.array(np.concatenate(found).view(np.int64)),
-                      "cid": pa.concat_arrays([batch.column("cid")] * n)})
+        if batch.num_rows:
+            node = np.frombuffer(b"".join(batch.column("nodes").to_pylist()), np.int64)
+            cid = np.asarray(batch.column("cid"))
+            yield C.rows({"node": pa.array(node), "cid": pa.array(np.repeat(cid, len(node) // len(cid)))})
 
 
 def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The nodes of the last depth that members of crowded nodes go on to."""
+    """The nodes of the last depth that members of crowded nodes go on to, from their sets."""
     for batch in batches:
-        if batch.num_rows:
-            node = np.asarray(batch.column("node")).view(U)
-            found = _paths(node, SPLITS, MAX_DEPTH - FIRST_DEPTH, _coords(batch.column("coords")))
+        for part in C.pieces(batch, "shingles"):
+            sets = part.column("shingles").to_pylist()
+            begin = np.concatenate(([0], np.cumsum([len(x) // 8 for x in sets])))
+            coords = _minwise(np.frombuffer(b"".join(sets), U), begin)
+            crowds = part.column("crowds").to_pylist()
+            row = np.repeat(np.arange(len(crowds)), [len(x) for x in crowds])
+            node = np.concatenate([np.array(x, np.int64) for x in crowds]).view(U)
+            found = _paths(node, SPLITS, MAX_DEPTH - FIRST_DEPTH, coords, row)
+            cid = np.asarray(part.column("cid"))[row]
             yield C.rows({"node": pa.array(np.concatenate(found).view(np.int64)),
-                          "cid": pa.concat_arrays([batch.column("cid")] * SPLITS)})
+                          "cid": pa.array(np.tile(cid, SPLITS))})
 
 
 def sketch_limit(threshold: float) -> int:
     """Bits of a sketch in which a pair at the threshold differs at most."""
     p = (1 - threshold) / 2
-    return int(COORDINATES * p + 6.5 * math.sqrt(COORDINATES * p * (1 - p)))
+    return int(SKETCH_BITS * p + 6.5 * math.sqrt(SKETCH_BITS * p * (1 - p)))
 
 
 def _sieve(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -229,10 +257,10 @@ def _stars(nodes: DataFrame) -> DataFrame:
     return nodes.filter("hub <> cid").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
 
 
-def _with_hubs(planted: DataFrame) -> DataFrame:
+def _with_hubs(nodes: DataFrame) -> DataFrame:
     """The nodes that hold several classes, with the least of them."""
-    heads = planted.groupBy("node").agg(F.count("*").alias("n"), F.min("cid").alias("hub")).filter("n > 1").drop("n")
-    return cut_lineage(planted.join(heads, "node"))
+    heads = nodes.groupBy("node").agg(F.count("*").alias("n"), F.min("cid").alias("hub")).filter("n > 1").drop("n")
+    return cut_lineage(nodes.join(heads, "node"))
 
 
 def _within_small(mixed: DataFrame) -> DataFrame:
@@ -305,9 +333,8 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     classes = cut_lineage(
         signed.filter("cid is not null").groupBy("cid").agg(
             F.min(rep).alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"),
-            F.first("coords").alias("coords")))
-    planted = classes.select("cid", "coords").mapInArrow(_plant, "node bigint, cid bigint")
-    nodes = _with_hubs(planted)
+            F.first("nodes").alias("nodes")))
+    nodes = _with_hubs(classes.select("cid", "nodes").mapInArrow(_plant, "node bigint, cid bigint"))
     met = nodes.select("cid").distinct()
     sets = cut_lineage(full_sets(classes.join(met, "cid", "left_semi"), docs, width))
     links = cut_lineage(confirmed(_sieve(_stars(nodes), classes, percent), sets, percent))
@@ -316,9 +343,9 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     mixed = cut_lineage(_mixed(nodes.select("node", "cid"), comp))
     large = mixed.filter(F.col("n") > CROWD)
     if not large.isEmpty():
-        split = (large.select("node", "cid").join(classes.select("cid", "coords"), "cid")
-                 .mapInArrow(_branch, "node bigint, cid bigint"))
-        split = _with_hubs(split)
+        crowds = large.groupBy("cid").agg(F.collect_set("node").alias("crowds"))
+        split = _with_hubs(crowds.join(sets.select("cid", "shingles"), "cid")
+                           .mapInArrow(_branch, "node bigint, cid bigint"))
         links = cut_lineage(links.union(confirmed(_sieve(_stars(split), classes, percent), sets, percent)))
         comp = cut_lineage(components(links)).withColumnRenamed("node", "node_c")
         kept = mixed.filter(F.col("n") <= CROWD).select("node", "cid").union(split.select("node", "cid"))
