@@ -7,6 +7,7 @@ import struct
 import zlib
 from fractions import Fraction
 
+import numpy as np
 import pytest
 from pyspark.sql import Row, functions as F
 
@@ -220,6 +221,15 @@ def test_language(spark, odd, empty):
     assert language.identify(odd, language.learn(empty)).count() == len(ODD)
 
 
+def test_every_gram_is_counted_by_itself(spark):
+    import random
+    rng = random.Random(7)
+    texts = ["".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(1500)) for _ in range(60)]
+    models = language.learn(spark.createDataFrame([(t, "zh") for t in texts], "text string, lang string"))
+    want = np.unique(language.grams(texts)[0])
+    assert len(want) > 85_000 and (models.key[language.ORDER] == want).all()
+
+
 def test_contamination(spark, odd, empty):
     import random
     rng = random.Random(8)

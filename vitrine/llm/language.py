@@ -3,9 +3,9 @@
 One model of ``ORDER`` characters per language, from counts over every learning
 row.  Texts are lower-cased, everything but letters and marks becomes one
 space, and a gram is its characters packed 16 bits each.  Distinct grams are
-counted where the text lies and summed by Spark; per language they are kept in
-at most ``SLOTS`` slots (grams that share a slot pool their counts), so the
-tables sent to the tasks have a size bound.
+counted where the text lies and summed by Spark, every gram by itself: nothing
+is pooled or pruned, so the tables sent to the tasks grow with the distinct
+grams of the languages (not with the rows).
 
 A table is a sorted array of packed grams with one row of log probabilities,
 all languages side by side.  The language with the least cross-entropy per
@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame, functions as F
 from vitrine.llm import common as C
 
 ORDER = 4
-SLOTS_BITS = 20
 BITS = 16
 START = 1
 UNKNOWN = "und"
@@ -232,14 +231,13 @@ class Models:
 def learn(docs: DataFrame) -> Models:
     """Models of all languages in ``docs`` (text, lang); rows without text or lang teach nothing.
 
-    What reaches the driver is the summed table of at most 2**SLOTS_BITS rows
-    a language, and the cross-entropies of ``CALIBRATION_ROWS`` rows.
+    What reaches the driver is the summed table, one row per language and
+    distinct gram, and the cross-entropies of ``CALIBRATION_ROWS`` rows.
     """
     known = docs.filter("text is not null and lang is not null").select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    slot = F.shiftrightunsigned(F.xxhash64("gram"), 64 - SLOTS_BITS)
     summed = (known.mapInArrow(_counted, "lang string, gram bigint, n bigint")
-              .groupBy("lang", slot.alias("slot")).agg(F.sum("n").alias("n"), F.min("gram").alias("gram")).drop("slot"))
+              .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     table = summed.toArrow()
     langs = np.array(table.column("lang").to_pylist(), object)
     gram = np.asarray(table.column("gram").combine_chunks()).view(U) if len(langs) else np.zeros(0, U)
