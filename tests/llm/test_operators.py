@@ -267,6 +267,27 @@ def test_contamination(spark, odd, empty):
     assert sorted(whole) == sorted(blocks)
 
 
+def test_contamination_by_items_of_frequent_words(spark):
+    import random
+    rng = random.Random(10)
+    usual = [f"u{i}" for i in range(300)]
+
+    def text(n):
+        return [rng.choice(usual) for _ in range(n)]
+    item = text(120)
+    item[::20] = [f"r{i}" for i in range(6)]  # no window of 32 words has three of them
+    rows = [(i, " ".join(text(300))) for i in range(150)]
+    for i in range(16):
+        rows.append((1000 + i, " ".join(text(50 + i) + item + text(60))))
+        some = list(item)
+        for j in rng.sample(range(115), 42):
+            some[j] = f"p{rng.randrange(10 ** 9)}"
+        rows.append((2000 + i, " ".join(text(50 + i) + some + text(60))))
+    benchmark = spark.createDataFrame([("q", " ".join(item))], "item_id string, text string")
+    got = decontaminate.contaminated(spark.createDataFrame(rows, "doc_id bigint, text string"), benchmark).collect()
+    assert sorted(r.doc_id for r in got if r.contaminated) == sorted(d for d, _ in rows if d >= 1000)
+
+
 def test_fingerprints(spark, odd, empty):
     rows = [(i * 3 - 20, " ".join(f"w{(i * k) % 97}" for k in range(i * 7))) for i in range(40)] + [(500, None)]
     got = {r.doc_id: r for r in fingerprint.fingerprints(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}

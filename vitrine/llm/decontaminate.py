@@ -35,12 +35,10 @@ BLOCK_WORDS = 40_000
 RANK, EXTRA = 128, 16
 #: A word in more than this share of the chunks carries no content.
 COMMON = 0.002
-#: Rarest words of an item that always count as content.
+#: Rarest words of a passage that always count as content.
 RAREST = 6
 #: Share of an item's own latent cosine that makes a candidate.
 NEAR = 0.5
-#: Content words that a window needs, unless some item has fewer.
-LEAST_WORDS = 3
 #: LCS share that proves a copy, and the one that does together with the answer.
 COPY, PARAPHRASE, ANSWER = 0.8, 0.6, 0.8
 ANSWER_WORDS = 5
@@ -71,6 +69,10 @@ def common_subsequence(item: list, words: list) -> int:
     return len(item) - free.bit_count()
 
 
+def passage_starts(n_words: int) -> range:
+    return range(0, max(n_words - CHUNK_WORDS, 1), CHUNK_WORDS)
+
+
 class Block:
     """Items of a block, their words, and what the passes learn about them."""
 
@@ -91,8 +93,10 @@ class Block:
         idf = np.log((1 + chunks) / (1 + df))
         content = df <= COMMON * chunks
         for w in self.words:
-            mine = np.unique(np.searchsorted(self.vocabulary, w))
-            content[mine[np.argsort(df[mine], kind="stable")[:RAREST]]] = True
+            at = np.searchsorted(self.vocabulary, w)
+            for a in passage_starts(len(w)):
+                mine = np.unique(at[a:a + 2 * CHUNK_WORDS])
+                content[mine[np.argsort(df[mine], kind="stable")[:RAREST]]] = True
         self.weight = np.where(content, np.maximum(idf, 0.1), 0).astype(np.float32)
 
     def passages(self) -> tuple[np.ndarray, np.ndarray]:
@@ -100,7 +104,7 @@ class Block:
         found, of = [], []
         for i, w in enumerate(self.words):
             at = np.searchsorted(self.vocabulary, w)
-            for a in range(0, max(len(w) - CHUNK_WORDS, 1), CHUNK_WORDS):
+            for a in passage_starts(len(w)):
                 row = np.zeros(len(self.vocabulary), np.float32)
                 np.add.at(row, at[a:a + 2 * CHUNK_WORDS], self.weight[at[a:a + 2 * CHUNK_WORDS]])
                 found.append(row)
@@ -127,8 +131,6 @@ class Block:
         self.latent = (latent / size[:, None]).astype(np.float32)
         self.enough = NEAR * np.maximum((self.latent ** 2).sum(1), 1e-3)
         self.masks = [w.tolist() for w in self.words]
-        known = [int((self.weight[np.unique(np.searchsorted(self.vocabulary, w))] > 0).sum()) for w in self.words]
-        self.fewest = min(LEAST_WORDS, *known)
 
 
 def _hits(block: Block, part: pa.RecordBatch):
@@ -227,12 +229,15 @@ def learned(docs: DataFrame, block: Block) -> Block:
 
 def _confirm(block: Block, i: int, words: list) -> float:
     """LCS share of item i in ``words`` if it is a copy or an answered paraphrase, else 0."""
-    item = block.masks[i]
+    item, there = block.masks[i], set(words)
+    # No common subsequence is longer than the item's words that are there at all.
+    if sum(w in there for w in item) < PARAPHRASE * len(item):
+        return 0.0
     share = common_subsequence(item, words) / len(item)
     if share >= COPY:
         return share
     if share >= PARAPHRASE:
-        answer, there = item[-ANSWER_WORDS:], set(words)
+        answer = item[-ANSWER_WORDS:]
         if sum(w in there for w in answer) >= ANSWER * len(answer):
             return share
     return 0.0
@@ -254,23 +259,14 @@ def search(block: Block, part: pa.RecordBatch) -> list[tuple[str | None, float]]
     follows[:-1] = (here[1:] == here[:-1] + 1) & (text[1:] == text[:-1])
     nxt = np.minimum(np.arange(len(cut)) + 1, len(cut) - 1)
     size = np.sqrt(weight2 + np.where(follows, weight2[nxt], 0))
-    # A window with fewer content words than any item could leave in it is no candidate.
-    count = np.diff(np.append(cut, len(which)))
-    rich = count + np.where(follows, count[nxt], 0) >= block.fewest
-    used = rich.copy()
-    used[1:] |= rich[:-1] & follows[:-1]
-    number = np.cumsum(used) - 1
-    mine = np.repeat(used, count)
-    words, begin = which[mine], np.cumsum(count[used]) - count[used]
-    windows = np.flatnonzero(rich)
-    ends = np.append(begin, len(words))
-    for a in range(0, len(windows), 20_000):
-        some = windows[a:a + 20_000]
-        low, high = number[some[0]], min(number[some[-1]] + 2, len(begin))
-        sums = np.add.reduceat(block.space[words[ends[low]:ends[high]]], begin[low:high] - begin[low])
-        vector = sums[number[some] - low]
+    ends = np.append(cut, len(which))
+    for a in range(0, len(cut), 20_000):
+        some = np.arange(a, min(a + 20_000, len(cut)))
+        high = min(int(some[-1]) + 2, len(cut))
+        sums = np.add.reduceat(block.space[which[cut[a]:ends[high]]], cut[a:high] - cut[a])
+        vector = sums[some - a]
         both = np.flatnonzero(follows[some])
-        vector[both] += sums[number[some[both]] + 1 - low]
+        vector[both] += sums[both + 1]
         near = (vector @ block.latent.T) / size[some, None] >= block.enough
         window, passage = np.nonzero(near)
         for w, p in zip(window.tolist(), passage.tolist()):
