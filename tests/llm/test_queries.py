@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from vitrine.llm.queries import OP8_SQL, QUERIES
+from vitrine.llm.queries import OP8_SQL, OP11_SQL, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -15,13 +15,13 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def tables():
     con = duckdb.connect()
-    for name in ("documents", "pages", "benchmark", "labels", "conversations"):
+    for name in ("documents", "pages", "benchmark", "labels", "conversations", "embeddings"):
         con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
     return con
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 12))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_copies", "leaks", "mix", "tokens"]
 
 
@@ -30,7 +30,12 @@ def test_chat_against_sql(spark, tables):
     assert sorted(map(tuple, got)) == sorted(tables.sql(OP8_SQL).fetchall())
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ("op1_main_text", "op8_chat")])
+def test_negatives_against_sql(spark, tables):
+    got = QUERIES["op11_hard_negatives"][0](spark, FOLDER).collect()
+    assert got and sorted(map(tuple, got)) == sorted(tables.sql(OP11_SQL).fetchall())
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ("op1_main_text", "op8_chat", "op11_hard_negatives")])
 def test_one_row_per_document(spark, tables, name):
     rows = QUERIES[name][0](spark, FOLDER).collect()
     ids = [r[0] for r in tables.sql("SELECT doc_id FROM documents").fetchall()]

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.llm import (chat, decontaminate, fingerprint, language, maintext, mixing, neardup, quality, simple8b,
+from vitrine.llm import (chat, decontaminate, fingerprint, language, maintext, mixing, neardup, negatives, quality, simple8b,
                          substrings)
 from vitrine.llm import common as C
 from vitrine.session import shared_folder
@@ -93,6 +93,32 @@ def op10_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.fingerprints(C.table(spark, folder, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = C.table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(negatives.clean(rows, label), F.col("vec_id") % 50 == 0)
+
+
+OP11_SQL = """
+WITH rows AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                     list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vector
+              FROM embeddings
+              WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike,
+                 CAST(coalesce(list_sum(list_transform(list_zip(a.vector, b.vector), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+          FROM rows a JOIN rows b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.vector) = len(b.vector)),
+positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE alike
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+found AS (SELECT p.*, n.vec_id AS negative_id, n.score AS negative_score,
+                 row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS rank
+          FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.alike
+              AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM found WHERE rank <= 3
+"""
+
+
 QUERIES = {
     "op1_main_text": (op1_main_text, None),
     "op2_near_groups": (op2_near_groups, None),
@@ -104,4 +130,5 @@ QUERIES = {
     "op8_chat": (op8_chat, OP8_SQL),
     "op9_contaminated": (op9_contaminated, None),
     "op10_fingerprint": (op10_fingerprint, None),
+    "op11_hard_negatives": (op11_hard_negatives, OP11_SQL),
 }
