@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.llm import (chat, decontaminate, fingerprint, language, maintext, mixing, neardup, negatives, quality, simple8b,
+from vitrine.llm import (alignment, chat, decontaminate, fingerprint, language, maintext, mixing, neardup, negatives, quality, simple8b,
                          substrings)
 from vitrine.llm import common as C
 from vitrine.session import shared_folder
@@ -119,6 +119,13 @@ FROM found WHERE rank <= 3
 """
 
 
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+    docs = C.table(spark, folder, "documents")
+    found = alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES = {
     "op1_main_text": (op1_main_text, None),
     "op2_near_groups": (op2_near_groups, None),
@@ -131,4 +138,5 @@ QUERIES = {
     "op9_contaminated": (op9_contaminated, None),
     "op10_fingerprint": (op10_fingerprint, None),
     "op11_hard_negatives": (op11_hard_negatives, OP11_SQL),
+    "op12_alignment": (op12_alignment, None),
 }
