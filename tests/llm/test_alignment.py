@@ -9,7 +9,7 @@ import pytest
 
 P = pytest.importorskip("public_tokenizers")
 
-from vitrine.llm import alignment  # noqa: E402
+from vitrine.llm import alignment, common as C  # noqa: E402
 
 PATHS = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
 ODD = ["", None, " ", "  two  spaces ", "a\nb\n\n c\t\td", "tabs\t and\r\nreturns;\r\n}\r", "x\u00a0y\u00a0\u00a0 z \u00a0\n\nq", "\u3000wide\u2003 space",
@@ -90,7 +90,7 @@ def test_empty_and_without_tokens(spark):
 
 def test_blobs_and_merge():
     for x in ([3, 1, 2], [0, 5, 5, 1 << 60], [-4, 7]):
-        assert [y.tolist() for y in alignment.unpack(alignment.pack(np.array(x), np.array([1])), 2)] == [x, [1]]
+        assert [y.tolist() for y in C.unpack(C.pack(np.array(x), np.array([1])), 2)] == [x, [1]]
     rng = np.random.default_rng(3)
     blocks, want = [], collections.Counter()
     for _ in range(30):

@@ -23,7 +23,6 @@ the pairs of ids that occur and not by the corpus.
 from __future__ import annotations
 
 import hashlib
-import heapq
 import itertools
 import re
 from collections.abc import Iterator
@@ -206,7 +205,7 @@ class Aligner:
         sums = np.concatenate((np.zeros((1, 4), np.int64), np.cumsum(number, 0)))
         total += sums[cut[1:]] - sums[cut[:-1]]
         size = number[:, 3]
-        pairs = self.pool[_ranges(self.begin[at], size)]
+        pairs = self.pool[C.ranges(self.begin[at], size)]
         owner = np.repeat(row, size)
         names = list(map(self.names.__getitem__, at.tolist()))
         said = [";".join(names[x:y]) for x, y in zip(cut[:-1].tolist(), cut[1:].tolist())]
@@ -232,12 +231,6 @@ def _said(ids: np.ndarray, group: np.ndarray) -> list[str]:
     return out
 
 
-def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-    ends = np.cumsum(size)
-    total = int(ends[-1]) if len(ends) else 0
-    return np.arange(total) + np.repeat(begin - (ends - size), size)
-
-
 _aligners: dict[tuple[str, str], Aligner] = {}
 
 
@@ -247,29 +240,6 @@ def aligner(byte_path: str, piece_path: str) -> Aligner:
     return _aligners[byte_path, piece_path]
 
 
-def pack(*arrays: np.ndarray) -> bytes:
-    """Columns of whole numbers, compressed; ascending ones as differences."""
-    import zstandard
-    out = [np.array([len(x) for x in arrays], "<i8").tobytes()]
-    for x in arrays:
-        x = x.astype(np.int64)
-        steps = np.diff(x, prepend=0)
-        rising = bool((steps >= 0).all())
-        out.append(bytes([rising]) + (steps if rising else x).astype("<i8").view("<u1").reshape(-1, 8).T.tobytes())
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
-
-
-def unpack(blob: bytes, columns: int) -> list[np.ndarray]:
-    import zstandard
-    raw = zstandard.ZstdDecompressor().decompress(blob)
-    at, out = 8 * columns, []
-    for n in np.frombuffer(raw[:at], "<i8").tolist():
-        x = np.frombuffer(raw, "<u1", 8 * n, at + 1).reshape(8, n).T.copy().view("<i8").ravel()
-        out.append(np.cumsum(x) if raw[at] else x)
-        at += 8 * n + 1
-    return out
-
-
 #: One table for both: blocks of runs (radix >= 0), and a row per document (radix -1).
 SPILLED = ("radix int, run bigint, first bigint, pairs binary, shares binary, at int, doc_id bigint, n_a bigint, "
            "n_b bigint, n_groups bigint, n_links bigint, groups string")
@@ -293,7 +263,7 @@ def spilled(held: list[np.ndarray], run: int) -> Iterator[pa.RecordBatch]:
     links = np.sort(np.concatenate(held)) if held else np.zeros(0, U)
     if not len(links):
         return
-    first = np.flatnonzero(np.append(True, links[1:] != links[:-1]))
+    first = C.heads(links)
     times = np.diff(np.append(first, len(links)))
     links = links[first]
     pair, doc = links >> U(DOC_BITS), (links & U((1 << DOC_BITS) - 1)).astype(np.int64)
@@ -304,9 +274,9 @@ def spilled(held: list[np.ndarray], run: int) -> Iterator[pa.RecordBatch]:
         for x in range(int(edges[r]), int(edges[r + 1]), BLOCK):
             mine = order[x:min(x + BLOCK, int(edges[r + 1]))]
             p, d, t = pair[mine], doc[mine], times[mine]
-            head = np.flatnonzero(np.append(True, p[1:] != p[:-1]))
-            yield _rows(1, radix=[r], run=[run], first=[int(p[0])], pairs=[pack(p[head], np.add.reduceat(t, head))],
-                        shares=[pack(np.diff(np.append(head, len(p))), d, t)])
+            head = C.heads(p)
+            yield _rows(1, radix=[r], run=[run], first=[int(p[0])], pairs=[C.pack(p[head], np.add.reduceat(t, head))],
+                        shares=[C.pack(np.diff(np.append(head, len(p))), d, t)])
 
 
 def _spiller(byte_path: str, piece_path: str, keep_groups: bool):
@@ -335,33 +305,10 @@ def _spiller(byte_path: str, piece_path: str, keep_groups: bool):
 
 
 def merged(blocks: Iterator[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """K-way heap merge of blocks (first key, keys, counts) that come by first key: ascending keys, summed counts.
-
-    Before a block is opened, all keys below its first one are taken from the
-    blocks that are open, those with the least next key first.
-    """
-    heap: list = []
-    ticket = itertools.count()
-
-    def taken(below: int | None):
-        keys, counts = [], []
-        while heap and (below is None or heap[0][0] < below):
-            _, _, k, n = heapq.heappop(heap)
-            to = len(k) if below is None else int(np.searchsorted(k, below))
-            keys.append(k[:to])
-            counts.append(n[:to])
-            if to < len(k):
-                heapq.heappush(heap, (int(k[to]), next(ticket), k[to:], n[to:]))
-        if keys:
-            k, n = np.concatenate(keys), np.concatenate(counts)
-            order = np.argsort(k, kind="stable")
-            k = k[order]
-            head = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-            yield k[head], np.add.reduceat(n[order], head)
-    for first, keys, counts in blocks:
-        yield from taken(first)
-        heapq.heappush(heap, (first, next(ticket), keys, counts))
-    yield from taken(None)
+    """Ascending keys and their summed counts, of sorted blocks (first key, keys, counts) that come by first key."""
+    for keys, counts in C.heap_merge(blocks):
+        head = C.heads(keys)
+        yield keys[head], np.add.reduceat(counts, head)
 
 
 def _by_group(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[tuple, Iterator[tuple]]]:
@@ -394,8 +341,8 @@ def _in_blocks(found: Iterator[tuple[np.ndarray, ...]]) -> Iterator[list[np.ndar
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of every pair over the blocks of a radix and chunk."""
     for (radix, chunk), rows in _by_group(batches, "radix", "chunk", "first", "pairs"):
-        for keys, counts in _in_blocks(merged((r[2], *unpack(r[3], 2)) for r in rows)):
-            yield _table([(radix, chunk, int(keys[0]), pack(keys, counts))])
+        for keys, counts in _in_blocks(merged((r[2], *C.unpack(r[3], 2)) for r in rows)):
+            yield _table([(radix, chunk, int(keys[0]), C.pack(keys, counts))])
 
 
 def with_best(found: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -404,7 +351,7 @@ def with_best(found: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[
 
     def marked(keys, counts):
         side = keys >> A_BITS
-        head = np.flatnonzero(np.append(True, side[1:] != side[:-1]))
+        head = C.heads(side)
         most = np.maximum.reduceat(counts, head)
         return keys, counts, (counts == np.repeat(most, np.diff(np.append(head, len(keys))))).astype(np.int64)
     for keys, counts in found:
@@ -419,8 +366,8 @@ def with_best(found: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[
 
 def _maxima(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for (radix, _), rows in _by_group(batches, "radix", "radix", "first", "pairs"):
-        for keys, counts, best in _in_blocks(with_best(merged((r[2], *unpack(r[3], 2)) for r in rows))):
-            yield _table([(radix, 0, int(keys[0]), pack(keys, counts, best))])
+        for keys, counts, best in _in_blocks(with_best(merged((r[2], *C.unpack(r[3], 2)) for r in rows))):
+            yield _table([(radix, 0, int(keys[0]), C.pack(keys, counts, best))])
 
 
 def _give_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -430,17 +377,17 @@ def _give_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = None
         for _, _, run, pairs, shares in rows:
             if run is None:
-                counts.append(unpack(pairs, 3))
+                counts.append(C.unpack(pairs, 3))
                 continue
             known = known or [np.concatenate(x) for x in zip(*counts)]
-            keys, _ = unpack(pairs, 2)
-            number, doc, times = unpack(shares, 3)
+            keys, _ = C.unpack(pairs, 2)
+            number, doc, times = C.unpack(shares, 3)
             at = np.repeat(np.searchsorted(known[0], keys), number)
             docs, back = np.unique(doc, return_inverse=True)
             share, best = np.zeros((2, len(docs)), np.int64)
             np.add.at(share, back, times * known[1][at])
             np.add.at(best, back, times * known[2][at])
-            yield C.rows({"run": pa.array([run], pa.int64()), "shares": pa.array([pack(docs, share, best)], pa.binary())})
+            yield C.rows({"run": pa.array([run], pa.int64()), "shares": pa.array([C.pack(docs, share, best)], pa.binary())})
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -448,7 +395,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for (run, _), rows in _by_group(batches, "run", "run", "shares"):
         total = np.zeros((2, 0), np.int64)
         for row in rows:
-            docs, share, best = unpack(row[2], 3)
+            docs, share, best = C.unpack(row[2], 3)
             if docs[-1] >= total.shape[1]:
                 total = np.pad(total, ((0, 0), (0, int(docs[-1]) + 1 - total.shape[1])))
             total[0, docs] += share
@@ -490,7 +437,7 @@ def _counted(blocks: DataFrame) -> DataFrame:
 def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for blob in batch.column("pairs").to_pylist():
-            keys, counts, best = unpack(blob, 3)
+            keys, counts, best = C.unpack(blob, 3)
             yield C.rows({"a": pa.array(keys & ((1 << A_BITS) - 1)), "b": pa.array(keys >> A_BITS),
                           "n_links": pa.array(counts), "best": pa.array(best == 1)})
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+import itertools
 import uuid
 from collections.abc import Iterator
 from pathlib import Path
@@ -163,3 +165,67 @@ def binary_rows(flat: np.ndarray, begin: np.ndarray) -> pa.Array:
     return pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(begin) - 1,
         [None, pa.py_buffer((begin * flat.itemsize).astype(np.int64)), pa.py_buffer(flat)]).cast(pa.binary())
+
+
+def ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, ... for size[0] of them, then the next."""
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) + np.repeat(begin - (ends - size), size)
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Columns of whole numbers, compressed; ascending ones as differences."""
+    import zstandard
+    out = [np.array([len(x) for x in arrays], "<i8").tobytes()]
+    for x in arrays:
+        x = x.astype(np.int64)
+        steps = np.diff(x, prepend=0)
+        rising = bool((steps >= 0).all())
+        out.append(bytes([rising]) + (steps if rising else x).astype("<i8").view("<u1").reshape(-1, 8).T.tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
+
+
+def unpack(blob: bytes, columns: int) -> list[np.ndarray]:
+    import zstandard
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    at, out = 8 * columns, []
+    for n in np.frombuffer(raw[:at], "<i8").tolist():
+        x = np.frombuffer(raw, "<u1", 8 * n, at + 1).reshape(8, n).T.copy().view("<i8").ravel()
+        out.append(np.cumsum(x) if raw[at] else x)
+        at += 8 * n + 1
+    return out
+
+
+def heap_merge(blocks: Iterator[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """K-way merge of sorted blocks (first key, keys, values) that come by first key.
+
+    Before a block is opened, all keys below its first one are taken from the
+    blocks that are open, those with the least next key first; so all entries
+    of one key come out together, in ascending order of keys.
+    """
+    heap: list = []
+    ticket = itertools.count()
+
+    def taken(below: int | None):
+        keys, values = [], []
+        while heap and (below is None or heap[0][0] < below):
+            _, _, k, v = heapq.heappop(heap)
+            to = len(k) if below is None else int(np.searchsorted(k, below))
+            keys.append(k[:to])
+            values.append(v[:to])
+            if to < len(k):
+                heapq.heappush(heap, (int(k[to]), next(ticket), k[to:], v[to:]))
+        if keys:
+            k, v = np.concatenate(keys), np.concatenate(values)
+            order = np.argsort(k, kind="stable")
+            yield k[order], v[order]
+    for first, keys, values in blocks:
+        yield from taken(first)
+        heapq.heappush(heap, (first, next(ticket), keys, values))
+    yield from taken(None)
+
+
+def heads(sorted_keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys begins."""
+    return np.flatnonzero(np.append(True, sorted_keys[1:] != sorted_keys[:-1]))[:len(sorted_keys)]

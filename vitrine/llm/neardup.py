@@ -55,7 +55,7 @@ _ADD = _rng.integers(1, 2**63, COORDINATES, dtype=np.uint64)
 SIGNED = "doc_id bigint, tk bigint, n_shingles bigint, cid bigint, sketch bigint, nodes binary"
 
 
-def _sets(text: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+def sets_of(text: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of every row, end to end, and where each row's begin."""
     data, offsets = C.text_bytes(text)
     h, begin = C.shingles(data, offsets, width)
@@ -64,7 +64,7 @@ def _sets(text: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(parts) if parts else np.zeros(0, U)), np.concatenate(([0], np.cumsum(sizes)))
 
 
-def _class_ids(flat: np.ndarray, begin: np.ndarray) -> np.ndarray:
+def class_ids(flat: np.ndarray, begin: np.ndarray) -> np.ndarray:
     total = np.concatenate((np.zeros(1, U), np.cumsum(C.mix(flat * _MUL[0] + _ADD[1]), dtype=U)))
     size = np.diff(begin).astype(U)
     return C.mix((total[begin[1:]] - total[begin[:-1]]) ^ (size * U(0x9E3779B97F4A7C15)))
@@ -84,7 +84,7 @@ def _signer(width: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in C.pieces(batch, "text"):
-                flat, begin = _sets(part.column("text"), width)
+                flat, begin = sets_of(part.column("text"), width)
                 size = np.diff(begin)
                 coords = _minwise(flat, begin)
                 nodes = np.stack(planted(coords), 1)
@@ -92,7 +92,7 @@ def _signer(width: int):
                 empty = size == 0
                 yield C.rows({
                     "doc_id": part.column("doc_id"), "tk": part.column("tk"), "n_shingles": pa.array(size),
-                    "cid": pa.array(_class_ids(flat, begin).view(np.int64), mask=empty),
+                    "cid": pa.array(class_ids(flat, begin).view(np.int64), mask=empty),
                     "sketch": pa.array(bits), "nodes": C.binary_rows(
                         nodes.ravel(), np.arange(part.num_rows + 1) * nodes.shape[1])})
     return sign
@@ -100,10 +100,10 @@ def _signer(width: int):
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
     """Per document: doc_id, a hash of its text, its set's size, class, sketch and nodes in all trees."""
-    return _keyed(docs).mapInArrow(_signer(width), SIGNED)
+    return keyed(docs).mapInArrow(_signer(width), SIGNED)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("tk"),
                        F.col("text").cast("string").alias("text"))
 
@@ -197,7 +197,7 @@ def _setter(width: int):
         seen: set = set()
         for batch in batches:
             for part in C.pieces(batch, "text"):
-                flat, begin = _sets(part.column("text"), width)
+                flat, begin = sets_of(part.column("text"), width)
                 cids = part.column("cid").to_pylist()
                 new = [i for i, c in enumerate(cids) if not (c in seen or seen.add(c))]
                 mask = np.zeros(part.num_rows, bool)
@@ -227,7 +227,7 @@ def _confirmer(percent: int):
 def full_sets(classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """(cid, shingles, short) of the given classes, from one text of each; short has 32 bits a shingle."""
     chosen = classes.select("cid", F.col("rep.doc_id").alias("r"), F.col("rep.tk").alias("rt"))
-    texts = _keyed(docs).join(chosen, F.col("doc_id").eqNullSafe(F.col("r")) & (F.col("tk") == F.col("rt")))
+    texts = keyed(docs).join(chosen, F.col("doc_id").eqNullSafe(F.col("r")) & (F.col("tk") == F.col("rt")))
     return texts.select("cid", "text").mapInArrow(_setter(width), "cid bigint, shingles binary, short binary")
 
 
@@ -238,15 +238,15 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(_confirmer(percent), "a bigint, b bigint")
 
 
-def _named(nodes: DataFrame, comp: DataFrame) -> DataFrame:
+def with_components(nodes: DataFrame, comp: DataFrame) -> DataFrame:
     """Adds each class's component; a class without links is its own."""
     return (nodes.join(comp, F.col("cid") == F.col("node_c"), "left")
             .withColumn("comp", F.coalesce("component", "cid")).drop("node_c", "component"))
 
 
-def _mixed(nodes: DataFrame, comp: DataFrame) -> DataFrame:
+def mixed_nodes(nodes: DataFrame, comp: DataFrame) -> DataFrame:
     """The rows of nodes that still hold several components, with size and least component."""
-    named = _named(nodes, comp)
+    named = with_components(nodes, comp)
     stat = (named.groupBy("node").agg(F.count("*").alias("n"), F.min("comp").alias("least"), F.max("comp").alias("most"))
             .filter(F.col("least") != F.col("most")).drop("most"))
     return named.join(stat, "node")
@@ -263,7 +263,7 @@ def _with_hubs(nodes: DataFrame) -> DataFrame:
     return cut_lineage(nodes.join(heads, "node"))
 
 
-def _within_small(mixed: DataFrame) -> DataFrame:
+def within_small(mixed: DataFrame) -> DataFrame:
     """All pairs of different components within nodes of at most ``SMALL_NODE`` classes."""
     held = (mixed.filter(F.col("n") <= SMALL_NODE).groupBy("node")
             .agg(F.array_sort(F.collect_set(F.struct("cid", "comp"))).alias("in_node")))
@@ -273,7 +273,7 @@ def _within_small(mixed: DataFrame) -> DataFrame:
     return pair.select(F.col("one.cid").alias("a"), F.col("other.cid").alias("b"))
 
 
-def _tiles(large: DataFrame, sets: DataFrame) -> DataFrame:
+def tiles_of(large: DataFrame, sets: DataFrame) -> DataFrame:
     """Members of crowded nodes with their sets, dealt to tiles of two blocks at most.
 
     A node of up to ``BLOCK`` classes is one tile.  Of a larger one every two
@@ -287,11 +287,15 @@ def _tiles(large: DataFrame, sets: DataFrame) -> DataFrame:
     return dealt.select("cid", "comp", "least", tile.alias("tile")).join(sets.select("cid", "short"), "cid")
 
 
-def _tiler(percent: int):
+def tiler(percent: int):
     """Similar pairs of different components within each tile; rows come sorted by tile.
 
-    Shingles are told apart by 32 bits here; what is found is confirmed later.
+    Shingles are told apart by 32 bits here, so two that are alike in those
+    lower what a pair shares; one point of slack makes up for that, and what is
+    found is confirmed on full sets.
     """
+    percent = percent - 1
+
     def compare(rows: list) -> pa.RecordBatch:
         cids = np.array([r[1] for r in rows])
         comps = np.array([r[2] for r in rows])
@@ -340,7 +344,7 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     links = cut_lineage(confirmed(_sieve(_stars(nodes), classes, percent), sets, percent))
     comp = cut_lineage(components(links)).withColumnRenamed("node", "node_c")
 
-    mixed = cut_lineage(_mixed(nodes.select("node", "cid"), comp))
+    mixed = cut_lineage(mixed_nodes(nodes.select("node", "cid"), comp))
     large = mixed.filter(F.col("n") > CROWD)
     if not large.isEmpty():
         crowds = large.groupBy("cid").agg(F.collect_set("node").alias("crowds"))
@@ -349,15 +353,15 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
         links = cut_lineage(links.union(confirmed(_sieve(_stars(split), classes, percent), sets, percent)))
         comp = cut_lineage(components(links)).withColumnRenamed("node", "node_c")
         kept = mixed.filter(F.col("n") <= CROWD).select("node", "cid").union(split.select("node", "cid"))
-        mixed = cut_lineage(_mixed(kept, comp))
+        mixed = cut_lineage(mixed_nodes(kept, comp))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tiles = _tiles(mixed.filter(F.col("n") > SMALL_NODE), sets)
-    pairs = _within_small(mixed).union(tiles.repartition(parts, "tile").sortWithinPartitions("tile")
-                                       .mapInArrow(_tiler(percent), "a bigint, b bigint"))
+    tiles = tiles_of(mixed.filter(F.col("n") > SMALL_NODE), sets)
+    pairs = within_small(mixed).union(tiles.repartition(parts, "tile").sortWithinPartitions("tile")
+                                       .mapInArrow(tiler(percent), "a bigint, b bigint"))
     more = cut_lineage(confirmed(_sieve(pairs.distinct(), classes, percent), sets, percent))
     comp = cut_lineage(components(links.union(more))).withColumnRenamed("node", "node_c")
 
-    return _named(signed.select("doc_id", "tk", "n_shingles", "cid"), comp)
+    return with_components(signed.select("doc_id", "tk", "n_shingles", "cid"), comp)
 
 
 def near_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

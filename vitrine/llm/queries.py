@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.llm import (alignment, chat, decontaminate, fingerprint, language, maintext, mixing, neardup, negatives, quality, simple8b,
+from vitrine.llm import (alignment, chat, decontaminate, fingerprint, language, maintext, mixing, neardup, negatives, partenum, quality, simple8b,
                          substrings)
 from vitrine.llm import common as C
 from vitrine.session import shared_folder
@@ -126,6 +126,10 @@ def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("groups", "groups_sha256")
 
 
+def op13_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return partenum.jaccard_components(C.table(spark, folder, "documents"), width=5, percent=80)
+
+
 QUERIES = {
     "op1_main_text": (op1_main_text, None),
     "op2_near_groups": (op2_near_groups, None),
@@ -139,4 +143,5 @@ QUERIES = {
     "op10_fingerprint": (op10_fingerprint, None),
     "op11_hard_negatives": (op11_hard_negatives, OP11_SQL),
     "op12_alignment": (op12_alignment, None),
+    "op13_jaccard_join": (op13_jaccard_join, None),
 }
