@@ -306,6 +306,29 @@ def test_fingerprints(spark, odd, empty):
     assert fingerprint.fingerprints(empty).count() == 0
 
 
+@pytest.mark.parametrize("ids", [[*range(60), 9 * 10 ** 18], [-2 ** 63, -2 ** 62, 5, 2 ** 62, 2 ** 63 - 1], [7] * 90 + [None] * 60 + [1, 2, 3, 1 << 40],
+                                 [(i * 0x9E3779B97F4A7C15) % 2 ** 64 - 2 ** 63 for i in range(200)]])
+def test_fingerprints_of_spread_and_repeated_ids(spark, ids):
+    rows = [(d, f"{i} " + " ".join(f"w{(i * k) % 97}" for k in range(i % 50))) for i, d in enumerate(ids)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("key", F.lit("x")).repartition(3)
+    tied = {(r.doc_id, r.text): r.t for r in df.select("doc_id", "text", F.xxhash64("text").alias("t")).collect()}
+    order = sorted(rows, key=lambda r: (-2 ** 63 if r[0] is None else r[0], tied[r]))
+    want = [(d, hashlib.sha256((t[:len(t) - len(t) // 4] + after[:len(t) // 4]).encode()).hexdigest())
+            for (d, t), (_, after) in zip(order, order[1:] + order[:1])]
+    got = [(r.doc_id, r.edited_sha256) for r in fingerprint.fingerprints(df).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_slices_never_fall_along_the_order(spark):
+    rows = [(i // 3 if i % 4 else 50, (i * 0x9E3779B97F4A7C15) % 2 ** 64 - 2 ** 63) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k bigint, tie bigint")
+    cuts = fingerprint.slice_cuts(F.col("k"), df, 40)
+    got = sorted((r.k, r.tie, r.s) for r in df.select("*", fingerprint.slice_of(F.col("k"), F.col("tie"), cuts).alias("s")).collect())
+    assert [s for *_, s in got] == sorted(s for *_, s in got)
+    sizes = collections.Counter(s for *_, s in got)
+    assert len(sizes) >= 30 and max(sizes.values()) < 3 * 3000 / 40
+
+
 def test_fingerprints_merge(spark):
     a, b = LONG[:20000], LONG[15000:]
     sketch = fingerprint.text_sketch

@@ -8,12 +8,14 @@ bits, so a sketch is written as 12 hex digits per hash.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 K = 128
 WIDTH = 5
-#: Documents per slice of the id order, on average.
-SLICE_ROWS = 2000
+#: Slices of the id order per shuffle partition.
+SLICES = 4
 
 
 def text_sketch(text: Column, k: int = K, width: int = WIDTH) -> Column:
@@ -72,69 +74,76 @@ def from_text(s: Column) -> Column:
                        lambda x: F.conv(x, 16, 10).cast("bigint"))
 
 
-def neighbours(docs: DataFrame) -> DataFrame:
-    """(doc_id, next_id, n_chars) of every distinct id in ascending order; after the last, the first.
+def slice_cuts(ids: Column, docs: DataFrame, slices: int) -> list[int]:
+    """Ids at which about equal numbers of rows begin; an id of many rows is there more than once."""
+    at = [i / slices for i in range(1, slices)]
+    cuts = docs.select(F.percentile_approx(ids, at, 100 * slices)).first()[0] if at else None
+    return sorted(cuts or [])
+
+
+def slice_of(key: Column, tie: Column, cuts: list[int]) -> Column:
+    """Number of a row's slice of the order by (key, tie), which never falls along it.
 
-    Ids are numbered off in slices of about ``SLICE_ROWS`` by their value, so
-    no window sees more than a slice, or one row per slice.  ``n_chars`` is
-    the longest text of the id.
+    It is the number of cuts below the key, counted in two steps.  Where
+    several cuts are the key itself, its rows are dealt to as many slices by
+    ranges of the tie, so no key has to fit in one.
     """
-    ids = docs.groupBy("doc_id").agg(F.max(F.char_length("text")).alias("n_chars"))
-    low, high, count = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("doc_id")).first()
-    width = max(1, -(-((high or 0) - (low or 0) + 1) * SLICE_ROWS // max(count, 1)))
-    at = F.coalesce(F.floor((F.col("doc_id") - F.lit(low or 0)) / F.lit(width)), F.lit(-1))
-    sliced = ids.withColumn("slice", at)
-    order = [F.col("doc_id").asc_nulls_first()]
-    inside = sliced.withColumn("last", F.lead(F.lit(False), 1, True).over(Window.partitionBy("slice").orderBy(*order)))
-    inside = inside.withColumn("in_slice", F.lead("doc_id").over(Window.partitionBy("slice").orderBy(*order)))
-    heads = sliced.groupBy("slice").agg(F.min("doc_id").alias("head"))
-    along = Window.orderBy("slice")
-    heads = heads.select(F.col("slice").alias("s"), F.lead("head").over(along).alias("next_head"),
-                         F.first("head").over(along).alias("first_head"),
-                         F.lead(F.lit(False), 1, True).over(along).alias("end"))
-    return inside.join(heads, F.col("slice") == F.col("s")).select(
-        "doc_id", "n_chars", F.when(~F.col("last"), F.col("in_slice"))
-        .when(F.col("end"), F.col("first_head")).otherwise(F.col("next_head")).alias("next_id"))
+    step = max(1, math.isqrt(len(cuts)))
+    parts = [cuts[i:i + step] for i in range(0, len(cuts), step)]
+    held = F.array(*[F.array(*[F.lit(c).cast("bigint") for c in part]) for part in parts] or [F.array().cast("array<bigint>")])
+    lasts = F.array(*[F.lit(part[-1]).cast("bigint") for part in parts]) if parts else F.array().cast("array<bigint>")
+
+    def below(test) -> Column:
+        whole = F.size(F.filter(lasts, test))
+        within = F.coalesce(F.size(F.filter(F.get(held, whole), test)), F.lit(0))
+        return whole * step + F.greatest(within, F.lit(0))
+    under, upto = below(lambda c: c < key), below(lambda c: c <= key)
+    # A tie's place among all 64-bit numbers, in 2**20 steps.
+    place = F.shiftright(tie, 44) + (1 << 19)
+    return under + F.shiftright((upto - under + 1) * place, 20).cast("int")
 
 
 def fingerprints(docs: DataFrame, k: int = K, width: int = WIDTH) -> DataFrame:
     """Fingerprint of every text of ``docs`` (doc_id, text) and of its edited text.
 
     The edited text has its last quarter replaced by as many first characters
-    of the next document.  A null text is empty.  Null ids come first in the
-    order.  Rows with one id share their next document, and as "next" they
-    stand for the least of their texts.  An empty table gives an empty table.
-
-    Only the head of the next text and its sketch travel to a row, by one join
-    on ids; nothing is sorted as a whole.
+    of the next document; after the last comes the first.  A null text is
+    empty, a null id comes before all others, and rows with one id follow each
+    other by a hash of their texts.  Other columns are ignored; an empty table
+    gives an empty table.
+
+    Texts are shuffled once, by slices of the id order, in which the next
+    document is the next row.  Only the first row of a slice travels to the
+    last one of the slice before.
     """
-    def keys(of: str, prefix: str) -> list[Column]:
-        # Two plain columns instead of a null-safe comparison, so that joins and groups share a partitioning.
-        return [F.coalesce(F.col(of), F.lit(0)).alias(prefix + "id"), F.col(of).isNull().alias(prefix + "no")]
-
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    around = neighbours(docs)
-    docs = docs.select("*", *keys("doc_id", "k"))
-    wanted = around.select(*keys("next_id", "k"), *keys("doc_id", "t"), F.floor(F.col("n_chars") / 4).cast("int").alias("need"))
-    given = docs.join(wanted, ["kid", "kno"]).select(
-        "tid", "tno", F.substring(F.col("text"), F.lit(1), F.col("need")).alias("head"),
-        text_sketch(F.col("text"), k, width).alias("next_sketch"))
-    # Repeated ids: one head per row that asks.
-    given = given.groupBy(F.col("tid").alias("kid"), F.col("tno").alias("kno")).agg(
-        F.min(F.struct("head", "next_sketch")).alias("next"))
-    joined = docs.join(given, ["kid", "kno"])
+    key = F.coalesce("doc_id", F.lit(-2 ** 63).cast("bigint"))
+    cuts = slice_cuts(key, docs, SLICES * parts)
+    keyed = docs.withColumns({"key": key, "tie": F.xxhash64("text")})
+    keyed = keyed.withColumn("slice", slice_of(F.col("key"), F.col("tie"), cuts)).repartition(parts, "slice")
+
+    along = Window.partitionBy("slice").orderBy("key", "tie")
+    own = keyed.withColumn("own", text_sketch(F.col("text"), k, width))
+    led = own.select("*", F.lead(F.struct("text", "own")).over(along).alias("next"))
+    firsts = keyed.groupBy("slice").agg(F.min_by("text", F.struct("key", "tie")).alias("head"))
+    order = Window.orderBy("slice")
+    after = firsts.select(F.col("slice").alias("at"), F.coalesce(F.lead("slice").over(order), F.first("slice").over(order)).alias("to"))
+    heads = after.join(firsts, F.col("to") == F.col("slice")).select(
+        "at", F.struct(F.col("head").alias("text"), text_sketch(F.col("head"), k, width).alias("own")).alias("first_after"))
+    joined = led.join(heads, (F.col("slice") == F.col("at")) & F.col("next").isNull(), "left")
+    joined = joined.select("doc_id", "text", "own", F.coalesce("next", "first_after").alias("next"))
     n = F.char_length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - quarter),
-                      F.substring(F.col("next.head"), F.lit(1), quarter))
-    made = joined.select("doc_id", n.cast("bigint").alias("n_chars"), edited.alias("edited"),
-                         text_sketch(F.col("text"), k, width).alias("own"), F.col("next.next_sketch").alias("next_sketch"))
+                      F.substring(F.col("next.text"), F.lit(1), quarter))
+    made = joined.select("doc_id", n.cast("bigint").alias("n_chars"), edited.alias("edited"), "own", F.col("next.own").alias("next_own"))
     made = made.withColumn("theirs", text_sketch(F.col("edited"), k, width))
     return made.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("own")).alias("fingerprint"),
         as_text(F.col("theirs")).alias("edited_fingerprint"),
         resemblance(F.col("own"), F.col("theirs"), k).alias("near_edited"),
-        resemblance(F.col("own"), F.col("next_sketch"), k).alias("near_next"),
+        resemblance(F.col("own"), F.col("next_own"), k).alias("near_next"),
         distinct_count(F.col("own"), k).alias("n_shingles_estimate"),
         containment(F.col("own"), F.col("theirs"), k).alias("kept_estimate"))
