@@ -18,8 +18,10 @@ without bringing it together:
   boundary between them then agree in ``length`` bytes.
 * Before that, a region is let go if its bytes next to the anchor, which every
   string of one half of its starts contains, occur in no other region.
-* An anchor with more than ``MOST`` different regions is settled by hashes of
-  the bytes of sixteen starts, of four and of one, counted over the cluster.
+* An anchor with more than ``MOST`` different regions is dealt to more chunks:
+  sixteen neighbouring starts share a core, and only those with equal cores can
+  be equal.  Cores with more than ``MOST`` kinds are dealt by four starts, then
+  by one.  Hashes only choose the chunk; the expansion judges there, too.
 """
 
 from __future__ import annotations
@@ -256,12 +258,30 @@ def _hasher(length: int, size: int):
     return hashes
 
 
-def _crowded(hot: DataFrame, length: int) -> DataFrame:
-    """(ah, rh, runs) for anchors with very many regions, by counting hashes over the cluster.
+def _slicer(length: int):
+    """The bytes of the asked stretches of starts of a region, as regions of their own."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(a["core"], a["span"], a["t"], raw[a["lo"]:a["lo"] + a["n"] + length - 1])
+                    for raw, asked in zip(batch.column("bytes").to_pylist(), batch.column("asked").to_pylist()) for a in asked]
+            if rows:
+                yield C.rows({n: pa.array(x, pa.binary() if n == "bytes" else pa.int64())
+                              for n, x in zip(("ah", "rh", "c", "bytes"), zip(*rows))})
+    return cut
+
+
+def _expanded(regions: DataFrame, length: int) -> DataFrame:
+    """(ah, rh, runs) of regions (ah, rh, c, bytes), those of one anchor in one chunk."""
+    parts = int(regions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (regions.select("ah", "rh", "c", "bytes").repartition(parts, "ah").sortWithinPartitions("ah", "rh")
+            .mapInArrow(_expander(length), "ah bigint, rh bigint, runs array<struct<s:int,e:int>>"))
+
+
+def _crowded(hot: DataFrame, length: int, most: int) -> DataFrame:
+    """(ah, rh, runs) for anchors with very many regions (ah, rh, c, d, bytes).
 
-    Sixteen starts are looked at together: repeated bytes settle all of them,
-    an unrepeated core rules all of them out, and only what is left is looked
-    at by fours and then one by one.
+    Sixteen starts at a time are a region of their own, whose partners have
+    the same core; what has too many of them is cut finer.
     """
     found = None
     pending = hot.withColumn("pending", F.array(F.struct(
@@ -269,15 +289,21 @@ def _crowded(hot: DataFrame, length: int) -> DataFrame:
     for size in (16, 4, 1):
         hashed = C.stored(pending.mapInArrow(
             _hasher(length, size), "ah bigint, rh bigint, c bigint, lo int, n int, core bigint, span bigint"))
-        alive = hashed.groupBy(F.col("core").alias("k")).agg(F.sum("c").alias("t")).filter("t > 1").select("k")
-        whole = hashed.groupBy(F.col("span").alias("w")).agg(F.sum("c").alias("u")).filter("u > 1").select("w")
-        judged = hashed.join(alive, F.col("core") == F.col("k")).join(whole, F.col("span") == F.col("w"), "left")
-        hits = judged.filter("w is not null").select("ah", "rh", F.struct(F.col("lo").alias("s"), (F.col("lo") + F.col("n")).alias("e")).alias("run"))
+        kinds = hashed.groupBy("core", "span").agg(F.sum("c").alias("t"), F.min(F.struct("ah", "rh", "lo", "n")).alias("one"))
+        groups = C.stored(kinds.groupBy(F.col("core").alias("k")).agg(F.sum("t").alias("u"), F.count("*").alias("kinds")).filter("u > 1"))
+        asked = (kinds.join(groups.filter(F.col("kinds") <= most), F.col("core") == F.col("k"), "left_semi")
+                 .groupBy(F.col("one.ah").alias("x"), F.col("one.rh").alias("y")).agg(F.collect_list(F.struct(
+                     "core", "span", "t", F.col("one.lo").alias("lo"), F.col("one.n").alias("n"))).alias("asked")))
+        cut = hot.join(asked, (F.col("ah") == F.col("x")) & (F.col("rh") == F.col("y"))).select("bytes", "asked").mapInArrow(
+            _slicer(length), "ah bigint, rh bigint, c bigint, bytes binary")
+        verdicts = _expanded(cut, length).filter(F.size("runs") > 0).select(F.col("ah").alias("v"), F.col("rh").alias("w"), "runs")
+        hits = hashed.join(verdicts, (F.col("core") == F.col("v")) & (F.col("span") == F.col("w"))).select(
+            "ah", "rh", "lo", F.explode("runs").alias("run")).select(
+            "ah", "rh", F.struct((F.col("lo") + F.col("run.s")).alias("s"), (F.col("lo") + F.col("run.e")).alias("e")).alias("run"))
         found = hits if found is None else found.unionByName(hits)
-        # What is settled stays as a partner of what is not.
-        open_ = judged.filter("w is null").select(F.col("k").alias("o")).distinct()
-        left = judged.join(open_, F.col("k") == F.col("o"), "left_semi").groupBy(F.col("ah").alias("x"), F.col("rh").alias("y")).agg(
-            F.array_sort(F.collect_list(F.struct("lo", "n"))).alias("pending"))
+        left = (hashed.join(groups.filter(F.col("kinds") > most), F.col("core") == F.col("k"), "left_semi")
+                .groupBy(F.col("ah").alias("x"), F.col("rh").alias("y")).agg(
+                    F.array_sort(F.collect_list(F.struct("lo", "n"))).alias("pending")))
         pending = hot.join(left, (F.col("ah") == F.col("x")) & (F.col("rh") == F.col("y"))).drop("x", "y")
     return found.groupBy("ah", "rh").agg(F.collect_set("run").alias("runs"))
 
@@ -303,7 +329,9 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts.append(len(merged))
             sums.append(digest.hexdigest())
         yield C.rows({"doc_id": ids, "n_bytes": pa.array(sizes, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
-                      "n_spans": pa.array(counts, pa.int64()), "kept_sha256": pa.array(sums, pa.string())})
+                      "n_spans": pa.array(counts, pa.int64()), "kept_sha256": pa.array(sums, pa.string()),
+                      "n_kept": pa.array([a - b for a, b in zip(sizes, removed)], pa.int64()),
+                      "changed": pa.array([b > 0 for b in removed], pa.bool_())})
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = MOST) -> DataFrame:
@@ -314,8 +342,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most
     """
     keyed = _keyed(docs)
     regions = C.stored(keyed.filter(F.octet_length("text") >= length).mapInArrow(_finder(length, gram), REGION))
-    by_anchor = (regions.groupBy("ah").agg(F.count("*").alias("total"), F.min("rh").alias("low"), F.max("rh").alias("high"))
-                 .filter("total > 1").select(F.col("ah").alias("a"), (F.col("low") != F.col("high")).alias("mixed")))
+    # Stored, so that the join reads two plain shuffles and a hot anchor's rows can be split.
+    by_anchor = C.stored(regions.groupBy("ah").agg(F.count("*").alias("total"), F.min("rh").alias("low"), F.max("rh").alias("high"))
+                         .filter("total > 1").select(F.col("ah").alias("a"), (F.col("low") != F.col("high")).alias("mixed")))
     met = C.stored(regions.join(by_anchor, F.col("ah") == F.col("a")).drop("a"))
     whole = F.array(F.struct(F.lit(0).alias("s"), F.col("n").alias("e")))
     settled = met.filter(~F.col("mixed")).select("doc_id", "tk", "p", whole.alias("runs"))
@@ -340,15 +369,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most
     many = mixed.join(kinds.filter("c > 1").select(F.col("ah").alias("a"), F.col("rh").alias("r")),
                       (F.col("ah") == F.col("a")) & (F.col("rh") == F.col("r")), "left_semi")
     settled = settled.unionByName(many.select("doc_id", "tk", "p", whole.alias("runs")))
-    few = cut.filter(F.col("m") <= most)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    expanded = (few.repartition(parts, "ah").sortWithinPartitions("ah", "rh")
-                .mapInArrow(_expander(length), "ah bigint, rh bigint, runs array<struct<s:int,e:int>>"))
-    alone = _crowded(cut.filter(F.col("m") > most), length)
+    expanded = _expanded(cut.filter(F.col("m") <= most), length)
+    alone = _crowded(cut.filter(F.col("m") > most), length, most)
     verdicts = expanded.unionByName(alone).select(F.col("ah").alias("a"), F.col("rh").alias("r"), "runs")
     judged = (mixed.join(verdicts, (F.col("ah") == F.col("a")) & (F.col("rh") == F.col("r")))
               .filter(F.size("runs") > 0).select("doc_id", "tk", "p", "runs"))
-    found = settled.unionByName(judged)
+    # Equal rows have equal spans; each is gathered once.
+    found = settled.unionByName(judged).distinct()
     spans = F.flatten(F.collect_list(F.transform("runs", lambda r: F.struct(
         (F.col("p") + r["s"]).alias("s"), (F.col("p") + r["e"] + (length - 1)).alias("e")))))
     return found.groupBy("doc_id", "tk").agg(spans.alias("spans"))
@@ -359,11 +386,11 @@ def _keyed(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("tk", F.xxhash64("text"))
 
 
-REMOVED = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+REMOVED = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, n_kept bigint, changed boolean"
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = MOST) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256.
+    """Per row of ``docs`` (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept, changed.
 
     Every byte in a string of ``length`` bytes that also starts elsewhere is
     removed, in both places; texts are judged as they come, matches never run
