@@ -41,7 +41,7 @@ from vitrine.llm.components import components
 
 #: Signatures of a run, entries of a block, repeats in a run that make a signature large.
 RUN, BLOCK, LARGE = 1 << 21, 1 << 15, 256
-#: Signatures that a set of a small band may have; larger bands have half as many again as differences.
+#: Signatures that a set of a small band may have; larger bands have a fifth more than differences.
 FEW_SIGNATURES = 40
 U = np.uint64
 _LARGE_MARK = -1
@@ -56,13 +56,14 @@ def shape(differences: int) -> tuple[int, int, int]:
     """(n1, n2, k2) for at most so many differences.
 
     Of all shapes with few enough signatures the one whose signatures cover
-    the largest share of a set: that is, meet by chance least often.
+    the largest share of a set: that is, meet by chance least often.  Small
+    bands take subsets of several parts, large ones of one partition each.
     """
-    most = max(FEW_SIGNATURES, 1.5 * (differences + 1))
+    most = max(FEW_SIGNATURES, 1.2 * (differences + 1))
     best = (0.0, 0, (differences + 1, 1, 0))
     for k2 in range(min(differences, 5) + 1):
         n1 = differences // (k2 + 1) + 1
-        for n2 in range(k2 + 1, k2 + 7):
+        for n2 in range(k2 + 1, k2 + 7 if k2 else 2):
             count = n1 * math.comb(n2, k2)
             if count <= most:
                 best = max(best, ((n2 - k2) / (n2 * n1), -count, (n1, n2, k2)))
@@ -85,7 +86,9 @@ class Bands:
 
 
 def signatures(flat: np.ndarray, begin: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, row) of all sets that lie end to end in ``flat``; 63-bit signatures.
+    """(signature, row) of all sets that lie end to end in ``flat``; 48-bit signatures.
+
+    Signatures that are alike by chance only cost a comparison.
 
     Sets that are only similar to equal ones have none.
     """
@@ -125,7 +128,7 @@ def _signed(flat, begin, mine, band: int, differences: int) -> tuple[np.ndarray,
     hollow = (~some.all(1)).reshape(len(mine), n1).sum(1)
     keep = some.reshape(len(mine), n1, -1) | (hollow >= n1 - needed)[:, None, None]
     tag = C.mix((U(band) << U(40)) + np.arange(n1 * len(subsets), dtype=U)).reshape(1, n1, len(subsets))
-    sig = C.mix(sums.reshape(len(mine), n1, -1) ^ tag) >> U(1)
+    sig = C.mix(sums.reshape(len(mine), n1, -1) ^ tag) >> U(16)
     at, _, _ = np.nonzero(keep)
     return sig[keep].astype(np.int64), mine[at]
 
@@ -158,7 +161,7 @@ def _spiller(width: int, percent: int, radixes: int):
     """Blocks of (signature, class), sorted and dealt by the signature's radix."""
     def block(sig, cid, large=False):
         names, at = np.unique(cid, return_inverse=True)
-        return C.rows({"radix": pa.array([int(sig[0] >> 31) * radixes >> 32], pa.int32()),
+        return C.rows({"radix": pa.array([int(sig[0]) * radixes >> 48], pa.int32()),
                        "first": pa.array([int(sig[0])], pa.int64()), "large": pa.array([large]),
                        "sigs": pa.array([C.pack(sig[:1] if large else sig)], pa.binary()),
                        "cids": pa.array([C.pack(names, at)], pa.binary())})
@@ -176,7 +179,7 @@ def _spiller(width: int, percent: int, radixes: int):
                 yield block(sig[x:min(x + BLOCK, a + n)], cid[x:min(x + BLOCK, a + n)], True)
         small = np.repeat(times <= LARGE, times)
         sig, cid = sig[small], cid[small]
-        radix = (sig >> 31) * radixes >> 32
+        radix = sig * radixes >> 48
         edges = np.searchsorted(radix, np.arange(radixes + 1))
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
             for x in range(a, b, BLOCK):
@@ -251,7 +254,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def met(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(node, n, hub, cid): members of every group of classes that share a signature, stored."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = neardup.keyed(docs).select("text").mapInArrow(_spiller(width, percent, 4 * parts), SPILLED)
+    blocks = neardup.keyed(docs).select("text").mapInArrow(_spiller(width, percent, parts), SPILLED)
     found = C.stored(blocks.repartition(parts, "radix").sortWithinPartitions("radix", "first").mapInArrow(_meet, MET))
     small = found.filter("sig is null").select("node", "n", "hub", "cid").distinct()
     large = found.filter("sig is not null").select("sig", "cid").distinct()
@@ -295,11 +298,17 @@ def _linked(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
     classes = C.stored(signed.join(nodes.select("cid").distinct(), "cid", "left_semi").groupBy("cid").agg(
         F.min(F.struct("doc_id", "tk")).alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("cells").alias("cells")))
     sets = C.stored(neardup.full_sets(classes, docs, width))
-    stars = nodes.filter("hub <> cid").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
-    links = C.stored(neardup.confirmed(_sieved(stars, classes, percent), sets, percent))
+    # First every class with one hub only; with the others where that has left components apart.
+    stars = nodes.filter("hub <> cid").groupBy(F.col("cid").alias("b")).agg(F.min("hub").alias("a"))
+    links = C.stored(neardup.confirmed(_sieved(stars.select("a", "b"), classes, percent), sets, percent))
+    comp = C.stored(components(links)).withColumnRenamed("node", "node_c")
+    apart = C.stored(neardup.mixed_nodes(nodes.select("node", "cid"), comp)).select("node", "cid", "comp")
+    hubs = apart.groupBy("node").agg(F.min_by("comp", "cid").alias("hub_comp"), F.min("cid").alias("hub"))
+    stars = apart.join(hubs, "node").filter("comp <> hub_comp").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
+    links = C.stored(links.union(neardup.confirmed(_sieved(stars, classes, percent), sets, percent)))
     comp = C.stored(components(links)).withColumnRenamed("node", "node_c")
 
-    mixed = C.stored(neardup.mixed_nodes(nodes.select("node", "cid"), comp))
+    mixed = C.stored(neardup.mixed_nodes(apart.select("node", "cid"), comp))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tiles = neardup.tiles_of(mixed.filter(F.col("n") > neardup.SMALL_NODE), sets)
     within = _sieved(neardup.within_small(mixed).distinct(), classes, percent)
