@@ -43,12 +43,28 @@ def test_simple8b_round_trip():
         assert (simple8b.decode(words, lengths, np.cumsum(counts) - counts) == np.concatenate(lists)).all()
     assert len(simple8b.encode(np.zeros(0, np.uint64))) == 0
     assert len(simple8b.encode(np.full(100_000, 5, np.uint64))) == 1
-    with pytest.raises(ValueError):
-        simple8b.encode(np.array([1 << 60], np.uint64))
     with pytest.raises(ValueError):
         simple8b.decode(np.array([5], np.uint64), np.array([200]), np.array([0]))
 
 
+def test_simple8b_escapes():
+    top = 2 ** 64 - 1
+    assert simple8b.encode(np.array([1 << 60], np.uint64)).tolist() == [15 << 60, 1 << 60]
+    rng = np.random.default_rng(5)
+    for _ in range(40):
+        lists = [np.where(rng.random(n) < 0.3, rng.integers(2 ** 60, top, n, dtype=np.uint64, endpoint=True),
+                          rng.integers(0, 2 ** int(rng.integers(1, 62)), n, dtype=np.uint64)) for n in rng.integers(0, 60, 5)]
+        lists += [np.full(9, top, np.uint64), np.full(300, 1 << 62, np.uint64), np.array([15 << 60, 5, 15 << 60], np.uint64)]
+        lengths = np.array([len(x) for x in lists])
+        words, counts = simple8b.encode_lists(np.concatenate(lists), lengths)
+        first = np.cumsum(counts) - counts
+        assert (simple8b.decode(words, lengths, first) == np.concatenate(lists)).all()
+        one = simple8b.decode(words[first[2]:first[2] + counts[2]], lengths[2:3], np.zeros(1, np.int64))
+        assert (one == lists[2]).all()
+    with pytest.raises(ValueError):
+        simple8b.decode(np.array([15 << 60], np.uint64), np.array([1]), np.array([0]))
+
+
 def test_ids_are_the_tokenizers_own():
     tokenizers = pytest.importorskip("tokenizers")
     path = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")

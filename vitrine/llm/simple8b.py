@@ -2,8 +2,8 @@
 
 A 64-bit word holds a selector in its four highest bits and as many ids of one
 width as fit in the other 60.  Selectors 0-13 stand for the widths below, 14
-for a run of one value, 15 for an escape: the word's payload is one value of up
-to 60 bits.  Values above are refused.
+for a run of one value, 15 for an escape: the next word is one value of up to 64
+bits as it is.
 
 A block covers the documents of one stretch of a shard.  It carries the number
 of ids and the first word of every document, so any document is decoded alone,
@@ -25,7 +25,7 @@ from vitrine.llm import common as C
 #: Bits of an id by selector, and how many fit in 60 bits.
 WIDTHS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int64)
 FITS = 60 // WIDTHS
-RUN = 14
+RUN, ESCAPE = 14, 15
 RUN_COUNT_BITS = 28
 U = np.uint64
 #: Documents in a block; blocks also end after some megabytes of text.
@@ -63,15 +63,14 @@ def encode_lists(values: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, n
     list's last word may take fewer: the reader knows the list's length.
     """
     values = np.ascontiguousarray(values, U)
-    if len(values) and int(values.max()) >> 60:
-        raise ValueError("an id of more than 60 bits does not fit in a word")
     # Every list is followed by room for the widest count, where anything fits.
     room = int(FITS[0])
     start = np.concatenate(([0], np.cumsum(lengths + room)))
     n = int(start[-1])
     at = np.arange(len(values)) + np.repeat(np.arange(len(lengths)) * room, lengths)
     need = np.zeros(n, np.uint8)
-    need[at] = _width_class(values)
+    wide = values >> U(60) != 0
+    need[at] = np.where(wide, 255, _width_class(np.where(wide, U(0), values)))
     padded = np.zeros(n, U)
     padded[at] = values
     best = np.full(n, len(WIDTHS) - 1, np.uint8)
@@ -79,6 +78,7 @@ def encode_lists(values: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, n
         fits = need <= s
         best[_all_of_next(fits, int(FITS[s]))] = s
     take = FITS[np.minimum(best, len(WIDTHS) - 1)].astype(np.int64)
+    best[at[wide]], take[at[wide]] = ESCAPE, 1
     same = np.zeros(n, bool)
     same[:-1] = padded[1:] == padded[:-1]
     inside = np.zeros(n, bool)
@@ -101,8 +101,12 @@ def encode_lists(values: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, n
     starts = np.array(starts, np.int64)
     kind, count = best[starts], take[starts]
     out = kind.astype(U) << U(60)
+    words = np.array(words, np.int64)
+    escapes = np.flatnonzero(kind == ESCAPE)
     for s in np.unique(kind).tolist():
         mine = np.flatnonzero(kind == s)
+        if s == ESCAPE:
+            continue
         if s == RUN:
             out[mine] |= (padded[starts[mine]] << U(RUN_COUNT_BITS)) | count[mine].astype(U)
             continue
@@ -111,11 +115,15 @@ def encode_lists(values: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, n
         for k in range(int(FITS[s])):
             packed |= padded[np.minimum(first + k, n - 1)] << U(k * WIDTHS[s])
         out[mine] = packed
-    return out, np.array(words, np.int64)
+    if len(escapes):
+        ends = np.cumsum(words)
+        words = words + np.bincount(np.searchsorted(ends, escapes, "right"), minlength=len(words))
+        out = np.insert(out, escapes + 1, padded[starts[escapes]])
+    return out, words
 
 
 def encode(values: np.ndarray) -> np.ndarray:
-    """Simple-8b words of one list of ids; ids need fewer than 61 bits."""
+    """Simple-8b words of one list of ids."""
     return encode_lists(np.asarray(values), np.array([len(values)], np.int64))[0]
 
 
@@ -123,9 +131,20 @@ def decode(words: np.ndarray, lengths: np.ndarray, first: np.ndarray) -> np.ndar
     """All ids of a block: ``lengths`` ids per document, whose words begin at ``first``."""
     words = np.ascontiguousarray(words, U)
     kind = (words >> U(60)).astype(np.int64)
-    if np.any(kind > RUN):
-        raise ValueError("unknown selector")
+    raw: list[int] = []  # places of words that an escape stands before; those may look like escapes
+    for i in np.flatnonzero(kind == ESCAPE).tolist():
+        if not raw or raw[-1] != i:
+            raw.append(i + 1)
+    if raw:
+        if raw[-1] >= len(words):
+            raise ValueError("a block ends with an escape")
+        plain = np.ones(len(words), bool)
+        plain[raw] = False
+        values = words[raw]
+        first = first - np.searchsorted(raw, first)
+        words, kind = words[plain], kind[plain]
     holds = FITS[np.minimum(kind, len(WIDTHS) - 1)].copy()
+    holds[kind == ESCAPE] = 1
     run = kind == RUN
     holds[run] = (words[run] & U((1 << RUN_COUNT_BITS) - 1)).astype(np.int64)
     ends = np.append(first[1:], len(words))
@@ -141,6 +160,9 @@ def decode(words: np.ndarray, lengths: np.ndarray, first: np.ndarray) -> np.ndar
     to = offset[document] + local
     for s in np.unique(kind):
         mine = np.flatnonzero(kind == s)
+        if s == ESCAPE:
+            out[to[mine]] = values
+            continue
         if s == RUN:
             for i in mine:
                 out[to[i]:to[i] + real[i]] = (words[i] & U((1 << 60) - 1)) >> U(RUN_COUNT_BITS)
