@@ -19,8 +19,12 @@ ENDS = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "d
         "tbody": (("tr", "td", "th", "thead", "tbody"), ("table",)), "tfoot": (("tr", "td", "th", "tbody"), ("table",)),
         "option": (("option",), ("select",))}
 
-_MARK = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
-_ATTR = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+#: Elements that may stand in a head; any other start tag ends it.
+HEAD = frozenset("base link meta title style script noscript noframes template".split())
+
+# No part of these patterns gives back what it took, so a page is read in time linear in its length.
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+_PART = re.compile(r"""[\s/]*+(?:([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)(?:"|(\Z))|'([^']*+)(?:'|(\Z))|([^\s>"'][^\s>]*+)|(?=>)))?+)?+""")
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _CLOSE = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 
@@ -38,16 +42,48 @@ class Node:
         self.link = 0
 
 
-def _attributes(source: str) -> tuple[list, str | None]:
+def read_tag(source: str, at: int) -> tuple[list[tuple[str, str]], bool, int]:
+    """Attributes of a tag whose name ends at ``at``, whether it closes itself, and where it ends; -1 if it never does.
+
+    A quote opens a value only right behind an equals sign; elsewhere it is a
+    letter like others, as browsers have it.
+    """
+    found = []
+    while True:
+        part = _PART.match(source, at)
+        name, a, open_a, b, open_b, c = part.groups()
+        at = part.end()
+        if name:
+            if open_a is not None or open_b is not None:
+                return found, False, -1
+            found.append((name.lower(), a or b or c or ""))
+        if at >= len(source):
+            return found, False, -1
+        if source[at] == ">":
+            return found, source[at - 1] == "/", at + 1
+
+
+def _comment_end(source: str, at: int) -> int:
+    """End of what begins with "<!" or "<?" or a stray "</" at ``at``."""
+    if source.startswith("<!--", at):
+        if source.startswith((">", "->"), at + 4):
+            return source.index(">", at) + 1
+        end = [e + n for e, n in ((source.find("-->", at + 4), 3), (source.find("--!>", at + 4, source.find("-->", at + 4)
+               if source.find("-->", at + 4) >= 0 else len(source)), 4)) if e >= 0]
+        return min(end, default=len(source))
+    end = source.find(">", at)
+    return end + 1 if end >= 0 else len(source)
+
+
+def _attributes(found: list[tuple[str, str]]) -> tuple[list, str | None]:
     tokens, gold = [], None
-    for name, a, b, c in _ATTR.findall(source):
-        name = name.lower()
+    for name, value in found:
         if name in ("class", "id", "role", "aria-label", "itemprop", "data-role"):
-            tokens += [t.lower() for t in _TOKEN.findall(a or b or c)]
+            tokens += [t.lower() for t in _TOKEN.findall(value)]
         elif name == "data-gold":
-            gold = a
-    if "hidden" in source:
-        tokens += ["hidden"] if re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", source) else []
+            gold = value
+        elif name == "hidden":
+            tokens.append("hidden")
     return tokens, gold
 
 
@@ -76,6 +112,9 @@ def parse(source: str | None) -> list[Node]:
                 node = nodes[number].parent
 
     def say(text: str) -> None:
+        nonlocal in_head
+        if in_head and text.strip():
+            in_head = False  # text ends a head that was not closed
         if not text or in_head:
             return
         if "&" in text:
@@ -85,16 +124,25 @@ def parse(source: str | None) -> list[Node]:
             nodes[node].link += len(text.strip())
 
     while at < size:
-        found = _MARK.search(source, at)
-        if not found:
+        mark = source.find("<", at)
+        if mark < 0:
             say(source[at:])
             break
-        say(source[at:found.start()])
-        at = found.end()
-        name = found.group(2)
-        if not name:
+        closing = source.startswith("/", mark + 1)
+        named = _NAME.match(source, mark + 1 + closing)
+        if not named:
+            if closing or source.startswith(("!", "?"), mark + 1):
+                say(source[at:mark])
+                at = _comment_end(source, mark)
+            else:  # a "<" of the text
+                say(source[at:mark + 1])
+                at = mark + 1
             continue
-        tag, closing = name.lower(), found.group(1)
+        say(source[at:mark])
+        tag = named.group().lower()
+        attrs, itself, at = read_tag(source, named.end())
+        if at < 0:  # a tag that never ends takes the rest of the page with it
+            break
         if closing:
             if tag == "head":
                 in_head = False
@@ -113,12 +161,12 @@ def parse(source: str | None) -> list[Node]:
         if tag == "head":
             in_head = True
             continue
-        if tag == "body":
+        if tag not in HEAD:
             in_head = False
-            nodes[0].tokens += _attributes(found.group(3))[0]
+        if tag == "body":
+            nodes[0].tokens += _attributes(attrs)[0]
             continue
-        attrs = found.group(3)
-        if tag in RAW and not attrs.endswith("/"):
+        if tag in RAW and not itself:
             end = _CLOSE[tag].search(source, at)
             if tag in NEVER_SHOWN:
                 at = end.end() if end else size

@@ -17,6 +17,7 @@ notices, adverts, forms, side columns and reader comments.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,9 +29,7 @@ from vitrine.llm.dom import Node, blocks, parse
 from vitrine.llm.trees import Boosted
 
 SAMPLE_PAGES = 250
-#: Characters of a sampled page's blocks that the generator uses.
-SAMPLE_CHARS = 6000
-LAYOUTS_PER_PAGE = 3
+LAYOUTS_PER_PAGE = 4
 SPLIT_COST = 1.5
 
 TAGS = ("body", "article", "main", "section", "div", "p", "h1", "h2", "h3", "h4", "li", "ul", "ol", "nav", "aside",
@@ -222,6 +221,8 @@ class Layouts:
         return _escape(" ".join(words[a:a + n]))
 
     def name(self, kind: str) -> str:
+        if self.chance(0.12):
+            return self.code()
         word = self.one(AROUND[kind].split())
         if self.chance(0.4):
             word = self.one(("site", "page", "main", "top", "box", "block", "js", "block")) + self.one("-_ ") + word
@@ -229,6 +230,11 @@ class Layouts:
             word += self.one(("-1", "-wrap", "-inner", " clearfix", "-box", "-container"))
         return f' {self.one(("class", "class", "id"))}="{word}"'
 
+    def code(self) -> str:
+        """A name that says nothing, as build tools make them."""
+        letters = "".join(self.one("abcdefghijklmnopqrstuvwxyz") for _ in range(int(self.rng.integers(2, 7))))
+        return f' {self.one(("class", "class", "id"))}="{letters}{int(self.rng.integers(0, 99)) if self.chance(0.5) else ""}"'
+
     def wrap(self, kind: str, tags: tuple, inner: str, named: float = 0.9) -> str:
         tag = self.one(tags)
         attrs = self.name(kind) if self.chance(named) else ""
@@ -273,6 +279,10 @@ class Layouts:
 
     def body(self, title: str, paragraphs: list[str]) -> str:
         out = []
+        if self.chance(0.12):  # one run of text, cut by line breaks only
+            rest = self.one(("<br><br>", "<br>", "<br />\n<br />")).join(map(_escape, paragraphs))
+            head = self.one(("<h1>{}</h1>", "<h2>{}</h2>", "<b>{}</b><br><br>")).format(_escape(title)) if title else ""
+            return head + rest
         if title:
             head = f"<h1>{_escape(title)}</h1>"
             if self.chance(0.15):
@@ -295,9 +305,12 @@ class Layouts:
                 out.append(f"<blockquote><p>{t}</p></blockquote>")
             elif draw < 0.12:
                 out.append(f"<pre>{t}</pre>")
-            elif draw < 0.15:
-                out.append(f"<table><tr><td>{t}</td></tr></table>")
-            elif draw < 0.17:
+            elif draw < 0.16:
+                rows = [f"<tr><td>{t}</td></tr>", f"<tr><th>{self.few(1, 3)}</th><td>{t}</td></tr>",
+                        f"<tr><td>{t}</td><td>{self.few(1, 8)}</td></tr>"]
+                extra = "".join(f"<tr><td>{self.few(1, 4)}</td><td>{self.few(1, 6)}</td></tr>" for _ in range(int(self.rng.integers(0, 4))))
+                out.append(f"<table>{self.one(rows)}{extra}</table>")
+            elif draw < 0.18:
                 out.append(f"<figure><figcaption>{t}</figcaption></figure>")
             elif draw < 0.22:
                 out.append(f"<p><b>{t}<br>")
@@ -311,26 +324,42 @@ class Layouts:
         inner = self.body(title, paragraphs)
         if self.chance(0.4):
             inner += self.around(self.one(("share", "side", "comment", "form")))
-        tag = self.one(("article", "main", "div", "div", "section", "td", "div"))
+        bare = self.chance(0.2)  # the article's blocks stand among the page's own
+        tag = "div" if bare else self.one(("article", "main", "div", "div", "section", "td", "div"))
         attrs = ""
-        if tag not in ("article", "main") and self.chance(0.8) or self.chance(0.3):
+        if self.chance(0.15):
+            attrs = self.code()
+        elif tag not in ("article", "main") and self.chance(0.75) or self.chance(0.3):
             word = self.one(INSIDE)
             if self.chance(0.3):
                 word = self.one(("post-", "entry-", "article-", "story-", "main-", "page-", "single-")) + word
             attrs = f' {self.one(("class", "id"))}="{word}"'
-        inner = f'<{tag}{attrs} data-gold="1">{inner}</{tag}>'
+        if bare:
+            inner = _each_gold(inner)
+        else:
+            inner = f'<{tag}{attrs} data-gold="1">{inner}</{tag}>'
         if tag == "td":
             inner = f"<table><tr>{self.wrap('side', ('td',), self.links(3, 8)) if self.chance(0.6) else ''}{inner}</tr></table>"
-        for _ in range(int(self.rng.integers(0, 3))):
+        for _ in range(0 if bare else int(self.rng.integers(0, 3))):
             inner = self.one((f"<div>{inner}</div>", f'<div class="{self.one(("container", "wrapper", "row", "layout", "page"))}">{inner}</div>', inner))
         before = [k for k, p in (("notice", 0.3), ("head", 0.7), ("menu", 0.7), ("ad", 0.5), ("share", 0.1), ("form", 0.15)) if self.chance(p)]
         after = [k for k, p in (("side", 0.5), ("comment", 0.45), ("ad", 0.3), ("form", 0.25), ("notice", 0.2), ("foot", 0.8)) if self.chance(p)]
         if self.chance(0.2):
             before.append("side")
+        if self.chance(0.5 if bare else 0.25):  # hardly anything around
+            before, after = before[:1] if self.chance(0.4) else [], after[-1:] if self.chance(0.3) else []
         return ("<html><head><title>t</title></head><body>" + "".join(map(self.around, before)) + inner
                 + "".join(map(self.around, after)) + "</body></html>")
 
 
+def _each_gold(source: str) -> str:
+    """Marks every block of a container's inside that is not marked yet as the article's; its bare text gets a block."""
+    inside = parse(f'<div data-gold="1">{source}</div>')
+    if any(isinstance(x, str) and x.strip() for x in inside[1].items):
+        return f'<p data-gold="1">{source}</p>' if len(inside) == 2 else f'<div data-gold="1">{source}</div>'
+    return re.sub(r"<(h1|h2|p|div|ul|blockquote|pre|table|figure|header)>", r'<\1 data-gold="1">', source)
+
+
 def _escape(text: str) -> str:
     return text.replace("&", "&amp;").replace("<", "&lt;")
 
@@ -369,16 +398,16 @@ class Extractor:
             y, w = _own_labels(nodes)
             if 1 in y:
                 add(nodes, [float(s > 0) for s in y], w)
-                texts.append(blocks(nodes, [s > 0 for s in y])[:SAMPLE_CHARS].split("\n"))
+                texts.append(blocks(nodes, [s > 0 for s in y]).split("\n"))
             elif any(w):
                 add(nodes, [0.0] * len(y), w)
         if not texts:
-            texts = [blocks(parse(p), [True] * len(parse(p)))[:SAMPLE_CHARS].split("\n") for p in pages] or [["a text"]]
+            texts = [blocks(parse(p), [True] * len(parse(p))).split("\n") for p in pages] or [["a text"]]
         layouts = Layouts(seed, [" ".join(t) for t in texts])
         for t in texts:
             for _ in range(LAYOUTS_PER_PAGE):
                 a = int(layouts.rng.integers(0, max(len(t) - 2, 1)))
-                page = parse(layouts.page(t[0] if layouts.chance(0.8) else "", t[a:a + int(layouts.rng.integers(1, 14))]))
+                page = parse(layouts.page(t[0] if layouts.chance(0.8) else "", t[a:a + int(layouts.rng.integers(1, layouts.one((4, 14))))]))
                 y, holds = _gold(page), _has_article(page)
                 add(page, y, [0.0 if h and v == 0 else 1.0 for h, v in zip(holds, y)])
         self.trees = Boosted().fit(np.concatenate(xs), np.concatenate(ys), np.concatenate(ws))
