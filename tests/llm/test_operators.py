@@ -371,3 +371,48 @@ def test_stage_columns_and_whole_documents(spark, odd):
     given = collections.Counter((r[0], r[1]) for r in ODD)
     for key, n in collections.Counter((r.doc_id, r.text) for r in mixed.collect()).items():
         assert n <= 2 * given[key]
+
+
+def test_columns_that_clash_are_replaced(odd):
+    given = odd.withColumns({"score": F.lit("x"), "lang_pred": F.lit(1), "contaminated": F.lit("y"), "item_id": F.lit(2), "overlap": F.lit("z")})
+    rows = [(i, ("Good words of a calm text. " if i % 3 else "BAD!! LOUD!! WORDS!! ") * (i % 7 + 1)) for i in range(60)]
+    spark = odd.sparkSession
+    network = quality.fit(spark.createDataFrame(rows, "doc_id bigint, text string"),
+                          spark.createDataFrame([(i, 1 if i % 3 else 0) for i in range(60)], "doc_id bigint, quality int"))
+    for net in (network, None):
+        got = quality.score(given, net)
+        assert got.columns[-1] == "score" and got.columns.count("score") == 1
+        assert len(got.filter("score between 0 and 1").collect()) == len(ODD)
+    models = language.learn(given.select("text", "lang"))
+    got = language.identify(given, models)
+    assert sorted(got.columns) == sorted(given.columns) and got.filter("score between 0 and 1").count() == len(ODD)
+    benchmark = spark.createDataFrame([(1, "x y z w v u")], "item_id bigint, text string")
+    got = decontaminate.contaminated(given, benchmark)
+    assert sorted(got.columns) == sorted(given.columns) and got.filter("not contaminated").count() == len(ODD)
+
+
+def test_whole_texts_teach_the_network(spark):
+    """What decides stands in one chunk of many, past where a few samples would look."""
+    rng = np.random.default_rng(2)
+    fill = ["calm plain words of a text", "more of the same quiet words", "and so it goes on and on"]
+    rows, labels = [], []
+    for i in range(160):
+        parts = [fill[int(k)] for k in rng.integers(0, 3, 250)]
+        if i % 2:
+            parts[int(rng.integers(20, 230))] = "BUY!! NOW!! $$$ CLICK!! " * 8
+        rows.append((i, " ".join(parts)))
+        labels.append((i, i % 2))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    network = quality.fit(docs, spark.createDataFrame(labels[:120], "doc_id bigint, quality int"))
+    got = {r.doc_id: r.score for r in quality.score(docs, network).collect()}
+    assert sum((got[i] >= 0.5) == bool(i % 2) for i in range(120, 160)) >= 38
+
+
+def test_stages_of_empty_and_odd_tables(spark, odd, empty):
+    folder = "/root/testdata/sf0.001"
+    for name, stage in stages.STAGES:
+        assert stage(spark, empty, folder).count() == 0, name
+        rows = stage(spark, odd, folder)
+        if name != "tokens":
+            assert rows.columns == list(stages.COLUMNS), name
+        assert rows.count() <= 2 * len(ODD), name

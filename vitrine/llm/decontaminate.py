@@ -290,11 +290,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Null and blank texts, and texts without an item's words, are clean: false,
     null, 0.  Items without words match nothing; an empty benchmark leaves all
     clean.  Of equal shares the least item_id stands.  Columns of these names
-    must not be there already.
+    that ``docs`` has are replaced.  Repeated rows are rows like others; an
+    empty table gives an empty table.
     """
-    clash = {"contaminated", "item_id", "overlap"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"columns are already there: {sorted(clash)}")
+    docs = docs.drop("contaminated", "item_id", "overlap")
     names = docs.columns
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     out = docs.withColumn("item_id", F.lit(None).cast("string")).withColumn("overlap", F.lit(0.0))

@@ -262,18 +262,21 @@ def learn(docs: DataFrame) -> Models:
                     yield C.rows({"lang": part.column("lang"), "h": pa.array(got.tolist(), pa.list_(pa.float64()))})
 
         rows = (sample.mapInArrow(entropies, "lang string, h array<double>").distinct()
-                .limit(2 * CALIBRATION_ROWS).collect())
+                .orderBy("lang", "h").limit(2 * CALIBRATION_ROWS).collect())
         rows.sort(key=lambda r: (r.lang, r.h))
         models.calibrate(np.array([r.h for r in rows]), [r.lang for r in rows])
     return models
 
 
 def identify(docs: DataFrame, models: Models, reject: bool = False) -> DataFrame:
-    """``docs`` (text and others) with lang_pred and score, over whole texts."""
+    """``docs`` (text and others) with lang_pred and score, over whole texts.
+
+    Columns of these names that ``docs`` has are replaced.  Null texts and
+    those without a letter are ``und``; repeated rows are rows like others; an
+    empty table gives an empty table.
+    """
+    docs = docs.drop("lang_pred", "score")
     names = [f.name for f in docs.schema]
-    clash = {"lang_pred", "score"} & set(names)
-    if clash:
-        raise ValueError(f"columns are already there: {sorted(clash)}")
     sent = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

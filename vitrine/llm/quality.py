@@ -7,8 +7,7 @@ combined into one probability.  The filters are trained by back-propagation
 through the places of the maxima.
 
 Fitting takes a bounded sample of labelled rows (``SAMPLE_ROWS``, in the order
-of a hash of the id) and of each row ``SAMPLE_CHUNKS`` chunks spread over the
-whole text; scoring reads every chunk of every text.
+of a hash of the id), whole texts of them as scoring does.
 """
 
 from __future__ import annotations
@@ -24,7 +23,7 @@ from vitrine.llm import common as C
 CHUNK, OVERLAP = 512, 64
 WIDTH, STRIDE = 12, 4
 EMBED, FILTERS = 8, 24
-SAMPLE_ROWS, SAMPLE_CHUNKS = 4000, 6
+SAMPLE_ROWS = 3000
 EPOCHS, BATCH, RATE = 10, 64, 0.004
 PLACES = (CHUNK - WIDTH) // STRIDE + 1
 #: Chunks that go through the filters at once.
@@ -76,7 +75,8 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
     def gradients(self, chunks: np.ndarray, first: np.ndarray, label: np.ndarray) -> dict:
-        top, place = self.pooled(chunks)
+        pooled = [self.pooled(chunks[a:a + STEP]) for a in range(0, len(chunks), STEP)]
+        top, place = (np.concatenate(x) for x in zip(*pooled))
         count = np.diff(np.append(first, len(top)))
         text = np.repeat(np.arange(len(first)), count)
         mean = np.add.reduceat(top, first) / count[:, None]
@@ -90,16 +90,21 @@ class Network:
         d_top = back[text, :FILTERS] / count[text][:, None] + back[text, FILTERS:] * at_most / ties[text]
         d_top = (d_top * (top > 0)).astype(np.float32)
         grad["bias"] = d_top.sum(0)
+        grad["filters"], grad["embed"] = np.zeros_like(self.filters), np.zeros_like(self.embed)
+        for a in range(0, len(chunks), STEP):
+            self._back(chunks[a:a + STEP], place[a:a + STEP], d_top[a:a + STEP], grad)
+        return grad
+
+    def _back(self, chunks: np.ndarray, place: np.ndarray, d_top: np.ndarray, grad: dict) -> None:
+        """Adds the gradients of filters and embedding that come through some chunks' maxima."""
         bytes_at = place[:, :, None] * STRIDE + np.arange(WIDTH)
         seen = np.take_along_axis(chunks, bytes_at.reshape(len(chunks), -1), 1).reshape(len(chunks), FILTERS, WIDTH)
         patch = self.embed[seen].reshape(len(chunks), FILTERS, -1)
-        grad["filters"] = np.einsum("cf,cfk->kf", d_top, patch)
+        grad["filters"] += np.einsum("cf,cfk->kf", d_top, patch)
         d_patch = (d_top[:, :, None] * self.filters.T[None]).reshape(-1, EMBED)
         order = np.argsort(seen.ravel(), kind="stable")
         found, cut = np.unique(seen.ravel()[order], return_index=True)
-        grad["embed"] = np.zeros_like(self.embed)
-        grad["embed"][found] = np.add.reduceat(d_patch[order], cut)
-        return grad
+        grad["embed"][found] += np.add.reduceat(d_patch[order], cut)
 
     def fit(self, bags: list[np.ndarray], labels: np.ndarray, seed: int = 5) -> "Network":
         """Adam over batches of texts in a seeded order."""
@@ -142,8 +147,6 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bags = []
             for a, b in zip(offsets[:-1], offsets[1:]):
                 starts = chunk_starts(b - a)
-                if len(starts) > SAMPLE_CHUNKS:
-                    starts = starts[np.linspace(0, len(starts) - 1, SAMPLE_CHUNKS).astype(int)]
                 bags.append(chunks_of(data, starts + a, np.full(len(starts), b)).tobytes())
             yield C.rows({"doc_id": part.column("doc_id"), "quality": part.column("quality"),
                           "bag": pa.array(bags, pa.binary())})
@@ -153,15 +156,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> N
     """A network for ``labels`` (doc_id, quality) of ``docs`` (doc_id, text); None without two classes.
 
     Rows with a null id or label teach nothing; an id with several labels has
-    their maximum.  At most ``sample_rows`` labels are taken, and of repeated
-    ids no more rows than twice as many.
+    their maximum.  At most ``sample_rows`` labels are taken, and of their rows
+    (an id may be repeated) the first ``sample_rows`` by id and text.
     """
     chosen = (labels.filter("doc_id is not null and quality is not null").groupBy("doc_id")
               .agg(F.max("quality").cast("int").alias("quality"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(
         F.broadcast(chosen.select(F.col("doc_id").cast("bigint").alias("doc_id"), "quality")), "doc_id")
-    rows = texts.mapInArrow(_bags, "doc_id bigint, quality int, bag binary").limit(2 * sample_rows).collect()
+    taken = texts.orderBy("doc_id", F.xxhash64("text"), "text").limit(sample_rows)
+    rows = taken.mapInArrow(_bags, "doc_id bigint, quality int, bag binary").collect()
     rows.sort(key=lambda r: (r.doc_id, r.bag))
     label = np.array([float(r.quality == 1) for r in rows], np.float32)
     if len(set(label.tolist())) < 2:
@@ -173,13 +177,14 @@ def score(docs: DataFrame, network: Network | None, fallback: float = 0.5) -> Da
     """``docs`` (doc_id, text, and others) with ``score``, the probability of quality 1.
 
     Null and empty texts are scored as an empty chunk.  Without a network every
-    score is ``fallback``.
+    score is ``fallback``.  A column named score that ``docs`` has is replaced.
+    Repeated rows and null ids are rows like others; an empty table gives an
+    empty table.
     """
+    docs = docs.drop("score")
     if network is None:
         return docs.withColumn("score", F.lit(float(fallback)))
     names = [f.name for f in docs.schema]
-    if "score" in names:
-        raise ValueError("a column named score is already there")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -15,19 +15,32 @@ KEEP_SCORE = 0.3
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Leaves out documents that the quality network rejects."""
+    """Leaves out documents that the quality network rejects.
+
+    Null and empty texts are scored as an empty chunk, repeated rows alike;
+    where labels teach nothing all stay.  An empty table gives an empty table.
+    Columns besides those of documents are left out.
+    """
     docs = docs.select(*COLUMNS)
     network = queries.quality_network(spark, docs, folder)
     return quality.score(docs, network).filter(F.col("score") >= KEEP_SCORE).select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group that shares 80 in 100 of its five-word shingles."""
+    """One document of each group that shares 80 in 100 of its five-word shingles.
+
+    Of repeated rows one stays.  Texts without words, null ones too, all stay;
+    null ids come last in a group.  An empty table gives an empty table.
+    """
     return neardup.keep_one(docs.select(*COLUMNS), width=5, percent=80).select(*COLUMNS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Leaves out documents that hold a benchmark item or a paraphrase of one."""
+    """Leaves out documents that hold a benchmark item or a paraphrase of one.
+
+    Null and empty texts stay, repeated rows are judged alike, and an empty
+    benchmark leaves all.  An empty table gives an empty table.
+    """
     benchmark = C.table(spark, folder, "benchmark")
     return decontaminate.contaminated(docs.select(*COLUMNS), benchmark).filter(~F.col("contaminated")).select(*COLUMNS)
 
@@ -36,7 +49,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Repeats documents so that their sources reach their target weights.
 
     A document stays whole: it is there once per whole repetition, and once
-    more if the fractional one takes at least half of it.
+    more if the fractional one takes at least half of it.  Null and empty texts
+    have no words and stay out of or in the mix without weight; rows equal in
+    all columns are counted apart.  An empty table gives an empty table.
     """
     keyed = docs.select(*COLUMNS, F.xxhash64("doc_id", "source", "text").alias("__key"))
     mixed = mixing.mix(keyed, C.words("text"), key="__key")
@@ -51,7 +66,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Writes the token ids of all documents and reads their digests back."""
+    """Writes the token ids of all documents and reads their digests back.
+
+    A null or empty text is its end id alone, null ids come first, repeated
+    rows are rows like others.  An empty table gives an empty table.
+    """
     return queries.token_file(docs.select("doc_id", "text"))
 
 
