@@ -126,19 +126,22 @@ def fingerprints(docs: DataFrame, k: int = K, width: int = WIDTH) -> DataFrame:
 
     along = Window.partitionBy("slice").orderBy("key", "tie")
     own = keyed.withColumn("own", text_sketch(F.col("text"), k, width))
-    led = own.select("*", F.lead(F.struct("text", "own")).over(along).alias("next"))
-    firsts = keyed.groupBy("slice").agg(F.min_by("text", F.struct("key", "tie")).alias("head"))
+    led = own.select("*", F.lead(F.struct("text", "own")).over(along).alias("next"), F.lead("doc_id").over(along).alias("lead_id"))
+    # All columns are asked for, so that both readers share one shuffle.
+    firsts = keyed.groupBy("slice").agg(F.min_by(F.struct("doc_id", "text"), F.struct("key", "tie")).alias("one"))
+    firsts = firsts.select("slice", F.col("one.text").alias("head"), F.col("one.doc_id").alias("head_id"))
     order = Window.orderBy("slice")
     after = firsts.select(F.col("slice").alias("at"), F.coalesce(F.lead("slice").over(order), F.first("slice").over(order)).alias("to"))
     heads = after.join(firsts, F.col("to") == F.col("slice")).select(
-        "at", F.struct(F.col("head").alias("text"), text_sketch(F.col("head"), k, width).alias("own")).alias("first_after"))
-    joined = led.join(heads, (F.col("slice") == F.col("at")) & F.col("next").isNull(), "left")
-    joined = joined.select("doc_id", "text", "own", F.coalesce("next", "first_after").alias("next"))
+        "at", F.struct(F.col("head").alias("text"), text_sketch(F.col("head"), k, width).alias("own")).alias("first_after"), "head_id")
+    joined = led.join(heads, (F.col("slice") == F.col("at")) & F.col("next").isNull(), "left").withColumn(
+        "next_id", F.when(F.col("next").isNull(), F.col("head_id")).otherwise(F.col("lead_id")))
+    joined = joined.select("doc_id", "text", "own", F.coalesce("next", "first_after").alias("next"), "next_id")
     n = F.char_length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - quarter),
                       F.substring(F.col("next.text"), F.lit(1), quarter))
-    made = joined.select("doc_id", n.cast("bigint").alias("n_chars"), edited.alias("edited"), "own", F.col("next.own").alias("next_own"))
+    made = joined.select("doc_id", n.cast("bigint").alias("n_chars"), edited.alias("edited"), "own", F.col("next.own").alias("next_own"), "next_id")
     made = made.withColumn("theirs", text_sketch(F.col("edited"), k, width))
     return made.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("own")).alias("fingerprint"),
@@ -146,4 +149,4 @@ def fingerprints(docs: DataFrame, k: int = K, width: int = WIDTH) -> DataFrame:
         resemblance(F.col("own"), F.col("theirs"), k).alias("near_edited"),
         resemblance(F.col("own"), F.col("next_own"), k).alias("near_next"),
         distinct_count(F.col("own"), k).alias("n_shingles_estimate"),
-        containment(F.col("own"), F.col("theirs"), k).alias("kept_estimate"))
+        containment(F.col("own"), F.col("theirs"), k).alias("kept_estimate"), "next_id")
