@@ -273,8 +273,8 @@ def within_small(mixed: DataFrame) -> DataFrame:
     return pair.select(F.col("one.cid").alias("a"), F.col("other.cid").alias("b"))
 
 
-def tiles_of(large: DataFrame, sets: DataFrame) -> DataFrame:
-    """Members of crowded nodes with their sets, dealt to tiles of two blocks at most.
+def tiles_of(large: DataFrame, facts: DataFrame) -> DataFrame:
+    """Members of crowded nodes with what is known of each class, dealt to tiles of two blocks at most.
 
     A node of up to ``BLOCK`` classes is one tile.  Of a larger one every two
     blocks meet in one tile.
@@ -284,7 +284,7 @@ def tiles_of(large: DataFrame, sets: DataFrame) -> DataFrame:
     dealt = large.select("node", "cid", "comp", "least", mine.alias("mine"),
                          F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     tile = F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other"))
-    return dealt.select("cid", "comp", "least", tile.alias("tile")).join(sets.select("cid", "short"), "cid")
+    return dealt.select("cid", "comp", "least", tile.alias("tile")).join(facts, "cid")
 
 
 def tiler(percent: int):
@@ -355,7 +355,7 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
         kept = mixed.filter(F.col("n") <= CROWD).select("node", "cid").union(split.select("node", "cid"))
         mixed = cut_lineage(mixed_nodes(kept, comp))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tiles = tiles_of(mixed.filter(F.col("n") > SMALL_NODE), sets)
+    tiles = tiles_of(mixed.filter(F.col("n") > SMALL_NODE), sets.select("cid", "short"))
     pairs = within_small(mixed).union(tiles.repartition(parts, "tile").sortWithinPartitions("tile")
                                        .mapInArrow(tiler(percent), "a bigint, b bigint"))
     more = cut_lineage(confirmed(_sieve(pairs.distinct(), classes, percent), sets, percent))

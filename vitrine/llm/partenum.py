@@ -22,7 +22,8 @@ alone.
   them; cell counts, whose distance never exceeds the sets' own, are compared
   before full sets are.
 * Where a signature's classes are not one component yet, all pairs of different
-  components are compared: in place if few, else in tiles of bounded size.
+  components are compared by their cell counts, in place if few, else in tiles
+  of bounded size; the pairs left, once each, by their full sets.
 """
 
 from __future__ import annotations
@@ -46,7 +47,9 @@ FEW_SIGNATURES = 40
 U = np.uint64
 _LARGE_MARK = -1
 
-SIGNED = "doc_id bigint, tk bigint, n_shingles bigint, cid bigint, cells binary"
+SIGNED = "doc_id bigint, tk bigint, n_shingles bigint, cid bigint, cells binary, coarse binary"
+#: Cells of the coarse counts that go to tiles, and rounds in which classes are compared with hubs.
+COARSE, ROUNDS = 64, 3
 SPILLED = "radix int, first bigint, large boolean, sigs binary, cids binary"
 MET = "sig bigint, node bigint, n bigint, hub bigint, cid bigint"
 
@@ -144,16 +147,24 @@ def cells(flat: np.ndarray, begin: np.ndarray) -> list[bytes]:
     return out
 
 
+def coarse(counts: bytes) -> bytes:
+    """Cell counts summed to ``COARSE`` cells at most, of two bytes each."""
+    x = np.frombuffer(counts, np.uint8).astype(np.int64)
+    known = x.max() < 255
+    x = x.reshape(min(len(x), COARSE), -1).sum(1) if known else np.full(1, 65535)
+    return np.minimum(x, 65535).astype("<u2").tobytes()
+
+
 def _signer(width: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in C.pieces(batch, "text"):
                 flat, begin = neardup.sets_of(part.column("text"), width)
-                size = np.diff(begin)
+                size, counts = np.diff(begin), cells(flat, begin)
                 yield C.rows({
                     "doc_id": part.column("doc_id"), "tk": part.column("tk"), "n_shingles": pa.array(size),
                     "cid": pa.array(neardup.class_ids(flat, begin).view(np.int64), mask=size == 0),
-                    "cells": pa.array(cells(flat, begin), pa.binary())})
+                    "cells": pa.array(counts, pa.binary()), "coarse": pa.array([coarse(c) for c in counts], pa.binary())})
     return sign
 
 
@@ -280,6 +291,33 @@ def _near_cells(percent: int):
     return near
 
 
+def _tiler(percent: int):
+    """Pairs of different components within each tile whose coarse counts allow the similarity; rows come sorted by tile."""
+    def compare(rows: list) -> pa.RecordBatch:
+        cids, comps, least, size = (np.array([r[i] for r in rows]) for i in (1, 2, 3, 4))
+        counts = [np.frombuffer(r[5], "<u2").astype(np.int64) for r in rows]
+        n = min(map(len, counts))
+        x = np.stack([c.reshape(n, -1).sum(1) for c in counts])
+        unknown = np.array([c.max() == 65535 for c in counts])
+        a, b = [], []
+        for i in np.flatnonzero(comps != least).tolist():
+            apart = np.abs(x - x[i]).sum(1)
+            near = (100 + percent) * apart <= (100 - percent) * (size + size[i])
+            fits = 100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])
+            hit = np.flatnonzero((near | unknown | unknown[i]) & fits & (comps != comps[i]))
+            a.append(np.minimum(cids[i], cids[hit]))
+            b.append(np.maximum(cids[i], cids[hit]))
+        none = np.zeros(0, np.int64)
+        return C.rows({"a": pa.array(np.concatenate(a) if a else none), "b": pa.array(np.concatenate(b) if b else none)})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for b in batches for row in zip(*[b.column(c).to_pylist() for c in (
+            "tile", "cid", "comp", "least", "n_shingles", "coarse")]))
+        for _, of_tile in itertools.groupby(rows, key=lambda r: r[0]):
+            yield compare(list(of_tile))
+    return run
+
+
 def _sieved(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that sizes and cell counts leave."""
     sizes = classes.select("cid", "n_shingles")
@@ -296,25 +334,27 @@ def _linked(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
     signed = C.stored(neardup.keyed(docs).mapInArrow(_signer(width), SIGNED))
     nodes = met(docs, width, percent)
     classes = C.stored(signed.join(nodes.select("cid").distinct(), "cid", "left_semi").groupBy("cid").agg(
-        F.min(F.struct("doc_id", "tk")).alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("cells").alias("cells")))
+        F.min(F.struct("doc_id", "tk")).alias("rep"), F.first("n_shingles").alias("n_shingles"),
+        F.first("cells").alias("cells"), F.first("coarse").alias("coarse")))
     sets = C.stored(neardup.full_sets(classes, docs, width))
-    # First every class with one hub only; with the others where that has left components apart.
-    stars = nodes.filter("hub <> cid").groupBy(F.col("cid").alias("b")).agg(F.min("hub").alias("a"))
-    links = C.stored(neardup.confirmed(_sieved(stars.select("a", "b"), classes, percent), sets, percent))
-    comp = C.stored(components(links)).withColumnRenamed("node", "node_c")
-    apart = C.stored(neardup.mixed_nodes(nodes.select("node", "cid"), comp)).select("node", "cid", "comp")
-    hubs = apart.groupBy("node").agg(F.min_by("comp", "cid").alias("hub_comp"), F.min("cid").alias("hub"))
-    stars = apart.join(hubs, "node").filter("comp <> hub_comp").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
-    links = C.stored(links.union(neardup.confirmed(_sieved(stars, classes, percent), sets, percent)))
-    comp = C.stored(components(links)).withColumnRenamed("node", "node_c")
-
-    mixed = C.stored(neardup.mixed_nodes(apart.select("node", "cid"), comp))
+    # First every class with one hub only, then with hubs of the nodes that still hold several components.
+    stars = nodes.filter("hub <> cid").groupBy(F.col("cid").alias("b")).agg(F.min("hub").alias("a")).select("a", "b")
+    links, mixed = None, nodes
+    for turn in range(ROUNDS):
+        found = neardup.confirmed(_sieved(stars, classes, percent), sets, percent)
+        links = C.stored(found if links is None else links.union(found))
+        comp = C.stored(components(links)).withColumnRenamed("node", "node_c")
+        mixed = C.stored(neardup.mixed_nodes(mixed.select("node", "cid"), comp))
+        order = F.struct(F.xxhash64("cid", F.lit(turn)), "cid")
+        hubs = mixed.groupBy("node").agg(F.min_by(F.struct("cid", "comp"), order).alias("hub"))
+        stars = mixed.join(hubs, "node").filter("comp <> hub.comp").select(
+            F.least("cid", "hub.cid").alias("a"), F.greatest("cid", "hub.cid").alias("b")).distinct()
+
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tiles = neardup.tiles_of(mixed.filter(F.col("n") > neardup.SMALL_NODE), sets)
-    within = _sieved(neardup.within_small(mixed).distinct(), classes, percent)
-    pairs = within.union(tiles.repartition(parts, "tile").sortWithinPartitions("tile")
-                         .mapInArrow(neardup.tiler(percent), "a bigint, b bigint"))
-    more = C.stored(neardup.confirmed(pairs.distinct(), sets, percent))
+    tiles = neardup.tiles_of(mixed.filter(F.col("n") > neardup.SMALL_NODE), classes.select("cid", "n_shingles", "coarse"))
+    pairs = neardup.within_small(mixed).union(tiles.repartition(parts, "tile").sortWithinPartitions("tile")
+                                              .mapInArrow(_tiler(percent), "a bigint, b bigint"))
+    more = C.stored(neardup.confirmed(_sieved(pairs.distinct(), classes, percent), sets, percent))
     return signed, C.stored(components(links.union(more)))
 
 
