@@ -325,7 +325,7 @@ def test_nested_markup_is_taken_whole(spark):
     rows = [('<div class="tabs description"><div>one</div><p>two</p><div><div>three</div></div></div><div>out</div>', "one two three"),
             ('<div class="description">x</div>', "x"), ('<p>no</p>', None), ('<section class="a description b"><p>y', "y"), (None, None)]
     df = spark.createDataFrame(rows, "html string, want string")
-    got = df.select("want", G.inner_text(G.of_class("html", "description")).alias("got")).collect()
+    got = G.page_tokens(df).select("want", G.text_of("tokens", G.first("tokens", ".description")).alias("got")).collect()
     assert all(r.want == r.got for r in got)
 
 
@@ -339,3 +339,46 @@ def test_labels_of_many_spellings(spark):
     df = spark.createDataFrame([(1, "http://x.example/p", html)], "page_id int, url string, html string")
     got = G.page_fields(df).first()
     assert (got.closure, got.lining, got.usage, got.strap_count, got.long_strap) == ("zip", "silk", "travel", "3", "yes")
+
+
+def test_markup_is_read_as_browsers_do(spark):
+    from vitrine.operators import pages as G
+    html = ("<meta name=closure content='zip &amp; button'><div class = 'price box'><p class=price>1</p><img alt=\"a > b\" class='main-image' src=a.jpg>"
+            "<ul><li>one<li>two: x<ul><li>in</ul></ul><p title=it's>Caf&eacute; &#8217;s &mdash; &#x21;<p>z</div><!-- <b>no</b> --><script>'<b>'</script>tail")
+    df = spark.createDataFrame([(1, html), (2, None), (3, "")], "page_id int, html string")
+    rows = {r.page_id: r for r in G.page_tokens(df, keep_html=True).select(
+        "page_id", "html", "page_text", G.text_of("tokens", G.first("tokens", "p.price")).alias("price"),
+        G.image_source(G.first("tokens", ".box img")).alias("image"), F.size(G.select("tokens", "li")).alias("items"),
+        F.size(G.select("tokens", "ul ul li")).alias("inner"), F.size(G.select("tokens", "b")).alias("bold")).collect()}
+    one = rows[1]
+    assert (one.price, one.image, one.items, one.inner, one.bold) == ("1", "a.jpg", 3, 1, 0)
+    assert one.page_text.split("\n")[-3:] == ["Café ’s — !", "z", "tail"] and one.html == html
+    assert rows[2].page_text == rows[3].page_text == "" and rows[2].price is None
+
+
+@pytest.mark.parametrize("page,want", [
+    ('<div class="main-image"><span><img src="/m.jpg"></span></div>', "http://x.example/m.jpg"),
+    ("<div class=featured-image><img data-src=/f.png src=/logo.png></div><div class=main-image><img src=/m.jpg></div>", "http://x.example/f.png"),
+    ("<img id='hero-main' src=h.webp><div class='gallery-main'><img src=/g.jpg></div>", "http://x.example/p/h.webp"),
+    ("<div><p>x</p><div class='woocommerce-product-gallery__image'><img src=/b.jpg></div></div>"
+     "<div><div class='woocommerce-product-gallery__image'><img src=/a.jpg></div></div>", "http://x.example/a.jpg"),
+    ("<figure class=woocommerce-product-gallery__image><img src=/1.jpg></figure><div class='wd-carousel-item wd-active'>"
+     "<figure class='woocommerce-product-gallery__image'><img src=/2.jpg></figure></div>", "http://x.example/2.jpg"),
+    ("<div class='product__main-photos'><img src='/v.mp4'></div><meta property=og:image content=/og.jpg>", "http://x.example/og.jpg"),
+    ("<img src=/plain.jpg>", None)])
+def test_main_image_selectors(spark, page, want):
+    from vitrine.operators import pages as G
+    df = spark.createDataFrame([("http://x.example/p/q", page)], "url string, html string")
+    assert G.page_tokens(df).select(G.main_image("tokens", "url").alias("x")).first().x == want
+
+
+def test_labels_and_values_of_any_length(spark):
+    from vitrine import vocab as V
+    from vitrine.operators import pages as G
+    lining, usage, closure = (V.SPEC_LABELS[k][0] for k in ("lining", "usage", "closure"))
+    long = "v" * 250
+    html = f"<ul><li>{lining}: {long}</li></ul><h4>{usage}</h4><section><b>all</b> day</section><meta name='{closure}' content='zip'>"
+    got = G.page_fields(spark.createDataFrame([(1, "http://x.example/", html)], "page_id int, url string, html string")).first()
+    assert (got.lining, got.usage, got.closure) == (long, "all day", "zip")
+    got = G.page_fields(spark.createDataFrame([(1, "http://x.example/", f"<p>{lining} silk and wool</p>")], "page_id int, url string, html string")).first()
+    assert got.lining == "silk and wool"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +36,11 @@ def local_session(app: str = "vitrine", cores: str = "*", memory: str = "8g",
             .getOrCreate())
 
 
+def share_package(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver did, unless told otherwise."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[1]))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 
