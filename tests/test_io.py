@@ -223,3 +223,39 @@ def test_retry_stream_keeps_outcomes_apart(spark, tmp_path):
 
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == shared_folder(spark)
+
+
+def test_retry_rounds_resume_and_give_up(spark, tmp_path):
+    src, out = f"{tmp_path}/src", f"{tmp_path}/t"
+    schema = "k int, v int"
+
+    def run():
+        stream = G.file_stream(spark, src, spark.createDataFrame([], schema).schema)
+        G.retry_stream(stream, lambda df: df.withColumns({
+            "failed": F.col("v") >= F.col("attempt"), "hard": F.col("k") == 9}), out, f"{tmp_path}/cp", limit=3).awaitTermination()
+        return {r.k: (r.outcome, r.attempt) for r in G.read_outcomes(spark, out, "k").collect()}
+    spark.createDataFrame([(1, 0), (2, 1), (3, 5), (9, 5)], schema).write.parquet(src)
+    assert run() == {1: ("done", 1), 2: ("retry", 1), 3: ("retry", 1), 9: ("hard_failure", 1)}
+    assert sorted(r.k for r in G.read_retries(spark, out, "k").collect()) == [2, 3]
+    spark.createDataFrame([(4, 0)], schema).write.mode("append").parquet(src)
+    assert run() == {1: ("done", 1), 2: ("done", 2), 3: ("retry", 2), 4: ("done", 1), 9: ("hard_failure", 1)}
+    assert run()[3] == ("given_up", 3)
+    again = run()
+    assert again[3] == ("given_up", 3) and spark.read.parquet(out).count() == 8
+
+
+def test_state_of_few_keys_is_read_from_their_buckets(spark, tmp_path):
+    src, schema = f"{tmp_path}/src", "k int, price int, at timestamp"
+    for day in (1, 2):
+        rows = [(k, k * day, f"2024-01-0{day} 00:00:00") for k in (range(200) if day == 1 else [5, 7])]
+        spark.createDataFrame(rows, "k int, price int, at string").withColumn("at", F.to_timestamp("at")).write.mode("append").parquet(src)
+        stream = G.file_stream(spark, src, spark.createDataFrame([], schema).schema)
+        G.price_history_stream(stream, f"{tmp_path}/t", "k", "price", ["at"], F.hour("at"), f"{tmp_path}/cp").awaitTermination()
+    state, batch = spark.read.parquet(f"{tmp_path}/t/state"), spark.createDataFrame([(5,), (7,)], "k int")
+    read = G.earlier_state(state, batch, "k", 1)
+    buckets = {r.b for r in batch.select(G.bucket_of("k").alias("b")).collect()}
+    assert {r.bucket for r in read.select("bucket").distinct().collect()} <= buckets and len(buckets) <= 2
+    files = [f for f in read.inputFiles()]
+    assert files and "PartitionFilters: [" in read._jdf.queryExecution().executedPlan().toString()
+    assert "bucket" in read._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    assert sorted(r.k for r in G.read_history(spark, f"{tmp_path}/t", "k", ["at"]).collect()) == [5, 7]

@@ -217,6 +217,19 @@ def stream_retry(spark, d):
     return G.read_outcome(spark, out + "/t", "retry").select("event_id", "user_id")
 
 
+def stream_retry_rounds(spark, d):
+    """Four runs over the events: what fails is tried again, at most three times; the last run has nothing to do."""
+    events = S.table(spark, d, "events")
+    out, turn = _fresh(spark, "rounds"), F.col("event_id") % 10
+
+    def process(df):
+        return df.withColumns({"failed": (turn == 0) | (turn == 4) | (turn.isin(1, 2) & (F.col("attempt") <= turn)), "hard": turn == 0})
+    for _ in range(4):
+        G.retry_stream(G.file_stream(spark, f"{d}/events.parquet", events.schema), process, out + "/t",
+                       out + "/progress").awaitTermination()
+    return G.read_outcomes(spark, out + "/t", "event_id").select("event_id", "outcome", F.col("attempt").cast("int").alias("attempt"))
+
+
 _KIND = "CASE event_type WHEN 'view' THEN 'increase' WHEN 'purchase' THEN 'decrease' WHEN 'signup' THEN 'new' WHEN 'error' THEN 'removed' ELSE 'increase' END"
 _CENTS = "CAST(round(value * 100) AS BIGINT)"
 _LATEST = """l AS (SELECT * FROM (SELECT user_id % 25 AS run_id, 'step' || (user_id % 4) AS step,
@@ -305,6 +318,9 @@ SELECT p_partkey, CASE WHEN p_size > 25 THEN '+' ELSE '' END || CAST(p_size - 25
 SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1"""),
     "stream_retry": (stream_retry, """
 SELECT event_id, user_id FROM events WHERE event_type = 'error' AND NOT value > 100"""),
+    "stream_retry_rounds": (stream_retry_rounds, """
+SELECT event_id, CASE event_id % 10 WHEN 0 THEN 'hard_failure' WHEN 4 THEN 'given_up' ELSE 'done' END AS outcome,
+  CAST(CASE event_id % 10 WHEN 1 THEN 2 WHEN 2 THEN 3 WHEN 4 THEN 3 ELSE 1 END AS INTEGER) AS attempt FROM events"""),
     "stream_history": (stream_history, f"""
 WITH e AS (SELECT user_id, event_id, ts, {_CENTS} AS cents FROM events),
 p AS (SELECT *, lag(cents) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_cents FROM e),
