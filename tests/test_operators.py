@@ -92,7 +92,7 @@ def test_bracket_paths_agree(spark):
     df = spark.range(0, 100_000, 37).select((F.col("id") + 0.5 * (F.col("id") % 2)).alias("p"))
     table = B.rules_frame(spark, rules)
     case = df.withColumn("bracket", B.bracket_by_case(F.col("p"), table.collect()))
-    cells = B.bracket_by_cells(df, "p", table)
+    cells = B.bracket_by_sweep(df, "p", table)
     def flat(x):
         return sorted((r.p, r.n if r.n is not None else -1) for r in x.select("p", F.col("bracket.rule_ord").alias("n")).collect())
     brute = sorted((r.p, next((i for i, (lo, hi, *_) in enumerate(rules) if lo <= r.p <= hi), -1)) for r in df.collect())
@@ -382,3 +382,21 @@ def test_labels_and_values_of_any_length(spark):
     assert (got.lining, got.usage, got.closure) == (long, "all day", "zip")
     got = G.page_fields(spark.createDataFrame([(1, "http://x.example/", f"<p>{lining} silk and wool</p>")], "page_id int, url string, html string")).first()
     assert got.lining == "silk and wool"
+
+
+def test_overlapping_brackets_become_disjoint(spark):
+    import random
+    from vitrine.operators import pricing as B
+    rng = random.Random(9)
+    rules = [(a, a + rng.choice([0, 1, 7, 40, -1]), float(i), 0.0) for i, a in enumerate(rng.choices(range(60), k=90))]
+    frame = B.rules_frame(spark, rules)
+    pieces = sorted((r.low, r.high, r.point, r.bracket.rule_ord) for r in B.disjoint_brackets(frame).collect())
+    assert all(p[0] == p[1] if p[2] else p[0] < p[1] for p in pieces)
+    assert all(a[1] <= b[0] for a, b in zip(pieces, pieces[1:]))
+    prices = [x / 2 for x in range(-4, 240)] + [None]
+    got = {r.p: r.bracket and r.bracket.rule_ord for r in B.bracket_by_sweep(
+        spark.createDataFrame([(p,) for p in prices], "p double"), "p", frame).collect()}
+    want = {p: next((i for i, r in enumerate(rules) if p is not None and r[0] <= p <= r[1]), None) for p in prices}
+    assert got == want
+    assert B.disjoint_brackets(frame.limit(0)).count() == 0
+    assert B.bracket_by_sweep(spark.createDataFrame([(1.0,)], "p double"), "p", frame.limit(0)).first().bracket is None

@@ -204,6 +204,26 @@ def link_sheet(rows: DataFrame, links: DataFrame) -> DataFrame:
         (F.col("link_url").isNotNull() | F.col("link_name").isNotNull()).alias("matched"))
 
 
+def new_sheet(diff: DataFrame, scan: DataFrame, catalog: DataFrame) -> DataFrame:
+    """New products with all they have, then known products with the colours they gained.
+
+    ``kind`` is new_product or new_color; of the latter only key, name and the
+    added colours are filled in.
+    """
+    fresh = new_rows(scan, catalog).withColumn("kind", F.lit("new_product"))
+    gained = diff.filter("color_added").select(
+        "sku", "name", F.array_join("added", " | ").alias("colors"), F.lit("new_color").alias("kind"))
+    return fresh.unionByName(gained, allowMissingColumns=True)
+
+
+def ready_sheet(diff: DataFrame, scan: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Scan rows ready to be imported: new products, and known ones with a new colour and all colours they now have."""
+    gained = diff.filter("color_added").select(F.col("sku").alias("__sku"), F.array_join("colors_after", " | ").alias("__colors"))
+    rows = first_by_key(_keyed(scan), "sku", "ord").join(gained, F.col("sku") == F.col("__sku"))
+    known = rows.withColumn("colors", F.col("__colors")).drop("__sku", "__colors")
+    return new_rows(scan, catalog).unionByName(known)
+
+
 def image_urls_by_sku(scan: DataFrame) -> DataFrame:
     return (last_by_key(_keyed(scan).select("sku", "image_urls", "ord"), "sku", "ord")
             .select(F.col("sku").alias("__img_sku"), "image_urls"))

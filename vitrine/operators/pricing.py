@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vitrine.functions.prices import parse_price, round_to_thousand
 from vitrine.functions.text import nullify_blank
-from vitrine.operators.scale import local_frame, rows_if_small
+from vitrine.operators.scale import local_frame, number_all, quantile_slices, rows_if_small
+from vitrine.session import cut_lineage
 
 RULE_SCHEMA = ("rule_ord int, from_price double, to_price double, "
                "increase_percent double, discount_percent double")
@@ -41,36 +42,90 @@ def bracket_by_case(price: Column, rows) -> Column:
     return out
 
 
-def bracket_by_cells(df: DataFrame, price: str, rules: DataFrame) -> DataFrame:
-    """Large rule table: an equi-join on power-of-two price cells.
+def _levels(pieces: int) -> int:
+    return max(pieces, 1).bit_length() + 1
 
-    A range of width w lies in at most three cells of the smallest power of
-    two above w.  Every distinct price visits its own cell once per cell size
-    in use, so neither side is paired with the whole other side.
+
+def _tree_nodes(low: Column, high: Column, levels: int) -> Column:
+    """(level, node) of the fewest aligned ranges of 2**level pieces that make up low..high."""
+    start = F.struct(low.cast("bigint").alias("lo"), high.cast("bigint").alias("hi"),
+                     F.array().cast("array<struct<level:int,node:bigint>>").alias("out"))
+
+    def step(at, level):
+        some = at["lo"] <= at["hi"]
+        left, right = some & (at["lo"] % 2 == 1), some & (at["hi"] % 2 == 0)
+        none = F.array().cast("array<struct<level:int,node:bigint>>")
+
+        def one(node):
+            return F.array(F.struct(level.cast("int").alias("level"), node.alias("node")))
+        out = F.concat(at["out"], F.when(left, one(at["lo"])).otherwise(none),
+                       F.when(right & ~(left & (at["lo"] == at["hi"])), one(at["hi"])).otherwise(none))
+        # What is used up stays used up: halving an empty run could fill it again.
+        lo, hi = at["lo"] + F.when(left, 1).otherwise(0), at["hi"] - F.when(right, 1).otherwise(0)
+        return F.struct(F.when(lo <= hi, F.shiftright(lo, 1)).otherwise(1).cast("bigint").alias("lo"),
+                        F.when(lo <= hi, F.shiftright(hi, 1)).otherwise(0).cast("bigint").alias("hi"), out.alias("out"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(levels)), start, step, lambda at: at["out"])
+
+
+def disjoint_brackets(rules: DataFrame) -> DataFrame:
+    """Overlapping rules as disjoint pieces, each with its first rule.
+
+    The rules' end points are sorted and numbered; piece 2i is the i-th point,
+    piece 2i + 1 what lies open between it and the next.  A rule covers a run
+    of pieces, that is at most two aligned ranges per power of two; a piece
+    asks the aligned ranges that hold it.  So every rule and every piece makes
+    a number of rows that is logarithmic in the number of end points, however
+    much rules overlap.  Returns (low, high, point, bracket).
+    """
+    rules = rules.filter("from_price <= to_price")
+    ends = rules.select(F.explode(F.array("from_price", "to_price")).alias("at")).distinct()
+    ends = cut_lineage(number_all(ends, "at", quantile_slices(ends, "at"), "no").withColumn("i", F.col("no") - 1))
+    pieces = 2 * ends.count()
+    levels = _levels(pieces)
+    first, last = (ends.select(F.col("at").alias(f"{n}_price"), F.col("i").alias(f"{n}_i")) for n in ("from", "to"))
+    rule = F.struct("rule_ord", "increase_percent", "discount_percent")
+    covers = rules.join(first, "from_price").join(last, "to_price")
+    nodes = (covers.withColumn("n", F.explode(_tree_nodes(F.col("from_i") * 2, F.col("to_i") * 2, levels)))
+             .groupBy("n.level", "n.node").agg(F.min_by(rule, "rule_ord").alias("bracket")))
+    above = ends.select(F.col("i") - 1, F.col("at").alias("high")).toDF("i", "high")
+    all_pieces = ends.select((F.col("i") * 2).alias("piece"), F.col("at").alias("low"), F.col("at").alias("high"), F.lit(True).alias("point")).union(
+        ends.join(above, "i").select(F.col("i") * 2 + 1, F.col("at"), F.col("high"), F.lit(False)))
+    asked = all_pieces.select("piece", F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("level")).withColumn(
+        "node", F.expr("shiftright(piece, level)"))
+    best = asked.join(nodes, ["level", "node"]).groupBy("piece").agg(F.min_by("bracket", "bracket.rule_ord").alias("bracket"))
+    return all_pieces.join(best, "piece").select("low", "high", "point", "bracket")
+
+
+def bracket_by_sweep(df: DataFrame, price: str, rules: DataFrame) -> DataFrame:
+    """Large rule table: every distinct price meets the one disjoint piece that holds it.
+
+    A point is met by equality.  An open piece lies in at most three cells of
+    the least power of two that is not below its width; a price visits its own
+    cell once per power in use, and as pieces are disjoint, few lie in a cell.
     """
-    width = F.greatest(F.col("to_price") - F.col("from_price"), F.lit(1.0))
-    sized = (rules.filter("from_price <= to_price")
-             .withColumn("level", F.ceil(F.log2(width)).cast("int"))
+    pieces = cut_lineage(disjoint_brackets(rules))
+    prices = df.select(F.col(price).cast("double").alias("__p")).filter("__p is not null").distinct()
+    points = pieces.filter("point").select(F.col("low").alias("__p"), F.col("bracket").alias("at_point"))
+    spans = (pieces.filter("not point").withColumn("level", F.ceil(F.log2(F.col("high") - F.col("low"))).cast("int"))
              .withColumn("cell_size", F.pow(F.lit(2.0), F.col("level"))))
-    cells = sized.withColumn("cell", F.explode(F.sequence(
-        F.floor(F.col("from_price") / F.col("cell_size")),
-        F.floor(F.col("to_price") / F.col("cell_size")))))
-    # One row per cell size in use, at most one per power of two.
-    levels = [r.level for r in sized.select("level").distinct().collect()]
-    prices = (df.select(F.col(price).alias("__p")).filter("__p is not null").distinct()
-              .withColumn("level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>")))
+    cells = spans.withColumn("cell", F.explode(F.sequence(F.floor(F.col("low") / F.col("cell_size")),
+                                                          F.floor(F.col("high") / F.col("cell_size")))))
+    # One row per power of two in use.
+    levels = [r.level for r in spans.select("level").distinct().collect()]
+    visits = (prices.withColumn("level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>")))
               .withColumn("cell", F.floor(F.col("__p") / F.pow(F.lit(2.0), F.col("level")))))
-    rule = F.struct("rule_ord", "increase_percent", "discount_percent")
-    best = (prices.join(cells, ["level", "cell"])
-            .filter(F.col("__p").between(F.col("from_price"), F.col("to_price")))
-            .groupBy("__p").agg(F.min_by(rule, "rule_ord").alias("bracket")))
-    return df.join(best, F.col(price) == F.col("__p"), "left").drop("__p")
+    inside = (visits.alias("v").join(cells.alias("c"), (F.col("v.level") == F.col("c.level")) & (F.col("v.cell") == F.col("c.cell"))
+                                     & (F.col("__p") > F.col("low")) & (F.col("__p") < F.col("high")))
+              .select("__p", F.col("bracket").alias("in_span")))
+    found = (prices.join(points, "__p", "left").join(inside, "__p", "left")
+             .select("__p", F.coalesce("at_point", "in_span").alias("bracket")).filter("bracket is not null"))
+    return df.join(found, F.col(price).cast("double") == F.col("__p"), "left").drop("__p")
 
 
 def with_bracket(df: DataFrame, price: str, rules: DataFrame) -> DataFrame:
     rows = rows_if_small(rules)
     if rows is None:
-        return bracket_by_cells(df, price, rules)
+        return bracket_by_sweep(df, price, rules)
     if not rows:
         return df.withColumn("bracket", F.lit(None).cast(
             "struct<rule_ord:int,increase_percent:double,discount_percent:double>"))

@@ -23,6 +23,8 @@ class Changes:
     images: DataFrame
     deletions: DataFrame
     links: DataFrame
+    fresh: DataFrame
+    ready: DataFrame
 
 
 def detect_changes(scan: DataFrame, catalog: DataFrame, variants: DataFrame, listing: DataFrame,
@@ -41,7 +43,8 @@ def detect_changes(scan: DataFrame, catalog: DataFrame, variants: DataFrame, lis
         removed=X.removed_products(diff, catalog, variants), prices=X.price_changes(diff),
         colors=X.color_changes(diff, variants), updated=X.update_manifest(diff, links),
         images=X.image_subset(diff, scan, links), deletions=X.delete_list(diff, variants),
-        links=X.link_sheet(diff.filter("change_class = 'new' or color_added"), links))
+        links=X.link_sheet(diff.filter("change_class = 'new' or color_added"), links),
+        fresh=X.new_sheet(diff, scan, catalog), ready=X.ready_sheet(diff, scan, catalog))
 
 
 def choose_mode(counts: DataFrame, has_catalog: bool, requested: str = "auto") -> dict:
@@ -56,6 +59,6 @@ def choose_mode(counts: DataFrame, has_catalog: bool, requested: str = "auto") -
 def write_changes(changes: Changes, path: str) -> None:
     writers.write_sheets({"summary": changes.counts, "removed": changes.removed,
                           "price": X.price_sheet(changes.prices), "color": changes.colors,
-                          "links": changes.links}, f"{path}/report")
+                          "links": changes.links, "new": changes.fresh, "ready": changes.ready}, f"{path}/report")
     writers.write_manifests(changes.new, changes.updated, changes.images, path)
     writers.write_delete_list(changes.deletions, f"{path}/skus_to_delete")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from vitrine.functions import prices as P
@@ -9,7 +11,10 @@ from vitrine.operators import diff as X
 from vitrine.operators import tracking as K
 from vitrine.operators.dedupe import unprocessed
 from vitrine.operators.scale import first_by_key
+from vitrine.plans import changes
+from vitrine.session import shared_folder
 from vitrine.showcase import shop as S
+from vitrine.sources.readers import tidy_headers
 
 
 def _diff(spark, d, colors=True):
@@ -66,6 +71,36 @@ def link_sheet(spark, d):
     return X.link_sheet(wanted, X.links_by_code(S.listing(spark, d)))
 
 
+def report_sheets(spark, d):
+    """The change report written as sheets; the new and the ready one read back."""
+    scan, catalog = S.scan(spark, d), S.catalog(spark, d)
+    path = f"{shared_folder(spark).rstrip('/')}/vitrine-report-{uuid.uuid4().hex}"
+    changes.write_changes(changes.detect_changes(scan, catalog, S.variants(spark, d), S.listing(spark, d)), path)
+    new, ready = (tidy_headers(spark.read.csv(f"{path}/report/{name}", header=True, escape='"')) for name in ("new", "ready"))
+    return new.select(F.lit("new").alias("sheet"), "kind", "sku", "name", "colors", F.col("ord").cast("bigint").alias("ord")).union(
+        ready.select(F.lit("ready"), F.lit(""), "sku", "name", "colors", F.col("ord").cast("bigint")))
+
+
+def listing_shape(spark, d):
+    """Products of two sources, each with its own field names, as name and address."""
+    part = S.table(spark, d, "part")
+    ours = part.select(F.when(F.col("p_size") > 9, F.col("p_name")).otherwise("").alias("product_name"), F.col("p_brand").alias("name"),
+                       F.concat(F.lit("/p/"), "p_partkey").alias("url"))
+    theirs = part.select(F.col("p_type").alias("name"), F.concat(F.lit("/q/"), "p_partkey").alias("link"))
+    return K.listing_extract(ours).unionAll(K.listing_extract(theirs))
+
+
+def run_mode(spark, d):
+    """What a run has to do, for all that may be asked of it."""
+    counts = X.change_counts(_diff(spark, d))
+    none = counts.select(*[F.lit(0).cast(t).alias(c) for c, t in counts.dtypes])
+    priced = counts.select(*[(F.col(c) if c in ("changed", "price") else F.lit(0)).cast(t).alias(c) for c, t in counts.dtypes])
+    cases = {"found": (counts, True, "auto"), "nothing": (none, True, "auto"), "prices": (priced, True, "auto"),
+             "no_catalog": (none, False, "auto"), "asked": (counts, True, "full")}
+    rows = [(name, *changes.choose_mode(*case).values()) for name, case in cases.items()]
+    return spark.createDataFrame(rows, "case string, mode string, stop boolean, images boolean")
+
+
 def resume_unprocessed(spark, d):
     """Scan rows whose key the catalogue ledger has not seen."""
     return unprocessed(S.scan(spark, d), S.catalog(spark, d), "sku").groupBy("status").agg(
@@ -90,7 +125,22 @@ _LINK_ON = f"LEFT JOIN links ON links.code = {_CODE.format('q.sku')}"
 _IMG = """img AS (SELECT * FROM (SELECT sku, image_urls, row_number() OVER (PARTITION BY sku ORDER BY ord DESC) AS rn
   FROM offers WHERE NOT is_old) WHERE rn = 1)"""
 
+_SCAN_NEW = "SELECT * FROM offers WHERE NOT is_old AND sku NOT IN (SELECT sku FROM offers WHERE is_old)"
+
 QUERIES = {
+    "report_sheets": (report_sheets, f"""{_WITH}, scan_new AS ({_SCAN_NEW}), gained AS (SELECT * FROM diff WHERE change_class = 'common' AND len(added) > 0)
+SELECT 'new' AS sheet, 'new_product' AS kind, sku, name, colors, CAST(ord AS BIGINT) AS ord FROM scan_new
+UNION ALL SELECT 'new', 'new_color', sku, name, array_to_string(added, ' | '), NULL FROM gained
+UNION ALL SELECT 'ready', '', sku, name, colors, CAST(ord AS BIGINT) FROM scan_new
+UNION ALL SELECT 'ready', '', f.sku, f.name, array_to_string(list_sort(g.colors_after), ' | '), CAST(f.ord AS BIGINT) FROM gained g JOIN firsts f ON f.sku = g.sku AND NOT f.is_old"""),
+    "listing_shape": (listing_shape, """
+SELECT CASE WHEN p_size > 9 THEN p_name ELSE p_brand END AS product_name, '/p/' || p_partkey AS product_url FROM part
+UNION ALL SELECT p_type, '/q/' || p_partkey FROM part"""),
+    "run_mode": (run_mode, f"""{_WITH}, c AS (SELECT count(*) FILTER (change_class = 'new') AS new,
+  count(*) FILTER (price_changed OR COALESCE(len(added) > 0, FALSE)) AS changed, count(*) FILTER (change_class = 'common' AND len(added) > 0) AS color FROM diff)
+SELECT 'found' AS "case", 'incremental' AS mode, new + changed = 0 AS stop, new + color > 0 AS images FROM c
+UNION ALL SELECT 'nothing', 'incremental', TRUE, FALSE UNION ALL SELECT 'prices', 'incremental', changed = 0, FALSE FROM c
+UNION ALL SELECT 'no_catalog', 'full', FALSE, TRUE UNION ALL SELECT 'asked', 'full', FALSE, TRUE"""),
     "diff_summary": (diff_summary, f"""{_WITH}
 SELECT count(*) FILTER (change_class = 'new') AS new,
        count(*) FILTER (price_changed OR COALESCE(len(added) > 0, FALSE)) AS changed,

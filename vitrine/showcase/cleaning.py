@@ -374,6 +374,18 @@ def bracket_pricing_large(spark, d):
             .agg(F.count("*").alias("rows")))
 
 
+def bracket_overlap_large(spark, d):
+    """Every order is a rule; hundreds of them hold each price, and their numbers fall as prices rise."""
+    key = F.col("o_orderkey")
+    rules = S.table(spark, d, "orders").select(
+        (F.lit(10_000_000) - key).cast("int").alias("rule_ord"), (key % 997 * 100).cast("double").alias("from_price"),
+        (key % 997 * 100 + 20_000).cast("double").alias("to_price"), (key % 13).cast("double").alias("increase_percent"),
+        F.lit(0.0).alias("discount_percent"))
+    prices = S.table(spark, d, "lineitem").select(F.floor("l_extendedprice").cast("double").alias("price"))
+    return (with_bracket(prices, "price", rules).groupBy("bracket.rule_ord", "bracket.increase_percent")
+            .agg(F.count("*").alias("rows")))
+
+
 def keyword_join_large(spark, d):
     """A keyword per order; texts that hold some of them."""
     rules = S.table(spark, d, "orders").select(
@@ -569,6 +581,12 @@ WITH r AS (SELECT CAST(o_orderkey AS INTEGER) AS rule_ord, o_orderkey % 900 * 10
 p AS (SELECT floor(l_extendedprice) AS price, count(*) AS n FROM lineitem GROUP BY 1),
 b AS (SELECT price, min(rule_ord) AS rule_ord FROM p JOIN r ON price BETWEEN lo AND hi GROUP BY price)
 SELECT b.rule_ord, r.increase_percent, CAST(sum(n) AS BIGINT) AS rows FROM p LEFT JOIN b USING (price) LEFT JOIN r ON r.rule_ord = b.rule_ord GROUP BY 1, 2"""),
+    "bracket_overlap_large": (bracket_overlap_large, """
+WITH r AS (SELECT o_orderkey % 997 * 100 AS from_price, min(10000000 - o_orderkey) AS rule_ord FROM orders GROUP BY 1),
+p AS (SELECT floor(l_extendedprice) AS price, count(*) AS n FROM lineitem GROUP BY 1),
+b AS (SELECT price, any_value(n) AS n, min(rule_ord) AS rule_ord FROM p LEFT JOIN r ON price BETWEEN from_price AND from_price + 20000 GROUP BY price)
+SELECT CAST(rule_ord AS INTEGER) AS rule_ord, CAST((10000000 - rule_ord) % 13 AS DOUBLE) AS increase_percent, CAST(sum(n) AS BIGINT) AS rows
+FROM b GROUP BY 1, 2"""),
     "keyword_join_large": (keyword_join_large, """
 WITH t AS (SELECT CASE WHEN l_orderkey IN (SELECT o_orderkey FROM orders) THEN l_orderkey
    WHEN l_orderkey + 3 IN (SELECT o_orderkey FROM orders) THEN l_orderkey + 3 END AS k FROM lineitem)

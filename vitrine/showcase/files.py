@@ -128,6 +128,16 @@ def picture_folder(spark, d):
     return files.select(F.regexp_extract("path", r"k=([0-9]+)a/", 1).alias("product_no"), (F.col("length") > 0).alias("filled")).distinct()
 
 
+def image_files(spark, d):
+    """Pictures of a tree by their extension, with their folder; other files are left out."""
+    rows = S.table(spark, d, "part").select(F.concat((F.col("p_partkey") % 7).cast("string"), F.lit("x")).alias("k"), "p_name")
+    path = _fresh(spark, "images")
+    for ending in ("jpg", "PNG", "txt"):
+        rows.write.partitionBy("k").option("compression", "none").option("extension", ending).mode("append").csv(path)
+    found = I.image_inventory(spark, path)
+    return found.select("folder", F.lower(F.regexp_extract("path", r"\.([^.]+)$", 1)).alias("ending"), "product_no").distinct()
+
+
 def term_log(spark, d):
     """Terms of '[time] term -> suggestion' lines, once each."""
     lines = S.table(spark, d, "part").select(F.concat(F.lit("[10:00] "), "p_name", F.when(F.col("p_size") % 2 == 0, F.lit(" → x"))
@@ -240,6 +250,8 @@ SELECT CAST(p_partkey AS DOUBLE) AS from_price, CAST(p_partkey + 10 AS DOUBLE) A
 SELECT CAST(p_partkey AS VARCHAR) AS sku, CASE WHEN p_size > 20 THEN p_name ELSE 'کد ' || p_partkey END AS name,
   'http://x.example/' || p_partkey AS url FROM part WHERE p_size > 3"""),
     "picture_folder": (picture_folder, "SELECT DISTINCT CAST(p_partkey % 7 AS VARCHAR) AS product_no, TRUE AS filled FROM part"),
+    "image_files": (image_files, """
+SELECT DISTINCT 'k=' || (p_partkey % 7) || 'x' AS folder, unnest(['jpg', 'png']) AS ending, CAST(NULL AS VARCHAR) AS product_no FROM part"""),
     "term_log": (term_log, "SELECT DISTINCT p_name AS term FROM part"),
     "daily_snapshots": (daily_snapshots, """
 SELECT event_type, count(*) AS rows, CAST(1 AS BIGINT) AS days FROM events WHERE event_type = 'purchase' GROUP BY 1"""),

@@ -22,12 +22,11 @@ LISTING = strings("No", "Product Name", "Product URL", "Price")
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
-               multi_line: bool = True) -> DataFrame:
+               multi_line: bool = False) -> DataFrame:
     """Table by its suffix: CSV, JSON lines, else Parquet.
 
-    Quoted cells may hold line breaks, which keeps one CSV file in one task.
-    Pass ``multi_line=False`` for large single-line files, or land them as
-    Parquet once.
+    A CSV file is split among tasks.  Where quoted cells hold line breaks pass
+    ``multi_line=True``, which keeps a file in one task.
     """
     low = path.lower().rstrip("/")
     if low.endswith(EXCEL_SUFFIXES):
