@@ -41,9 +41,12 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
-def read_catalog(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Previous catalogue as (products, variants), keys trimmed, names English."""
-    df = read_table(spark, path)
+def read_catalog(spark: SparkSession, path: str, multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Previous catalogue as (products, variants), keys trimmed, names English.
+
+    Descriptions hold line breaks; a CSV known to have none can be split.
+    """
+    df = read_table(spark, path, multi_line=multi_line)
     if "ord" not in df.columns:
         df = with_file_order(df)
     df = df.withColumns({c: F.coalesce(trim_any(c), F.lit("")) for c in ("sku", "parent_sku")})
