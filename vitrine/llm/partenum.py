@@ -291,8 +291,11 @@ def _near_cells(percent: int):
     return near
 
 
-def _tiler(percent: int):
-    """Pairs of different components within each tile whose coarse counts allow the similarity; rows come sorted by tile."""
+def _tiler(percent: int, nearest: bool):
+    """Pairs of different components within each tile whose coarse counts allow the similarity; rows come sorted by tile.
+
+    With ``nearest`` a class only names the nearest one of each other component.
+    """
     def compare(rows: list) -> pa.RecordBatch:
         cids, comps, least, size = (np.array([r[i] for r in rows]) for i in (1, 2, 3, 4))
         counts = [np.frombuffer(r[5], "<u2").astype(np.int64) for r in rows]
@@ -305,6 +308,9 @@ def _tiler(percent: int):
             near = (100 + percent) * apart <= (100 - percent) * (size + size[i])
             fits = 100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])
             hit = np.flatnonzero((near | unknown | unknown[i]) & fits & (comps != comps[i]))
+            if nearest and len(hit):
+                hit = hit[np.lexsort((cids[hit], apart[hit], comps[hit]))]
+                hit = hit[C.heads(comps[hit])]
             a.append(np.minimum(cids[i], cids[hit]))
             b.append(np.maximum(cids[i], cids[hit]))
         none = np.zeros(0, np.int64)
@@ -337,23 +343,32 @@ def _linked(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
         F.min(F.struct("doc_id", "tk")).alias("rep"), F.first("n_shingles").alias("n_shingles"),
         F.first("cells").alias("cells"), F.first("coarse").alias("coarse")))
     sets = C.stored(neardup.full_sets(classes, docs, width))
-    # First every class with one hub only, then with hubs of the nodes that still hold several components.
+    # First every class with one hub, then those that a node does not hold in its least component with one of that.
     stars = nodes.filter("hub <> cid").groupBy(F.col("cid").alias("b")).agg(F.min("hub").alias("a")).select("a", "b")
     links, mixed = None, nodes
+
+    def joined(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """All links so far, and the nodes that still hold several components."""
+        both = C.stored(found if links is None else links.union(found))
+        comp = C.stored(components(both)).withColumnRenamed("node", "node_c")
+        return both, C.stored(neardup.mixed_nodes(mixed.select("node", "cid"), comp))
+
     for turn in range(ROUNDS):
-        found = neardup.confirmed(_sieved(stars, classes, percent), sets, percent)
-        links = C.stored(found if links is None else links.union(found))
-        comp = C.stored(components(links)).withColumnRenamed("node", "node_c")
-        mixed = C.stored(neardup.mixed_nodes(mixed.select("node", "cid"), comp))
-        order = F.struct(F.xxhash64("cid", F.lit(turn)), "cid")
-        hubs = mixed.groupBy("node").agg(F.min_by(F.struct("cid", "comp"), order).alias("hub"))
-        stars = mixed.join(hubs, "node").filter("comp <> hub.comp").select(
-            F.least("cid", "hub.cid").alias("a"), F.greatest("cid", "hub.cid").alias("b")).distinct()
+        links, mixed = joined(neardup.confirmed(_sieved(stars, classes, percent), sets, percent))
+        hubs = mixed.filter("comp = least").groupBy("node").agg(F.min_by("cid", F.xxhash64("cid", F.lit(turn))).alias("hub"))
+        stars = (mixed.filter("comp <> least").join(hubs, "node").groupBy(F.col("cid").alias("c"))
+                 .agg(F.min_by("hub", F.xxhash64("node", F.lit(turn))).alias("h"))
+                 .select(F.least("c", "h").alias("a"), F.greatest("c", "h").alias("b")).distinct())
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tiles = neardup.tiles_of(mixed.filter(F.col("n") > neardup.SMALL_NODE), classes.select("cid", "n_shingles", "coarse"))
-    pairs = neardup.within_small(mixed).union(tiles.repartition(parts, "tile").sortWithinPartitions("tile")
-                                              .mapInArrow(_tiler(percent), "a bigint, b bigint"))
+
+    def tiled(nearest: bool) -> DataFrame:
+        tiles = neardup.tiles_of(mixed.filter(F.col("n") > neardup.SMALL_NODE), classes.select("cid", "n_shingles", "coarse"))
+        return (tiles.repartition(parts, "tile").sortWithinPartitions("tile")
+                .mapInArrow(_tiler(percent, nearest), "a bigint, b bigint"))
+    # Crowds that hang together are joined by their nearest pairs; what is left then is compared without exception.
+    links, mixed = joined(neardup.confirmed(_sieved(tiled(True).distinct(), classes, percent), sets, percent))
+    pairs = tiled(False).union(neardup.within_small(mixed))
     more = C.stored(neardup.confirmed(_sieved(pairs.distinct(), classes, percent), sets, percent))
     return signed, C.stored(components(links.union(more)))
 
