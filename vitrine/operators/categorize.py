@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -10,6 +11,7 @@ from vitrine import vocab as V
 from vitrine.functions.prices import has_discount
 from vitrine.functions.text import nullify_blank, render_text
 from vitrine.operators.scale import LITERAL_ROWS, rows_if_small
+from vitrine.session import cut_lineage
 
 
 # A longer CASE makes methods the JVM no longer compiles.
@@ -28,36 +30,81 @@ def first_keyword(text: Column, rules) -> Column:
     return F.lit(None).cast("string") if out is None else out
 
 
+#: Bits of the filter that says which pieces can be in the index; it has this size for any number of keywords.
+FILTER_BITS = 1 << 20
+
+
+def piece_filter(pieces: DataFrame):
+    """Test of (size, piece) that is true for all of ``pieces`` and for few others: one hash, a bit each."""
+    place = F.pmod(F.xxhash64("size", "piece"), F.lit(FILTER_BITS))
+    words = (pieces.select(F.shiftright(place, 6).alias("word"), (place % 64).cast("int").alias("bit")).distinct()
+             .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")))
+    # At most FILTER_BITS / 64 numbers.
+    found = {r.word: r.bits for r in words.collect()}
+    table = F.from_json(F.lit(json.dumps([found.get(i, 0) for i in range(FILTER_BITS // 64)])), "array<bigint>")
+
+    def test(size: Column, piece: Column) -> Column:
+        at = F.pmod(F.xxhash64(size, piece), F.lit(FILTER_BITS))
+        return F.getbit(F.get(table, F.shiftright(at, 6).cast("int")), (at % 64).cast("int")) == 1
+    return test
+
+
+def keyword_pieces(rules: DataFrame) -> DataFrame:
+    """Every piece of every keyword: the largest power of two that fits is its size."""
+    size = F.pow(F.lit(2.0), F.floor(F.log2(F.length("keyword")))).cast("int")
+    sized = rules.withColumn("size", size)
+    return sized.withColumn("piece", F.explode(F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.length("keyword") - F.col("size") + 1),
+        lambda i: F.substring(F.col("keyword"), i, F.col("size"))))))
+
+
+def text_pieces(texts: DataFrame, sizes: list[int], wanted) -> DataFrame:
+    """(id, size, piece) of the pieces of texts that a filter lets through, each once per text."""
+    sized = texts.select("id", "text", F.explode(F.array(*[F.lit(n) for n in sizes])).alias("size")) \
+        .filter(F.length("text") >= F.col("size"))
+
+    def begins(i):
+        piece = F.substring(F.col("text"), i, F.col("size"))
+        return F.when(wanted(F.col("size"), piece), piece)
+    starts = F.sequence(F.lit(1), F.length("text") - F.col("size") + 1)
+    return sized.select("id", "size", F.explode(F.array_distinct(F.filter(
+        F.transform(starts, begins), lambda p: p.isNotNull()))).alias("piece"))
+
+
+def rarest_pieces(rules: DataFrame, texts: DataFrame, sizes: list[int]) -> DataFrame:
+    """Every keyword with the one of its pieces that the fewest texts hold, the first in order among equals."""
+    pieces = keyword_pieces(rules)
+    seen = text_pieces(texts, sizes, piece_filter(pieces.select("size", "piece"))).groupBy("size", "piece").agg(F.count("*").alias("texts"))
+    counted = pieces.join(seen, ["size", "piece"], "left")
+    # A keyword with a piece that no text holds is in no text, and its index entry meets none.
+    order = F.struct(F.coalesce("texts", F.lit(0).cast("bigint")), "piece")
+    return counted.groupBy("rule_ord", "keyword", "value", "size").agg(F.min_by("piece", order).alias("piece"))
+
+
 def with_first_keyword(df: DataFrame, text: str, rules: DataFrame, out: str,
                        literal_rows: int = LITERAL_ROWS) -> DataFrame:
     """Substring join to (rule_ord, keyword, value) with the lowest rule first.
 
-    A small rule table is compiled to one CASE.  A large one is met through
-    pieces of the distinct texts.  A piece is a power of two long, the largest
-    that fits the keyword, so a keyword is met by a piece of more than half
-    its length.  Pieces carry an id and a place, never the text; only pieces
-    that begin some keyword are brought back to their text to be confirmed.
+    A small rule table is compiled to one CASE.  A large one is an index: each
+    keyword stands under its rarest piece, which is a power of two long and
+    more than half of it.  A text only sends the pieces that a filter of fixed
+    size lets through, so frequent beginnings of keywords are never shuffled;
+    what meets an entry is confirmed on the text.
     """
     rules = rules.filter("keyword <> ''")
     rows = rows_if_small(rules, literal_rows)
     if rows is not None:
         ordered = [(r.keyword, r.value) for r in sorted(rows, key=lambda r: r.rule_ord)]
         return df.withColumn(out, first_keyword(F.col(text), ordered))
-    size = F.pow(F.lit(2.0), F.floor(F.log2(F.length("keyword")))).cast("int")
-    keyed = (rules.withColumn("__size", size).withColumn("__piece", F.substring("keyword", F.lit(1), F.col("__size"))))
+    rules = rules.groupBy("keyword").agg(F.min(F.struct("rule_ord", "value")).alias("r")).select("keyword", "r.*")
     # One number per power of two.
-    sizes = sorted(r[0] for r in keyed.select("__size").distinct().collect())
-    texts = df.select(F.col(text).alias("__text")).filter("__text is not null").distinct().withColumn("__id", F.md5("__text"))
-    begins = keyed.select("__size", "__piece").distinct()
-    pieces = texts.select("__id", "__text", F.explode(F.array(*[F.lit(n) for n in sizes])).alias("__size")) \
-        .filter(F.length("__text") >= F.col("__size")) \
-        .select("__id", "__size", F.explode(F.array_distinct(F.transform(
-            F.sequence(F.lit(1), F.length("__text") - F.col("__size") + 1),
-            lambda i: F.substring(F.col("__text"), i, F.col("__size"))))).alias("__piece"))
-    met = (pieces.join(begins, ["__size", "__piece"], "left_semi").join(keyed, ["__size", "__piece"])
-           .select("__id", "keyword", "value", "rule_ord"))
-    best = (met.join(texts, "__id").filter(F.col("__text").contains(F.col("keyword")))
-            .groupBy("__text").agg(F.min_by("value", "rule_ord").alias(out)))
+    sizes = sorted(r[0] for r in keyword_pieces(rules).select("size").distinct().collect())
+    texts = df.select(F.col(text).alias("text")).filter("text is not null").distinct().withColumn("id", F.md5("text"))
+    index = cut_lineage(rarest_pieces(rules, texts, sizes))
+    pieces = text_pieces(texts, sizes, piece_filter(index.select("size", "piece")))
+    met = pieces.join(index, ["size", "piece"]).select(F.col("id").alias("met"), "keyword", "value", "rule_ord")
+    best = (met.join(texts, F.col("met") == F.col("id")).filter(F.col("text").contains(F.col("keyword")))
+            .groupBy(F.col("text").alias("__text")).agg(F.min_by("value", "rule_ord").alias(out)))
     return df.join(best, F.col(text) == F.col("__text"), "left").drop("__text")
 
 

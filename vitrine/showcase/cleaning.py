@@ -396,6 +396,16 @@ def keyword_join_large(spark, d):
     return (with_first_keyword(texts, "text", rules, "hit").groupBy("hit").agg(F.count("*").alias("rows")))
 
 
+def keyword_documents(spark, d):
+    """First of very many keywords in whole documents: some that all texts begin like, some that hardly any holds."""
+    keys = S.table(spark, d, "orders").select(F.col("o_orderkey").cast("int").alias("rule_ord"), F.when(
+        F.col("o_orderkey") % 3 == 0, F.concat(F.lit("the and of "), "o_orderkey")).otherwise(
+        F.concat(F.substring(F.md5(F.col("o_orderkey").cast("string")), 1, 3), F.lit("tion"))).alias("keyword"),
+        F.col("o_orderpriority").alias("value"))
+    few = spark.createDataFrame([(-1, "thesis", "a"), (-2, "andre", "b"), (99_999_999, "ing the ", "c")], "rule_ord int, keyword string, value string")
+    return with_first_keyword(_documents(spark, d), "text", keys.union(few), "hit").groupBy("hit").agg(F.count("*").alias("documents"))
+
+
 def unknown_words(spark, d):
     return D.unknown_tokens(_part_cells(spark, d), ["cell"], D.pairs_frame(spark, _WORDBOOK))
 
@@ -587,6 +597,14 @@ p AS (SELECT floor(l_extendedprice) AS price, count(*) AS n FROM lineitem GROUP
 b AS (SELECT price, any_value(n) AS n, min(rule_ord) AS rule_ord FROM p LEFT JOIN r ON price BETWEEN from_price AND from_price + 20000 GROUP BY price)
 SELECT CAST(rule_ord AS INTEGER) AS rule_ord, CAST((10000000 - rule_ord) % 13 AS DOUBLE) AS increase_percent, CAST(sum(n) AS BIGINT) AS rows
 FROM b GROUP BY 1, 2"""),
+    "keyword_documents": (keyword_documents, """
+WITH k AS (SELECT keyword, min(rule_ord) AS rule_ord, arg_min(value, rule_ord) AS value FROM (
+  SELECT o_orderkey AS rule_ord, substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 3) || 'tion' AS keyword, o_orderpriority AS value FROM orders WHERE o_orderkey % 3 <> 0
+  UNION ALL SELECT o_orderkey, 'the and of ' || o_orderkey, o_orderpriority FROM orders WHERE o_orderkey % 3 = 0
+  UNION ALL SELECT -1, 'thesis', 'a' UNION ALL SELECT -2, 'andre', 'b' UNION ALL SELECT 99999999, 'ing the ', 'c') GROUP BY 1),
+h AS (SELECT doc_id, arg_min(value, rule_ord) AS hit FROM (
+  SELECT doc_id, rule_ord, value FROM documents, k WHERE contains(text, keyword)) GROUP BY doc_id)
+SELECT hit, count(*) AS documents FROM documents LEFT JOIN h USING (doc_id) GROUP BY hit"""),
     "keyword_join_large": (keyword_join_large, """
 WITH t AS (SELECT CASE WHEN l_orderkey IN (SELECT o_orderkey FROM orders) THEN l_orderkey
    WHEN l_orderkey + 3 IN (SELECT o_orderkey FROM orders) THEN l_orderkey + 3 END AS k FROM lineitem)
