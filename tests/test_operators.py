@@ -400,3 +400,14 @@ def test_overlapping_brackets_become_disjoint(spark):
     assert got == want
     assert B.disjoint_brackets(frame.limit(0)).count() == 0
     assert B.bracket_by_sweep(spark.createDataFrame([(1.0,)], "p double"), "p", frame.limit(0)).first().bracket is None
+
+
+def test_only_differing_buckets_are_compared(spark):
+    from vitrine.operators import quality as Q
+    a = spark.range(3000).select("id", (F.col("id") % 7).alias("v")).union(spark.createDataFrame([(None, 1), (None, 1), (5, 5)], "id bigint, v bigint"))
+    assert Q.differing_buckets(a, a.repartition(7, "v"), ["id", "v"]) == [] and Q.table_difference(a, a.repartition(3)).count() == 0
+    b = a.filter("id is null or id <> 17").union(spark.createDataFrame([(17, 99), (40, 5), (None, 1)], "id bigint, v bigint"))
+    assert 2 <= len(Q.differing_buckets(a, b, ["id", "v"])) <= 4
+    got = sorted(map(tuple, Q.table_difference(a, b).select("side", "surplus", "id", "v").collect()), key=str)
+    assert got == sorted([("only_left", 1, 17, 3), ("only_right", 1, 17, 99), ("only_right", 1, 40, 5), ("only_right", 1, None, 1)], key=str)
+    assert Q.table_difference(a, a.limit(0)).agg(F.sum("surplus")).first()[0] == a.count()

@@ -22,15 +22,49 @@ def schema_difference(a: DataFrame, b: DataFrame) -> list[str]:
             + [f"+ {c}" for c in b.columns if c not in left])
 
 
+#: Buckets by a hash of the row that two tables are first compared in.
+DIGEST_BUCKETS = 1024
+
+
+def _bucket(names) -> Column:
+    return F.pmod(F.xxhash64(*names), F.lit(DIGEST_BUCKETS)).cast("int")
+
+
+def differing_buckets(a: DataFrame, b: DataFrame, names: list[str]) -> list[int]:
+    """Buckets whose rows are not the same multiset in both tables.
+
+    A bucket's digest does not depend on the order of rows: their number and
+    the sums of four 32-bit hashes of them, left ones counted up and right ones
+    down.  A task sends one row per bucket, and at most ``DIGEST_BUCKETS``
+    numbers come to the driver.
+    """
+    def halves(h: Column) -> list[Column]:
+        return [F.shiftrightunsigned(h, 32), h.bitwiseAND(F.lit((1 << 32) - 1))]
+    parts = halves(F.xxhash64(*names)) + halves(F.xxhash64(F.lit(1), *names))
+
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        return df.select(_bucket(names).alias("bucket"), F.lit(sign).cast("bigint").alias("n"),
+                         *[(p * sign).alias(f"h{i}") for i, p in enumerate(parts)])
+    columns = ["n", *[f"h{i}" for i in range(len(parts))]]
+    sums = side(a, 1).unionAll(side(b, -1)).groupBy("bucket").agg(
+        *[F.sum(F.col(c).cast("decimal(20,0)")).alias(c) for c in columns])
+    return sorted(r.bucket for r in sums.filter(" or ".join(f"{c} <> 0" for c in columns)).select("bucket").collect())
+
+
 def table_difference(a: DataFrame, b: DataFrame, columns=None) -> DataFrame:
     """Rows (as a multiset over ``columns``) that only one table has.
 
-    Counting both sides in one grouped pass lets the partial aggregation fold
-    repeated rows before the shuffle, and a missing repetition still shows.
+    Digests tell first in which buckets the tables differ; only their rows are
+    shuffled.  Counting both sides in one grouped pass lets the partial
+    aggregation fold repeated rows before that, and a missing repetition still
+    shows.
     """
     names = list(columns or [c for c in a.columns if c in b.columns])
-    both = (a.select(*names, F.lit(1).alias("__n"))
-            .unionAll(b.select(*names, F.lit(-1).alias("__n"))))
+    a, b = a.select(*names), b.select(*names)
+    odd = differing_buckets(a, b, names)
+    if len(odd) < DIGEST_BUCKETS:
+        a, b = (df.filter(_bucket(names).isin(odd)) for df in (a, b))
+    both = a.withColumn("__n", F.lit(1)).unionAll(b.withColumn("__n", F.lit(-1)))
     return (both.groupBy(*names).agg(F.sum("__n").alias("surplus")).filter("surplus <> 0")
             .withColumn("side", F.when(F.col("surplus") > 0, "only_left").otherwise("only_right"))
             .withColumn("surplus", F.abs("surplus")))

@@ -147,6 +147,14 @@ def table_compare(spark, d):
     return Q.table_difference(left, right, ["sku", "l_linenumber"])
 
 
+def table_compare_near(spark, d):
+    """Two copies of the order lines, one dealt out anew and with a few lines changed, missing or repeated."""
+    lines = S.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    key = F.col("l_orderkey")
+    changed = lines.filter(key % 997 != 3).withColumn("l_quantity", F.when(key % 997 == 5, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")))
+    return Q.table_difference(lines, changed.unionAll(lines.filter(key % 997 == 7)).repartition("l_shipdate"))
+
+
 def table_compare_summary(spark, d):
     lines = S.table(spark, d, "lineitem").withColumn("sku", F.col("l_partkey"))
     return Q.compare_tables(lines.filter("l_returnflag <> 'A'"), lines.filter("l_linestatus = 'F'").drop("l_tax"))
@@ -292,6 +300,13 @@ SELECT COALESCE(l.sku, r.sku) AS sku, COALESCE(l.l_linenumber, r.l_linenumber) A
   abs(COALESCE(l.n, 0) - COALESCE(r.n, 0)) AS surplus,
   CASE WHEN COALESCE(l.n, 0) > COALESCE(r.n, 0) THEN 'only_left' ELSE 'only_right' END AS side
 FROM l FULL OUTER JOIN r ON l.sku = r.sku AND l.l_linenumber = r.l_linenumber WHERE COALESCE(l.n, 0) <> COALESCE(r.n, 0)"""),
+    "table_compare_near": (table_compare_near, """
+WITH l AS (SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem),
+r AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 997 = 5 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity, l_shipdate FROM l WHERE l_orderkey % 997 <> 3
+      UNION ALL SELECT * FROM l WHERE l_orderkey % 997 = 7),
+u AS (SELECT *, 1 AS n FROM l UNION ALL SELECT *, -1 FROM r)
+SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate, CAST(abs(sum(n)) AS BIGINT) AS surplus,
+  CASE WHEN sum(n) > 0 THEN 'only_left' ELSE 'only_right' END AS side FROM u GROUP BY 1, 2, 3, 4 HAVING sum(n) <> 0"""),
     "table_compare_summary": (table_compare_summary, """
 WITH l AS (SELECT l_partkey AS sku FROM lineitem WHERE l_returnflag <> 'A'),
 r AS (SELECT l_partkey AS sku FROM lineitem WHERE l_linestatus = 'F')
