@@ -232,3 +232,18 @@ def test_main_text_of_unseen_layouts():
         scores.append((both / sum(found.values()), both / sum(want.values())))
     precision, recall = np.mean(scores, axis=0)
     assert precision > 0.93 and recall > 0.93
+
+
+def test_tiles_keep_pairs_at_the_threshold_whose_shingles_collide():
+    """85 of 100 shared, of which two are alike in 32 bits."""
+    shared = np.arange(1, 86, dtype=np.uint64)
+    shared[84] = (1 << 40) | 1  # alike with the first
+    a = np.concatenate((shared, np.arange(1000, 1008, dtype=np.uint64)))
+    b = np.concatenate((shared, np.arange(2000, 2007, dtype=np.uint64)))
+    rows = [(7, 1, 1, 1, a), (7, 2, 2, 1, b)]
+    batch = C.rows({n: pa.array([r[i] for r in rows]) for i, n in enumerate(("tile", "cid", "comp", "least"))} | {
+        "short": pa.array([np.unique(r[4].astype(np.uint32)).tobytes() for r in rows], pa.binary()),
+        "full": pa.array([len(r[4]) for r in rows], pa.int32())})
+    found = [x for got in neardup.tiler(85)(iter([batch])) for x in zip(got.column("a").to_pylist(), got.column("b").to_pylist())]
+    assert found == [(1, 2)]
+    assert sum(got.num_rows for got in neardup.tiler(86)(iter([batch]))) == 0

@@ -290,27 +290,29 @@ def tiles_of(large: DataFrame, facts: DataFrame) -> DataFrame:
 def tiler(percent: int):
     """Similar pairs of different components within each tile; rows come sorted by tile.
 
-    Shingles are told apart by 32 bits here, so two that are alike in those
-    lower what a pair shares; one point of slack makes up for that, and what is
-    found is confirmed on full sets.
+    Shingles are told apart by 32 bits here.  A set's shingles that are alike
+    in those count once, so a pair can share more than is seen, by no more
+    than what either set has lost; what is found is confirmed on full sets.
     """
-    percent = percent - 1
 
     def compare(rows: list) -> pa.RecordBatch:
         cids = np.array([r[1] for r in rows])
         comps = np.array([r[2] for r in rows])
         rest = np.flatnonzero(comps != np.array([r[3] for r in rows]))
         sets = [np.frombuffer(r[4], np.uint32) for r in rows]
-        size = np.array([len(x) for x in sets])
-        begin = np.cumsum(size) - size
+        held = np.array([len(x) for x in sets])
+        begin = np.cumsum(held) - held
+        size = np.array([r[5] for r in rows])
+        lost = size - held
         _, flat = np.unique(np.concatenate(sets), return_inverse=True)
         mark = np.zeros(int(flat.max()) + 1, np.int32)
         a, b = [], []
         for i in rest.tolist():
-            own = flat[begin[i]:begin[i] + size[i]]
+            own = flat[begin[i]:begin[i] + held[i]]
             mark[own] = 1
             shared = np.add.reduceat(mark[flat], begin)
             mark[own] = 0
+            shared = shared + np.minimum(lost, lost[i])
             hit = np.flatnonzero((100 * shared >= percent * (size + size[i] - shared)) & (comps != comps[i]))
             a.append(np.minimum(cids[i], cids[hit]))
             b.append(np.maximum(cids[i], cids[hit]))
@@ -320,7 +322,7 @@ def tiler(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
         for batch in batches:
-            for row in zip(*[batch.column(c).to_pylist() for c in ("tile", "cid", "comp", "least", "short")]):
+            for row in zip(*[batch.column(c).to_pylist() for c in ("tile", "cid", "comp", "least", "short", "full")]):
                 if held and row[0] != held[0][0]:
                     yield compare(held)
                     held = []
@@ -355,7 +357,7 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
         kept = mixed.filter(F.col("n") <= CROWD).select("node", "cid").union(split.select("node", "cid"))
         mixed = cut_lineage(mixed_nodes(kept, comp))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tiles = tiles_of(mixed.filter(F.col("n") > SMALL_NODE), sets.select("cid", "short"))
+    tiles = tiles_of(mixed.filter(F.col("n") > SMALL_NODE), sets.select("cid", "short", (F.octet_length("shingles") / 8).cast("int").alias("full")))
     pairs = within_small(mixed).union(tiles.repartition(parts, "tile").sortWithinPartitions("tile")
                                        .mapInArrow(tiler(percent), "a bigint, b bigint"))
     more = cut_lineage(confirmed(_sieve(pairs.distinct(), classes, percent), sets, percent))
