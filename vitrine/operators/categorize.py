@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vitrine import vocab as V
 from vitrine.functions.prices import has_discount
-from vitrine.functions.text import nullify_blank, render_text
+from vitrine.functions.text import let, nullify_blank, render_text
 from vitrine.operators.scale import LITERAL_ROWS, rows_if_small
 from vitrine.session import cut_lineage
 
@@ -41,7 +40,8 @@ def piece_filter(pieces: DataFrame):
              .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")))
     # At most FILTER_BITS / 64 numbers.
     found = {r.word: r.bits for r in words.collect()}
-    table = F.from_json(F.lit(json.dumps([found.get(i, 0) for i in range(FILTER_BITS // 64)])), "array<bigint>")
+    # One literal, which the optimizer turns into an array once.
+    table = F.split(F.lit(",".join(str(found.get(i, 0)) for i in range(FILTER_BITS // 64))), ",").cast("array<bigint>")
 
     def test(size: Column, piece: Column) -> Column:
         at = F.pmod(F.xxhash64(size, piece), F.lit(FILTER_BITS))
@@ -60,13 +60,13 @@ def keyword_pieces(rules: DataFrame) -> DataFrame:
 
 def text_pieces(texts: DataFrame, sizes: list[int], wanted) -> DataFrame:
     """(id, size, piece) of the pieces of texts that a filter lets through, each once per text."""
-    sized = texts.select("id", "text", F.explode(F.array(*[F.lit(n) for n in sizes])).alias("size")) \
-        .filter(F.length("text") >= F.col("size"))
+    # Letters as an array: a place in a string is only found by counting from its beginning.
+    sized = texts.select("id", F.split("text", "").alias("letters"), F.explode(F.array(*[F.lit(n) for n in sizes])).alias("size")) \
+        .filter(F.size("letters") >= F.col("size"))
 
     def begins(i):
-        piece = F.substring(F.col("text"), i, F.col("size"))
-        return F.when(wanted(F.col("size"), piece), piece)
-    starts = F.sequence(F.lit(1), F.length("text") - F.col("size") + 1)
+        return let(F.array_join(F.slice(F.col("letters"), i, F.col("size")), ""), lambda piece: F.when(wanted(F.col("size"), piece), piece))
+    starts = F.sequence(F.lit(1), F.size("letters") - F.col("size") + 1)
     return sized.select("id", "size", F.explode(F.array_distinct(F.filter(
         F.transform(starts, begins), lambda p: p.isNotNull()))).alias("piece"))
 
