@@ -602,8 +602,12 @@ WITH k AS (SELECT keyword, min(rule_ord) AS rule_ord, arg_min(value, rule_ord) A
   SELECT o_orderkey AS rule_ord, substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 3) || 'tion' AS keyword, o_orderpriority AS value FROM orders WHERE o_orderkey % 3 <> 0
   UNION ALL SELECT o_orderkey, 'the and of ' || o_orderkey, o_orderpriority FROM orders WHERE o_orderkey % 3 = 0
   UNION ALL SELECT -1, 'thesis', 'a' UNION ALL SELECT -2, 'andre', 'b' UNION ALL SELECT 99999999, 'ing the ', 'c') GROUP BY 1),
+p AS (SELECT doc_id, text, unnest(range(1, CAST(length(text) AS BIGINT) - 5)) AS i FROM documents),
 h AS (SELECT doc_id, arg_min(value, rule_ord) AS hit FROM (
-  SELECT doc_id, rule_ord, value FROM documents, k WHERE contains(text, keyword)) GROUP BY doc_id)
+  SELECT doc_id, rule_ord, value FROM p JOIN k ON keyword = substr(text, i, 7) WHERE substr(text, i + 3, 4) = 'tion'
+  UNION ALL SELECT doc_id, rule_ord, value FROM documents, (SELECT * FROM k WHERE rule_ord < 0 OR rule_ord = 99999999) WHERE contains(text, keyword)
+  UNION ALL SELECT doc_id, rule_ord, value FROM (SELECT * FROM documents WHERE contains(text, 'the and of ')) d, (SELECT * FROM k WHERE keyword LIKE 'the and of %')
+    WHERE contains(text, keyword)) GROUP BY doc_id)
 SELECT hit, count(*) AS documents FROM documents LEFT JOIN h USING (doc_id) GROUP BY hit"""),
     "keyword_join_large": (keyword_join_large, """
 WITH t AS (SELECT CASE WHEN l_orderkey IN (SELECT o_orderkey FROM orders) THEN l_orderkey
