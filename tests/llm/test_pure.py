@@ -81,6 +81,21 @@ def test_ids_are_the_tokenizers_own():
     assert np.split(small.encode(pa.array(texts))[0], np.cumsum(size)[:-1])[10].tolist() == want[10]
 
 
+def test_ids_of_slices_and_mirrored_words():
+    tokenizers = pytest.importorskip("tokenizers")
+    path = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
+    a, b = "a", "b"
+    for _ in range(11):  # two words that any polynomial mod 2**64 takes for one
+        a, b = a + b, b + a
+    texts = pa.array(["é", None, "x\xa0y", "日本 語", a, b, "<|endoftext|>", "ab cd"])
+    plain, known = tokenizers.Tokenizer.from_file(path), simple8b.Encoder(path)
+    for first, last in ((0, 8), (1, 6), (3, 8), (2, 5)):
+        part = texts.slice(first, last - first)
+        ids, size = known.encode(part)
+        got = [x.tolist() for x in np.split(ids, np.cumsum(size)[:-1])]
+        assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in part.to_pylist()]
+
+
 def test_repeated_starts_against_counting():
     rng = np.random.default_rng(1)
     for trial in range(40):

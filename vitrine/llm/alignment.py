@@ -182,7 +182,7 @@ class Aligner:
         start = np.flatnonzero(opens)
         row = np.searchsorted(offsets, start, "right") - 1
         stop = np.append(start[1:], len(data)) if len(start) else start
-        h = C.span_hash(C.prefix_hash(data), start, stop)
+        h = C.unit_hash(data, start, stop)
         distinct, one = np.unique(h, return_index=True)
         if len(self.pool) > self.most:
             self._clear()

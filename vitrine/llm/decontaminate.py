@@ -52,7 +52,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     """Hash of every word, and each row's first word (one more at the end)."""
     data = _FOLD[data]
     start, end, first = C.word_spans(data, offsets)
-    return C.span_hash(C.prefix_hash(data), start, end), first
+    return C.unit_hash(data, start, end), first
 
 
 def common_subsequence(item: list, words: list) -> int:

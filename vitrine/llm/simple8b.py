@@ -17,7 +17,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from vitrine.llm import common as C
@@ -267,12 +266,12 @@ class Encoder:
         strings = texts.to_pylist()
         odd = [i for i, t in enumerate(strings) if t and self.odd.search(t)]
         if odd:
-            plain = np.ones(len(strings), bool)
-            plain[odd] = False
-            texts = pc.if_else(pa.array(plain), texts, pa.scalar(None, texts.type))
+            # Not with if_else, which reads a slice's texts at wrong offsets.
+            whole = set(odd)
+            texts = pa.array([None if i in whole else t for i, t in enumerate(strings)], texts.type)
         data, offsets = C.text_bytes(texts)
         a, b = self._units(data, offsets)
-        h = C.span_hash(C.prefix_hash(data), a, b)
+        h = C.unit_hash(data, a, b)
         distinct, one, back = np.unique(h, return_index=True, return_inverse=True)
         if self.used > self.most:
             self._clear()
