@@ -42,6 +42,13 @@ def test_text(one, fn, given, wanted):
     assert one(fn("c"), c=given) == wanted
 
 
+@pytest.mark.parametrize("given, wanted", [
+    ("کیف کد ۱۰۰۳۰ 1,200,000 تومان", "کیف کد 10030"), ("کیف کد  1234567", "کیف کد 1234567"),
+    ("کیف 120000 کد 55", "کیف"), ("کیف 120000", "کیف"), ("کیف کد12345 9", "کیف کد12345")])
+def test_long_codes_are_no_prices(one, given, wanted):
+    assert one(T.name_through_code("c"), c=given) == wanted
+
+
 def test_blank_spellings_become_null(one):
     for word in ("", "  ", "NaN", " none ", "\xa0"):
         assert one(T.nullify_blank("c"), c=word) is None
