@@ -411,3 +411,12 @@ def test_only_differing_buckets_are_compared(spark):
     got = sorted(map(tuple, Q.table_difference(a, b).select("side", "surplus", "id", "v").collect()), key=str)
     assert got == sorted([("only_left", 1, 17, 3), ("only_right", 1, 17, 99), ("only_right", 1, 40, 5), ("only_right", 1, None, 1)], key=str)
     assert Q.table_difference(a, a.limit(0)).agg(F.sum("surplus")).first()[0] == a.count()
+
+
+def test_titles_may_keep_other_references(spark):
+    from vitrine.operators import pages as G
+    html = "<h1>a &quot;b&lt; &amp;amp; c&amp</h1>"
+    df = spark.createDataFrame([(1, "http://x.example/", html)], "page_id int, url string, html string")
+    for references, want in (("all", 'a "b< &amp; c&'), ("markup", "a &quot;b< &amp; c&amp")):
+        assert G.page_fields(df, references=references).first().name == want
+        assert G.page_tokens(df, references=references).select(G.title("tokens").alias("t")).first().t == want
