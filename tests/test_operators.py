@@ -125,6 +125,22 @@ def test_keyword_paths_agree(spark):
         assert got == brute
 
 
+def test_very_many_keywords_in_long_texts(spark):
+    from vitrine.operators import categorize as K
+    rng = random.Random(7)
+    keys = [f"the {rng.randrange(10**6)} end" for _ in range(300)] + ["é", "ab", "😀x\n", "z" * 400]
+    texts = ["".join(rng.choice(["the ", " end", "x", "😀", "\n", "1", "e"]) for _ in range(rng.randrange(700))) for _ in range(60)]
+    texts = [t[:i] + rng.choice(keys) + t[i:] for t in texts for i in (min(len(t), 254), rng.randrange(len(t) + 1))]
+    df = spark.createDataFrame([*enumerate(texts + ["", "é" * 256 + "ab"]), (999, None)], "id int, text string")
+    rules = spark.createDataFrame([(-i, k, f"v{i}") for i, k in enumerate(keys)], "rule_ord int, keyword string, value string")
+    brute = {i: next((f"v{n}" for n, k in reversed([*enumerate(keys)]) if t and k in t), None) for i, t in ((r.id, r.text) for r in df.collect())}
+    assert {r.id: r.out for r in with_first_keyword(df, "text", rules, "out", 10).collect()} == brute
+    # What begins like a keyword and does not end like one is not shuffled.
+    sizes = sorted({len(k) for k in keys})
+    sent = K.possible_keywords(spark.createDataFrame([(1, "the 12 endless " * 500)], "id int, text string"), sizes, K.keyword_filter(rules))
+    assert sent.count() < 5
+
+
 def test_translation_paths_agree(spark, monkeypatch):
     df = spark.createDataFrame([(1, " red | Blue bag ، x1;کیف"), (2, "red,,red "), (3, None), (4, "سبز")],
                                "ord int, cell string")

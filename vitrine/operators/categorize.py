@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vitrine import vocab as V
 from vitrine.functions.prices import has_discount
-from vitrine.functions.text import let, nullify_blank, render_text
-from vitrine.operators.scale import LITERAL_ROWS, rows_if_small
-from vitrine.session import cut_lineage
+from vitrine.functions.text import nullify_blank, render_text
+from vitrine.operators.scale import LITERAL_ROWS, rows_if_small, spread
 
 
 # A longer CASE makes methods the JVM no longer compiles.
@@ -29,83 +28,101 @@ def first_keyword(text: Column, rules) -> Column:
     return F.lit(None).cast("string") if out is None else out
 
 
-#: Bits of the filter that says which pieces can be in the index; it has this size for any number of keywords.
+#: Bits of each part of the filter on keywords; they have this size for any number of keywords.
 FILTER_BITS = 1 << 20
-
-
-def piece_filter(pieces: DataFrame):
-    """Test of (size, piece) that is true for all of ``pieces`` and for few others: one hash, a bit each."""
-    place = F.pmod(F.xxhash64("size", "piece"), F.lit(FILTER_BITS))
-    words = (pieces.select(F.shiftright(place, 6).alias("word"), (place % 64).cast("int").alias("bit")).distinct()
-             .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")))
-    # At most FILTER_BITS / 64 numbers.
-    found = {r.word: r.bits for r in words.collect()}
-    # One literal, which the optimizer turns into an array once.
-    table = F.split(F.lit(",".join(str(found.get(i, 0)) for i in range(FILTER_BITS // 64))), ",").cast("array<bigint>")
-
-    def test(size: Column, piece: Column) -> Column:
-        at = F.pmod(F.xxhash64(size, piece), F.lit(FILTER_BITS))
-        return F.getbit(F.get(table, F.shiftright(at, 6).cast("int")), (at % 64).cast("int")) == 1
-    return test
-
-
-def keyword_pieces(rules: DataFrame) -> DataFrame:
-    """Every piece of every keyword: the largest power of two that fits is its size."""
-    size = F.pow(F.lit(2.0), F.floor(F.log2(F.length("keyword")))).cast("int")
-    sized = rules.withColumn("size", size)
-    return sized.withColumn("piece", F.explode(F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.length("keyword") - F.col("size") + 1),
-        lambda i: F.substring(F.col("keyword"), i, F.col("size"))))))
-
-
-def text_pieces(texts: DataFrame, sizes: list[int], wanted) -> DataFrame:
-    """(id, size, piece) of the pieces of texts that a filter lets through, each once per text."""
-    # Letters as an array: a place in a string is only found by counting from its beginning.
-    sized = texts.select("id", F.split("text", "").alias("letters"), F.explode(F.array(*[F.lit(n) for n in sizes])).alias("size")) \
-        .filter(F.size("letters") >= F.col("size"))
-
-    def begins(i):
-        return let(F.array_join(F.slice(F.col("letters"), i, F.col("size")), ""), lambda piece: F.when(wanted(F.col("size"), piece), piece))
-    starts = F.sequence(F.lit(1), F.size("letters") - F.col("size") + 1)
-    return sized.select("id", "size", F.explode(F.array_distinct(F.filter(
-        F.transform(starts, begins), lambda p: p.isNotNull()))).alias("piece"))
-
-
-def rarest_pieces(rules: DataFrame, texts: DataFrame, sizes: list[int]) -> DataFrame:
-    """Every keyword with the one of its pieces that the fewest texts hold, the first in order among equals."""
-    pieces = keyword_pieces(rules)
-    seen = text_pieces(texts, sizes, piece_filter(pieces.select("size", "piece"))).groupBy("size", "piece").agg(F.count("*").alias("texts"))
-    counted = pieces.join(seen, ["size", "piece"], "left")
-    # A keyword with a piece that no text holds is in no text, and its index entry meets none.
-    order = F.struct(F.coalesce("texts", F.lit(0).cast("bigint")), "piece")
-    return counted.groupBy("rule_ord", "keyword", "value", "size").agg(F.min_by("piece", order).alias("piece"))
+#: Characters of a keyword's beginning, middle and end that the filter looks at.
+MARK = 4
+#: Texts are searched in stretches of this many characters.
+STRETCH = 256
+
+
+def _marks(text: Column, at, size: Column) -> dict:
+    """What the filter keeps of the ``size`` characters at ``at``: beginning, middle, end and all of them."""
+    mark, at = F.least(size, F.lit(MARK)), F.lit(at) if isinstance(at, int) else at
+    head = F.substring(text, at, mark)
+    middle = F.substring(text, at + F.floor((size - mark) / 2).cast("int"), mark)
+    return {"head": F.xxhash64(F.lit(0), head), "middle": F.xxhash64(F.lit(1), size, middle),
+            "tail": F.xxhash64(F.lit(2), size, F.substring(text, at + size - mark, mark)),
+            "whole": F.xxhash64(F.lit(3), size, F.substring(text, at, size))}
+
+
+def keyword_filter(rules: DataFrame) -> dict:
+    """Per mark a test of its hash: true for those of all keywords, and for few others unless keywords are very many."""
+    size = F.length("keyword")
+    hashes = F.array(*[F.struct(F.lit(name).alias("mark"), F.pmod(h, F.lit(FILTER_BITS)).alias("at"))
+                       for name, h in _marks(F.col("keyword"), 1, size).items()])
+    words = (rules.select(F.explode(hashes).alias("b"))
+             .groupBy("b.mark", F.shiftright("b.at", 6).alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, CAST(b.at % 64 AS INT))")).alias("bits")))
+    # At most FILTER_BITS / 64 numbers per mark.
+    found = {(r.mark, r.word): r.bits for r in words.collect()}
+
+    def test(name):
+        # One literal, which the optimizer turns into an array once.
+        table = F.split(F.lit(",".join(str(found.get((name, i), 0)) for i in range(FILTER_BITS // 64))), ",").cast("array<bigint>")
+
+        def has(h: Column) -> Column:
+            at = F.pmod(h, F.lit(FILTER_BITS))
+            return F.getbit(F.get(table, F.shiftright(at, 6).cast("int")), (at % 64).cast("int")) == 1
+        return has
+    return {name: test(name) for name in ("head", "middle", "tail", "whole")}
+
+
+def text_key(text: Column) -> Column:
+    return F.unhex(F.md5(text))
+
+
+def possible_keywords(texts: DataFrame, sizes: list[int], tests: dict) -> DataFrame:
+    """(id, piece) of the pieces of texts that are as long as some keyword and that the filter lets through.
+
+    Texts are cut into stretches, as a place in a string is only found by
+    counting from its beginning; each stretch sees as far into the next one
+    as the longest keyword.
+    """
+    step = max(STRETCH, max(sizes))
+    whole = F.col("text")
+    parts = F.arrays_zip(F.regexp_extract_all(whole, F.lit(rf"(?s).{{1,{step}}}"), F.lit(0)).alias("core"),
+                         F.regexp_extract_all(whole, F.lit(rf"(?s).{{1,{step}}}(?=(.{{0,{max(sizes)}}}))"), F.lit(1)).alias("ahead"))
+    short = F.array(F.struct(whole.alias("core"), F.lit("").alias("ahead")))
+    cut = texts.select("id", F.explode(F.when(F.length(whole) <= step, short).otherwise(parts)).alias("part")).select(
+        "id", F.length("part.core").alias("starts"), F.concat("part.core", "part.ahead").alias("stretch"))
+    stretch, at, size = F.col("stretch"), F.col("at"), F.col("size")
+    begun = None
+    for n in sorted({min(s, MARK) for s in sizes}):
+        head = tests["head"](_marks(stretch, at, F.lit(n))["head"])
+        begun = head if begun is None else begun | head
+    begins = cut.filter("starts > 0").select("id", "stretch", F.explode(F.sequence(F.lit(1), F.col("starts"))).alias("at")).filter(begun)
+    sized = begins.select("id", "stretch", "at", F.explode(F.array(*[F.lit(n) for n in sizes])).alias("size"))
+    marks = _marks(stretch, at, size)
+    fits = at + size - 1 <= F.length(stretch)
+    for name in ("tail", "middle", "whole"):
+        fits = fits & tests[name](marks[name])
+    return sized.filter(fits).select("id", F.substring(stretch, at, size).alias("piece"))
 
 
 def with_first_keyword(df: DataFrame, text: str, rules: DataFrame, out: str,
                        literal_rows: int = LITERAL_ROWS) -> DataFrame:
     """Substring join to (rule_ord, keyword, value) with the lowest rule first.
 
-    A small rule table is compiled to one CASE.  A large one is an index: each
-    keyword stands under its rarest piece, which is a power of two long and
-    more than half of it.  A text only sends the pieces that a filter of fixed
-    size lets through, so frequent beginnings of keywords are never shuffled;
-    what meets an entry is confirmed on the text.
+    A small rule table is compiled to one CASE.  Of a large one, texts send
+    their pieces that are as long as some keyword and begin, go on and end
+    like one, by a filter of fixed size; a piece that equals a keyword is a
+    hit.  So neither texts nor frequent parts of keywords are shuffled.
     """
     rules = rules.filter("keyword <> ''")
     rows = rows_if_small(rules, literal_rows)
     if rows is not None:
         ordered = [(r.keyword, r.value) for r in sorted(rows, key=lambda r: r.rule_ord)]
         return df.withColumn(out, first_keyword(F.col(text), ordered))
-    rules = rules.groupBy("keyword").agg(F.min(F.struct("rule_ord", "value")).alias("r")).select("keyword", "r.*")
-    # One number per power of two.
-    sizes = sorted(r[0] for r in keyword_pieces(rules).select("size").distinct().collect())
-    texts = df.select(F.col(text).alias("text")).filter("text is not null").distinct().withColumn("id", F.md5("text"))
-    index = cut_lineage(rarest_pieces(rules, texts, sizes))
-    pieces = text_pieces(texts, sizes, piece_filter(index.select("size", "piece")))
-    met = pieces.join(index, ["size", "piece"]).select(F.col("id").alias("met"), "keyword", "value", "rule_ord")
-    best = (met.join(texts, F.col("met") == F.col("id")).filter(F.col("text").contains(F.col("keyword")))
-            .groupBy(F.col("text").alias("__text")).agg(F.min_by("value", "rule_ord").alias(out)))
-    return df.join(best, F.col(text) == F.col("__text"), "left").drop("__text")
+    # One number per length of keywords.
+    sizes = sorted(r[0] for r in rules.select(F.length("keyword")).distinct().collect())
+    texts = df.select(F.col(text).alias("text")).filter("text is not null").withColumn("id", text_key(F.col("text")))
+    pieces = possible_keywords(spread(texts), sizes, keyword_filter(rules))
+    index = rules.groupBy("keyword").agg(F.min(F.struct("rule_ord", "value")).alias("__rule"))
+    best = (pieces.join(index, F.col("piece") == F.col("keyword"))
+            .groupBy(F.col("id").alias("__id")).agg(F.min("__rule").alias("__rule")))
+    return (df.withColumn("__key", text_key(F.col(text))).join(best, F.col("__key") == F.col("__id"), "left")
+            .withColumn(out, F.col("__rule.value")).drop("__key", "__id", "__rule"))
 
 
 @dataclass(frozen=True)
