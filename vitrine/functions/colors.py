@@ -61,8 +61,13 @@ def nearest_palette_name(h, s, v, palette=V.PALETTE) -> Column:
 
 def color_name(r, g, b, palette=V.PALETTE) -> Column:
     """Name of a pixel colour: a ladder for greys, reds and pinks, else nearest."""
+    # Bound once: every entry of the palette looks at all of them.
     r, g, b = as_column(r), as_column(g), as_column(b)
-    pixel = hsv(r, g, b)
+    bound = F.struct(r.alias("r"), g.alias("g"), b.alias("b"), hsv(r, g, b).alias("hsv"))
+    return let(bound, lambda p: _name_of(p["r"], p["g"], p["b"], p["hsv"], palette))
+
+
+def _name_of(r, g, b, pixel, palette) -> Column:
     h, s, v = pixel["h"], pixel["s"], pixel["v"]
     mean = (r + g + b) / 3
     flat = (F.greatest(r, g, b) - F.least(r, g, b)) < 20
