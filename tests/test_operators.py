@@ -436,3 +436,14 @@ def test_titles_may_keep_other_references(spark):
     for references, want in (("all", 'a "b< &amp; c&'), ("markup", "a &quot;b< &amp; c&amp")):
         assert G.page_fields(df, references=references).first().name == want
         assert G.page_tokens(df, references=references).select(G.title("tokens").alias("t")).first().t == want
+
+
+def test_existing_files_offer_only_beginnings_as_long_as_keys(spark):
+    from vitrine.operators import images as I
+    files = spark.createDataFrame([("img/A1234a_blue.jpg",), ("img/12b.png",), ("img/x.png",), (None,)], "path string")
+    keys = spark.createDataFrame([("A1234",), ("12",), ("A1234a_b",), ("",), (None,)], "sku string")
+    found = I.existing_files(files, keys)
+    assert sorted((r.sku, r.path[4:]) for r in found.collect()) == [
+        ("12", "12b.png"), ("A1234", "A1234a_blue.jpg"), ("A1234a_b", "A1234a_blue.jpg")]
+    none = keys.limit(0)
+    assert I.existing_files(files, none).count() == 0

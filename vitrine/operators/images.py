@@ -268,12 +268,14 @@ def copy_statistics(found: DataFrame, examples: int = 20) -> DataFrame:
 def existing_files(files: DataFrame, keys: DataFrame) -> DataFrame:
     """Files already stored for each key: key, a letter, anything.
 
-    A file offers every beginning of its stem that ends before a letter, so
-    the test is an equi-join; it is listed for every key it belongs to.
+    A file offers every beginning of its stem that is as long as some key and
+    ends before a letter, so the test is an equi-join; it is listed for every
+    key it belongs to.
     """
+    # One number per length of keys.
+    sizes = sorted(r[0] for r in keys.filter("sku <> ''").select(F.length("sku")).distinct().collect())
     stem = T.file_stem("path")
-    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.length("stem") - 1, F.lit(1))),
-                      lambda i: F.substring("stem", i + 1, F.lit(1)).rlike(r"\p{L}"))
+    starts = F.filter(F.lit(sizes).cast("array<int>"), lambda i: F.substring("stem", i + 1, F.lit(1)).rlike(r"\p{L}"))
     offers = (files.select("path", stem.alias("stem"))
               .select("path", F.explode(F.transform(starts, lambda i: F.substring("stem", F.lit(1), i))).alias("sku")))
     return offers.join(keys.select("sku").distinct(), "sku", "left_semi")
