@@ -111,9 +111,11 @@ def descriptions(spark, d):
         "name", "model", "colors", "short_description", "description")
     texts = X.packaged_texts(F.col("name"), F.col("model"), F.col("colors"), F.col("short_description"),
                              F.col("description"))
-    out = rows.select("model", *[c.alias(k) for k, c in texts.items()])
-    return out.groupBy("model").agg(F.count("*").alias("rows"), F.max("title").alias("title"),
-                                    F.max(F.md5("description")).alias("full_md5"), F.max("focus_keyword").alias("keyword"))
+    # Digests first: the aggregate of texts sorts its rows, which then hold no whole description.
+    out = rows.select("model", *[c.alias(k) for k, c in texts.items()]).withColumn("full_md5", F.md5("description"))
+    return out.select("model", "title", "full_md5", "focus_keyword").groupBy("model").agg(
+        F.count("*").alias("rows"), F.max("title").alias("title"), F.max("full_md5").alias("full_md5"),
+        F.max("focus_keyword").alias("keyword"))
 
 
 def assign_images(spark, d):
