@@ -35,9 +35,10 @@ ATTRIBUTE_COLUMNS = {
 
 def expand_colors(df: DataFrame, colors: str = "colors", out: str = "color") -> DataFrame:
     """One row per colour of a product; a product without colours keeps one."""
-    values = F.transform(T.split_values(T.nullify_blank(colors)), T.plain_text)
-    some = F.when(F.size(values) > 0, values)
-    return df.select("*", F.posexplode_outer(some).alias("color_pos", out))
+    values = T.split_values(T.plain_text(T.nullify_blank(colors)))
+    # A column of its own: inside the generator it would be worked out for every use.
+    return (df.withColumn("__values", values)
+            .select("*", F.posexplode_outer("__values").alias("color_pos", out)).drop("__values"))
 
 
 def variant_rows(df: DataFrame, colors_dict: DataFrame) -> DataFrame:
