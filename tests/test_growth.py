@@ -42,3 +42,15 @@ def test_stems_of_odd_paths(spark):
     name = T.replace_pattern("path", r"^.*[/\\]")
     want = T.replace_pattern(name, r"(?<=.)\.[^.]*$")
     assert df.filter(~F.coalesce(T.file_stem("path") == want, F.lit(False))).count() == 0
+
+
+def test_colours_look_at_distinct_tails_and_unasked_names_are_not_made(spark):
+    from vitrine.operators.images import assign_images
+    files = [(f"i/7{a}_{c}.webp",) for a, c in zip("abcdefg", ("red", "red", "navy-blue", "red", "dark-red", "blue", ""))] + [("i/7b_red.webp",)]
+    products = spark.createDataFrame([("7", "n", "bag", "M 1", ["red", "blue", "red", "sky-blue", "Dark Red", "green"]), ("8", "n", "x", "m", ["red"])],
+                                     "sku string, name_fa string, name_en string, model string, colors array<string>")
+    out = assign_images(products, spark.createDataFrame(files, "path string"))
+    got = {r.sku: [(m.color, m.source, m.kind) for m in r.matches] for r in out.collect()}
+    assert got == {"8": [], "7": [("red", "7b", "exact"), ("blue", "7c", "exact"), ("red", "7d", "exact"),
+                                  ("sky-blue", "7f", "exact"), ("Dark Red", "7e", "exact"), ("green", "7g", "blank")]}
+    assert "aggregate(" in _plan(out.select("matches")) and "aggregate(" not in _plan(out.select("sku", "main_image"))

@@ -118,6 +118,18 @@ def is_similar(a, b, table=V.SIMILAR_COLORS) -> Column:
         | listed(v["a"], v["b"]) | listed(v["b"], v["a"])))
 
 
+def neighbours(a, table=V.SIMILAR_COLORS) -> Column:
+    """Names that ``is_similar`` lists with ``a``, either way; NULL for none."""
+    both: dict = {}
+    for name, others in table.items():
+        for other in others:
+            both.setdefault(name, set()).add(other)
+            both.setdefault(other, set()).add(name)
+    near = F.create_map(*[x for k, vs in both.items()
+                          for x in (F.lit(k), F.array(*[F.lit(v) for v in sorted(vs)]))])
+    return F.try_element_at(near, as_column(a))
+
+
 def standard_color(c, spellings=V.COLOR_SPELLINGS, standards=V.STANDARD_COLORS) -> Column:
     """Site colour of a raw colour text.
 

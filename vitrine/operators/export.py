@@ -11,7 +11,7 @@ from vitrine.functions import text as T
 from vitrine.operators.columns import require_columns
 from vitrine.operators.dictionary import translate_color, translate_name
 from vitrine.operators.images import assign_images, variant_images
-from vitrine.operators.scale import first_by_key, spread
+from vitrine.operators.scale import exploded, first_by_key, spread
 
 
 @dataclass(frozen=True)
@@ -227,8 +227,8 @@ def child_rows(products: DataFrame, site: Site = Site(), use_general: bool = Tru
     images = variant_images(F.transform("variants", lambda v: v["color_en"]),
                             F.col("color_images"), F.col("general_images"), F.col("main_image"),
                             use_general)
-    one = products.select("sku", "clean_name", "model_text", F.posexplode(
-        F.arrays_zip(F.col("variants").alias("v"), images.alias("image"))).alias("pos", "z"))
+    one = exploded(products, F.arrays_zip(F.col("variants").alias("v"), images.alias("image")), "z",
+                   "sku", "clean_name", "model_text", pos="pos")
     v = F.col("z.v")
     alt = F.concat(F.concat_ws(" ", "clean_name", F.lit(V.CODE_WORD), T.persian_digits("model_text")),
                    F.lit(" - "), v["color"])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vitrine import vocab as V
 from vitrine.functions import text as T
-from vitrine.functions.colors import cluster_score, color_name, is_background, is_similar
+from vitrine.functions.colors import cluster_score, color_name, is_background, neighbours
 from vitrine.operators.scale import number_within, quantile_slices, rows_if_small, top_n_by_key
 
 # What separates a product key from its picture letters in a file stem.
@@ -68,12 +68,12 @@ def pictures_by_product(files: DataFrame, pattern: str = KEY_AND_LETTER) -> Data
     stems.  A file listed twice is one file; it is folded on the map side.
     """
     stem = T.file_stem("path")
-    keyed = (files.select("path", stem.alias("stem"),
-                          F.regexp_extract(stem, pattern, 1).alias("image_key"),
-                          F.regexp_extract(stem, pattern, 2).alias("letter"))
-             .filter("image_key <> ''").distinct())
+    keyed = (files.select("path", stem.alias("stem"))
+             .select("path", "stem", F.regexp_extract("stem", pattern, 1).alias("image_key"),
+                     F.regexp_extract("stem", pattern, 2).alias("letter"))
+             .filter("image_key <> ''"))
     picture = F.struct(F.length("letter").alias("n"), "letter", "path", "stem")
-    ordered = F.array_sort(F.collect_list(picture))
+    ordered = F.sort_array(F.collect_set(picture))
 
     def named(pics):
         return F.transform(pics, lambda p, i: F.struct(
@@ -92,32 +92,45 @@ def match_colors(pictures: Column, colors: Column) -> Column:
     similar colour.  The result lists (color, norm, index, kind).
     """
     hit_type = "struct<color:string,norm:string,index:int,kind:string>"
-    start = F.array().cast(f"array<{hit_type}>")
-
-    def rank(hits, c):
-        def of_picture(pic, i):
-            tail = pic["tail"]
-            used = F.exists(hits, lambda h: h["index"] == i)
+    # Pictures of one tail are taken in order, so a colour only looks at distinct tails
+    # and finds the first picture left of each; a taken picture becomes NULL.
+    left = F.transform(pictures, lambda p, i: F.when(i > 0, p["tail"]))
+    state = F.struct(F.array().cast(f"array<{hit_type}>").alias("hits"), left.alias("left"))
+    tails = F.transform(F.filter(F.array_distinct(left), lambda t: t.isNotNull()), lambda t: F.struct(
+        t.alias("tail"), F.lower(T.trim_any(t)).alias("low")))
+
+    def rank(left, tails, c):
+        def of_tail(t):
+            tail, low = t["tail"], t["low"]
+            # What is_similar tests, with the neighbours of the colour looked up once.
+            similar = (c["low"].contains(low) | low.contains(c["low"])
+                       | F.coalesce(F.array_contains(c["near"], low), F.lit(False)))
             step = (F.when(tail.contains(c["norm"]) | c["norm"].contains(tail), 1)
                     .when(F.exists(c["words"], lambda w: tail.contains(w)), 2)
-                    .when(is_similar(c["norm"], tail), 3))
-            return F.when((i > 0) & ~used, T.let(step, lambda s: F.when(s.isNotNull(), F.struct(
-                s.alias("step"), i.alias("index"), (tail == "").alias("blank")))))
-        return F.array_min(F.filter(F.transform(pictures, of_picture), lambda x: x.isNotNull()))
+                    .when(similar, 3))
+            return T.let(F.array_position(left, tail), lambda at: F.when(at > 0, T.let(step, lambda s: F.when(
+                s.isNotNull(), F.struct(s.alias("step"), (at - 1).alias("index"), (tail == "").alias("blank"))))))
+        return F.array_min(F.filter(F.transform(tails, of_tail), lambda x: x.isNotNull()))
 
-    def taken(hits, color, c, best):
+    def taken(at, color, c, best):
         kind = (F.when(best["blank"] & (best["step"] == 1), "blank").when(best["step"] == 1, "exact")
                 .when(best["step"] == 2, "word").otherwise("similar"))
         hit = F.struct(color.alias("color"), c["norm"].alias("norm"),
                        best["index"].cast("int").alias("index"), kind.alias("kind"))
-        return F.when(best.isNotNull(), F.concat(hits, F.array(hit))).otherwise(hits)
+        i = best["index"].cast("int")
+        left = F.concat(F.slice(at["left"], F.lit(1), i), F.array(F.lit(None).cast("string")),
+                        F.slice(at["left"], i + 2, F.size(at["left"])))
+        return F.when(best.isNotNull(), F.struct(F.concat(at["hits"], F.array(hit)).alias("hits"),
+                                                 left.alias("left"))).otherwise(at)
 
-    def attempt(hits, color):
-        return T.let(T.dash_slug(color), lambda norm: F.when(norm == "", hits).otherwise(T.let(
-            F.struct(norm.alias("norm"), F.filter(F.split(norm, "[-_ ]+"), lambda w: w != "").alias("words")),
-            lambda c: T.let(rank(hits, c), lambda best: taken(hits, color, c, best)))))
+    def attempt(at, color, tails):
+        return T.let(T.dash_slug(color), lambda norm: F.when(norm == "", at).otherwise(T.let(
+            F.struct(norm.alias("norm"), F.filter(F.split(norm, "[-_ ]+"), lambda w: w != "").alias("words"),
+                     F.lower(T.trim_any(norm)).alias("low"), neighbours(F.lower(T.trim_any(norm))).alias("near")),
+            lambda c: T.let(rank(at["left"], tails, c), lambda best: taken(at, color, c, best)))))
 
-    return F.aggregate(colors, start, attempt)
+    return T.let(tails, lambda known: F.aggregate(
+        colors, state, lambda at, color: attempt(at, color, known), lambda at: at["hits"]))
 
 
 def assign_images(products: DataFrame, files: DataFrame, extension: str = ".webp",
@@ -132,19 +145,23 @@ def assign_images(products: DataFrame, files: DataFrame, extension: str = ".webp
     no_pictures = F.array().cast("array<struct<source:string,tail:string>>")
     seen = F.coalesce("pictures", no_pictures)
     spelled = F.transform("colors", lambda c: F.struct(T.dash_slug(c).alias("norm"), c.alias("color")))
+    joined = products.join(pics, F.col("sku") == F.col("image_key"), "left")
+    # The match is a column of its own and so is every name: what nobody asks for is not made.
+    matched = joined.withColumn("__seen", seen).withColumn("__hits", match_colors(F.col("__seen"), F.col("colors")))
+    base = F.concat_ws("-", "name_en", T.model_slug("model"))
     known = F.struct(
-        seen.alias("pictures"), match_colors(seen, F.col("colors")).alias("hits"), spelled.alias("spelled"),
-        F.col("sku"), F.concat_ws("-", "name_en", T.model_slug("model")).alias("base"),
+        F.col("__seen").alias("pictures"), F.col("__hits").alias("hits"), spelled.alias("spelled"), base.alias("base"),
         F.concat_ws(" ", "name_fa", F.lit(V.CODE_WORD), "model").alias("title"))
-    # One expression per product: the match is made once and every name
-    # below reads it from the bound struct.
-    named = T.let(known, lambda v: _names_of(v, extension))
-    return (products.join(pics, F.col("sku") == F.col("image_key"), "left")
-            .withColumn("__n", named).drop("image_key", "pictures").select(*products.columns, "__n.*"))
+
+    def made(name):
+        return T.let(known, lambda v: _names_of(v, extension, name)).alias(name)
+    return matched.select(
+        *products.columns, F.concat(base, F.lit("-main" + extension)).alias("main_image"),
+        *[made(n) for n in ("color_images", "general_images", "gallery", "mapping", "matches")])
 
 
-def _names_of(v: Column, extension: str) -> Column:
-    """Picture names of one product from its pictures, colours and matches."""
+def _names_of(v: Column, extension: str, name: str) -> Column:
+    """One kind of picture names of a product from its pictures, colours and matches."""
     have = F.size(v["pictures"]) > 0
     title = v["title"]
 
@@ -158,8 +175,8 @@ def _names_of(v: Column, extension: str) -> Column:
     wanted = F.when(have, F.transform(v["hits"], lambda h: h["norm"])).otherwise(
         F.filter(spelled_norms, lambda n: n != ""))
     used = F.transform(v["hits"], lambda h: h["index"])
-    rest = F.filter(F.sequence(F.lit(0), F.size(v["pictures"])), lambda i: (
-        (i > 0) & (i < F.size(v["pictures"])) & ~F.array_contains(used, i)))
+    rest = T.let(used, lambda taken: F.filter(F.sequence(F.lit(0), F.size(v["pictures"])), lambda i: (
+        (i > 0) & (i < F.size(v["pictures"])) & ~F.array_contains(taken, i))))
     # The first colour whose name ends the file name gives the alt text; a
     # colour written twice is shown in its last spelling.
     shown = F.transform(F.array_distinct(spelled_norms), lambda n: F.struct(
@@ -174,34 +191,38 @@ def _names_of(v: Column, extension: str) -> Column:
         return F.when(name.contains("-main"), title).otherwise(T.let(color, lambda c: F.when(
             c.isNotNull(), F.concat(title, F.lit(V.ALT_COLOR), c)).otherwise(plain)))
 
-    def names(n):
-        color_files = F.transform(n["norms"], lambda x: F.struct(x.alias("norm"), file(x).alias("file")))
-        general = F.transform(n["rest"], lambda i, k: file(F.lpad((k + 1).cast("string"), 2, "0")))
-        main = file(F.lit("main"))
-        everything = F.concat(F.array(main), F.transform(n["norms"], file), general)
-        gallery = T.let(n["shown"], lambda colors: F.transform(everything, lambda x: F.struct(
+    main = file(F.lit("main"))
+    norms = F.array_distinct(wanted)
+
+    def numbered(rest):
+        return F.transform(rest, lambda i, k: file(F.lpad((k + 1).cast("string"), 2, "0")))
+
+    def gallery():
+        everything = F.concat(F.array(main), F.transform(norms, file), numbered(rest))
+        named = T.let(shown, lambda colors: F.transform(everything, lambda x: F.struct(
             x.alias("file"), alt(x, colors).alias("alt"))))
         made_up = F.concat(
             F.array(F.struct(main.alias("file"), title.alias("alt"))),
             F.transform(F.filter(v["spelled"], lambda s: s["norm"] != ""), lambda s: F.struct(
                 file(s["norm"]).alias("file"), F.concat(title, F.lit(V.ALT_COLOR), s["color"]).alias("alt"))))
-        mapping = F.concat(
+        return F.when(have, named).otherwise(made_up)
+
+    def mapping():
+        pairs = F.concat(
             F.array(F.struct(source(F.lit(0)).alias("source"), main.alias("target"))),
             F.transform(v["hits"], lambda h: F.struct(source(h["index"]).alias("source"),
                                                       file(h["norm"]).alias("target"))),
-            F.transform(n["rest"], lambda i, k: F.struct(
+            F.transform(rest, lambda i, k: F.struct(
                 source(i).alias("source"), file(F.lpad((k + 1).cast("string"), 2, "0")).alias("target"))))
-        nothing = F.array().cast("array<struct<source:string,target:string>>")
-        return F.struct(
-            main.alias("main_image"), color_files.alias("color_images"), general.alias("general_images"),
-            F.when(have, gallery).otherwise(made_up).alias("gallery"),
-            F.when(have, mapping).otherwise(nothing).alias("mapping"),
-            F.transform(v["hits"], lambda h: F.struct(
-                h["color"].alias("color"), source(h["index"]).alias("source"), h["kind"].alias("kind")))
-            .alias("matches"))
-
-    return T.let(F.struct(F.array_distinct(wanted).alias("norms"), rest.alias("rest"),
-                          shown.alias("shown")), names)
+        return F.when(have, pairs).otherwise(F.array().cast("array<struct<source:string,target:string>>"))
+
+    def matches():
+        return F.transform(v["hits"], lambda h: F.struct(
+            h["color"].alias("color"), source(h["index"]).alias("source"), h["kind"].alias("kind")))
+
+    kinds = {"color_images": lambda: F.transform(norms, lambda x: F.struct(x.alias("norm"), file(x).alias("file"))),
+             "general_images": lambda: numbered(rest), "gallery": gallery, "mapping": mapping, "matches": matches}
+    return kinds[name]()
 
 
 def variant_images(colors: Column, color_images: Column, general: Column, main: Column,

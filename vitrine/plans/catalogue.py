@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from vitrine.operators import export as X
 from vitrine.operators.images import copy_statistics, find_sources
+from vitrine.operators.scale import exploded
 
 
 @dataclass(frozen=True)
@@ -25,7 +26,7 @@ def export_catalog(df: DataFrame, files: DataFrame, colors: DataFrame, names: Da
     products = X.with_pictures(X.products_for_export(df, colors, names, excluded), files, site, pattern)
     rows = X.parent_rows(products, site, social, default_stock).unionByName(
         X.child_rows(products, site, use_general, default_stock), allowMissingColumns=True)
-    mapping = products.select(F.explode("mapping").alias("m")).select("m.*")
+    mapping = exploded(products, F.col("mapping"), "m").select("m.*")
     return Catalogue(X.attribute_columns(rows) if attributes_as_columns else rows, mapping, products)
 
 

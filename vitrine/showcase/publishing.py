@@ -11,6 +11,7 @@ from vitrine.operators import dictionary as D
 from vitrine.operators import export as X
 from vitrine.operators import images as I
 from vitrine.operators import manifest as M
+from vitrine.operators.scale import exploded
 from vitrine.plans.catalogue import export_catalog, picture_gate
 from vitrine.showcase import shop as S
 from vitrine.showcase.cleaning import _ENGLISH, map_sql
@@ -77,7 +78,7 @@ def export_variants(spark, d):
 
 def export_gallery(spark, d):
     rows = _catalogue(spark, d, excluded=False, social=True, attributes_as_columns=False).products
-    return rows.select("sku", F.posexplode("gallery").alias("pos", "g")).select("sku", "pos", "g.file", "g.alt")
+    return exploded(rows, F.col("gallery"), "g", "sku", pos="pos").select("sku", "pos", "g.file", "g.alt")
 
 
 def excluded_variants(spark, d):
@@ -122,7 +123,7 @@ def assign_images(spark, d):
     rows = _catalogue(spark, d, excluded=False).products
     named = rows.select("sku", F.col("clean_name").alias("name_fa"), "name_en", F.col("model_text").alias("model"),
                         F.col("colors_en").alias("colors"))
-    return I.assign_images(named, _files(spark, d)).select("sku", F.explode("matches").alias("m")).select(
+    return exploded(I.assign_images(named, _files(spark, d)), F.col("matches"), "m", "sku").select(
         "sku", "m.color", "m.source", "m.kind")
 
 
