@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from vitrine import vocab as V
 from vitrine.functions import text as T
 from vitrine.functions.colors import literal_map
-from vitrine.operators.scale import (first_by_key, last_by_key, local_frame,
+from vitrine.operators.scale import (exploded, first_by_key, last_by_key, local_frame,
                                      rows_if_small, top_n_by_key)
 
 
@@ -204,8 +204,8 @@ def unknown_tokens(df: DataFrame, columns, entries: DataFrame) -> DataFrame:
     """Distinct Latin tokens of any cell that the dictionary lacks."""
     cells = F.concat(*[F.coalesce(cell_tokens(c), F.array().cast("array<string>"))
                        for c in columns])
-    tokens = (df.select(F.explode(F.array_distinct(F.transform(
-        F.filter(cells, _is_latin), T.trim_any))).alias("token")).filter("token <> ''").distinct())
+    latin = F.array_distinct(F.transform(F.filter(cells, _is_latin), T.trim_any))
+    tokens = exploded(df, latin, "token").filter("token <> ''").distinct()
     known = usable_entries(entries).select(F.lower("term").alias("__t")).distinct()
     return tokens.join(known, F.lower("token") == F.col("__t"), "left_anti")
 

@@ -13,7 +13,7 @@ from vitrine.operators import dictionary as D
 from vitrine.operators.categorize import Taxonomy, categorize
 from vitrine.operators.columns import copy_where_present, drop_unusable
 from vitrine.operators.pricing import apply_brackets
-from vitrine.operators.scale import spread
+from vitrine.operators.scale import exploded, spread
 
 
 @dataclass(frozen=True)
@@ -61,7 +61,7 @@ def standardize_colors(df: DataFrame, standards=V.STANDARD_COLORS, colors: str =
 
 
 def unknown_color_report(df: DataFrame, name: str = "name", order: str = "ord") -> DataFrame:
-    misses = df.select(F.explode("color_misses").alias("color"), name, order)
+    misses = exploded(df, F.col("color_misses"), "color", name, order)
     return D.term_report(misses, "color", name, order)
 
 
