@@ -262,3 +262,18 @@ def test_tiles_keep_pairs_at_the_threshold_whose_shingles_collide():
     found = [x for got in neardup.tiler(85)(iter([batch])) for x in zip(got.column("a").to_pylist(), got.column("b").to_pylist())]
     assert found == [(1, 2)]
     assert sum(got.num_rows for got in neardup.tiler(86)(iter([batch]))) == 0
+
+
+def test_encoder_keeps_its_units_in_few_bytes():
+    import public_tokenizers
+    known = simple8b.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    for a in range(0, 6000, 1000):
+        texts = [" ".join(f"w{i * 7919 % 5003}x" for i in range(j, j + 9)) + "  \n" for j in range(a, a + 1000)]
+        ids, size = known.encode(pa.array(texts))
+        plain = [e.ids for e in known.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert size.tolist() == [len(x) for x in plain] and ids.tolist() == [i for x in plain for i in x]
+    assert known.key.nbytes + known.begin.nbytes + known.size.nbytes <= 16 * len(known.key)
+    assert known.pool.nbytes <= 2.5 * known.used + 2
+    known.most = 100
+    again, _ = known.encode(pa.array(texts))
+    assert again.tolist() == ids.tolist()

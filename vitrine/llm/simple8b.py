@@ -29,6 +29,8 @@ RUN_COUNT_BITS = 28
 U = np.uint64
 #: Documents in a block; blocks also end after some megabytes of text.
 BLOCK_ROWS = 512
+#: Bytes of text encoded at once; what a step needs besides is some hundred times that.
+PIECE = 1 << 19
 
 
 _SHORT = np.searchsorted(WIDTHS, [int(i).bit_length() for i in range(1 << 16)]).astype(np.uint8)
@@ -194,12 +196,14 @@ class Encoder:
         from tokenizers import Tokenizer
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         self.tokenizer, self.most, self.odd = Tokenizer.from_file(path), most, re.compile(_ODD)
+        self.kind = np.min_scalar_type(max(self.tokenizer.get_vocab().values()))
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids[-1]
         self._clear()
 
     def _clear(self):
-        self.key, self.begin, self.size = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pool, self.used = [], 0
+        # Ids of the vocabulary and places in the pool in as few bytes as hold them.
+        self.key, self.begin, self.size = np.zeros(0, U), np.zeros(0, np.uint32), np.zeros(0, np.uint32)
+        self.pool, self.used = np.zeros(0, self.kind), 0
 
     def _units(self, data, offsets):
         start, end, first = C.word_spans(data, offsets)
@@ -249,17 +253,25 @@ class Encoder:
     def _learn(self, key, units):
         order, flat, size = self._tokens(units)
         begin = self.used + np.cumsum(size) - size
-        self.pool.append(flat)
-        self.used += len(flat)
+        end = self.used + len(flat)
+        if end > len(self.pool):
+            # A fourth of room to spare, so that the pool is seldom moved.
+            pool = np.empty(end + end // 4, self.kind)
+            pool[:self.used] = self.pool[:self.used]
+            self.pool = pool
+        self.pool[self.used:end] = flat
+        self.used = end
         key = key[order]
         sort = np.argsort(key)
         key, begin, size = key[sort], begin[sort], size[sort]
-        at = np.searchsorted(self.key, key)
-        self.key = np.insert(self.key, at, key)
-        self.begin = np.insert(self.begin, at, begin)
-        self.size = np.insert(self.size, at, size)
-        if len(self.pool) > 1:
-            self.pool = [np.concatenate(self.pool)]
+        place = np.searchsorted(self.key, key) + np.arange(len(key))
+        old = np.ones(len(self.key) + len(key), bool)
+        old[place] = False
+        for name, new in (("key", key), ("begin", begin), ("size", size)):
+            was = getattr(self, name)
+            both = np.empty(len(old), was.dtype)
+            both[old], both[place] = was, new
+            setattr(self, name, both)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and how many each has; null is the empty text."""
@@ -280,8 +292,8 @@ class Encoder:
             raw, one = data.tobytes(), one[new]
             self._learn(distinct[new], [raw[x:y].decode() for x, y in zip(a[one].tolist(), b[one].tolist())])
         at = np.searchsorted(self.key, distinct)
-        size = self.size[at][back]
-        flat = self.pool[0][_ranges(self.begin[at][back], size)] if len(a) else np.zeros(0, np.uint32)
+        size = self.size[at].astype(np.int64)[back]
+        flat = self.pool[_ranges(self.begin[at].astype(np.int64)[back], size)] if len(a) else np.zeros(0, self.kind)
         cut = np.concatenate(([0], np.cumsum(size)))[np.searchsorted(a, offsets)]
         if not odd:
             return flat, np.diff(cut)
@@ -329,8 +341,10 @@ def write_blocks(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         shard, number, known = TaskContext.get().partitionId(), 0, encoder(tokenizer_path)
+        # A worker may still hold what the tasks of earlier stages let go.
+        pa.default_memory_pool().release_unused()
         for batch in batches:
-            for part in C.pieces(batch, "text"):
+            for part in C.pieces(batch, "text", PIECE):
                 ids, size = known.encode(part.column("text"))
                 # Every document ends with the end id.
                 begin = np.cumsum(size) - size
