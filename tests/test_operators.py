@@ -447,3 +447,14 @@ def test_existing_files_offer_only_beginnings_as_long_as_keys(spark):
         ("12", "12b.png"), ("A1234", "A1234a_blue.jpg"), ("A1234a_b", "A1234a_blue.jpg")]
     none = keys.limit(0)
     assert I.existing_files(files, none).count() == 0
+
+
+def test_a_large_dictionary_is_only_sent_tokens_with_a_key(spark):
+    cells = spark.createDataFrame([(" red ; x|RED, no",), ("مشکی|red",), ("; |",), ("no",), (None,)], "cell string")
+    words = spark.createDataFrame([(0, "red", "سرخ"), (1, "x", "ایکس")], "ord int, term string, translation string")
+    out = D.translated_cells(cells, ["cell"], words)
+    assert sorted((r.cell, r.new, r.known) for r in out.collect()) == [
+        (" red ; x|RED, no", " سرخ ; ایکس|سرخ, no", 3), ("مشکی|red", "مشکی|سرخ", 1)]
+    # Tokens without a key would all go to one task; only an inner join leaves them out.
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "Join LeftOuter" not in plan

@@ -154,23 +154,25 @@ def known_tokens(c, known_words: WordMap) -> Column:
 def translated_cells(df: DataFrame, columns, entries: DataFrame) -> DataFrame:
     """(cell, new, known): every distinct cell of ``columns`` that a dictionary changes.
 
-    The tokens of a cell meet the dictionary by a join, so it may have any
-    size; a cell is put together again by its own text, whatever rows it is in.
+    The Latin tokens of a cell meet the dictionary by a join, so it may have any
+    size; separators and other tokens, which have no key, are not sent.  A cell is
+    put together again from its own text and the tokens found, whatever rows it is in.
     """
     lookup = last_by_key(usable_entries(entries).select(
         F.lower("term").alias("__t"), F.col("translation").alias("__v"), "ord"), "__t", "ord").drop("ord")
     cells = (df.select(F.explode(F.array(*[F.col(c).cast("string") for c in columns])).alias("cell"))
              .filter(F.col("cell").rlike("[a-zA-Z0-9_]")).distinct())
-    tokens = cells.select("cell", F.posexplode(cell_tokens("cell")).alias("__i", "__tok"))
-    tokens = tokens.withColumn("__t", F.when(_is_latin("__tok"), F.lower(T.trim_any("__tok"))))
-    swapped = F.when(F.col("__v").isNotNull(), F.concat(
-        F.regexp_extract("__tok", r"(?U)^(\s*)", 1), F.col("__v"),
-        F.regexp_extract("__tok", r"(?U)(\s*)$", 1))).otherwise(F.col("__tok"))
-    joined = tokens.join(lookup, "__t", "left")
-    return (joined.groupBy("cell").agg(
-        F.array_sort(F.collect_list(F.struct("__i", swapped.alias("tok")))).alias("__toks"),
-        F.count("__v").cast("int").alias("known")).filter("known > 0")
-        .select("cell", F.array_join(F.transform("__toks", lambda s: s["tok"]), "").alias("new"), "known"))
+    latin = F.filter(F.transform(cell_tokens("cell"), lambda t, i: F.struct(
+        i.alias("i"), F.when(_is_latin(t), F.lower(T.trim_any(t))).alias("t"))), lambda x: x["t"].isNotNull())
+    tokens = exploded(cells, latin, "__tok", "cell").select("cell", "__tok.i", F.col("__tok.t").alias("__t"))
+    found = tokens.join(lookup, "__t").groupBy("cell").agg(
+        F.map_from_entries(F.collect_list(F.struct("i", "__v"))).alias("__found"))
+
+    def swapped(token, i):
+        return T.let(F.try_element_at("__found", i), lambda v: F.when(v.isNull(), token).otherwise(F.concat(
+            F.regexp_extract(token, r"(?U)^(\s*)", 1), v, F.regexp_extract(token, r"(?U)(\s*)$", 1))))
+    return found.select("cell", F.array_join(F.transform(cell_tokens("cell"), swapped), "").alias("new"),
+                        F.size("__found").alias("known"))
 
 
 def translate_columns(df: DataFrame, columns, entries: DataFrame, counted: str | None = None) -> DataFrame:
