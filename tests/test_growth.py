@@ -54,3 +54,35 @@ def test_colours_look_at_distinct_tails_and_unasked_names_are_not_made(spark):
     assert got == {"8": [], "7": [("red", "7b", "exact"), ("blue", "7c", "exact"), ("red", "7d", "exact"),
                                   ("sky-blue", "7f", "exact"), ("Dark Red", "7e", "exact"), ("green", "7g", "blank")]}
     assert "aggregate(" in _plan(out.select("matches")) and "aggregate(" not in _plan(out.select("sku", "main_image"))
+
+
+def test_distinct_colour_cells_are_matched_once_and_others_by_row(spark):
+    from vitrine.plans.standardize import standardize_colors
+    cells = ["مشکی | Sky Blue", " - ", None, "سفید,سفید", "nan", "", "a\"b\\c d | \x01", "x" * 300]
+    df = spark.createDataFrame([(c,) for c in cells], "colors string")
+    few = standardize_colors(df)
+    # Cells that were never looked at go the full way and give the same.
+    none = standardize_colors(df, seen=spark.createDataFrame([("z",)], "colors string"))
+    many = standardize_colors(df, seen=spark.range(2000).select(F.col("id").cast("string").alias("colors")))
+    assert "regexp_replace" in _plan(many) and "entries" not in _plan(few) and "from_json" not in _plan(few)
+    want = [(["مشکی", "Sky Blue"], ["Sky Blue"]), ([], []), (None, None), (["سفید"], []), (None, None), (None, None)]
+    got = [[(r.colors_std, r.color_misses) for r in out.collect()] for out in (few, none, many)]
+    assert got[0][:6] == want and got[0] == got[1] == got[2]
+
+
+def test_cells_are_worked_out_once_by_the_row_filter(spark):
+    from vitrine.operators.columns import drop_unusable
+    cells = ["OUT_OF_STOCK", " ناموجود \n", "\x1cFailed", "not Failed", None, "", "No Color", "ok"]
+    df = spark.createDataFrame([(c, c) for c in cells], "a string, regular_price string").select(
+        F.substring_index("a", "@", 1).alias("name"), "regular_price")
+    kept = drop_unusable(df, "name", "regular_price")
+    assert [r.name for r in kept.collect()] == ["\x1cFailed", "not Failed", "ok"]
+    assert "(?U)" not in _plan(kept)
+
+
+def test_separators_are_unified_in_one_pass(spark):
+    cells = ["a , - b", " | a||b | ", "a", " a ", "|", "a /\n b;", "", None, "a |\n", "x\u0085-\u0085y"]
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    out = df.select(T.unify_separators("c").alias("c"))
+    assert [r.c for r in out.collect()] == ["a|b", "a|b", "a", " a ", "", "a|b", "", None, "a", "x|y"]
+    assert _plan(out).count("regexp_replace") == 1

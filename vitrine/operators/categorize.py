@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vitrine import vocab as V
 from vitrine.functions.prices import has_discount
-from vitrine.functions.text import nullify_blank, render_text
+from vitrine.functions.text import let, nullify_blank, render_text
 from vitrine.operators.scale import LITERAL_ROWS, rows_if_small, spread
 
 
@@ -194,8 +194,10 @@ def categorize(df: DataFrame, taxonomy: Taxonomy = Taxonomy(), name: str = "name
         return render_text(nullify_blank(c)) if c in df.columns else F.lit("")
 
     fixed = df.withColumn(name, F.replace(F.col(name), F.lit(V.DUFFLE_BAG), F.lit(V.DUFFLE)))
+    # Bound once: every keyword looks at them.
+    texts = F.struct(render_text(name).alias("name"), cell(usage).alias("usage"), cell(suitable).alias("suitable"))
     old_tag = F.col("sale_tag") if "sale_tag" in df.columns else F.lit("")
     on_sale = has_discount(*[c for c in sale if c in df.columns])
     return (fixed
-            .withColumn("category", taxonomy.category(render_text(name), cell(usage), cell(suitable)))
+            .withColumn("category", let(texts, lambda t: taxonomy.category(t["name"], t["usage"], t["suitable"])))
             .withColumn("sale_tag", F.when(on_sale, V.DISCOUNT_TAG).otherwise(old_tag)))

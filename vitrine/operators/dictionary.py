@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -110,7 +109,7 @@ def translation_map(entries: DataFrame) -> WordMap | None:
         return None
     words = {r.term.lower(): r.translation for r in rows}
     few = len(words) <= 64
-    hint = "(?i)" + "|".join(map(re.escape, words)) if few and words else "[a-zA-Z0-9_]"
+    hint = T.any_of(words, ignore_case=True) if few and words else "[a-zA-Z0-9_]"
     return WordMap(literal_map(words), hint)
 
 

@@ -13,7 +13,7 @@ from vitrine.operators import dictionary as D
 from vitrine.operators.categorize import Taxonomy, categorize
 from vitrine.operators.columns import copy_where_present, drop_unusable
 from vitrine.operators.pricing import apply_brackets
-from vitrine.operators.scale import exploded, spread
+from vitrine.operators.scale import by_distinct_values, exploded, spread
 
 
 @dataclass(frozen=True)
@@ -42,22 +42,25 @@ def raw_colors(cell):
     return F.transform(kept, T.color_text)
 
 
-def standardize_colors(df: DataFrame, standards=V.STANDARD_COLORS, colors: str = "colors") -> DataFrame:
+def standardize_colors(df: DataFrame, standards=V.STANDARD_COLORS, colors: str = "colors",
+                       seen: DataFrame | None = None) -> DataFrame:
     """``colors_std``: matched standard colours, unmatched ones as written.
 
-    ``color_misses`` keeps the unmatched words for the report.
+    ``color_misses`` keeps the unmatched words for the report.  ``seen`` is
+    where to look for distinct cells, if not in ``df`` itself.
     """
     keys = standards_by_key(standards)
     longest = max(map(len, keys), default=0)
-    matched = F.transform(raw_colors(T.nullify_blank(colors)), lambda c: F.struct(
-        c.alias("raw"), longest_phrase(c, keys, longest).alias("std")))
-    pairs = spread(df).withColumn("__pairs", matched)
-    return (pairs
-            .withColumn("colors_std", F.array_distinct(F.transform(
-                "__pairs", lambda p: F.coalesce(p["std"], p["raw"]))))
-            .withColumn("color_misses", F.transform(F.filter(
-                "__pairs", lambda p: p["std"].isNull()), lambda p: p["raw"]))
-            .drop("__pairs"))
+
+    def matched(cell):
+        pairs = F.transform(raw_colors(T.nullify_blank(cell)), lambda c: F.struct(
+            c.alias("raw"), longest_phrase(c, keys, longest).alias("std")))
+        return T.let(pairs, lambda ps: F.when(ps.isNotNull(), F.struct(
+            F.array_distinct(F.transform(ps, lambda p: F.coalesce(p["std"], p["raw"]))).alias("std"),
+            F.transform(F.filter(ps, lambda p: p["std"].isNull()), lambda p: p["raw"]).alias("misses"))))
+    return (by_distinct_values(spread(df), colors, matched, "__matched", df if seen is None else seen)
+            .withColumn("colors_std", F.col("__matched.std")).withColumn("color_misses", F.col("__matched.misses"))
+            .drop("__matched"))
 
 
 def unknown_color_report(df: DataFrame, name: str = "name", order: str = "ord") -> DataFrame:
@@ -75,10 +78,10 @@ def standard_color_names(entries: DataFrame) -> tuple:
 
 
 def standardize(raw: DataFrame, rules: Rules) -> Standardized:
-    raw = spread(raw)
+    source, raw = raw, spread(raw)
     kept = drop_unusable(raw, "name", "regular_price")
     table = standardize_colors(kept.withColumn("stock", F.lit(rules.stock_quantity)),
-                               rules.standard_colors)
+                               rules.standard_colors, seen=source)
     table = tidy_usages(copy_where_present(table, "model", "sku"))
     if rules.price_rules is not None:
         table = apply_brackets(table, rules.price_rules, extra_discount=rules.extra_discount)
