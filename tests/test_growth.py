@@ -86,3 +86,28 @@ def test_separators_are_unified_in_one_pass(spark):
     out = df.select(T.unify_separators("c").alias("c"))
     assert [r.c for r in out.collect()] == ["a|b", "a|b", "a", " a ", "", "a|b", "", None, "a", "x|y"]
     assert _plan(out).count("regexp_replace") == 1
+
+
+def test_numbering_many_rows_takes_more_tasks_with_one_sort_each(spark, monkeypatch):
+    from pyspark.sql import Window
+    from vitrine.operators import scale as S
+    monkeypatch.setattr(S, "TASK_ROWS", 100)
+    df = spark.range(3000).select(F.when(F.col("id") % 50 > 0, F.when(F.col("id") % 5 < 2, "hot").otherwise(
+        F.concat(F.lit("k"), F.col("id") % 40))).alias("k"), (F.col("id") * 7919 % 3000).alias("at"), "id")
+    slices, rows = S.slices_and_rows(df, "at", 16)
+    got = S.number_within(df, ["k"], ["at", "id"], slices, "n", rows)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert rows == 3000 and plan.count("REPARTITION_BY_NUM") >= 3 and ", 30)" in plan
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("at", "id")).cast("bigint"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+
+
+def test_slices_by_halving_equal_counted_edges(spark):
+    from vitrine.operators import scale as S
+    df = spark.createDataFrame([(x,) for x in [None, -5.5, 0.0, 0.0, 1.0, 2.0, 2.0, 3.5, 9.0, float("inf")]], "v double")
+    for slices in (1, 2, 3, 5, 8, 64):
+        cuts = df.select(F.percentile_approx("v", [i / slices for i in range(1, slices)] or [0.5], 1000)).first()[0]
+        edges = sorted(set(cuts)) if slices > 1 else []
+        got = [r.s for r in df.select(S.quantile_slices(df, "v", slices).alias("s")).collect()]
+        assert got == [0 if r.v is None else sum(r.v > e for e in edges) for r in df.collect()]
+    assert df.limit(0).select(S.quantile_slices(df.limit(0), "v")).count() == 0

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from vitrine import vocab as V
 from vitrine.functions import text as T
 from vitrine.functions.colors import cluster_score, color_name, is_background, neighbours
-from vitrine.operators.scale import number_within, quantile_slices, rows_if_small, top_n_by_key
+from vitrine.operators.scale import number_within, rows_if_small, slices_and_rows, top_n_by_key
 
 # What separates a product key from its picture letters in a file stem.
 KEY_AND_LETTER = r"^([A-Za-z]?[0-9]+)([a-z]+)"
@@ -15,8 +15,10 @@ KEY_AND_LETTER = r"^([A-Za-z]?[0-9]+)([a-z]+)"
 
 def with_key(files: DataFrame, path: str = "path", key: str = "product_no") -> DataFrame:
     """Files whose stem starts with a number, and that number."""
-    return (files.withColumn("stem", T.file_stem(path))
-            .withColumn(key, T.number_key("stem")).filter(F.col(key).isNotNull()))
+    # Bound once: the rules look at path and stem several times, and the filter at their result.
+    named = T.let(path, lambda p: T.let(T.file_stem(p), lambda s: F.struct(s.alias("stem"), T.number_key(s).alias("key"))))
+    return (files.withColumn("__named", named).withColumn("stem", F.col("__named.stem"))
+            .withColumn(key, F.col("__named.key")).drop("__named").filter(F.col(key).isNotNull()))
 
 
 def rename_plan(files: DataFrame, scope: DataFrame | None = None, color: str | None = None,
@@ -34,9 +36,9 @@ def rename_plan(files: DataFrame, scope: DataFrame | None = None, color: str | N
     square = F.coalesce(F.col("width") == F.col("height"), F.lit(False))
     keyed = keyed.withColumn("not_square", (~square).cast("int"))
     # The cuts only have to be even roughly; the bare order column is enough.
-    slices = quantile_slices(files, "ord") if slice_by is None else slice_by
-    numbered = number_within(keyed, ["product_no"], ["not_square", "ord"],
-                             F.struct("not_square", slices.alias("s")), "position")
+    slices, rows = slices_and_rows(files, "ord") if slice_by is None else (slice_by, None)
+    numbered = number_within(keyed.select("path", "product_no", "not_square", "ord"), ["product_no"], ["not_square", "ord"],
+                             F.struct("not_square", slices.alias("s")), "position", rows)
     letter = T.letter_for_index(F.col("position") - 1)
     tail = F.concat(F.lit("_"), F.coalesce(F.nullif(color, F.lit("")), F.lit("unknown"))) \
         if color else F.lit("")
