@@ -111,3 +111,19 @@ def test_slices_by_halving_equal_counted_edges(spark):
         got = [r.s for r in df.select(S.quantile_slices(df, "v", slices).alias("s")).collect()]
         assert got == [0 if r.v is None else sum(r.v > e for e in edges) for r in df.collect()]
     assert df.limit(0).select(S.quantile_slices(df.limit(0), "v")).count() == 0
+
+
+def test_an_exclusion_list_made_of_a_small_table_is_not_broadcast(spark):
+    colors = spark.createDataFrame([(0, "red", "red"), (1, "blue", "blue")], "ord int, term string, translation string")
+    products = spark.createDataFrame([("a", "n", "1", "red | blue", 1), ("b", "n", "2", "red", 2), ("c", "n", "3", "green", 3)],
+                                     "sku string, name string, model string, colors string, ord long")
+    listed = spark.range(3).select(F.element_at(F.array(*map(F.lit, "abx")), F.col("id").cast("int") + 1).alias("s"), F.explode(
+        F.array(F.lit("red"), F.lit("red"), F.lit("black"))).alias("c")).select(F.concat_ws("-", "s", "c").alias("sku"))
+    variants = E.variant_rows(products, colors)
+    kept = E.products_for_export(products, colors, colors, listed).select("sku", F.transform("variants", lambda v: v["color"]).alias("v"))
+    left, gone = E.drop_excluded(variants, listed).select("sku", "color"), E.fully_excluded(variants, listed)
+    for out in (kept, left, gone):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert not [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "__x" in line] and "SortMergeJoin [variant_sku" in plan
+    assert sorted(map(tuple, kept.collect())) == [("a", ["blue"]), ("c", ["green"])]
+    assert sorted(map(tuple, left.collect())) == [("a", "blue"), ("c", "green")] and [r.sku for r in gone.collect()] == ["b"]

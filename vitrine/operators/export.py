@@ -53,16 +53,23 @@ def variant_rows(df: DataFrame, colors_dict: DataFrame) -> DataFrame:
             .withColumn("variant_sku", F.concat_ws("-", "sku", "color_en")))
 
 
+def listed_keys(excluded: DataFrame) -> DataFrame:
+    """Distinct keys of an exclusion list, as ``__x``, to be joined by sorting.
+
+    A list that is exploded from a small table is planned by the size of that
+    table, and then broadcast whatever it grows to.
+    """
+    return excluded.select(F.col("sku").alias("__x")).distinct().hint("merge")
+
+
 def drop_excluded(variants: DataFrame, excluded: DataFrame) -> DataFrame:
     """Variants whose key is not on the exclusion list (sku)."""
-    listed = excluded.select(F.col("sku").alias("__x")).distinct()
-    return variants.join(listed, F.col("variant_sku") == F.col("__x"), "left_anti")
+    return variants.join(listed_keys(excluded), F.col("variant_sku") == F.col("__x"), "left_anti")
 
 
 def fully_excluded(variants: DataFrame, excluded: DataFrame) -> DataFrame:
     """Products that lose every variant."""
-    listed = excluded.select(F.col("sku").alias("__x")).distinct()
-    return (variants.join(listed, F.col("variant_sku") == F.col("__x"), "left")
+    return (variants.join(listed_keys(excluded), F.col("variant_sku") == F.col("__x"), "left")
             .groupBy("sku").agg(F.bool_and(F.col("__x").isNotNull()).alias("gone"))
             .filter("gone").select("sku"))
 
@@ -162,8 +169,7 @@ def products_for_export(df: DataFrame, colors_dict: DataFrame, names_dict: DataF
     if excluded is None:
         tagged = variants.withColumn("kept", F.lit(True))
     else:
-        listed = excluded.select(F.col("sku").alias("__x")).distinct()
-        tagged = (variants.join(listed, F.col("variant_sku") == F.col("__x"), "left")
+        tagged = (variants.join(listed_keys(excluded), F.col("variant_sku") == F.col("__x"), "left")
                   .withColumn("kept", F.col("__x").isNull()).drop("__x"))
     grouped = tagged.groupBy("sku").agg(
         F.array_sort(F.collect_list(every)).alias("all_variants"),
