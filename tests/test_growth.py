@@ -127,3 +127,23 @@ def test_an_exclusion_list_made_of_a_small_table_is_not_broadcast(spark):
         assert not [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "__x" in line] and "SortMergeJoin [variant_sku" in plan
     assert sorted(map(tuple, kept.collect())) == [("a", ["blue"]), ("c", ["green"])]
     assert sorted(map(tuple, left.collect())) == [("a", "blue"), ("c", "green")] and [r.sku for r in gone.collect()] == ["b"]
+
+
+def test_sheets_filter_what_was_stored_for_them(spark):
+    rows = "ord long, sku string, name string, regular_price string, sale_price string, colors string, image_urls string"
+    catalog = spark.createDataFrame([(1, "11111", "a", "10", None, "red | blue", ""), (2, "22222", "b", "10", None, "red", ""),
+                                     (3, "44444", "e", "7", "5", "red-green", ""), (4, "55555", "f", "7", "5", "red", "")], rows)
+    scan = spark.createDataFrame([(1, " 11111", "a", "20", None, "red", "u"), (2, "33333", "c", "10", None, "red", "u"), (3, "33333", "d", "10", None, None, "v"),
+                                  (4, "44444", "e", "7", "5", "red | black", "w"), (5, "44444", "e2", "8", "5", "pink", "x"), (6, "nan", "g", "1", None, "red", "z"),
+                                  (7, "55555", "f", "7", "5", "red", "y")], rows)
+    variants = spark.createDataFrame([("11111", "blue", "v1", 1), ("11111", "blue", "v2", 2), ("11111", "red", "v3", 3), ("22222", "red", "v4", 4), ("22222", "", "v5", 5),
+                                      ("44444", "green\u200b", "v6", 6), ("55555", "red", "v7", 7)], "parent_sku string, color string, sku string, ord long")
+    listing = spark.createDataFrame([(1, "x 33333", "l", "5")], "ord long, product_name string, product_url string, price string")
+    got, want = (detect_changes(scan, catalog, variants, listing, materialize=m) for m in (True, False))
+    for sheet in (got.fresh, got.ready, got.deletions):
+        assert "Join" not in _plan(sheet) and "Join" in _plan(want.fresh)
+    for name, df in vars(want).items():
+        mine = getattr(got, name)
+        assert mine.columns == df.columns and sorted(map(repr, mine.collect())) == sorted(map(repr, df.collect())), name
+    assert sorted(r.sku for r in got.deletions.collect()) == ["22222", "v2", "v4", "v6"]
+    assert [(r.sku, r.name, r.colors) for r in got.ready.filter("sku = '44444'").collect()] == [("44444", "e", "black | red")]

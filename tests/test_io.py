@@ -2,6 +2,7 @@
 
 import datetime
 import os
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from vitrine.plans.catalogue import export_catalog, picture_gate
 from vitrine.plans.changes import choose_mode, detect_changes, write_changes
 from vitrine.plans.prices import track_prices
 from vitrine.operators.dictionary import pairs_frame
-from vitrine.session import shared_folder
+from vitrine.session import shared_folder, shuffles_dropped
 from vitrine.sources import readers as I
 from vitrine.sources import writers as W
 from vitrine.streaming import ingest as G
@@ -115,6 +116,34 @@ def test_change_detection_end_to_end(spark, tmp_path):
     assert _lines(tmp_path / "skus_to_delete") == ["400", "400-b", "200-y"]
 
 
+def test_compressed_sheets_have_the_same_rows_and_settings_stay(spark, tmp_path):
+    scan, catalog, variants = _catalogue(spark)
+    listing = spark.createDataFrame([], "ord int, product_name string, product_url string, price string")
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, changes = spark.conf.get(key), detect_changes(scan, catalog, variants, listing)
+    for name, codec in (("plain", None), ("small", "gzip")):
+        write_changes(changes, str(tmp_path / name), codec)
+    assert spark.conf.get(key) == before
+    with shuffles_dropped(spark):
+        assert spark.conf.get(key) == "true"
+    folders = {f.parent.relative_to(tmp_path / "plain") for f in (tmp_path / "plain").rglob("part-*")}
+    assert len(folders) == 11
+    for folder in folders:
+        assert all(f.name.endswith(".gz") for f in (tmp_path / "small" / folder).glob("part-*"))
+        rows = [sorted(r.value for r in spark.read.text(str(tmp_path / n / folder)).collect()) for n in ("plain", "small")]
+        assert len(set(rows[0])) > 0 and set(rows[0]) == set(rows[1])
+
+
+def test_report_sheets_are_stored_compressed(spark):
+    from vitrine.showcase.changes import report_sheets
+    folder = pathlib.Path(shared_folder(spark))
+    before = set(folder.glob("vitrine-report-*"))
+    report_sheets(spark, "/root/testdata/sf0.001")
+    made, = set(folder.glob("vitrine-report-*")) - before
+    files = list(made.rglob("part-*"))
+    assert {f.name.split(".", 1)[1] for f in files} == {"csv.gz", "txt.gz"}
+
+
 def test_tracking_and_history_files(spark, tmp_path):
     listing = spark.createDataFrame([(1, "کیف کد 11", "u1", "20,000 تومان"), (2, "کیف کد 12", "u2", "90,000"), (3, "کیف کد 13", "u3", None)],
                                     "ord int, product_name string, product_url string, price string")
